@@ -1,0 +1,356 @@
+"""Upsert into a parquet table."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
+
+from pyspark.errors import AnalysisException, ParseException
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tripmill.errors import DuplicateSourceKeyError, MergeError, MergeKeysError, PartitionColumnError
+from tripmill.functions import type_of
+from tripmill.operators.identity import assign_surrogate_key
+from tripmill.operators.merge_terms import Pairs, assignments, key_pairs, of, row_changes, rows_match
+from tripmill.operators.partitions import MAX_PARTITIONS, touched_partitions
+from tripmill.scratch import drop_folder, new_folder, stage
+from tripmill.sources.tables import Table, read_table, write_table
+
+# Key types whose smallest and largest source value narrow the scan of the target.
+_RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# With more separate ranges than this the filter is left out: it would cost more than it saves.
+_MAX_RANGES = 32
+
+
+@dataclass(frozen=True)
+class UpsertReport:
+    """What an upsert did. ``matched`` and ``updated`` count target rows, the other counts source rows."""
+
+    source_rows: int = 0
+    matched: int = 0
+    updated: int = 0
+    inserted: int = 0
+    rewritten_partitions: tuple[tuple[str | None, ...], ...] = ()
+
+
+@dataclass(frozen=True)
+class _Merge:
+    """One upsert, with all names resolved against its two sides."""
+
+    target: DataFrame
+    table: Table
+    pairs: list[tuple[str, str]]
+    set_columns: dict[str, str]
+    changes: Column
+    null_safe_keys: bool
+
+    @property
+    def match(self) -> Column:
+        return rows_match(self.pairs, self.null_safe_keys)
+
+    @property
+    def source_keys(self) -> list[str]:
+        return [source for _, source in self.pairs]
+
+    @property
+    def partition_texts(self) -> list[Column]:
+        """The target's partition values of a source row, as text like in the folder names."""
+        source_of = dict(self.pairs)
+        typed = [F.col(f"`{source_of[c]}`").cast(type_of(self.target, c)) for c in self.table.partition_by]
+        return [value.cast("string").alias(c) for c, value in zip(self.table.partition_by, typed)]
+
+
+def upsert(
+    source: DataFrame,
+    table: Table,
+    keys: Pairs,
+    columns: Sequence[str] | Mapping[str, str] | None = None,
+    update_when: str | None = None,
+    null_safe_keys: bool = False,
+    null_safe_compare: bool = False,
+) -> UpsertReport:
+    """Update the rows of ``table`` that ``source`` matches by ``keys`` and insert the other source rows.
+
+    ``keys`` are column names, or (target, source) pairs. ``columns`` are the columns to set, as names or as
+    target-to-source mapping; by default all of the source but the surrogate key. A matched row is updated
+    if ``update_when`` holds, SQL text over ``trg`` and ``src``; by default if any set column differs. No
+    row is ever deleted.
+
+    NULL follows SQL: a NULL key matches nothing, so such rows are inserted again by each run, and a
+    comparison with NULL is no difference. ``null_safe_keys`` and ``null_safe_compare`` make NULL equal to
+    NULL and different from any value; with the first, running the same batch twice changes nothing.
+
+    Several source rows for one target row raise :class:`DuplicateSourceKeyError` before anything is written.
+
+    How it scales:
+
+    * Only partitions the source has values for are read, and in them only the key ranges the source
+      covers, so a month of data is compared with that month of the table. Partition columns must be keys.
+    * The first join looks up matches and keeps nothing but keys and changed rows. New rows are appended.
+      Only partitions that hold a *changed* row are rewritten, so a batch of new rows rewrites nothing.
+    * No join here is a full outer join: for inner, left and anti joins adaptive execution can split a
+      key with very many rows, for full outer joins it cannot. Source rows with a NULL key, which may be
+      very many, enter no join at all.
+    * The source and the looked-up changes are staged as parquet in the shared folder. A lost executor
+      cannot make a later step see other rows than an earlier one, and a join side is broadcast only if
+      its size, known by then, is below Spark's threshold.
+
+    Plain parquet has no transactions. Rewritten partitions are staged in full before the table is touched;
+    then they are swapped in, then new rows are appended. If the job dies in between, run it again. If it
+    dies during the swap, the staged copy is still in the folder named in the error.
+    """
+    spark = source.sparkSession
+    merge = _resolve(source, table, keys, columns, update_when, null_safe_keys, null_safe_compare)
+
+    folder = new_folder(spark, "upsert")
+    staged = stage(_without_void(source), f"{folder}/source")
+    source_rows = staged.count()
+    if source_rows == 0:
+        drop_folder(spark, folder)
+        return UpsertReport()
+
+    matchable, unmatchable = staged, None
+    if not null_safe_keys:
+        complete = reduce(and_, [F.col(f"`{key}`").isNotNull() for key in merge.source_keys])
+        matchable, unmatchable = staged.filter(complete), staged.filter(~complete)
+
+    touched, nearby = _near(merge, staged)
+    _check_source_is_unique(merge, matchable, nearby)
+
+    matches = stage(_look_up(merge, nearby, matchable), f"{folder}/matches")
+    matched, updated = matches.agg(F.count(F.lit(1)), F.count_if("_changed")).first()
+
+    rewritten, replaced = (), None
+    if updated:
+        changed = matches.filter("_changed").drop("_changed").distinct()
+        rows = merge.target
+        if table.partition_by:
+            rewritten = tuple(touched_partitions(changed.select(*merge.partition_texts), table.partition_by))
+            rows = rows.filter(_in_partitions(merge, rewritten))
+        replaced = stage(_replace(merge, rows, changed), f"{folder}/rewrite")
+
+    inserted, new = source_rows, matchable
+    if matched:
+        known = matches.select(*merge.source_keys).distinct()
+        inserted -= known.count()
+        same_key = rows_match([(key, key) for key in merge.source_keys], null_safe_keys)
+        new = matchable.alias("src").join(known.alias("trg"), same_key, "left_anti")
+    if inserted:
+        new = _as_target(merge, new if unmatchable is None else new.unionAll(unmatchable))
+
+    try:
+        if updated:
+            write_table(replaced, table, "partitions" if table.partition_by else "overwrite", rewritten)
+        if inserted:
+            write_table(new, table, "append", touched)
+    except Exception as error:
+        raise MergeError(f"the table was not written in full; staged rows are in {folder}") from error
+    drop_folder(spark, folder)
+    return UpsertReport(source_rows, matched, updated, inserted, rewritten)
+
+
+def _resolve(
+    source: DataFrame,
+    table: Table,
+    keys: Pairs,
+    columns: Sequence[str] | Mapping[str, str] | None,
+    update_when: str | None,
+    null_safe_keys: bool,
+    null_safe_compare: bool,
+) -> _Merge:
+    """Check every argument before any job runs."""
+    pairs = key_pairs(keys)
+    set_columns = assignments(source.columns if columns is None else columns, table.identity)
+    try:
+        target = read_table(source.sparkSession, table)
+    except AnalysisException as error:
+        raise MergeError(f"no readable target: {error}") from error
+
+    try:
+        pairs = [(_spelled(target, t), _spelled(source, s)) for t, s in pairs]
+    except AnalysisException as error:
+        raise MergeKeysError(str(error)) from error
+    try:
+        set_columns = {_spelled(target, t): _spelled(source, s) for t, s in set_columns.items()}
+    except AnalysisException as error:
+        raise MergeError(str(error)) from error
+    for name in table.partition_by:
+        if name not in dict(pairs) or set_columns.get(name) != dict(pairs)[name]:
+            raise PartitionColumnError(f"partition column {name} must be a key and be set from that key")
+
+    if update_when is None:
+        # Equal by the match, so a key cannot be what changed.
+        compared = {t: s for t, s in set_columns.items() if (t, s) not in pairs}
+        changes = row_changes(compared, null_safe_compare)
+    else:
+        try:
+            changes = F.expr(update_when)
+        except ParseException as error:
+            raise MergeError(f"bad change condition: {error}") from error
+    changes = F.coalesce(changes, F.lit(False))
+    merge = _Merge(target, table, pairs, set_columns, changes, null_safe_keys)
+    try:
+        _look_up(merge, target, source)
+    except AnalysisException as error:
+        raise MergeError(f"bad change condition: {error}") from error
+    return merge
+
+
+def _spelled(df: DataFrame, name: str) -> str:
+    """The table's own spelling of a column name given in any case; an error if there is none."""
+    df.select(name)
+    return next(column for column in df.columns if column.lower() == name.lower())
+
+
+def _without_void(df: DataFrame) -> DataFrame:
+    """Parquet cannot store a column that has no type because it is NULL throughout."""
+    void = [field.name for field in df.schema if isinstance(field.dataType, T.NullType)]
+    return df.withColumns({name: F.col(f"`{name}`").cast("string") for name in void})
+
+
+def _near(merge: _Merge, staged: DataFrame) -> tuple[list[tuple], DataFrame]:
+    """The partitions the source touches, and the target rows it can match at all.
+
+    One aggregation gives, per touched partition, the range of each key. A stray row from another year then
+    widens the scan by its own partition and range only, not by all that lies between.
+    """
+    ranged = [
+        (t, s)
+        for t, s in merge.pairs
+        if t not in merge.table.partition_by
+        and isinstance(type_of(merge.target, t), _RANGED)
+        and type_of(merge.target, t) == type_of(staged, s)
+    ]
+    ends = []
+    for i, (_, s) in enumerate(ranged):
+        data_type = type_of(staged, s)
+        ends.append(_as_text(F.min(f"`{s}`"), data_type).alias(f"_min_{i}"))
+        ends.append(_as_text(F.max(f"`{s}`"), data_type).alias(f"_max_{i}"))
+    by_partition = staged.groupBy(*merge.partition_texts).agg(F.count(F.lit(1)).alias("_rows"), *ends)
+    rows = by_partition.limit(MAX_PARTITIONS + 1).collect()
+    if len(rows) > MAX_PARTITIONS:
+        raise PartitionColumnError(f"the source touches more than {MAX_PARTITIONS} partitions")
+
+    width = len(merge.table.partition_by)
+    touched = [tuple(row[:width]) for row in rows]
+    nearby = merge.target
+    if width:
+        can_match = [p for p in touched if merge.null_safe_keys or None not in p]
+        nearby = nearby.filter(_in_partitions(merge, can_match))
+    for i, (name, _) in enumerate(ranged):
+        data_type, column = type_of(merge.target, name), F.col(f"`{name}`")
+        ranges = {(row[f"_min_{i}"], row[f"_max_{i}"]) for row in rows} - {(None, None)}
+        if len(ranges) > _MAX_RANGES:
+            continue
+        inside = [column.between(_from_text(low, data_type), _from_text(high, data_type)) for low, high in ranges]
+        nearby = nearby.filter(_any([*inside, column.isNull()] if merge.null_safe_keys else inside))
+    return touched, nearby
+
+
+def _as_text(column: Column, data_type: T.DataType) -> Column:
+    """An exact text form of a value. A zoned timestamp becomes its microseconds: local time is ambiguous."""
+    zoned = isinstance(data_type, T.TimestampType)
+    return (F.unix_micros(column) if zoned else column).cast("string")
+
+
+def _from_text(text: str, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(text)))
+    return F.lit(text).cast(data_type)
+
+
+def _in_partitions(merge: _Merge, partitions: Sequence[tuple]) -> Column:
+    """The row lies in one of ``partitions``; only partition columns are used, so it prunes folders."""
+    columns = merge.table.partition_by
+    types = [type_of(merge.target, name) for name in columns]
+    if len(columns) == 1:
+        texts = [text for (text,) in partitions]
+        values = [F.lit(text).cast(types[0]) for text in texts if text is not None]
+        column = F.col(f"`{columns[0]}`")
+        return column.isin(values) | column.isNull() if None in texts else column.isin(values)
+    return _any(
+        [
+            reduce(and_, [
+                F.col(f"`{c}`").isNull() if text is None else F.col(f"`{c}`") == F.lit(text).cast(data_type)
+                for c, text, data_type in zip(columns, partition, types)
+            ])
+            for partition in partitions
+        ]
+    )
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    """OR of many conditions as a balanced tree: a chain of thousands would overflow the optimizer's stack."""
+    if not conditions:
+        return F.lit(False)
+    while len(conditions) > 1:
+        conditions = [reduce(or_, conditions[i : i + 2]) for i in range(0, len(conditions), 2)]
+    return conditions[0]
+
+
+def _check_source_is_unique(merge: _Merge, matchable: DataFrame, nearby: DataFrame) -> None:
+    """Repeated source keys are fine as long as no target row has them."""
+    copies = matchable.groupBy(*merge.source_keys).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = copies.filter("_copies > 1").drop("_copies")
+    if repeated.isEmpty():
+        return
+    hit = nearby.alias("trg").join(repeated.alias("src"), merge.match, "left_semi")
+    if not hit.isEmpty():
+        raise DuplicateSourceKeyError(f"several source rows match one target row by {merge.source_keys}")
+
+
+def _look_up(merge: _Merge, nearby: DataFrame, matchable: DataFrame) -> DataFrame:
+    """Per matched target row: the source keys, whether it changes, and the other source values if so."""
+    keys = merge.source_keys
+    others = [name for name in matchable.columns if name not in keys]
+    return (
+        nearby.alias("trg")
+        .join(matchable.alias("src"), merge.match)
+        .select(
+            *[of("src", name) for name in keys],
+            *[F.when(merge.changes, of("src", name)).alias(name) for name in others],
+            merge.changes.alias("_changed"),
+        )
+    )
+
+
+def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
+    """``rows`` of the target with the changes applied."""
+    found = changed.withColumn("_found", F.lit(True))
+    take = F.coalesce(of("src", "_found"), F.lit(False)) & merge.changes
+    return (
+        rows.alias("trg")
+        .join(found.alias("src"), merge.match, "left")
+        .select(
+            *[
+                F.when(take, of("src", merge.set_columns[field.name]).cast(field.dataType))
+                .otherwise(of("trg", field.name))
+                .alias(field.name)
+                if field.name in merge.set_columns
+                else of("trg", field.name)
+                for field in rows.schema
+            ]
+        )
+    )
+
+
+def _as_target(merge: _Merge, new: DataFrame) -> DataFrame:
+    """Source rows in the shape of the target; columns that are not set are NULL, new rows get new numbers."""
+    identity = merge.table.identity
+    fields = [field for field in merge.target.schema if field.name != identity]
+    shaped = new.select(
+        *[
+            F.col(f"`{merge.set_columns[f.name]}`").cast(f.dataType).alias(f.name)
+            if f.name in merge.set_columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    )
+    if identity is None:
+        return shaped
+    last = merge.target.agg(F.max(f"`{identity}`")).first()[0] or 0
+    return assign_surrogate_key(shaped, identity, start=last + 1)
