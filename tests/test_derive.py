@@ -1,0 +1,99 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.operators import add_calendar_parts, add_duration_minutes, classify
+
+
+def parts(spark, values, data_type="string"):
+    df = spark.createDataFrame([(v,) for v in values], "PickupTime string")
+    df = df.select(F.col("PickupTime").cast(data_type))
+    return [tuple(row)[1:] for row in add_calendar_parts(df, "PickupTime", "Trip").collect()]
+
+
+def minutes(spark, pairs, schema="PickupTime string, DropTime string"):
+    out = add_duration_minutes(spark.createDataFrame(pairs, schema), "TripTimeInMinutes")
+    return [row["TripTimeInMinutes"] for row in out.collect()]
+
+
+def test_calendar_parts_of_good_and_bad_text(spark):
+    values = ["2025-04-08 13:00:02", "1234", "XQDS", "2030-01-01"]
+    empty = (None, None, None)
+    assert parts(spark, values) == [(2025, 4, 8), empty, empty, (2030, 1, 1)]
+
+
+def test_text_of_the_right_shape_may_still_be_no_date(spark):
+    empty = (None, None, None)
+    assert parts(spark, ["2025-13-45", "xx2025-01-02yy", None, "2025", ""]) == [empty] * 5
+
+
+def test_calendar_parts_names(spark):
+    df = spark.createDataFrame([("2025-04-08",)], "t string")
+    assert add_calendar_parts(df, "t", "Trip").columns == ["t", "TripYear", "TripMonth", "TripDay"]
+    assert add_calendar_parts(df, "t").columns == ["t", "Year", "Month", "Day"]
+
+
+@pytest.mark.parametrize("data_type", ["timestamp", "timestamp_ntz", "date"])
+def test_calendar_parts_of_typed_columns(spark, data_type):
+    assert parts(spark, ["2025-04-08 13:00:02", None], data_type) == [(2025, 4, 8), (None, None, None)]
+
+
+def test_typed_columns_are_not_matched_as_text(spark):
+    df = spark.createDataFrame([(dt.datetime(2025, 1, 1),)], "PickupTime timestamp").withColumn(
+        "DropTime", F.col("PickupTime")
+    )
+    out = add_duration_minutes(add_calendar_parts(df, "PickupTime"), "minutes")
+    assert "RLIKE" not in out._jdf.queryExecution().optimizedPlan().toString().upper()
+
+
+def test_duration_of_good_and_bad_text(spark):
+    pairs = [
+        ("2025-04-08 13:00:02", "2025-04-08 13:35:17"),
+        ("2026-05-08 15:00:02", "2026-05-08 14:05:35"),
+        ("2026-05-08 15:00:02", "XQDS"),
+        ("2030-01-01", "2030-01-01"),
+    ]
+    assert minutes(spark, pairs) == [35, -54, None, None]
+
+
+def test_duration_refuses_what_only_looks_like_a_time(spark):
+    good = "2025-01-01 00:00:00"
+    bad = ["2025-13-45 00:00:00", "xx2025-01-01 00:00:00yy", "2025-01-01 00:00:00.123", None]
+    assert minutes(spark, [(good, b) for b in bad]) == [None] * 4
+    assert minutes(spark, [(b, good) for b in bad]) == [None] * 4
+
+
+def test_duration_rounds_halves_away_from_zero(spark):
+    start = "2025-01-01 00:10:00"
+    ends = ["2025-01-01 00:10:30", "2025-01-01 00:10:29", "2025-01-01 00:09:30", "2025-01-01 00:09:31"]
+    assert minutes(spark, [(start, end) for end in ends]) == [1, 0, -1, 0]
+
+
+@pytest.mark.parametrize("data_type", ["timestamp", "timestamp_ntz"])
+def test_duration_of_typed_columns(spark, data_type):
+    row = (dt.datetime(2025, 1, 1, 0, 0, 0), dt.datetime(2025, 1, 1, 1, 30, 31))
+    assert minutes(spark, [row], f"PickupTime {data_type}, DropTime {data_type}") == [91]
+
+
+def test_a_plain_date_has_no_duration(spark):
+    day = dt.date(2025, 1, 1)
+    assert minutes(spark, [(day, day)], "PickupTime date, DropTime date") == [None]
+
+
+def test_duration_of_named_columns(spark):
+    df = spark.createDataFrame([("2025-01-01 00:00:00", "2025-01-01 00:02:00")], "a string, b string")
+    assert add_duration_minutes(df, "m", start="b", end="a").first()["m"] == -2
+
+
+def test_trip_type_per_rate_code(spark):
+    df = spark.createDataFrame([(code,) for code in (1, 2, 3, 4, 5, 6, None)], "RateCodeID bigint")
+    out = classify(df, "TripType")
+    assert out.columns == ["TripType"]
+    assert [row[0] for row in out.collect()] == ["SoloTrip"] * 5 + ["SharedTrip", "SoloTrip"]
+
+
+def test_other_labels(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "code int")
+    out = classify(df, "kind", "code", {1: "one", 2: "two"}, otherwise="many")
+    assert [row[0] for row in out.collect()] == ["one", "two", "many"]

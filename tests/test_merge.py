@@ -1,0 +1,388 @@
+import datetime as dt
+from contextlib import contextmanager
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from plans import formatted_plan, plan_of
+from pyspark.sql import functions as F
+
+from tripmill.errors import (
+    DuplicateSourceKeyError,
+    MergeError,
+    MergeKeysError,
+    PartitionColumnError,
+)
+from tripmill.operators import merge, upsert
+from tripmill.scratch import new_folder
+from tripmill.sources import Table, ensure_table, read_table, write_table
+
+TARGET = [("aaa", "str11", "str21"), ("bbb", "str12", "str22"), ("ccc", "str13", "str23")]
+SOURCE = [("bbb", "str12", "str222"), ("ccc", "str133", "str23"), ("ddd", "str14", "str24")]
+SCHEMA = "bk string, col1 string, col2 string"
+
+
+def rows(spark, table):
+    return sorted((tuple(row) for row in read_table(spark, table).collect()), key=str)
+
+
+@pytest.fixture
+def target(spark, folder):
+    """A plain folder of three rows, not partitioned."""
+    table = Table(folder)
+    write_table(spark.createDataFrame(TARGET, SCHEMA), table)
+    return table
+
+
+def source(spark, data=SOURCE, schema=SCHEMA):
+    return spark.createDataFrame(data, schema)
+
+
+@contextmanager
+def settings_of(spark, **values):
+    values = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+# ---- what it does
+
+
+def test_update_and_insert(spark, target):
+    report = upsert(source(spark), target, ["bk"])
+    assert rows(spark, target) == [
+        ("aaa", "str11", "str21"),
+        ("bbb", "str12", "str222"),
+        ("ccc", "str133", "str23"),
+        ("ddd", "str14", "str24"),
+    ]
+    assert (report.source_rows, report.matched, report.updated, report.inserted) == (3, 2, 2, 1)
+
+
+def test_change_condition_as_text(spark, target):
+    upsert(source(spark), target, ["bk"], update_when="trg.col1<>src.col1")
+    assert rows(spark, target)[1:3] == [("bbb", "str12", "str22"), ("ccc", "str133", "str23")]
+
+
+def test_only_named_columns_are_set(spark, target):
+    upsert(source(spark), target, ["bk"], columns=["bk", "col2"])
+    assert rows(spark, target) == [
+        ("aaa", "str11", "str21"),
+        ("bbb", "str12", "str222"),
+        ("ccc", "str13", "str23"),
+        ("ddd", None, "str24"),
+    ]
+
+
+def test_source_with_other_names(spark, target):
+    renamed = source(spark).toDF("key", "one", "two")
+    columns = {"bk": "key", "col1": "one", "col2": "two"}
+    upsert(renamed, target, [("bk", "key")], columns=columns, update_when="trg.col2 <> src.two")
+    assert rows(spark, target)[1:] == [
+        ("bbb", "str12", "str222"),
+        ("ccc", "str13", "str23"),
+        ("ddd", "str14", "str24"),
+    ]
+
+
+def test_names_in_any_case(spark, target):
+    upsert(source(spark).toDF("BK", "Col1", "COL2"), target, ["bK"])
+    assert len(rows(spark, target)) == 4
+    assert read_table(spark, target).columns == ["bk", "col1", "col2"]
+
+
+def test_several_keys_must_all_match(spark, target):
+    data = [("aaa", "str11", "new"), ("aaa", "other", "new")]
+    report = upsert(source(spark, data), target, ["bk", "col1"])
+    assert (report.updated, report.inserted) == (1, 1)
+    assert ("aaa", "str11", "new") in rows(spark, target)
+
+
+def test_nothing_to_do(spark, target):
+    report = upsert(source(spark, []), target, ["bk"])
+    assert report == merge.UpsertReport()
+    assert rows(spark, target) == TARGET
+
+
+def test_unchanged_rows_write_nothing(spark, target):
+    before = read_table(spark, target).inputFiles()
+    report = upsert(source(spark, TARGET), target, ["bk"])
+    assert (report.matched, report.updated, report.inserted) == (3, 0, 0)
+    assert read_table(spark, target).inputFiles() == before
+
+
+def test_types_follow_the_target(spark, folder):
+    table = Table(folder)
+    write_table(spark.createDataFrame([(1, 1.5, "x")], "k bigint, v double, n string"), table)
+    out = spark.createDataFrame([(1, 2), (2, 3)], "k int, v int").withColumn("n", F.lit(None))
+    upsert(out, table, ["k"])
+    assert read_table(spark, table).dtypes == [("k", "bigint"), ("v", "double"), ("n", "string")]
+    assert rows(spark, table) == [(1, 2.0, None), (2, 3.0, None)]
+
+
+# ---- NULL
+
+
+def test_null_values_are_no_change_unless_asked(spark, folder):
+    table = Table(folder)
+    write_table(spark.createDataFrame([(1, None), (2, 5)], "k int, v int"), table)
+    batch = spark.createDataFrame([(1, 7), (2, None)], "k int, v int")
+    assert upsert(batch, table, ["k"]).updated == 0
+    assert upsert(batch, table, ["k"], null_safe_compare=True).updated == 2
+    assert rows(spark, table) == [(1, 7), (2, None)]
+
+
+def test_unmatched_rows_stay_under_null_safe_compare(spark, folder):
+    table = Table(folder)
+    write_table(spark.createDataFrame([(1, 1), (2, 2)], "k int, v int"), table)
+    upsert(spark.createDataFrame([(1, None)], "k int, v int"), table, ["k"], null_safe_compare=True)
+    assert rows(spark, table) == [(1, None), (2, 2)]
+
+
+def test_null_keys_are_inserted_by_each_run(spark, folder):
+    table = Table(folder)
+    write_table(spark.createDataFrame([(None, 1), (1, 1)], "k int, v int"), table)
+    batch = spark.createDataFrame([(None, 2), (None, 3), (1, 2)], "k int, v int")
+    assert upsert(batch, table, ["k"]).inserted == 2
+    assert upsert(batch, table, ["k"]).inserted == 2
+    assert rows(spark, table).count((None, 2)) == 2
+
+
+def test_null_safe_keys_make_reruns_change_nothing(spark, folder):
+    table = Table(folder)
+    write_table(spark.createDataFrame([(None, 1), (1, 1)], "k int, v int"), table)
+    batch = spark.createDataFrame([(None, 2), (1, 2), (5, 5)], "k int, v int")
+    upsert(batch, table, ["k"], null_safe_keys=True)
+    first = rows(spark, table)
+    assert first == [(1, 2), (5, 5), (None, 2)]
+    report = upsert(batch, table, ["k"], null_safe_keys=True)
+    assert (report.updated, report.inserted) == (0, 0)
+    assert rows(spark, table) == first
+
+
+# ---- repeated keys
+
+
+def test_two_source_rows_for_one_target_row_are_refused(spark, target):
+    with pytest.raises(DuplicateSourceKeyError):
+        upsert(source(spark, [("aaa", "x", "y"), ("aaa", "x", "z")]), target, ["bk"])
+    assert rows(spark, target) == TARGET
+
+
+def test_repeated_source_rows_without_a_target_row_are_all_inserted(spark, target):
+    upsert(source(spark, [("eee", "x", "y"), ("eee", "x", "y")]), target, ["bk"])
+    assert len(rows(spark, target)) == 5
+
+
+def test_one_source_row_updates_all_target_rows_of_its_key(spark, folder):
+    table = Table(folder)
+    write_table(spark.createDataFrame([(1, 1), (1, 9), (1, 3), (2, 1)], "k int, v int"), table)
+    report = upsert(spark.createDataFrame([(1, 9)], "k int, v int"), table, ["k"])
+    assert (report.matched, report.updated, report.inserted) == (3, 2, 0)
+    assert rows(spark, table) == [(1, 9), (1, 9), (1, 9), (2, 1)]
+
+
+# ---- partitions
+
+
+@pytest.fixture
+def by_year(spark, folder):
+    table = Table(folder, ("y",))
+    data = [(1, 2001, "a"), (2, 2001, "b"), (3, 2002, "c"), (4, 2003, "d"), (5, None, "e")]
+    write_table(spark.createDataFrame(data, "k int, y int, v string"), table)
+    return table
+
+
+def files_of(spark, table, year):
+    return sorted(f for f in read_table(spark, table).inputFiles() if f"y={year}/" in f)
+
+
+def test_only_partitions_with_a_change_are_rewritten(spark, by_year):
+    before = {year: files_of(spark, by_year, year) for year in (2001, 2002, 2003)}
+    batch = spark.createDataFrame([(1, 2001, "new"), (3, 2002, "c"), (9, 2002, "i")], "k int, y int, v string")
+    report = upsert(batch, by_year, ["k", "y"])
+    after = {year: files_of(spark, by_year, year) for year in (2001, 2002, 2003)}
+    assert report.rewritten_partitions == (("2001",),)
+    assert not set(before[2001]) & set(after[2001])
+    assert set(before[2002]) < set(after[2002])  # one file more, none replaced
+    assert before[2003] == after[2003]
+    assert {(k, v) for k, v, _ in rows(spark, by_year)} == {
+        (1, "new"), (2, "b"), (3, "c"), (4, "d"), (5, "e"), (9, "i"),
+    }
+
+
+def test_null_partition(spark, by_year):
+    batch = spark.createDataFrame([(5, None, "new"), (6, None, "f")], "k int, y int, v string")
+    report = upsert(batch, by_year, ["k", "y"], null_safe_keys=True)
+    assert (report.updated, report.inserted) == (1, 1)
+    assert [row for row in rows(spark, by_year) if row[2] is None] == [(5, "new", None), (6, "f", None)]
+    assert len(rows(spark, by_year)) == 6
+
+
+def test_partition_column_must_be_a_key_and_be_set(spark, by_year):
+    batch = spark.createDataFrame([(1, 2001, "x")], "k int, y int, v string")
+    with pytest.raises(PartitionColumnError):
+        upsert(batch, by_year, ["k"])
+    with pytest.raises(PartitionColumnError):
+        upsert(batch, by_year, ["k", "y"], columns=["k", "v"])
+
+
+def test_several_partition_columns(spark, folder):
+    table = Table(folder, ("y", "m"))
+    data = [(1, 2001, 1, "a"), (2, 2001, 2, "b"), (3, 2002, 1, "c"), (4, None, 1, "d")]
+    schema = "k int, y int, m int, v string"
+    write_table(spark.createDataFrame(data, schema), table)
+    batch = [(1, 2001, 1, "A"), (2, 2001, 2, "b"), (4, None, 1, "D"), (9, 2002, 2, "i")]
+    report = upsert(spark.createDataFrame(batch, schema), table, ["k", "y", "m"], null_safe_keys=True)
+    assert report.rewritten_partitions == (("2001", "1"), (None, "1"))
+    assert {(row[0], row[1]) for row in rows(spark, table)} == {(1, "A"), (2, "b"), (3, "c"), (4, "D"), (9, "i")}
+
+
+def test_partition_values_that_look_like_numbers(spark, folder):
+    schema = spark.createDataFrame([], "k int, v string, p string").schema
+    table = Table(folder, ("p",), schema=schema)
+    write_table(spark.createDataFrame([(1, "a", "01"), (2, "b", "1")], schema), table)
+    upsert(spark.createDataFrame([(1, "A", "01"), (1, "c", "1")], schema), table, ["k", "p"])
+    assert rows(spark, table) == [(1, "A", "01"), (1, "c", "1"), (2, "b", "1")]
+
+
+def test_catalog_table_with_surrogate_key(spark, folder, schema_name):
+    batch = spark.createDataFrame([(1, 2001, "a"), (2, 2002, "b")], "k int, y int, v string")
+    table = Table(folder, ("y",), identity="sk", name=f"{schema_name}.numbered")
+    ensure_table(spark, batch.schema, table)
+    assert upsert(batch, table, ["k", "y"]).inserted == 2
+    more = spark.createDataFrame([(1, 2001, "A"), (3, 2002, "c"), (4, 2003, "d")], "k int, y int, v string")
+    report = upsert(more, table, ["k", "y"])
+    assert (report.updated, report.inserted) == (1, 2)
+    got = {row["k"]: row for row in spark.table(table.name).collect()}
+    assert {k: row["v"] for k, row in got.items()} == {1: "A", 2: "b", 3: "c", 4: "d"}
+    assert {got[1]["sk"], got[2]["sk"]} == {1, 2}  # kept by the update
+    assert {got[3]["sk"], got[4]["sk"]} == {3, 4}
+
+
+@pytest.mark.parametrize("data_type", ["timestamp", "timestamp_ntz", "date"])
+def test_time_keys(spark, folder, data_type):
+    table = Table(folder)
+    days = [dt.datetime(2020, 10, 25, hour, 30) for hour in range(4)]
+    with settings_of(spark, spark__sql__session__timeZone="Europe/Berlin"):  # this night has 2:30 twice
+        old = spark.createDataFrame([(day, 1) for day in days], "t timestamp_ntz, v int")
+        old = old.withColumn("t", F.col("t").cast(data_type)).distinct()
+        write_table(old, table)
+        report = upsert(old.withColumn("v", F.lit(2)), table, ["t"])
+        assert report.matched == report.updated == old.count()
+        assert [row[0] for row in read_table(spark, table).select("v").distinct().collect()] == [2]
+
+
+# ---- wrong arguments
+
+
+def test_errors(spark, target, folder):
+    batch = source(spark)
+    with pytest.raises(MergeError):
+        upsert(batch, Table("/no/such/path"), ["bk"])
+    with pytest.raises(MergeError):
+        upsert(batch, Table(folder, name="no_such_table"), ["bk"])
+    with pytest.raises(MergeKeysError):
+        upsert(batch, target, [])
+    with pytest.raises(MergeKeysError):
+        upsert(batch, target, ["no_such_column"])
+    with pytest.raises(MergeError):
+        upsert(batch, target, ["bk"], columns=[])
+    with pytest.raises(MergeError):
+        upsert(batch, target, ["bk"], columns=["no_such_column"])
+    for condition in ("", "trg.col1 <>", "trg.nothing <> src.col1", "trg.col1"):
+        with pytest.raises(MergeError):
+            upsert(batch, target, ["bk"], update_when=condition)
+    assert rows(spark, target) == TARGET
+
+
+# ---- against brute force
+
+keys = st.one_of(st.none(), st.integers(0, 4))
+numbers = st.one_of(st.none(), st.integers(0, 2))
+some_rows = st.lists(st.tuples(keys, st.integers(0, 1), numbers), max_size=10)
+
+
+def expected(target_rows, source_rows, null_safe):
+    """The upsert, row by row."""
+
+    def equal(t, s):
+        return t[:2] == s[:2] and (null_safe or None not in t[:2])
+
+    result, used = [], set()
+    for t in target_rows:
+        matching = [i for i, s in enumerate(source_rows) if equal(t, s)]
+        if len(matching) > 1:
+            return None
+        used.update(matching)
+        new = source_rows[matching[0]] if matching else t
+        differs = None not in (t[2], new[2]) and t[2] != new[2]
+        result.append(new if differs else t)
+    return sorted(result + [s for i, s in enumerate(source_rows) if i not in used], key=str)
+
+
+@settings(max_examples=8, deadline=None)
+@given(target_rows=some_rows, source_rows=some_rows, null_safe=st.booleans(), partitioned=st.booleans())
+def test_same_as_brute_force(spark, target_rows, source_rows, null_safe, partitioned):
+    schema = spark.createDataFrame([], "k int, v int, p int").schema
+    table = Table(new_folder(spark, "property"), ("p",) if partitioned else (), schema=schema)
+    write_table(spark.createDataFrame([(k, v, p) for k, p, v in target_rows], schema), table)
+    batch = spark.createDataFrame([(k, v, p) for k, p, v in source_rows], schema)
+    want = expected(target_rows, source_rows, null_safe)
+    if want is None:
+        with pytest.raises(DuplicateSourceKeyError):
+            upsert(batch, table, ["k", "p"], null_safe_keys=null_safe)
+        return
+    upsert(batch, table, ["k", "p"], null_safe_keys=null_safe)
+    got = read_table(spark, table).select("k", "p", "v").collect()
+    assert sorted((tuple(row) for row in got), key=str) == want
+
+
+# ---- scale
+
+
+def test_target_scan_is_pruned(spark, folder):
+    table = Table(folder, ("y",))
+    schema = "k int, y int, t timestamp_ntz, v int"
+    data = [(n, 2000 + n % 5, dt.datetime(2000 + n % 5, 1, 1 + n % 28), n) for n in range(100)]
+    write_table(spark.createDataFrame(data, schema), table)
+    batch = spark.createDataFrame([(7, 2002, dt.datetime(2002, 1, 8), 0)], schema)
+    plan = merge._resolve(batch, table, ["k", "y", "t"], None, None, False, False)
+    _, touched, nearby = merge._near(plan, batch)
+    assert touched == [("2002",)]
+    text = formatted_plan(nearby)
+    assert "PartitionFilters: [isnotnull(y" in text and "= 2002)" in text
+    assert "PushedFilters: [IsNotNull(k), IsNotNull(t), GreaterThanOrEqual(k,7), LessThanOrEqual(k,7)" in text
+    assert "GreaterThanOrEqual(t,2002-01-08T00:00)" in text
+
+
+def test_a_hot_target_key_is_split(spark, folder):
+    """One key with nearly all target rows: both joins against the target are split by adaptive execution."""
+    table = Table(folder)
+    hot = spark.range(200_000).select(F.lit(1).alias("k"), F.col("id").cast("int").alias("v"))
+    rest = spark.range(2, 2_000).select(F.col("id").cast("int").alias("k"), F.lit(0).alias("v"))
+    write_table(hot.unionAll(rest).repartition(8), table)
+    batch = spark.range(1, 3_000).select(F.col("id").cast("int").alias("k"), F.lit(-1).alias("v"))
+    with settings_of(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    ):
+        plan = merge._resolve(batch, table, ["k"], None, None, False, False)
+        found = merge._look_up(plan, plan.target, batch)
+        assert len(found.collect()) == 201_998
+        assert "skew=true" in plan_of(found)
+        replaced = merge._replace(plan, plan.target, batch)
+        assert {row[1] for row in replaced.collect()} == {-1}
+        assert "skew=true" in plan_of(replaced)
+        report = upsert(batch, table, ["k"])
+    assert (report.matched, report.updated, report.inserted) == (201_998, 201_998, 1_000)

@@ -1,0 +1,106 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.errors import PartitionColumnError
+from tripmill.operators import touched_partitions
+from tripmill.sources import Table, ensure_table, read_table, scan_where, write_table
+
+
+@pytest.fixture
+def trips(spark):
+    return spark.createDataFrame([(1, 7, 2, "a"), (2, 8, 2, "b"), (3, 7, None, "c")], "id int, pu int, pay int, v string")
+
+
+def test_table_is_created_once_with_surrogate_key(spark, trips, folder, schema_name):
+    table = Table(folder, identity="tripid", name=f"{schema_name}.trips")
+    for _ in range(2):
+        ensure_table(spark, trips.schema, table)
+    assert spark.catalog.tableExists(table.name)
+    assert spark.table(table.name).dtypes == [("tripid", "bigint"), *trips.dtypes]
+    assert spark.table(table.name).count() == 0
+
+
+def test_partitioned_table(spark, trips, folder, schema_name):
+    table = ensure_table(spark, trips.schema, Table(folder, ("pu", "pay"), name=f"{schema_name}.trips"))
+    columns = spark.catalog.listColumns(table.name)
+    assert [column.name for column in columns if column.isPartition] == ["pu", "pay"]
+    assert spark.table(table.name).columns == ["id", "v", "pu", "pay"]
+
+
+def test_schema_with_types_in_need_of_quoting(spark, folder, schema_name):
+    schema = spark.createDataFrame([], "`two words` int, s struct<a:int,b:array<string>>, d decimal(10,2)").schema
+    table = ensure_table(spark, schema, Table(folder, name=f"{schema_name}.odd"))
+    assert spark.table(table.name).schema == schema
+
+
+def test_table_arguments(spark, trips, folder):
+    with pytest.raises(ValueError):
+        ensure_table(spark, trips.schema, Table(folder))
+    with pytest.raises(PartitionColumnError):
+        ensure_table(spark, trips.schema, Table(folder, ("nothing",), name="x"))
+    with pytest.raises(ValueError):
+        write_table(trips, Table(folder), mode="upsert")
+    with pytest.raises(PartitionColumnError):
+        write_table(trips, Table(folder), mode="partitions")
+
+
+@pytest.mark.parametrize("told", [False, True])
+def test_catalog_sees_partitions_written_by_path(spark, trips, folder, schema_name, told):
+    table = ensure_table(spark, trips.schema, Table(folder, ("pu", "pay"), name=f"{schema_name}.trips"))
+    write_table(trips, table, touched=[("7", "2"), ("8", "2"), ("7", None)] if told else None)
+    assert spark.table(table.name).count() == 3
+    assert scan_where(spark, table.name, "pu = 7 and pay is null").first()["id"] == 3
+
+
+def test_overwrite_append_and_partitions(spark, trips, folder):
+    table = Table(folder, ("pu",))
+    write_table(trips, table)
+    write_table(trips.filter("pu = 7"), table, "append")
+    assert read_table(spark, table).count() == 5
+    write_table(trips.filter("id = 1"), table, "partitions")
+    assert sorted(row["id"] for row in read_table(spark, table).collect()) == [1, 2]
+    write_table(trips.filter("id = 3"), table)
+    assert [row["id"] for row in read_table(spark, table).collect()] == [3]
+
+
+def test_partition_filter_prunes_folders(spark, trips, folder):
+    table = Table(folder, ("pu",))
+    write_table(trips, table)
+    df = read_table(spark, table).filter(F.col("pu").isin([7]))
+    assert "PartitionFilters: [isnotnull(pu" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_partition_is_written_by_few_tasks_and_a_large_one_by_several(spark, folder):
+    """``rebalance`` brings a partition's rows together, but not more of them than a task should hold."""
+    df = spark.range(0, 400_000, 1, 16).select("id", F.when(F.col("id") < 300_000, 1).otherwise(2).alias("p"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512KB")
+    try:
+        write_table(df, Table(folder, ("p",)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = spark.read.parquet(folder).inputFiles()
+    assert len([f for f in files if "p=1/" in f]) > 1
+    assert len(files) < 16
+
+
+def test_scan_by_name_path_and_filter(spark, tables, folder):
+    assert scan_where(spark, f"parquet.`{tables}/region.parquet`").count() == 5
+    rows = scan_where(spark, f"parquet.`{tables}/region.parquet`", "r_regionkey = 0").collect()
+    assert [row["r_regionkey"] for row in rows] == [0]
+
+
+def test_touched_partitions(spark):
+    df = spark.createDataFrame([(2022, "b"), (2020, "a"), (2020, "a"), (None, "a")], "Year int, m string")
+    assert touched_partitions(df, ["Year"]) == [(2020,), (2022,), (None,)]
+    assert touched_partitions(df, ["m", "Year"]) == [("a", 2020), ("a", None), ("b", 2022)]
+    assert touched_partitions(df.limit(0), ["Year"]) == []
+
+
+def test_touched_partitions_errors(spark, monkeypatch):
+    df = spark.range(10)
+    for columns in ([], ["XXXX"]):
+        with pytest.raises(PartitionColumnError):
+            touched_partitions(df, columns)
+    monkeypatch.setattr("tripmill.operators.partitions.MAX_PARTITIONS", 9)
+    with pytest.raises(PartitionColumnError, match="more than 9"):
+        touched_partitions(df, ["id"])

@@ -6,7 +6,7 @@ from tripmill.operators.dedup import dedup_by_key
 from tripmill.operators.derive import add_calendar_parts, add_duration_minutes, classify
 from tripmill.operators.identity import assign_surrogate_key
 from tripmill.operators.partitions import touched_partitions
-from tripmill.operators.upsert import UpsertReport, upsert
+from tripmill.operators.merge import UpsertReport, upsert
 
 __all__ = [
     "UpsertReport",

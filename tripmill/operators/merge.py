@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_, or_
 
 from pyspark.errors import AnalysisException, ParseException
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.errors import DuplicateSourceKeyError, MergeError, MergeKeysError, PartitionColumnError
-from tripmill.functions import type_of
 from tripmill.operators.identity import assign_surrogate_key
 from tripmill.operators.merge_terms import Pairs, assignments, key_pairs, of, row_changes, rows_match
 from tripmill.operators.partitions import MAX_PARTITIONS, touched_partitions
@@ -56,12 +55,18 @@ class _Merge:
     def source_keys(self) -> list[str]:
         return [source for _, source in self.pairs]
 
+    @cached_property
+    def types(self) -> dict[str, T.DataType]:
+        return {field.name: field.dataType for field in self.target.schema}
+
     @property
     def partition_texts(self) -> list[Column]:
         """The target's partition values of a source row, as text like in the folder names."""
         source_of = dict(self.pairs)
-        typed = [F.col(f"`{source_of[c]}`").cast(type_of(self.target, c)) for c in self.table.partition_by]
-        return [value.cast("string").alias(c) for c, value in zip(self.table.partition_by, typed)]
+        return [
+            F.col(f"`{source_of[name]}`").cast(self.types[name]).cast("string").alias(name)
+            for name in self.table.partition_by
+        ]
 
 
 def upsert(
@@ -108,7 +113,7 @@ def upsert(
 
     folder = new_folder(spark, "upsert")
     staged = stage(_without_void(source), f"{folder}/source")
-    source_rows = staged.count()
+    source_rows, touched, nearby = _near(merge, staged)
     if source_rows == 0:
         drop_folder(spark, folder)
         return UpsertReport()
@@ -118,11 +123,13 @@ def upsert(
         complete = reduce(and_, [F.col(f"`{key}`").isNotNull() for key in merge.source_keys])
         matchable, unmatchable = staged.filter(complete), staged.filter(~complete)
 
-    touched, nearby = _near(merge, staged)
     _check_source_is_unique(merge, matchable, nearby)
 
     matches = stage(_look_up(merge, nearby, matchable), f"{folder}/matches")
-    matched, updated = matches.agg(F.count(F.lit(1)), F.count_if("_changed")).first()
+    known = matches.groupBy(*merge.source_keys).agg(
+        F.count(F.lit(1)).alias("_matched"), F.count_if("_changed").alias("_updated")
+    )
+    found, matched, updated = known.agg(F.count(F.lit(1)), F.sum("_matched"), F.sum("_updated")).first()
 
     rewritten, replaced = (), None
     if updated:
@@ -133,10 +140,8 @@ def upsert(
             rows = rows.filter(_in_partitions(merge, rewritten))
         replaced = stage(_replace(merge, rows, changed), f"{folder}/rewrite")
 
-    inserted, new = source_rows, matchable
-    if matched:
-        known = matches.select(*merge.source_keys).distinct()
-        inserted -= known.count()
+    inserted, new = source_rows - found, matchable
+    if found:
         same_key = rows_match([(key, key) for key in merge.source_keys], null_safe_keys)
         new = matchable.alias("src").join(known.alias("trg"), same_key, "left_anti")
     if inserted:
@@ -150,7 +155,7 @@ def upsert(
     except Exception as error:
         raise MergeError(f"the table was not written in full; staged rows are in {folder}") from error
     drop_folder(spark, folder)
-    return UpsertReport(source_rows, matched, updated, inserted, rewritten)
+    return UpsertReport(source_rows, matched or 0, updated or 0, inserted, rewritten)
 
 
 def _resolve(
@@ -170,14 +175,15 @@ def _resolve(
     except AnalysisException as error:
         raise MergeError(f"no readable target: {error}") from error
 
+    spelled = [{name.lower(): name for name in side.columns} for side in (target, source)]
     try:
-        pairs = [(_spelled(target, t), _spelled(source, s)) for t, s in pairs]
-    except AnalysisException as error:
-        raise MergeKeysError(str(error)) from error
+        pairs = [(spelled[0][t.lower()], spelled[1][s.lower()]) for t, s in pairs]
+    except KeyError as error:
+        raise MergeKeysError(f"no column {error} to match by") from error
     try:
-        set_columns = {_spelled(target, t): _spelled(source, s) for t, s in set_columns.items()}
-    except AnalysisException as error:
-        raise MergeError(str(error)) from error
+        set_columns = {spelled[0][t.lower()]: spelled[1][s.lower()] for t, s in set_columns.items()}
+    except KeyError as error:
+        raise MergeError(f"no column {error} to set") from error
     for name in table.partition_by:
         if name not in dict(pairs) or set_columns.get(name) != dict(pairs)[name]:
             raise PartitionColumnError(f"partition column {name} must be a key and be set from that key")
@@ -187,23 +193,21 @@ def _resolve(
         compared = {t: s for t, s in set_columns.items() if (t, s) not in pairs}
         changes = row_changes(compared, null_safe_compare)
     else:
-        try:
-            changes = F.expr(update_when)
-        except ParseException as error:
-            raise MergeError(f"bad change condition: {error}") from error
-    changes = F.coalesce(changes, F.lit(False))
-    merge = _Merge(target, table, pairs, set_columns, changes, null_safe_keys)
-    try:
-        _look_up(merge, target, source)
-    except AnalysisException as error:
-        raise MergeError(f"bad change condition: {error}") from error
-    return merge
+        changes = _checked_condition(update_when, target, source)
+    return _Merge(target, table, pairs, set_columns, F.coalesce(changes, F.lit(False)), null_safe_keys)
 
 
-def _spelled(df: DataFrame, name: str) -> str:
-    """The table's own spelling of a column name given in any case; an error if there is none."""
-    df.select(name)
-    return next(column for column in df.columns if column.lower() == name.lower())
+def _checked_condition(update_when: str, target: DataFrame, source: DataFrame) -> Column:
+    """``update_when`` as a column, if it is a condition over the two sides."""
+    try:
+        condition = F.expr(update_when)
+        sides = target.alias("trg").join(source.alias("src"), F.lit(False))
+        data_type = sides.select(condition).schema[0].dataType
+    except (AnalysisException, ParseException) as error:
+        raise MergeError(f"bad change condition: {error}") from error
+    if not isinstance(data_type, T.BooleanType):
+        raise MergeError(f"the change condition gives {data_type.simpleString()}, not true or false")
+    return condition
 
 
 def _without_void(df: DataFrame) -> DataFrame:
@@ -212,24 +216,24 @@ def _without_void(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(f"`{name}`").cast("string") for name in void})
 
 
-def _near(merge: _Merge, staged: DataFrame) -> tuple[list[tuple], DataFrame]:
-    """The partitions the source touches, and the target rows it can match at all.
+def _near(merge: _Merge, staged: DataFrame) -> tuple[int, list[tuple], DataFrame]:
+    """The number of source rows, the partitions they touch, and the target rows they can match at all.
 
     One aggregation gives, per touched partition, the range of each key. A stray row from another year then
     widens the scan by its own partition and range only, not by all that lies between.
     """
+    source_types = {field.name: field.dataType for field in staged.schema}
     ranged = [
         (t, s)
         for t, s in merge.pairs
         if t not in merge.table.partition_by
-        and isinstance(type_of(merge.target, t), _RANGED)
-        and type_of(merge.target, t) == type_of(staged, s)
+        and isinstance(merge.types[t], _RANGED)
+        and merge.types[t] == source_types[s]
     ]
     ends = []
-    for i, (_, s) in enumerate(ranged):
-        data_type = type_of(staged, s)
-        ends.append(_as_text(F.min(f"`{s}`"), data_type).alias(f"_min_{i}"))
-        ends.append(_as_text(F.max(f"`{s}`"), data_type).alias(f"_max_{i}"))
+    for i, (t, s) in enumerate(ranged):
+        ends.append(_as_text(F.min(f"`{s}`"), merge.types[t]).alias(f"_min_{i}"))
+        ends.append(_as_text(F.max(f"`{s}`"), merge.types[t]).alias(f"_max_{i}"))
     by_partition = staged.groupBy(*merge.partition_texts).agg(F.count(F.lit(1)).alias("_rows"), *ends)
     rows = by_partition.limit(MAX_PARTITIONS + 1).collect()
     if len(rows) > MAX_PARTITIONS:
@@ -242,13 +246,13 @@ def _near(merge: _Merge, staged: DataFrame) -> tuple[list[tuple], DataFrame]:
         can_match = [p for p in touched if merge.null_safe_keys or None not in p]
         nearby = nearby.filter(_in_partitions(merge, can_match))
     for i, (name, _) in enumerate(ranged):
-        data_type, column = type_of(merge.target, name), F.col(f"`{name}`")
+        data_type, column = merge.types[name], F.col(f"`{name}`")
         ranges = {(row[f"_min_{i}"], row[f"_max_{i}"]) for row in rows} - {(None, None)}
         if len(ranges) > _MAX_RANGES:
             continue
         inside = [column.between(_from_text(low, data_type), _from_text(high, data_type)) for low, high in ranges]
         nearby = nearby.filter(_any([*inside, column.isNull()] if merge.null_safe_keys else inside))
-    return touched, nearby
+    return sum(row["_rows"] for row in rows), touched, nearby
 
 
 def _as_text(column: Column, data_type: T.DataType) -> Column:
@@ -266,7 +270,7 @@ def _from_text(text: str, data_type: T.DataType) -> Column:
 def _in_partitions(merge: _Merge, partitions: Sequence[tuple]) -> Column:
     """The row lies in one of ``partitions``; only partition columns are used, so it prunes folders."""
     columns = merge.table.partition_by
-    types = [type_of(merge.target, name) for name in columns]
+    types = [merge.types[name] for name in columns]
     if len(columns) == 1:
         texts = [text for (text,) in partitions]
         values = [F.lit(text).cast(types[0]) for text in texts if text is not None]
@@ -332,7 +336,7 @@ def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
                 .alias(field.name)
                 if field.name in merge.set_columns
                 else of("trg", field.name)
-                for field in rows.schema
+                for field in merge.target.schema
             ]
         )
     )

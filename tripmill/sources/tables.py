@@ -39,7 +39,7 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     """Create the catalog table ``table.name`` at ``table.path`` unless it exists.
 
     The surrogate key, if any, comes first as a bigint. Parquet tables cannot number rows by themselves;
-    :func:`~tripmill.operators.upsert.upsert` does. Spark lists partition columns last.
+    :func:`~tripmill.operators.upsert` does. Spark lists partition columns last.
     """
     if table.name is None:
         raise ValueError("a catalog table needs a name")
