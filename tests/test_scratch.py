@@ -1,0 +1,35 @@
+from types import SimpleNamespace
+
+import pytest
+
+from tripmill import scratch
+
+
+def session(master, folder=None):
+    conf = SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_the_folder_the_cluster_names_is_used():
+    named = session("yarn", "hdfs://store/shared/")
+    assert scratch.shared_folder(named) == "hdfs://store/shared/"
+    assert scratch.new_folder(named, "x").startswith("hdfs://store/shared/tripmill/x-")
+    assert scratch.new_folder(named, "x") != scratch.new_folder(named, "x")
+
+
+def test_a_cluster_must_name_one():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(session("yarn"))
+
+
+def test_local_mode_gets_one_of_its_own():
+    local = session("local[2]")
+    assert scratch.shared_folder(local) == scratch.shared_folder(local)
+
+
+def test_stage_and_drop(spark, folder):
+    staged = scratch.stage(spark.range(5), f"{folder}/numbers")
+    assert staged.count() == 5
+    assert staged.inputFiles()
+    scratch.drop_folder(spark, folder)
+    assert not spark._jvm.java.io.File(folder).exists()

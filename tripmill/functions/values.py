@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 
 def type_of(df: DataFrame, name: str) -> T.DataType:
-    """Type of the column ``name``, found as Spark finds it, without regard to case."""
-    return df.select(name).schema[0].dataType
+    """Type of the column ``name``, found without regard to case, as Spark does."""
+    for field in df.schema:
+        if field.name.lower() == name.lower():
+            return field.dataType
+    raise ValueError(f"no column {name} among {df.columns}")
 
 
 def is_missing(column: Column, data_type: T.DataType) -> Column:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tripmill.functions import is_missing, type_of
 
@@ -29,8 +32,9 @@ def clean(
     """
     if where:
         df = df.filter(where)
-    for name in dict.fromkeys(required):
-        df = df.filter(~is_missing(df[name], type_of(df, name)))
+    if required:
+        complete = [~is_missing(F.col(name), type_of(df, name)) for name in dict.fromkeys(required)]
+        df = df.filter(reduce(and_, complete))
     if defaults:
         df = df.na.fill(dict(defaults))
     return df.dropDuplicates() if distinct else df

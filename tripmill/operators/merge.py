@@ -104,7 +104,7 @@ def upsert(
       cannot make a later step see other rows than an earlier one, and a join side is broadcast only if
       its size, known by then, is below Spark's threshold.
 
-    Plain parquet has no transactions. Rewritten partitions are staged in full before the table is touched;
+    Plain parquet has no transactions, so a table must have one writer at a time. Rewritten partitions are staged in full before the table is touched;
     then they are swapped in, then new rows are appended. If the job dies in between, run it again. If it
     dies during the swap, the staged copy is still in the folder named in the error.
     """
@@ -145,7 +145,7 @@ def upsert(
         same_key = rows_match([(key, key) for key in merge.source_keys], null_safe_keys)
         new = matchable.alias("src").join(known.alias("trg"), same_key, "left_anti")
     if inserted:
-        new = _as_target(merge, new if unmatchable is None else new.unionAll(unmatchable))
+        new = _as_target(merge, new if unmatchable is None else new.unionAll(unmatchable), folder)
 
     try:
         if updated:
@@ -342,7 +342,7 @@ def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
     )
 
 
-def _as_target(merge: _Merge, new: DataFrame) -> DataFrame:
+def _as_target(merge: _Merge, new: DataFrame, folder: str) -> DataFrame:
     """Source rows in the shape of the target; columns that are not set are NULL, new rows get new numbers."""
     identity = merge.table.identity
     fields = [field for field in merge.target.schema if field.name != identity]
@@ -357,4 +357,4 @@ def _as_target(merge: _Merge, new: DataFrame) -> DataFrame:
     if identity is None:
         return shaped
     last = merge.target.agg(F.max(f"`{identity}`")).first()[0] or 0
-    return assign_surrogate_key(shaped, identity, start=last + 1)
+    return assign_surrogate_key(shaped, identity, start=last + 1, folder=f"{folder}/numbered")

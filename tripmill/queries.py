@@ -193,7 +193,7 @@ def _dirty(moment: Column) -> Column:
 
 def _dirty_times(spark: SparkSession, tables: str) -> DataFrame:
     pickup = F.col("l_shipdate")
-    drop = pickup + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("l_partkey") % 5000 - 100)
+    drop = pickup + (F.col("l_partkey") % 5000 - 100) * F.expr("INTERVAL '1' SECOND")
     lines = _read(spark, tables, "lineitem")
     return lines.select(
         "l_orderkey", "l_linenumber", _dirty(pickup).alias("PickupTime"), drop.cast("string").alias("DropTime")

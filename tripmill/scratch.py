@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,9 +25,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{SETTING} must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tripmill-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _test_folder()
+
+
+@cache
+def _test_folder() -> str:
+    return tempfile.mkdtemp(prefix="tripmill-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -12,13 +12,13 @@ def sample_feed(spark: SparkSession, tables: str, service: str) -> DataFrame:
     lines = spark.read.parquet(f"{tables}/lineitem.parquet").where(F.col("l_linestatus") == status)
     order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     pickup = F.col("l_shipdate")
-    zero = F.lit(0)
+    ride = line * F.expr("INTERVAL '450' SECOND")
     return lines.select(
         (F.col("l_suppkey") % 2 + 1).cast("int").alias("VendorID"),
         (F.col("l_quantity").cast("int") % 7).alias("passenger_count"),
         (F.col("l_discount") * 100).alias("trip_distance"),
         pickup.alias(f"{prefix}_pickup_datetime"),
-        (pickup + F.make_dt_interval(zero, zero, zero, line * 450)).alias(f"{prefix}_dropoff_datetime"),
+        (pickup + ride).alias(f"{prefix}_dropoff_datetime"),
         F.when(part % 50 != 0, (part % 5 + 1).cast("int")).alias("PUlocationID"),
         F.when(part % 40 != 0, (order % 5 + 1).cast("int")).alias("DOlocationID"),
         F.when(line != 7, line).alias("RatecodeID"),
