@@ -302,6 +302,17 @@ def test_errors(spark, target, folder):
     assert rows(spark, target) == TARGET
 
 
+@pytest.mark.parametrize("partition_by", [(), ("p",)])
+def test_a_failing_write_leaves_the_table_as_it_was(spark, folder, partition_by):
+    table = Table(folder, partition_by)
+    write_table(spark.createDataFrame([(1, 1, 1), (2, 2, 1)], "k int, v int, p int"), table)
+    before = rows(spark, table)
+    too_large = spark.createDataFrame([(1, 5, 1), (2, 2**40, 1), (3, 3, 1)], "k int, v bigint, p int")
+    with pytest.raises(Exception, match="CAST_OVERFLOW|not written in full"):
+        upsert(too_large, table, ["k", "p"])
+    assert rows(spark, table) == before
+
+
 # ---- against brute force
 
 keys = st.one_of(st.none(), st.integers(0, 4))

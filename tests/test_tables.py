@@ -1,4 +1,6 @@
+import pyarrow.parquet as pq
 import pytest
+from plans import formatted_plan
 from pyspark.sql import functions as F
 
 from tripmill.errors import PartitionColumnError
@@ -83,6 +85,18 @@ def test_a_partition_is_written_by_few_tasks_and_a_large_one_by_several(spark, f
     assert len(files) < 16
 
 
+def test_timestamps_are_written_with_statistics(spark, folder):
+    before = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    write_table(spark.sql("SELECT timestamp'2019-12-01 00:05:00' AS t"), Table(folder))
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == before
+    files = [file for file in spark.read.parquet(folder).inputFiles()]
+    column = pq.ParquetFile(files[0].removeprefix("file://")).metadata.row_group(0).column(0)
+    assert column.physical_type == "INT64"
+    assert column.statistics.has_min_max
+    df = read_table(spark, Table(folder)).filter("t > timestamp'2020-01-01'")
+    assert "GreaterThan(t,2020-01-01" in formatted_plan(df)
+
+
 def test_scan_by_name_path_and_filter(spark, tables, folder):
     assert scan_where(spark, f"parquet.`{tables}/region.parquet`").count() == 5
     rows = scan_where(spark, f"parquet.`{tables}/region.parquet`", "r_regionkey = 0").collect()

@@ -104,9 +104,10 @@ def upsert(
       cannot make a later step see other rows than an earlier one, and a join side is broadcast only if
       its size, known by then, is below Spark's threshold.
 
-    Plain parquet has no transactions, so a table must have one writer at a time. Rewritten partitions are staged in full before the table is touched;
-    then they are swapped in, then new rows are appended. If the job dies in between, run it again. If it
-    dies during the swap, the staged copy is still in the folder named in the error.
+    Plain parquet has no transactions, so a table must have one writer at a time. Changed partitions are
+    replaced by a dynamic partition overwrite: Spark writes their new files aside and swaps folders when all
+    tasks are done, so a job that fails while it runs leaves the table as it was. A table without partitions
+    is replaced from a staged copy. New rows are appended last. If the job dies in between, run it again.
     """
     spark = source.sparkSession
     merge = _resolve(source, table, keys, columns, update_when, null_safe_keys, null_safe_compare)
@@ -134,11 +135,11 @@ def upsert(
     rewritten, replaced = (), None
     if updated:
         changed = matches.filter("_changed").drop("_changed").distinct()
-        rows = merge.target
         if table.partition_by:
             rewritten = tuple(touched_partitions(changed.select(*merge.partition_texts), table.partition_by))
-            rows = rows.filter(_in_partitions(merge, rewritten))
-        replaced = stage(_replace(merge, rows, changed), f"{folder}/rewrite")
+            replaced = _replace(merge, merge.target.filter(_in_partitions(merge, rewritten)), changed)
+        else:
+            replaced = stage(_replace(merge, merge.target, changed), f"{folder}/rewrite")
 
     inserted, new = source_rows - found, matchable
     if found:
@@ -153,7 +154,7 @@ def upsert(
         if inserted:
             write_table(new, table, "append", touched)
     except Exception as error:
-        raise MergeError(f"the table was not written in full; staged rows are in {folder}") from error
+        raise MergeError(f"the table was not written in full; staged data is in {folder}") from error
     drop_folder(spark, folder)
     return UpsertReport(source_rows, matched or 0, updated or 0, inserted, rewritten)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,9 +98,9 @@ def write_table(
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode(mode).option("partitionOverwriteMode", "static")
-    writer.partitionBy(*table.partition_by).parquet(table.path)
-
     spark = df.sparkSession
+    with _timestamps_with_statistics(spark):
+        writer.partitionBy(*table.partition_by).parquet(table.path)
     if table.name is None:
         spark.catalog.refreshByPath(table.path)
         return
@@ -111,6 +112,21 @@ def write_table(
     spark.catalog.refreshTable(table.name)
 
 
+@contextmanager
+def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
+    """Spark's default for timestamps in parquet, INT96, has no minimum and maximum to skip row groups by.
+
+    The format is a session setting and no option of a single write, so it is put back afterwards.
+    """
+    setting = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _partition_spec(columns: Sequence[str], values: tuple) -> str:
     return "PARTITION (" + ", ".join(f"{quoted(c)}={_literal(v)}" for c, v in zip(columns, values)) + ")"
 
