@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tripmill.errors import PartitionColumnError
 from tripmill.operators import touched_partitions
 from tripmill.sources import Table, ensure_table, read_table, scan_where, write_table
+from tripmill.sources.tables import table_ddl
 
 
 @pytest.fixture
@@ -29,6 +30,26 @@ def test_partitioned_table(spark, trips, folder, schema_name):
     assert spark.table(table.name).columns == ["id", "v", "pu", "pay"]
 
 
+@pytest.mark.parametrize("partition_by", [(), ("pu",)])
+def test_files_that_are_there_become_rows(spark, trips, folder, schema_name, partition_by):
+    write_table(trips, Table(folder, partition_by))
+    table = ensure_table(spark, trips.schema, Table(folder, partition_by, name=f"{schema_name}.trips"))
+    assert read_table(spark, table).count() == 3
+
+
+def test_a_table_at_another_path_is_refused(spark, trips, folder, schema_name):
+    ensure_table(spark, trips.schema, Table(folder, name=f"{schema_name}.trips"))
+    ensure_table(spark, trips.schema, Table(folder + "/", name=f"{schema_name}.trips"))
+    with pytest.raises(ValueError, match="lies at"):
+        ensure_table(spark, trips.schema, Table(folder + "-2", name=f"{schema_name}.trips"))
+
+
+def test_column_list(spark):
+    schema = spark.createDataFrame([], "col1 int, col2 string, col3 date").schema
+    assert table_ddl(schema) == "`col1` int, `col2` string, `col3` date"
+    assert table_ddl(schema, "sk").startswith("`sk` bigint, `col1` int")
+
+
 def test_schema_with_types_in_need_of_quoting(spark, folder, schema_name):
     schema = spark.createDataFrame([], "`two words` int, s struct<a:int,b:array<string>>, d decimal(10,2)").schema
     table = ensure_table(spark, schema, Table(folder, name=f"{schema_name}.odd"))

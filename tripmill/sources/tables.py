@@ -32,15 +32,22 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in schema)
+def table_ddl(schema: T.StructType, identity: str | None = None) -> str:
+    """The column list of a CREATE TABLE; the surrogate key, if any, comes first as a bigint."""
+    fields = [T.StructField(identity, T.LongType())] if identity else []
+    return ", ".join(
+        f"{quoted(field.name)} {field.dataType.simpleString()}" for field in [*fields, *schema.fields]
+    )
 
 
 def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Table:
     """Create the catalog table ``table.name`` at ``table.path`` unless it exists.
 
-    The surrogate key, if any, comes first as a bigint. Parquet tables cannot number rows by themselves;
-    :func:`~tripmill.operators.upsert` does. Spark lists partition columns last.
+    Files that lie at the path already become rows of the new table. A table of this name at another path is
+    refused, because rows would be written to one place and read from the other.
+
+    Parquet tables cannot number rows by themselves, so the surrogate key is a plain bigint that
+    :func:`~tripmill.operators.upsert` fills. Spark lists partition columns last.
     """
     if table.name is None:
         raise ValueError("a catalog table needs a name")
@@ -48,15 +55,25 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     unknown = [name for name in table.partition_by if name.lower() not in known]
     if unknown:
         raise PartitionColumnError(f"not columns of the table: {unknown}")
-    if table.identity is not None:
-        schema = T.StructType([T.StructField(table.identity, T.LongType()), *schema.fields])
+
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.path)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if spark.catalog.tableExists(table.name):
+        details = spark.sql(f"DESCRIBE FORMATTED {table.name}")
+        location = details.filter("col_name = 'Location'").first()["data_type"]
+        if location.rstrip("/") != files.makeQualified(path).toString().rstrip("/"):
+            raise ValueError(f"table {table.name} lies at {location}, not at {table.path}")
+        return table
+
     partitioned = ""
     if table.partition_by:
         partitioned = f"PARTITIONED BY ({', '.join(map(quoted, table.partition_by))})"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table.name} ({_ddl(schema)}) USING parquet {partitioned} "
-        f"LOCATION {_text_literal(table.path)}"
+        f"CREATE TABLE IF NOT EXISTS {table.name} ({table_ddl(schema, table.identity)}) "
+        f"USING parquet {partitioned} LOCATION {_text_literal(table.path)}"
     )
+    if table.partition_by and files.exists(path):
+        spark.catalog.recoverPartitions(table.name)
     return table
 
 
