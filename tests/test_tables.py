@@ -11,7 +11,8 @@ from tripmill.sources.tables import table_ddl
 
 @pytest.fixture
 def trips(spark):
-    return spark.createDataFrame([(1, 7, 2, "a"), (2, 8, 2, "b"), (3, 7, None, "c")], "id int, pu int, pay int, v string")
+    rows = [(1, 7, 2, "a"), (2, 8, 2, "b"), (3, 7, None, "c")]
+    return spark.createDataFrame(rows, "id int, pu int, pay int, v string")
 
 
 def test_table_is_created_once_with_surrogate_key(spark, trips, folder, schema_name):
