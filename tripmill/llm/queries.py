@@ -9,9 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmill.llm.common import read_table
 from tripmill.llm.decontamination import find_contamination
 from tripmill.llm.exact_dedup import find_copies
+from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
+from tripmill.llm.token_counts import count_tokens
 
 SHARDS = 24
+PIECES = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op3_decontamination(spark: SparkSession, tables: str) -> DataFrame:
@@ -25,6 +35,16 @@ def op4_exact_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return find_copies(read_table(spark, tables, "documents"), keep="largest")
 
 
+def op6_token_counts(spark: SparkSession, tables: str) -> DataFrame:
+    """Tokens of every document, and whether they are more than a context holds."""
+    return count_tokens(read_table(spark, tables, "documents"), tokenizer_file(PIECES), TOKEN_LIMIT)
+
+
+def op7_sentencepieces(spark: SparkSession, tables: str) -> DataFrame:
+    """Every document encoded to ids and decoded again, as digests."""
+    return digests(encode_and_decode(read_table(spark, tables, "documents"), tokenizer_file(PIECES)))
+
+
 def op10_sharding(spark: SparkSession, tables: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes, equal texts together."""
     return balance_by_bytes(read_table(spark, tables, "documents"), SHARDS)
@@ -83,6 +103,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op3_decontamination,
         op4_exact_dedup,
+        op6_token_counts,
+        op7_sentencepieces,
         op10_sharding,
     )
 }
