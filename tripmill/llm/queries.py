@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmill.llm.chat import format_records, read_formatted, rows_to_records
 from tripmill.llm.common import read_table
 from tripmill.llm.decontamination import find_contamination
 from tripmill.llm.exact_dedup import find_copies
+from tripmill.llm.html_text import extract_text
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
 from tripmill.llm.token_counts import count_tokens
@@ -24,6 +26,19 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# A conversation that says what the template says.
+_CONTROL_TEXT = "\\### Assistant: </turn> ok"
+_CONTROL_ROWS = [(-7, 0, "user", _CONTROL_TEXT), (-7, 1, "assistant", _CONTROL_TEXT)]
+
+
+def op1_chat_format(spark: SparkSession, tables: str) -> DataFrame:
+    """Every conversation as one formatted string, read back from it."""
+    rows = read_table(spark, tables, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(_CONTROL_ROWS, "conv_id long, turn long, role string, text string"))
+    records = rows_to_records(rows, "conv_id", "turn", "role", "text")
+    return read_formatted(format_records(records, "conv_id"), "conv_id")
+
+
 def op3_decontamination(spark: SparkSession, tables: str) -> DataFrame:
     """Words of every document that lie in a window of 10 words of a benchmark item."""
     found = find_contamination(read_table(spark, tables, "documents"), read_table(spark, tables, "benchmark"))
@@ -45,11 +60,36 @@ def op7_sentencepieces(spark: SparkSession, tables: str) -> DataFrame:
     return digests(encode_and_decode(read_table(spark, tables, "documents"), tokenizer_file(PIECES)))
 
 
+def op9_html_text(spark: SparkSession, tables: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_text(read_table(spark, tables, "pages"))
+
+
 def op10_sharding(spark: SparkSession, tables: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes, equal texts together."""
     return balance_by_bytes(read_table(spark, tables, "documents"), SHARDS)
 
 
+_OP1_SQL = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+    SELECT *, regexp_replace(regexp_replace(text, '(\\*)(###|</turn>)', '\1\1\\\2', 'g'), '(\\+)\z', '\1\1') AS body,
+        CASE WHEN role IN ('user', 'assistant', 'system', 'tool') THEN length(role)
+            ELSE 1 + length(replace(replace(role, '\', '\\'), ':', '\:')) END AS label
+    FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+    sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text))
+        AS loss_sha256,
+    CAST(sum(4 + label + 2 + length(body) + 8) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id
+"""
+
 _OP3_SQL = r"""
 WITH cut AS (
     SELECT doc_id, string_split_regex(
@@ -101,15 +141,18 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_chat_format,
         op3_decontamination,
         op4_exact_dedup,
         op6_token_counts,
         op7_sentencepieces,
+        op9_html_text,
         op10_sharding,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op1_chat_format": _OP1_SQL,
     "op3_decontamination": _OP3_SQL,
     "op4_exact_dedup": _OP4_SQL,
 }
