@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.llm.chat import format_records, read_formatted, rows_to_records
 from tripmill.llm.common import read_table
@@ -14,6 +15,7 @@ from tripmill.llm.html_text import extract_text
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
 from tripmill.llm.token_counts import count_tokens
+from tripmill.llm.toxicity import held_out, score, train
 
 SHARDS = 24
 PIECES = "piece_bpe_32k.model"
@@ -50,6 +52,14 @@ def op4_exact_dedup(spark: SparkSession, tables: str) -> DataFrame:
     return find_copies(read_table(spark, tables, "documents"), keep="largest")
 
 
+def op5_toxicity(spark: SparkSession, tables: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels that are not held out."""
+    docs = read_table(spark, tables, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, tables, "labels"))
+    scored = score(docs.withColumn("held_out", held_out("doc_id")), model)
+    return scored.select("doc_id", "held_out", F.col("score"), "predicted")
+
+
 def op6_token_counts(spark: SparkSession, tables: str) -> DataFrame:
     """Tokens of every document, and whether they are more than a context holds."""
     return count_tokens(read_table(spark, tables, "documents"), tokenizer_file(PIECES), TOKEN_LIMIT)
@@ -144,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_chat_format,
         op3_decontamination,
         op4_exact_dedup,
+        op5_toxicity,
         op6_token_counts,
         op7_sentencepieces,
         op9_html_text,
