@@ -12,6 +12,7 @@ from tripmill.llm.common import read_table
 from tripmill.llm.decontamination import find_contamination
 from tripmill.llm.exact_dedup import find_copies
 from tripmill.llm.html_text import extract_text
+from tripmill.llm.near_dedup import find_near_copies
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
 from tripmill.llm.token_counts import count_tokens
@@ -70,6 +71,11 @@ def op7_sentencepieces(spark: SparkSession, tables: str) -> DataFrame:
     return digests(encode_and_decode(read_table(spark, tables, "documents"), tokenizer_file(PIECES)))
 
 
+def op8_near_dedup(spark: SparkSession, tables: str) -> DataFrame:
+    """Every document with its class of near-duplicates."""
+    return find_near_copies(read_table(spark, tables, "documents"))
+
+
 def op9_html_text(spark: SparkSession, tables: str) -> DataFrame:
     """The main text of every page."""
     return extract_text(read_table(spark, tables, "pages"))
@@ -157,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_toxicity,
         op6_token_counts,
         op7_sentencepieces,
+        op8_near_dedup,
         op9_html_text,
         op10_sharding,
     )
