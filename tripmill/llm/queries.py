@@ -13,6 +13,7 @@ from tripmill.llm.decontamination import find_contamination
 from tripmill.llm.exact_dedup import find_copies
 from tripmill.llm.html_text import extract_text
 from tripmill.llm.near_dedup import find_near_copies
+from tripmill.llm.repeats import find_repeats
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
 from tripmill.llm.token_counts import count_tokens
@@ -42,6 +43,11 @@ def op1_chat_format(spark: SparkSession, tables: str) -> DataFrame:
     return read_formatted(format_records(records, "conv_id"), "conv_id")
 
 
+def op2_repeats(spark: SparkSession, tables: str) -> DataFrame:
+    """Every document without the strings of 400 bytes that also start elsewhere."""
+    return find_repeats(read_table(spark, tables, "documents")).drop("spans")
+
+
 def op3_decontamination(spark: SparkSession, tables: str) -> DataFrame:
     """Words of every document that lie in a window of 10 words of a benchmark item."""
     found = find_contamination(read_table(spark, tables, "documents"), read_table(spark, tables, "benchmark"))
@@ -158,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_chat_format,
+        op2_repeats,
         op3_decontamination,
         op4_exact_dedup,
         op5_toxicity,
