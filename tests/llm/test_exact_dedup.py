@@ -1,0 +1,67 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmill.llm.exact_dedup import drop_copies, find_copies
+
+
+@pytest.mark.parametrize(("keep", "best"), [("largest", max), ("smallest", min)])
+def test_same_as_brute_force(spark, keep, best):
+    rows = [(i * 37 % 301, f"text {i % 50}" if i % 3 else "hot") for i in range(301)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(text, []).append(i)
+    want = sorted(
+        (i, best(groups[t]), len(groups[t]), i == best(groups[t]), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows
+    )
+    assert sorted(tuple(row) for row in find_copies(df, keep=keep).collect()) == want
+    assert sorted(tuple(row) for row in drop_copies(df, keep=keep).collect()) == sorted((best(v), t) for t, v in groups.items())
+
+
+def test_a_hot_text_is_spread_over_partitions(spark):
+    """Copies of one text cross many partition edges and still are one group."""
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).cast("string").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = find_copies(df, keep="largest")
+        hot = out.filter("group_size > 1")
+        assert hot.count() == 13_333
+        assert hot.select("keep_id").distinct().collect()[0][0] == 19_999
+        assert out.filter("kept").count() == 6_668
+        assert drop_copies(df).count() == 6_668
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_odd_rows(odd, nothing):
+    rows = find_copies(odd, keep="largest").collect()
+    assert len(rows) == odd.count()
+    empty = [row for row in rows if row["text_sha256"] == hashlib.sha256(b"").hexdigest()]
+    assert sorted((row["doc_id"] or -1, row["keep_id"], row["group_size"], row["kept"]) for row in empty) == [(-1, 2, 3, False), (1, 2, 3, False), (2, 2, 3, True)]
+    same = [row for row in rows if row["doc_id"] in (3, 4)]
+    assert {row["group_size"] for row in same} == {3} and [row["doc_id"] for row in same if row["kept"]] == [4]
+    alone = [row for row in rows if row["doc_id"] is None and row["group_size"] == 1]
+    assert [(row["keep_id"], row["kept"]) for row in alone] == [(None, True)]
+    kept = drop_copies(odd)
+    assert kept.columns == odd.columns
+    assert sorted((row["doc_id"] or -1) for row in kept.collect()) == [-1, 1, 3, 5, 6, 7]
+    assert find_copies(nothing).count() == drop_copies(nothing).count() == 0
+
+
+def test_normalised_texts(spark):
+    df = spark.createDataFrame([(1, "A b"), (2, "a B"), (3, "c")], "doc_id long, text string")
+    rows = find_copies(df, normalise=F.lower).collect()
+    assert sorted((row["doc_id"], row["keep_id"]) for row in rows) == [(1, 1), (2, 1), (3, 3)]
+    assert sorted(row["text"] for row in drop_copies(df, normalise=F.lower).collect()) == ["A b", "c"]
+
+
+def test_columns_of_any_type_are_kept(spark):
+    df = spark.sql("SELECT 1L AS doc_id, 'x' AS text, timestamp'2020-01-01' AS t, array(1, 2) AS a, struct(1 AS b) AS s, 1.5BD AS d, map('k', 1) AS m")
+    assert drop_copies(df.unionAll(df)).collect() == df.collect()
+
+
+def test_wrong_keep(odd):
+    with pytest.raises(ValueError):
+        find_copies(odd, keep="first")

@@ -1,0 +1,80 @@
+import hashlib
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tripmill.llm.queries import op2_repeats
+from tripmill.llm.repeats import find_repeats
+
+
+def brute(texts, depth):
+    """(bytes, removed, spans, digest) of each text, window by window."""
+    windows = Counter(t[i : i + depth] for t in texts for i in range(len(t) - depth + 1))
+    out = []
+    for text in texts:
+        removed = bytearray(len(text))
+        for i in range(len(text) - depth + 1):
+            if windows[text[i : i + depth]] > 1:
+                removed[i : i + depth] = b"\1" * depth
+        kept = bytes(b for b, gone in zip(text, removed) if not gone)
+        spans = sum(1 for i, gone in enumerate(removed) if gone and (i == 0 or not removed[i - 1]))
+        out.append((len(text), sum(removed), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def found(df):
+    rows = df.collect()
+    return {row[0]: tuple(row[name] for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for row in rows}
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    passages=st.lists(st.text("ab é", min_size=1, max_size=30), min_size=1, max_size=4),
+    picks=st.lists(st.lists(st.tuples(st.integers(0, 3), st.text("abc\n", max_size=6)), max_size=5), max_size=8),
+)
+def test_same_as_brute_force(spark, passages, picks):
+    texts = ["".join(passages[i % len(passages)] + more for i, more in pick) for pick in picks]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(brute([text.encode() for text in texts], 12)))
+    assert found(find_repeats(df, depth=12)) == want
+
+
+def test_borders_of_a_passage(spark):
+    """One passage whole, its halves, and parts just long enough or one byte too short, at any alignment."""
+    import random
+
+    rng = random.Random(5)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(6_000))
+    texts = [letters[:1500] + letters[3000:3300], letters[700:1099] + "Q", letters[700:1100] + "R", "x" + letters[20:1400]]
+    texts += [letters[k : k + 400 + k % 7] + str(k) * 50 for k in range(0, 1000, 37)]
+    texts += ["z" * 900, "z" * 500, letters[:399], "é" * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert found(find_repeats(df)) == dict(enumerate(brute([t.encode() for t in texts], 400)))
+
+
+def test_odd_rows(spark, odd, nothing):
+    rows = find_repeats(odd, depth=8, with_kept=True).collect()
+    assert len(rows) == odd.count()
+    by_id = {row["doc_id"]: row for row in rows if row["doc_id"] is not None}
+    empty = hashlib.sha256(b"").hexdigest()
+    for i in (1, 2, 3, 4, 6):
+        assert by_id[i]["kept_sha256"] == empty and bytes(by_id[i]["kept"]) == b""
+    assert [(s["start"], s["length"]) for s in by_id[3]["spans"]] == [(0, 14)]
+    assert by_id[7]["n_removed"] == 0
+    assert sorted(row["n_bytes"] for row in rows if row["doc_id"] is None) == [0, 13]
+    assert find_repeats(nothing).count() == 0
+
+
+def test_rows_of_one_id_and_other_texts(spark):
+    df = spark.createDataFrame([(1, "abcdefghij"), (1, "klmnopqrst"), (2, "xxabcdefgh")], "doc_id long, text string")
+    rows = sorted((row["doc_id"], row["n_removed"]) for row in find_repeats(df, depth=8).collect())
+    assert rows == [(1, 0), (1, 8), (2, 8)]
+
+
+@pytest.mark.parametrize("name", ["sf0.001"])
+def test_query_on_the_smallest_tables(spark, name):
+    table = spark.read.parquet(f"/root/testdata/{name}/documents.parquet").collect()
+    want = brute([(row["text"] or "").encode() for row in table], 400)
+    assert found(op2_repeats(spark, f"/root/testdata/{name}")) == {row["doc_id"]: w for row, w in zip(table, want)}
