@@ -97,3 +97,8 @@ def test_other_labels(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "code int")
     out = classify(df, "kind", "code", {1: "one", 2: "two"}, otherwise="many")
     assert [row[0] for row in out.collect()] == ["one", "two", "many"]
+
+
+def test_codes_as_text(spark):
+    df = spark.createDataFrame([("6",), ("6.0",), ("x",), ("",), (None,)], "RatecodeID string")
+    assert [row[0] for row in classify(df, "TripType").collect()] == ["SharedTrip"] * 2 + ["SoloTrip"] * 3

@@ -67,12 +67,30 @@ def test_two_months_and_a_correction(spark, landing, folder, schema_name, inferr
     landing("2020-01", new, corrected)
     second = run_month(spark, root, "2020-01", table, null_safe_keys=True, **options)
     assert (second.updated, second.inserted) == (1, 1)
-    assert second.rewritten_partitions == (("2019",),)
+    assert second.rewritten_partitions == (("2019", "12"),)
     final = spark.table(table.name).collect()
-    assert sorted(row["TaxiDataId"] for row in final) == [1, 2, 3, 4, 5]
+    numbers = sorted(row["TaxiDataId"] for row in final)
+    assert numbers[:4] == [1, 2, 3, 4] and len(numbers) == 5 and numbers[4] > 4
     assert [row["TotalAmount"] for row in final if row["TripMode"] == "Yellow" and row["TripYear"] == 2019] == [10.25]
 
 
+def test_no_row_is_lost_without_a_count(spark, landing, folder, schema_name):
+    """Whole numbers written as decimals are read; what cannot be read is counted, whichever way types are found."""
+    green = [
+        "2,2019-12-01 00:05:00,2019-12-01 00:15:00,1.0,1.5,1,7,8,2,9.75",
+        "2,2019-12-01 00:06:00,2019-12-01 00:15:00,2,1.5,1.0,7,8,2,9.75",
+        "2,2019-12-01 00:07:00,2019-12-01 00:15:00,x,1.5,1,7,8,2,9.75",
+        "2,2019-12-01 00:08:00,2019-12-01 00:15:00,1,1.5,?,7,8,,9.75",
+    ]
+    root = landing("2019-12", green, YELLOW[:1])
+    reports = []
+    for i, options in enumerate(({}, {"types": None})):
+        table = trip_table(f"{schema_name}.trips_{i}", f"{folder}_{i}")
+        reports.append(run_month(spark, root, "2019-12", table, **options))
+    assert reports[0] == reports[1]
+    assert (reports[0].inserted, reports[0].unreadable) == (4, 2)
+
+
 def test_all_months_by_glob(spark, landing, folder, schema_name):
     landing("2019-11", GREEN[:1], [])
     root = landing("2019-12", [], YELLOW)

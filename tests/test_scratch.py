@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -5,26 +6,37 @@ import pytest
 from tripmill import scratch
 
 
-def session(master, folder=None):
-    conf = SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def session(folder=None, warehouse=None):
+    given = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: given.get(name) or default))
 
 
 def test_the_folder_the_cluster_names_is_used():
-    named = session("yarn", "hdfs://store/shared/")
+    named = session("hdfs://store/shared/", "hdfs://store/warehouse")
     assert scratch.shared_folder(named) == "hdfs://store/shared/"
     assert scratch.new_folder(named, "x").startswith("hdfs://store/shared/tripmill/x-")
     assert scratch.new_folder(named, "x") != scratch.new_folder(named, "x")
 
 
-def test_a_cluster_must_name_one():
+def test_without_one_it_lies_below_the_warehouse():
+    assert scratch.shared_folder(session(warehouse="hdfs://store/warehouse")).startswith("hdfs://store/warehouse/")
+
+
+def test_one_of_both_must_be_there():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.shared_folder(session("yarn"))
+        scratch.shared_folder(session())
 
 
-def test_local_mode_gets_one_of_its_own():
-    local = session("local[2]")
-    assert scratch.shared_folder(local) == scratch.shared_folder(local)
+def test_nothing_is_left_behind(spark):
+    for fails in (False, True):
+        try:
+            with scratch.scratch_folder(spark, "tidy") as path:
+                scratch.stage(spark.range(5), f"{path}/numbers")
+                if fails:
+                    raise RuntimeError
+        except RuntimeError:
+            pass
+        assert not Path(path.removeprefix("file:")).exists()
 
 
 def test_stage_and_drop(spark, folder):
@@ -32,4 +44,4 @@ def test_stage_and_drop(spark, folder):
     assert staged.count() == 5
     assert staged.inputFiles()
     scratch.drop_folder(spark, folder)
-    assert not spark._jvm.java.io.File(folder).exists()
+    assert not Path(folder).exists()

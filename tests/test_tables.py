@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tripmill.errors import PartitionColumnError
 from tripmill.operators import touched_partitions
 from tripmill.sources import Table, ensure_table, read_table, scan_where, write_table
-from tripmill.sources.tables import table_ddl
+from tripmill.sources.tables import _same_place, table_ddl
 
 
 @pytest.fixture
@@ -127,16 +127,52 @@ def test_scan_by_name_path_and_filter(spark, tables, folder):
 
 def test_touched_partitions(spark):
     df = spark.createDataFrame([(2022, "b"), (2020, "a"), (2020, "a"), (None, "a")], "Year int, m string")
-    assert touched_partitions(df, ["Year"]) == [(2020,), (2022,), (None,)]
-    assert touched_partitions(df, ["m", "Year"]) == [("a", 2020), ("a", None), ("b", 2022)]
-    assert touched_partitions(df.limit(0), ["Year"]) == []
 
+    def found(df, columns):
+        return sorted((tuple(row) for row in touched_partitions(df, columns).collect()), key=str)
 
-def test_touched_partitions_errors(spark, monkeypatch):
-    df = spark.range(10)
+    assert found(df, ["Year"]) == [(2020,), (2022,), (None,)]
+    assert found(df, ["m", "Year"]) == [("a", 2020), ("a", None), ("b", 2022)]
+    assert found(df.limit(0), ["Year"]) == []
+
+
+def test_touched_partitions_errors(spark):
     for columns in ([], ["XXXX"]):
         with pytest.raises(PartitionColumnError):
-            touched_partitions(df, columns)
-    monkeypatch.setattr("tripmill.operators.partitions.MAX_PARTITIONS", 9)
-    with pytest.raises(PartitionColumnError, match="more than 9"):
-        touched_partitions(df, ["id"])
+            touched_partitions(spark.range(10), columns)
+
+
+@pytest.mark.parametrize(
+    ("one", "other", "same"),
+    [
+        ("file:/a/b", "/a/b/", True),
+        ("file:/a/b", "file:///a/b", True),
+        ("hdfs://store/a", "hdfs://store/a/", True),
+        ("hdfs://store/a", "/a", True),
+        ("hdfs://store/a", "hdfs://other/a", False),
+        ("file:/a/b", "/a/c", False),
+    ],
+)
+def test_paths_are_compared_without_the_file_system(one, other, same):
+    assert _same_place(one, other) is same
+
+
+def test_clustered_writes_are_narrow(spark, folder):
+    """Files of a partition hold ranges of the cluster column that do not overlap."""
+    df = spark.range(0, 40_000, 1, 8).select(
+        (F.col("id") * 7919 % 40_000).alias("t"), (F.col("id") % 2).cast("int").alias("p")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_table(df, Table(folder, ("p",), cluster_by=("t",)))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for p in (0, 1):
+        files = [f for f in spark.read.parquet(folder).inputFiles() if f"p={p}/" in f]
+        ends = []
+        for file in files:
+            column = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0).column(0)
+            ends.append((column.statistics.min, column.statistics.max))
+        ends.sort()
+        assert len(ends) > 1
+        assert all(high < low for (_, high), (low, _) in zip(ends, ends[1:]))

@@ -24,3 +24,21 @@ def is_missing(column: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return column.isNull() | F.isnan(column)
     return column.isNull()
+
+
+def readable(column: Column, data_type: T.DataType) -> Column:
+    """Text as a value of ``data_type``; NULL where it cannot be read, never an error.
+
+    A whole number may be written as a decimal one (``1.0``); a number with a fraction is no whole number.
+    """
+    text = F.trim(column)
+    if not isinstance(data_type, T.IntegralType):
+        return text.try_cast(data_type)
+    number = text.try_cast("double")
+    whole = F.when(number == F.floor(number), number.try_cast(data_type))
+    return F.coalesce(text.try_cast(data_type), whole)
+
+
+def unreadable(column: Column, data_type: T.DataType) -> Column:
+    """Whether text is there and cannot be read as ``data_type``."""
+    return column.isNotNull() & (F.trim(column) != "") & readable(column, data_type).isNull()

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripmill.functions import as_date, minutes_between, type_of
 
@@ -39,8 +40,14 @@ def classify(
     labels: Mapping[Any, str] = TRIP_TYPE_BY_RATE_CODE,
     otherwise: str = OTHER_TRIP_TYPE,
 ) -> DataFrame:
-    """Replace the code column ``source`` by the label of its code; other codes and NULL get ``otherwise``."""
+    """Replace the code column ``source`` by the label of its code; other codes and NULL get ``otherwise``.
+
+    Codes may be given as text; text that is no number is another code.
+    """
+    given = df[source]
+    if isinstance(type_of(df, source), T.StringType) and not any(isinstance(code, str) for code in labels):
+        given = given.try_cast("double")
     label = F.lit(otherwise)
     for code, text in labels.items():
-        label = F.when(df[source] == code, F.lit(text)).otherwise(label)
+        label = F.when(given == code, F.lit(text)).otherwise(label)
     return df.withColumn(output, label).drop(source)

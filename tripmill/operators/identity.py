@@ -43,6 +43,6 @@ def assign_surrogate_key(
     for part, count in sorted(rows.groupBy("_part").count().collect()):
         offsets.append((part, before))
         before += count
-    # One row per partition of the data: as small as the list of tasks Spark itself keeps.
+    # One row per partition of the data: as small as the list of tasks Spark itself keeps. Spark decides how to join.
     offsets = df.sparkSession.createDataFrame(offsets, "_part int, _before bigint")
-    return rows.join(F.broadcast(offsets), "_part").select((F.col("_before") + F.col("_row")).alias(name), *columns)
+    return rows.join(offsets, "_part").select((F.col("_before") + F.col("_row")).alias(name), *columns)

@@ -1,28 +1,28 @@
-"""Upsert into a parquet table."""
+"""Upsert into a table."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 from operator import and_, or_
 
-from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException, ParseException, PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.errors import DuplicateSourceKeyError, MergeError, MergeKeysError, PartitionColumnError
-from tripmill.operators.identity import assign_surrogate_key
 from tripmill.operators.merge_terms import Pairs, assignments, key_pairs, of, row_changes, rows_match
-from tripmill.operators.partitions import MAX_PARTITIONS, touched_partitions
-from tripmill.scratch import drop_folder, new_folder, stage
+from tripmill.operators.partitions import touched_partitions
+from tripmill.scratch import drop_folder, scratch_folder, stage
 from tripmill.sources.tables import Table, read_table, write_table
 
 # Key types whose smallest and largest source value narrow the scan of the target.
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
-# With more separate ranges than this the filter is left out: it would cost more than it saves.
-_MAX_RANGES = 32
+# monotonically_increasing_id() counts the rows of a partition in its low 33 bits.
+_ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,8 @@ class UpsertReport:
     updated: int = 0
     inserted: int = 0
     rewritten_partitions: tuple[tuple[str | None, ...], ...] = ()
+    # Values of the raw feeds that could not be read as their type; set by the monthly run.
+    unreadable: int = 0
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,8 @@ class _Merge:
     set_columns: dict[str, str]
     changes: Column
     null_safe_keys: bool
+    # Keys whose range in the source narrows the scan.
+    ranged: list[str]
 
     @property
     def match(self) -> Column:
@@ -60,12 +64,11 @@ class _Merge:
         return {field.name: field.dataType for field in self.target.schema}
 
     @property
-    def partition_texts(self) -> list[Column]:
-        """The target's partition values of a source row, as text like in the folder names."""
+    def partition_values(self) -> list[Column]:
+        """The target's partition values of a source row."""
         source_of = dict(self.pairs)
         return [
-            F.col(f"`{source_of[name]}`").cast(self.types[name]).cast("string").alias(name)
-            for name in self.table.partition_by
+            F.col(f"`{source_of[name]}`").cast(self.types[name]).alias(name) for name in self.table.partition_by
         ]
 
 
@@ -93,70 +96,128 @@ def upsert(
 
     How it scales:
 
-    * Only partitions the source has values for are read, and in them only the key ranges the source
-      covers, so a month of data is compared with that month of the table. Partition columns must be keys.
-    * The first join looks up matches and keeps nothing but keys and changed rows. New rows are appended.
+    * Only partitions the source has values for are read, by a semi join that prunes them, and in them only
+      the key ranges the source covers, as disjoint intervals, however many there are. So a month of data is
+      compared with that month of the table. Partition columns must be keys.
+    * One join looks up matches and keeps nothing but row numbers, keys and changed rows. New rows are appended.
       Only partitions that hold a *changed* row are rewritten, so a batch of new rows rewrites nothing.
     * No join here is a full outer join: for inner, left and anti joins adaptive execution can split a
       key with very many rows, for full outer joins it cannot. Source rows with a NULL key, which may be
-      very many, enter no join at all.
+      very many, are never compared.
     * The source and the looked-up changes are staged as parquet in the shared folder. A lost executor
       cannot make a later step see other rows than an earlier one, and a join side is broadcast only if
-      its size, known by then, is below Spark's threshold.
+      its size, known by then, is below Spark's threshold. What is staged there is gone afterwards.
+    * New numbers come from the highest number given so far, which is kept in a folder beside the table, so
+      no partition is scanned for it. Numbers of source rows that were not inserted are skipped.
 
-    Plain parquet has no transactions, so a table must have one writer at a time. Changed partitions are
-    replaced by a dynamic partition overwrite: Spark writes their new files aside and swaps folders when all
-    tasks are done, so a job that fails while it runs leaves the table as it was. A table without partitions
-    is replaced from a staged copy. New rows are appended last. If the job dies in between, run it again.
+    Plain parquet has no transactions, so a table must have one writer at a time. What replaces changed
+    partitions is written in full to a folder beside the table first, and then noted as complete; only then are
+    partitions overwritten from it. If the job dies in between, the next upsert starts by doing that overwrite
+    again, so no row is lost. New rows are appended last; run the batch again if they are not there.
+
+    A table whose ``format`` is not parquet is merged by its own MERGE, and nothing else is tried.
     """
     spark = source.sparkSession
+    if table.format != "parquet":
+        return _merge_natively(source, table, keys, columns, update_when, null_safe_keys, null_safe_compare)
+    recover(spark, table)
     merge = _resolve(source, table, keys, columns, update_when, null_safe_keys, null_safe_compare)
+    with scratch_folder(spark, "upsert") as folder:
+        return _upsert(merge, source, folder)
+
 
-    folder = new_folder(spark, "upsert")
-    staged = stage(_without_void(source), f"{folder}/source")
-    source_rows, touched, nearby = _near(merge, staged)
+def _upsert(merge: _Merge, source: DataFrame, folder: str) -> UpsertReport:
+    table = merge.table
+    numbered = _without_void(source).withColumn("_sid", F.monotonically_increasing_id())
+    staged = stage(numbered, f"{folder}/source")
+    touched = stage(_touched(merge, staged), f"{folder}/touched")
+    source_rows = touched.agg(F.sum("_rows")).first()[0] or 0
     if source_rows == 0:
-        drop_folder(spark, folder)
         return UpsertReport()
 
-    matchable, unmatchable = staged, None
-    if not null_safe_keys:
-        complete = reduce(and_, [F.col(f"`{key}`").isNotNull() for key in merge.source_keys])
-        matchable, unmatchable = staged.filter(complete), staged.filter(~complete)
-
-    _check_source_is_unique(merge, matchable, nearby)
-
-    matches = stage(_look_up(merge, nearby, matchable), f"{folder}/matches")
-    known = matches.groupBy(*merge.source_keys).agg(
-        F.count(F.lit(1)).alias("_matched"), F.count_if("_changed").alias("_updated")
+    matchable = staged
+    if not merge.null_safe_keys:
+        matchable = staged.filter(reduce(and_, [F.col(f"`{key}`").isNotNull() for key in merge.source_keys]))
+    hits = stage(_look_up(merge, _nearby(merge, touched), matchable), f"{folder}/hits")
+    per_key = hits.groupBy(*merge.source_keys).agg(
+        F.count("*").alias("matched"),
+        F.count_if("_changed").alias("updated"),
+        (F.min("_sid") != F.max("_sid")).alias("repeated"),
     )
-    found, matched, updated = known.agg(F.count(F.lit(1)), F.sum("_matched"), F.sum("_updated")).first()
+    found, matched, updated, repeated = per_key.agg(
+        F.count("*"), F.sum("matched"), F.sum("updated"), F.max("repeated")
+    ).first()
+    if repeated:
+        raise DuplicateSourceKeyError(f"several source rows match one target row by {merge.source_keys}")
 
-    rewritten, replaced = (), None
+    rewritten = ()
     if updated:
-        changed = matches.filter("_changed").drop("_changed").distinct()
-        if table.partition_by:
-            rewritten = tuple(touched_partitions(changed.select(*merge.partition_texts), table.partition_by))
-            replaced = _replace(merge, merge.target.filter(_in_partitions(merge, rewritten)), changed)
-        else:
-            replaced = stage(_replace(merge, merge.target, changed), f"{folder}/rewrite")
-
-    inserted, new = source_rows - found, matchable
-    if found:
-        same_key = rows_match([(key, key) for key in merge.source_keys], null_safe_keys)
-        new = matchable.alias("src").join(known.alias("trg"), same_key, "left_anti")
+        # One source row may change several target rows.
+        changed = hits.filter("_changed").drop("_changed").dropDuplicates(["_sid"]).drop("_sid")
+        rewritten = _switch(merge, changed)
+    inserted = source_rows - found
     if inserted:
-        new = _as_target(merge, new if unmatchable is None else new.unionAll(unmatchable), folder)
+        new = staged.join(hits.select("_sid"), "_sid", "left_anti") if found else staged
+        values = [tuple(row) for row in touched.select(*_as_names(merge)).collect()] if table.partition_by else None
+        write_table(_as_target(merge, new, staged, source_rows), table, "append", values)
+    return UpsertReport(source_rows, matched or 0, updated or 0, inserted, rewritten)
+
+
+def _as_names(merge: _Merge) -> list[Column]:
+    """Partition values as text like in the folder names."""
+    return [F.col(f"`{name}`").cast("string").alias(name) for name in merge.table.partition_by]
+
+
+# ---- replacing partitions
+
+
+def _pending(table: Table) -> str:
+    """The folder beside the table that holds what is about to replace some of its rows."""
+    return f"{table.path.rstrip('/')}_pending"
+
 
+def _switch(merge: _Merge, changed: DataFrame) -> tuple[tuple[str | None, ...], ...]:
+    """Write the changed partitions, or the table if it has none, in full beside the table, then overwrite."""
+    spark, table = changed.sparkSession, merge.table
+    target = merge.target
+    if table.partition_by:
+        parts = touched_partitions(changed.select(*merge.partition_values), table.partition_by)
+        target = _in_partitions(merge, parts.withColumn("_rows", F.lit(1)), merge.target)
+    rows = f"{_pending(table)}/rows-{uuid.uuid4().hex}"
     try:
-        if updated:
-            write_table(replaced, table, "partitions" if table.partition_by else "overwrite", rewritten)
-        if inserted:
-            write_table(new, table, "append", touched)
+        _replace(merge, target, changed).write.parquet(rows)
+        spark.createDataFrame([(rows,)], "rows string").write.parquet(f"{_pending(table)}/complete")
+    except Exception:
+        drop_folder(spark, _pending(table))
+        raise
+    return _overwrite(spark, table, rows, merge.target.schema)
+
+
+def _overwrite(spark: SparkSession, table: Table, rows: str, schema: T.StructType) -> tuple[tuple[str | None, ...], ...]:
+    """Overwrite the table's rows from what lies beside it, and forget that once the counts agree."""
+    written = spark.read.schema(schema).parquet(rows)
+    values = ()
+    if table.partition_by:
+        parts = written.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in table.partition_by))
+        values = tuple(sorted((tuple(row) for row in parts.distinct().collect()), key=lambda v: [(x is None, x or "") for x in v]))
+    try:
+        write_table(written, table, "partitions" if table.partition_by else "overwrite", values)
     except Exception as error:
-        raise MergeError(f"the table was not written in full; staged data is in {folder}") from error
-    drop_folder(spark, folder)
-    return UpsertReport(source_rows, matched or 0, updated or 0, inserted, rewritten)
+        raise MergeError(f"the table was not written in full; its rows are in {rows}, the next upsert goes on") from error
+    drop_folder(spark, _pending(table))
+    return values
+
+
+def recover(spark: SparkSession, table: Table) -> bool:
+    """Finish a replacement that was complete beside the table when its job died; tell whether there was one."""
+    try:
+        rows = spark.read.schema("rows string").parquet(f"{_pending(table)}/complete").first()
+    except AnalysisException:
+        return False
+    if rows is None:
+        return False
+    _overwrite(spark, table, rows["rows"], read_table(spark, table).schema)
+    return True
 
 
 def _resolve(
@@ -195,7 +256,37 @@ def _resolve(
         changes = row_changes(compared, null_safe_compare)
     else:
         changes = _checked_condition(update_when, target, source)
-    return _Merge(target, table, pairs, set_columns, F.coalesce(changes, F.lit(False)), null_safe_keys)
+    types = [{field.name: field.dataType for field in side.schema} for side in (target, source)]
+    ranged = [
+        t
+        for t, s in pairs
+        if t not in table.partition_by and isinstance(types[0][t], _RANGED) and types[0][t] == types[1][s]
+    ]
+    changes = F.coalesce(changes, F.lit(False))
+    return _Merge(target, table, pairs, set_columns, changes, null_safe_keys, ranged)
+
+
+def _merge_natively(
+    source: DataFrame,
+    table: Table,
+    keys: Pairs,
+    columns: Sequence[str] | Mapping[str, str] | None,
+    update_when: str | None,
+    null_safe_keys: bool,
+    null_safe_compare: bool,
+) -> UpsertReport:
+    """The same merge by the table format's own MERGE. What it did is in the format's own history."""
+    if table.name is None:
+        raise MergeError(f"a {table.format} table is merged by its catalog name, and it has none")
+    merge = _resolve(source, table, keys, columns, update_when, null_safe_keys, null_safe_compare)
+    values = {name: of("src", given) for name, given in merge.set_columns.items()}
+    try:
+        changes = source.alias("src").mergeInto(f"{table.name} AS trg", merge.match)
+        changes = changes.whenMatched(merge.changes).update(values).whenNotMatched().insert(values)
+        changes.merge()
+    except PySparkException as error:
+        raise MergeError(f"{table.name} ({table.format}) cannot be merged: {error}") from error
+    return UpsertReport(source_rows=source.count())
 
 
 def _checked_condition(update_when: str, target: DataFrame, source: DataFrame) -> Column:
@@ -217,49 +308,47 @@ def _without_void(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(f"`{name}`").cast("string") for name in void})
 
 
-def _near(merge: _Merge, staged: DataFrame) -> tuple[int, list[tuple], DataFrame]:
-    """The number of source rows, the partitions they touch, and the target rows they can match at all.
+def _touched(merge: _Merge, staged: DataFrame) -> DataFrame:
+    """The touched partitions, with the source's rows and the range of each key in them.
 
-    One aggregation gives, per touched partition, the range of each key. A stray row from another year then
-    widens the scan by its own partition and range only, not by all that lies between.
+    A stray row from another year then widens the scan by its own partition and range only, not by all that
+    lies between.
     """
-    source_types = {field.name: field.dataType for field in staged.schema}
-    ranged = [
-        (t, s)
-        for t, s in merge.pairs
-        if t not in merge.table.partition_by
-        and isinstance(merge.types[t], _RANGED)
-        and merge.types[t] == source_types[s]
-    ]
     ends = []
-    for i, (t, s) in enumerate(ranged):
-        ends.append(_as_text(F.min(f"`{s}`"), merge.types[t]).alias(f"_min_{i}"))
-        ends.append(_as_text(F.max(f"`{s}`"), merge.types[t]).alias(f"_max_{i}"))
-    by_partition = staged.groupBy(*merge.partition_texts).agg(F.count(F.lit(1)).alias("_rows"), *ends)
-    rows = by_partition.limit(MAX_PARTITIONS + 1).collect()
-    if len(rows) > MAX_PARTITIONS:
-        raise PartitionColumnError(f"the source touches more than {MAX_PARTITIONS} partitions")
-
-    width = len(merge.table.partition_by)
-    touched = [tuple(row[:width]) for row in rows]
+    for i, name in enumerate(merge.ranged):
+        key = f"`{dict(merge.pairs)[name]}`"
+        ends += [F.min(key).alias(f"_min_{i}"), F.max(key).alias(f"_max_{i}")]
+    return staged.groupBy(*merge.partition_values).agg(F.count("*").alias("_rows"), *ends)
+
+
+def _nearby(merge: _Merge, touched: DataFrame) -> DataFrame:
+    """The target rows that the source can match at all."""
     nearby = merge.target
-    if width:
-        can_match = [p for p in touched if merge.null_safe_keys or None not in p]
-        nearby = nearby.filter(_in_partitions(merge, can_match))
-    for i, (name, _) in enumerate(ranged):
+    for i, name in enumerate(merge.ranged):
         data_type, column = merge.types[name], F.col(f"`{name}`")
-        ranges = {(row[f"_min_{i}"], row[f"_max_{i}"]) for row in rows} - {(None, None)}
-        if len(ranges) > _MAX_RANGES:
-            continue
-        inside = [column.between(_from_text(low, data_type), _from_text(high, data_type)) for low, high in ranges]
+        inside = [
+            column.between(_from_text(low, data_type), _from_text(high, data_type))
+            for low, high in _intervals(touched, f"_min_{i}", f"_max_{i}", data_type)
+        ]
         nearby = nearby.filter(_any([*inside, column.isNull()] if merge.null_safe_keys else inside))
-    return sum(row["_rows"] for row in rows), touched, nearby
+    return _in_partitions(merge, touched, nearby) if merge.table.partition_by else nearby
+
 
+def _intervals(touched: DataFrame, low: str, high: str, data_type: T.DataType) -> list[tuple[str, str]]:
+    """The ranges of all touched partitions as disjoint intervals, which are at most as many."""
+    ranges = touched.select(F.col(low).alias("low"), F.col(high).alias("high")).filter("low IS NOT NULL")
+    by_low = Window.orderBy("low", "high")
+    before = F.max("high").over(by_low.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.select("low", "high", F.coalesce(F.col("low") > before, F.lit(True)).cast("int").alias("opens"))
+    islands = opened.select("low", "high", F.sum("opens").over(by_low).alias("island"))
+    merged = islands.groupBy("island").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("low")
+    return [tuple(row) for row in merged.select(_as_text("low", data_type), _as_text("high", data_type)).collect()]
 
-def _as_text(column: Column, data_type: T.DataType) -> Column:
+
+def _as_text(name: str, data_type: T.DataType) -> Column:
     """An exact text form of a value. A zoned timestamp becomes its microseconds: local time is ambiguous."""
     zoned = isinstance(data_type, T.TimestampType)
-    return (F.unix_micros(column) if zoned else column).cast("string")
+    return (F.unix_micros(name) if zoned else F.col(name)).cast("string").alias(name)
 
 
 def _from_text(text: str, data_type: T.DataType) -> Column:
@@ -268,24 +357,23 @@ def _from_text(text: str, data_type: T.DataType) -> Column:
     return F.lit(text).cast(data_type)
 
 
-def _in_partitions(merge: _Merge, partitions: Sequence[tuple]) -> Column:
-    """The row lies in one of ``partitions``; only partition columns are used, so it prunes folders."""
-    columns = merge.table.partition_by
-    types = [merge.types[name] for name in columns]
-    if len(columns) == 1:
-        texts = [text for (text,) in partitions]
-        values = [F.lit(text).cast(types[0]) for text in texts if text is not None]
-        column = F.col(f"`{columns[0]}`")
-        return column.isin(values) | column.isNull() if None in texts else column.isin(values)
-    return _any(
-        [
-            reduce(and_, [
-                F.col(f"`{c}`").isNull() if text is None else F.col(f"`{c}`") == F.lit(text).cast(data_type)
-                for c, text, data_type in zip(columns, partition, types)
-            ])
-            for partition in partitions
-        ]
-    )
+def _in_partitions(merge: _Merge, touched: DataFrame, rows: DataFrame) -> DataFrame:
+    """The target's ``rows`` in the ``touched`` partitions.
+
+    The semi join prunes partitions by itself, because its other side is filtered. NULL is no value to prune by:
+    rows with a NULL partition value are taken in a branch of their own, if NULL keys can match.
+    """
+    columns = list(merge.table.partition_by)
+    values = touched.filter("_rows > 0").select(*columns)
+    inside = rows.join(values, columns, "left_semi").select(*rows.columns)
+    if not merge.null_safe_keys:
+        return inside
+    missing = reduce(or_, [F.col(f"`{name}`").isNull() for name in columns])
+    if values.filter(missing).isEmpty():
+        return inside
+    same = reduce(and_, [F.col(f"trg.`{name}`").eqNullSafe(F.col(f"prt.`{name}`")) for name in columns])
+    without = rows.filter(missing).alias("trg").join(values.filter(missing).alias("prt"), same, "left_semi")
+    return inside.unionAll(without.select(*rows.columns))
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -297,20 +385,9 @@ def _any(conditions: Sequence[Column]) -> Column:
     return conditions[0]
 
 
-def _check_source_is_unique(merge: _Merge, matchable: DataFrame, nearby: DataFrame) -> None:
-    """Repeated source keys are fine as long as no target row has them."""
-    copies = matchable.groupBy(*merge.source_keys).agg(F.count(F.lit(1)).alias("_copies"))
-    repeated = copies.filter("_copies > 1").drop("_copies")
-    if repeated.isEmpty():
-        return
-    hit = nearby.alias("trg").join(repeated.alias("src"), merge.match, "left_semi")
-    if not hit.isEmpty():
-        raise DuplicateSourceKeyError(f"several source rows match one target row by {merge.source_keys}")
-
-
 def _look_up(merge: _Merge, nearby: DataFrame, matchable: DataFrame) -> DataFrame:
-    """Per matched target row: the source keys, whether it changes, and the other source values if so."""
-    keys = merge.source_keys
+    """Per matched target row: the source row and its keys, whether it changes, and the other values if so."""
+    keys = [*merge.source_keys, "_sid"]
     others = [name for name in matchable.columns if name not in keys]
     return (
         nearby.alias("trg")
@@ -343,19 +420,40 @@ def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
     )
 
 
-def _as_target(merge: _Merge, new: DataFrame, folder: str) -> DataFrame:
+def _as_target(merge: _Merge, new: DataFrame, staged: DataFrame, source_rows: int) -> DataFrame:
     """Source rows in the shape of the target; columns that are not set are NULL, new rows get new numbers."""
     identity = merge.table.identity
-    fields = [field for field in merge.target.schema if field.name != identity]
-    shaped = new.select(
-        *[
-            F.col(f"`{merge.set_columns[f.name]}`").cast(f.dataType).alias(f.name)
-            if f.name in merge.set_columns
-            else F.lit(None).cast(f.dataType).alias(f.name)
-            for f in fields
-        ]
-    )
-    if identity is None:
-        return shaped
-    last = merge.target.agg(F.max(f"`{identity}`")).first()[0] or 0
-    return assign_surrogate_key(shaped, identity, start=last + 1, folder=f"{folder}/numbered")
+    shaped = {
+        field.name: F.col(f"`{merge.set_columns[field.name]}`").cast(field.dataType)
+        if field.name in merge.set_columns
+        else F.lit(None).cast(field.dataType)
+        for field in merge.target.schema
+    }
+    if identity is not None:
+        first = _reserve(merge, source_rows)
+        # A row's place among all source rows: its task's rows are counted, one number for each task.
+        task = F.shiftright("_sid", _ROW_BITS)
+        counts = staged.groupBy(task.alias("_task")).agg(F.count("*").alias("_count"))
+        before = F.sum("_count").over(Window.orderBy("_task")) - F.col("_count")
+        new = new.withColumn("_task", task).join(counts.select("_task", before.alias("_before")), "_task")
+        row = F.col("_sid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+        shaped[identity] = F.lit(first) + F.col("_before") + row
+    return new.select(*(column.alias(name) for name, column in shaped.items()))
+
+
+def _reserve(merge: _Merge, count: int) -> int:
+    """The first of ``count`` numbers that no row of the table has. They are taken before any row is written.
+
+    The highest number taken lies in a folder beside the table, one small row for each upsert. Only a table
+    that was filled in another way is scanned for it, once.
+    """
+    spark = merge.target.sparkSession
+    taken = f"{merge.table.path.rstrip('/')}_numbers"
+    try:
+        last = spark.read.schema("last long").parquet(taken).agg(F.max("last")).first()[0]
+    except AnalysisException:
+        last = None
+    if last is None:
+        last = merge.target.agg(F.max(f"`{merge.table.identity}`")).first()[0] or 0
+    spark.createDataFrame([(last + count,)], "last long").coalesce(1).write.mode("append").parquet(taken)
+    return last + 1

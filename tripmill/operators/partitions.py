@@ -9,23 +9,12 @@ from pyspark.sql import DataFrame
 
 from tripmill.errors import PartitionColumnError
 
-# More distinct values than this means the columns do not partition a table in any useful way.
-MAX_PARTITIONS = 100_000
 
-
-def touched_partitions(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
-    """The distinct values of the partition ``columns``, sorted with NULL last.
-
-    The list goes to the driver, so it is checked: columns with more than ``MAX_PARTITIONS`` combinations
-    are refused, never cut short.
-    """
+def touched_partitions(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The distinct values of the partition ``columns``, one row each."""
     if not columns:
         raise PartitionColumnError("name at least one partition column")
     try:
-        found = df.select(*columns).distinct()
+        return df.select(*columns).distinct()
     except AnalysisException as error:
         raise PartitionColumnError(str(error)) from error
-    rows = [tuple(row) for row in found.limit(MAX_PARTITIONS + 1).collect()]
-    if len(rows) > MAX_PARTITIONS:
-        raise PartitionColumnError(f"{list(columns)} have more than {MAX_PARTITIONS} combinations")
-    return sorted(rows, key=lambda row: [(value is None, 0 if value is None else value) for value in row])

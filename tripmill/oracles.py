@@ -92,16 +92,16 @@ _TRIP_COLUMNS = [
     "TripType", "TripMode",
 ]
 _MERGE_KEYS = ["TripYear", *_KEYS.split(", ")]
+_ANY_CHANGE = " OR ".join(f"t.{column} <> s.{column}" for column in _TRIP_COLUMNS)
 
 
-def _merge(target: str, equal: str) -> str:
+def _merge(target: str, equal: str, changed: str = _ANY_CHANGE, more: str = "") -> str:
     """One upsert of ``src`` into ``target``."""
     on = " AND ".join(f"t.{key} {equal} s.{key}" for key in _MERGE_KEYS)
-    changed = " OR ".join(f"t.{column} <> s.{column}" for column in _TRIP_COLUMNS)
     take = f"t.here IS NULL OR (s.here IS NOT NULL AND coalesce({changed}, false))"
     values = ", ".join(f"CASE WHEN {take} THEN s.{c} ELSE t.{c} END AS {c}" for c in _TRIP_COLUMNS)
     return f"""
-        SELECT {values}
+        SELECT {values}{more}
         FROM (SELECT *, 1 AS here FROM {target}) t FULL OUTER JOIN (SELECT *, 1 AS here FROM src) s ON {on}"""
 
 
@@ -151,6 +151,20 @@ _DATE = (
 )
 _FULL_TIME = "CASE WHEN regexp_full_match({c}, '[0-9-]{{10}} [0-9:]{{8}}') THEN TRY_CAST({c} AS TIMESTAMP) END"
 
+# Columns of the green feed that come as text, and whether they hold whole numbers.
+_DIRTY_NUMBERS = {"passenger_count": True, "payment_type": True, "trip_distance": False}
+
+
+def _dirty_number(column: str) -> str:
+    return f"""CASE coalesce(RatecodeID, 0) % 5
+                   WHEN 1 THEN CAST(CAST(trunc({column}) AS INTEGER) AS VARCHAR) || '.0'
+                   WHEN 2 THEN 'x' WHEN 3 THEN '' ELSE CAST({column} AS VARCHAR) END AS {column}"""
+
+
+def _read_number(column: str, whole: bool) -> str:
+    return f"TRY_CAST(TRY_CAST({column} AS DOUBLE) AS INTEGER) AS {column}" if whole else f"TRY_CAST({column} AS DOUBLE) AS {column}"
+
+
 _ORACLES = {
     "table_scan_filter": "SELECT * FROM region WHERE r_regionkey = 0",
     "csv_roundtrip": 'SELECT o_orderdate, o_orderkey, o_orderpriority, o_totalprice AS "O_TotalPrice" FROM orders',
@@ -179,9 +193,24 @@ _ORACLES = {
     "clean_trips_both_locations": f"""
         WITH {_CONFORMED}
         SELECT DISTINCT * REPLACE (coalesce(payment_type, 5) AS payment_type, coalesce(RatecodeID, 1) AS RatecodeID)
-        FROM green
+        FROM (
+            SELECT *, 'Green' AS TripMode FROM green
+            UNION ALL
+            SELECT * RENAME (
+                tpep_pickup_datetime AS lpep_pickup_datetime, tpep_dropoff_datetime AS lpep_dropoff_datetime
+            ), 'Yellow' AS TripMode FROM yellow
+        )
         WHERE passenger_count > 0 AND trip_distance > 0.0
           AND PUlocationID IS NOT NULL AND DOlocationID IS NOT NULL""",
+    "dirty_feeds": f"""
+        WITH {_CONFORMED}, texts AS (
+            SELECT lpep_pickup_datetime, RatecodeID, {", ".join(_dirty_number(c) for c in _DIRTY_NUMBERS)} FROM green
+        )
+        SELECT lpep_pickup_datetime, RatecodeID,
+               {", ".join(_read_number(c, whole) for c, whole in _DIRTY_NUMBERS.items())},
+               {" + ".join(f"CASE WHEN {c} <> '' AND TRY_CAST({c} AS DOUBLE) IS NULL THEN 1 ELSE 0 END" for c in _DIRTY_NUMBERS)}
+               AS unreadable
+        FROM texts""",
     "distinct_rows": "SELECT DISTINCT user_id, event_type FROM events",
     "calendar_parts": f"""
         SELECT o_orderkey, o_orderdate, {_parts("o_orderdate", "Order")} FROM orders""",
@@ -202,13 +231,21 @@ _ORACLES = {
         SELECT TripMode, PickupTime, {_TYPE.format(code="RatecodeID")} AS TripType FROM conformed""",
     "trips_by_key": f"WITH {_CONFORMED},{_keyed()},{_first_row(_LATEST)} SELECT * FROM one_per_key",
     "trips_by_key_asc": f"WITH {_CONFORMED},{_keyed()},{_first_row(_CHEAPEST)} SELECT * FROM one_per_key",
+    "trips_by_key_per_feed": " UNION ALL ".join(
+        f"(WITH {_CONFORMED},{_keyed(f"TripMode = '{mode}'")},{_first_row(_LATEST, _KEYS.replace(', TripMode', ''))}"
+        " SELECT * FROM one_per_key)"
+        for mode in ("Green", "Yellow")
+    ),
     "busiest_key": "",
     "upsert_trips": _upserted("=", runs=1),
     "upsert_trips_rerun": _upserted("=", runs=2),
     "upsert_null_safe": _upserted("IS NOT DISTINCT FROM", runs=1),
     "upsert_null_safe_rerun": _upserted("IS NOT DISTINCT FROM", runs=2),
+    "upsert_mapped": f"WITH {_SIDES}" + _merge("trg", "=", "t.TotalAmount < s.TotalAmount AND s.PaymentType <> 1"),
+    "upsert_numbered": f"WITH {_SIDES}"
+    + _merge("trg", "IS NOT DISTINCT FROM", more=", t.here IS NULL AS is_new, true AS number_ok"),
     "upsert_report": _REPORT,
-    "merged_partitions": f"WITH {_trips()} SELECT DISTINCT TripYear FROM trips WHERE TripYear >= 1999",
+    "merged_partitions": f"WITH {_trips()} SELECT DISTINCT TripYear FROM trips",
     "conformed_trips": f"WITH {_trips()} SELECT * FROM trips",
     "conformed_trips_both_locations": f"""
         WITH {_trips(_WHOLE + " AND DropLocationId IS NOT NULL", _CHEAPEST)} SELECT * FROM trips""",

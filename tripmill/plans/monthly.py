@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.operators import UpsertReport, upsert
-from tripmill.plans.trips import MERGE_KEYS, RAW_COLUMNS, conform_feeds, to_trips
+from tripmill.plans.trips import MERGE_KEYS, RAW_COLUMNS, conform_feeds, to_trips, typed_feed
 from tripmill.sources import Table, ensure_table, read_feeds
 
 
@@ -67,8 +68,22 @@ TRIP_SCHEMA = T.StructType(
 
 
 def trip_table(name: str, path: str) -> Table:
-    """The trip table: partitioned by year, numbered by ``TaxiDataId``."""
-    return Table(path=path, partition_by=("TripYear",), identity="TaxiDataId", name=name)
+    """The trip table: partitioned by year and month, clustered by time, numbered by ``TaxiDataId``."""
+    return Table(
+        path=path,
+        partition_by=("TripYear", "TripMonth"),
+        identity="TaxiDataId",
+        name=name,
+        cluster_by=("PickupTime",),
+    )
+
+
+def _counted(feed: DataFrame, types: Mapping[str, T.DataType]) -> tuple[DataFrame, Observation]:
+    """The typed feed; whoever reads it all counts its unreadable values on the way."""
+    _, bad = typed_feed(feed, types)
+    seen = Observation()
+    # Counted on the text, before it is read as another type.
+    return typed_feed(feed.observe(seen, F.coalesce(F.sum(bad), F.lit(0)).alias("unreadable")), types)[0], seen
 
 
 def run_month(
@@ -82,13 +97,17 @@ def run_month(
 ) -> UpsertReport:
     """Load the trips of ``month`` (``yyyy-MM``, or a glob over months) into ``table``; create it if needed.
 
-    ``types=None`` lets Spark infer the raw types, at the price of reading every file twice. The trips are
-    computed once: the upsert stages them, which takes the place of a cache and survives lost executors.
+    ``types=None`` lets Spark infer the raw types, at the price of reading every file twice; the trips are the
+    same. Values that cannot be read as their type are NULL, and the report counts them. The trips are computed
+    once: the upsert stages them, which takes the place of a cache and survives lost executors.
     """
     locations = [
         (f"{landing.rstrip('/')}/{feed.path.format(month=month)}", feed.columns) for feed in FEEDS.values()
     ]
-    green, yellow = read_feeds(spark, locations, types=types, separator=separator)
+    as_text = None if types is None else dict.fromkeys(types, T.StringType())
+    feeds = read_feeds(spark, locations, types=as_text, separator=separator)
+    (green, of_green), (yellow, of_yellow) = (_counted(feed, types or RAW_TYPES) for feed in feeds)
     trips = to_trips(conform_feeds(green, yellow))
     ensure_table(spark, TRIP_SCHEMA, table)
-    return upsert(trips, table, MERGE_KEYS, null_safe_keys=null_safe_keys)
+    report = upsert(trips, table, MERGE_KEYS, null_safe_keys=null_safe_keys)
+    return replace(report, unreadable=of_green.get["unreadable"] + of_yellow.get["unreadable"])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tripmill.functions import readable, unreadable
 from tripmill.operators import (
     add_calendar_parts,
     add_constants,
@@ -40,7 +43,29 @@ TRIP_KEYS = [
     "PickupTime", "DropTime", "PickupLocationId", "DropLocationId", "PaymentType",
     "VendorID", "PassengerCount", "TripType", "TripMode",
 ]
-MERGE_KEYS = ["TripYear", *TRIP_KEYS]
+# Year and month follow from the time, so they change no match; the table is partitioned by them.
+MERGE_KEYS = ["TripYear", "TripMonth", *TRIP_KEYS]
+
+
+def typed_feed(feed: DataFrame, types: Mapping[str, T.DataType]) -> tuple[DataFrame, Column]:
+    """A raw feed with the columns that came as text read as their type, and the number of values of a row that
+    cannot be read. Whole numbers that came as floating point become whole numbers, too."""
+    wanted = {name.lower(): data_type for name, data_type in types.items()}
+    made, bad = {}, F.lit(0)
+    for field in feed.schema:
+        data_type, column = wanted.get(field.name.lower()), F.col(f"`{field.name}`")
+        if data_type is None or field.dataType == data_type:
+            continue
+        if isinstance(field.dataType, T.StringType):
+            made[field.name] = readable(column, data_type)
+            bad = bad + F.when(unreadable(column, data_type), 1).otherwise(0)
+        elif isinstance(field.dataType, T.FractionalType) and isinstance(data_type, T.IntegralType):
+            whole = F.when(column == F.floor(column), column.try_cast(data_type))
+            made[field.name] = whole
+            bad = bad + F.when(column.isNotNull() & whole.isNull(), 1).otherwise(0)
+        elif isinstance(data_type, (T.IntegralType, T.FractionalType)):
+            made[field.name] = column.try_cast(data_type)
+    return (feed.withColumns(made) if made else feed), bad
 
 
 def conform_feeds(green: DataFrame, yellow: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ from tripmill.plans.trips import (
     TRIP_DEFAULTS,
     TRIP_FILTER,
     TRIP_REQUIRED,
+    typed_feed,
 )
 from tripmill.scratch import new_folder, stage
 from tripmill.sources import Table, ensure_table, read_delimited, read_table, scan_where, write_table
@@ -109,10 +110,10 @@ def partitioned_table_read(spark: SparkSession, tables: str) -> DataFrame:
     ensure_table(spark, orders.schema, table)
     write_table(orders, table)
     late = scan_where(spark, table.name, "o_orderdate >= '2000-06-01'")
-    years = [year for (year,) in touched_partitions(late, ["OrderYear"])]
+    years = stage(touched_partitions(late, ["OrderYear"]), new_folder(spark, "years"))
     # The files are not the catalog's, so dropping its entry leaves them to be read by path.
     spark.sql(f"DROP TABLE {table.name}")
-    return read_table(spark, replace(table, name=None)).filter(F.col("OrderYear").isin(years))
+    return read_table(spark, replace(table, name=None)).join(years, "OrderYear", "left_semi")
 
 
 def surrogate_key(spark: SparkSession, tables: str) -> DataFrame:
@@ -159,8 +160,35 @@ def clean_trips(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def clean_trips_both_locations(spark: SparkSession, tables: str) -> DataFrame:
-    """The raw green feed cleaned by the default rules: a trip needs both locations."""
-    return clean(sample_feed(spark, tables, "green"), RAW_FILTER, RAW_REQUIRED, RAW_DEFAULTS)
+    """Both raw feeds cleaned by the default rules: a trip needs both locations."""
+    times = ["pickup_datetime", "dropoff_datetime"]
+    yellow = rename_columns(
+        sample_feed(spark, tables, "yellow"), [f"tpep_{name}" for name in times], [f"lpep_{name}" for name in times]
+    )
+    both = union_feeds(
+        add_constants(sample_feed(spark, tables, "green"), ["TripMode"], ["Green"]),
+        add_constants(yellow, ["TripMode"], ["Yellow"]),
+    )
+    return clean(both, RAW_FILTER, RAW_REQUIRED, RAW_DEFAULTS)
+
+
+def dirty_feeds(spark: SparkSession, tables: str) -> DataFrame:
+    """The green feed with codes and counts as text, some of it ``1.0``, ``x`` or empty, read as their types."""
+    feed = sample_feed(spark, tables, "green")
+    kind = F.coalesce("RatecodeID", F.lit(0)) % 5
+    made = {}
+    for name in ("passenger_count", "payment_type", "trip_distance"):
+        text = F.col(name).cast("string")
+        made[name] = (
+            F.when(kind == 1, F.concat(F.col(name).cast("int").cast("string"), F.lit(".0")))
+            .when(kind == 2, F.lit("x"))
+            .when(kind == 3, F.lit(""))
+            .otherwise(text)
+        )
+    text_feed = feed.withColumns(made)
+    _, bad = typed_feed(text_feed, RAW_TYPES)
+    typed, _ = typed_feed(text_feed.withColumn("unreadable", bad), RAW_TYPES)
+    return typed.select("lpep_pickup_datetime", "RatecodeID", *made, "unreadable")
 
 
 def distinct_rows(spark: SparkSession, tables: str) -> DataFrame:
@@ -238,6 +266,16 @@ def trips_by_key_asc(spark: SparkSession, tables: str) -> DataFrame:
     return dedup_by_key(_keyed(spark, tables), TRIP_KEYS, ["TotalAmount"], ascending=True)
 
 
+def trips_by_key_per_feed(spark: SparkSession, tables: str) -> DataFrame:
+    """The last row per business key of each feed by itself; the feeds are put together afterwards."""
+    keyed = _keyed(spark, tables)
+    keys = [name for name in TRIP_KEYS if name != "TripMode"]
+    green, yellow = (
+        dedup_by_key(keyed.filter(F.col("TripMode") == mode), keys, ["PickupTime"]) for mode in ("Green", "Yellow")
+    )
+    return union_feeds(green, yellow)
+
+
 def busiest_key(spark: SparkSession, tables: str) -> DataFrame:
     """One row per key where very few keys hold all the rows: the dearest trip per mode and type."""
     return dedup_by_key(_keyed(spark, tables), ["TripMode", "TripType"], ["TotalAmount", "PickupTime"])
@@ -251,7 +289,7 @@ _TARGET_UNTIL = _SOURCE_FROM = 1999
 def _upsert_sides(spark: SparkSession, tables: str) -> tuple[DataFrame, Table]:
     """Trips from 1999 on as source, some at another price; a table with the trips until 1999."""
     trips = stage(_trips(spark, tables), new_folder(spark, "trips"))
-    table = Table(new_folder(spark, "trip-table"), ("TripYear",))
+    table = Table(new_folder(spark, "trip-table"), ("TripYear", "TripMonth"), cluster_by=("PickupTime",))
     write_table(trips.filter(F.col("TripYear") <= _TARGET_UNTIL), table)
     dearer = F.col("TotalAmount") + F.when(F.col("VendorID") == 1, 1.0).otherwise(0.0)
     return trips.filter(F.col("TripYear") >= _SOURCE_FROM).withColumn("TotalAmount", dearer), table
@@ -284,18 +322,59 @@ def upsert_null_safe_rerun(spark: SparkSession, tables: str) -> DataFrame:
     return _upserted(spark, tables, runs=2, null_safe=True)
 
 
+def upsert_mapped(spark: SparkSession, tables: str) -> DataFrame:
+    """The table after an upsert from a source with other names, by a condition as text."""
+    source, table = _upsert_sides(spark, tables)
+    columns = {name: f"new_{name}" for name in source.columns}
+    upsert(
+        source.withColumnsRenamed(columns),
+        table,
+        [(name, columns[name]) for name in MERGE_KEYS],
+        columns=columns,
+        update_when="trg.TotalAmount < src.new_TotalAmount AND src.new_PaymentType <> 1",
+    )
+    return read_table(spark, table)
+
+
+def upsert_numbered(spark: SparkSession, tables: str) -> DataFrame:
+    """The numbered table after two upserts: which rows are new, and whether each number is as it should be.
+
+    Numbers must be unique; a row that was there keeps its number, and a new one has a higher one than all old.
+    """
+    source, plain = _upsert_sides(spark, tables)
+    table = replace(plain, path=new_folder(spark, "numbered-trips"), identity="TaxiDataId")
+    start = source.limit(0).withColumn("TaxiDataId", F.lit(None).cast("bigint"))
+    write_table(start, table)
+    table = replace(table, schema=start.schema)
+    upsert(read_table(spark, plain), table, MERGE_KEYS, null_safe_keys=True)
+    before = stage(read_table(spark, table), new_folder(spark, "before"))
+    upsert(source, table, MERGE_KEYS, null_safe_keys=True)
+    old = before.select(F.col("TaxiDataId").alias("old_id"), *(F.col(k).alias(f"old_{k}") for k in MERGE_KEYS))
+    highest = before.agg(F.max("TaxiDataId").alias("highest"))
+    after = read_table(spark, table)
+    uses = after.groupBy("TaxiDataId").agg(F.count("*").alias("uses"))
+    same = [F.col(k).eqNullSafe(F.col(f"old_{k}")) for k in MERGE_KEYS]
+    joined = after.join(uses, "TaxiDataId").join(old, same, "left").join(F.broadcast(highest))
+    right = (F.col("uses") == 1) & F.when(
+        F.col("old_id").isNull(), F.col("TaxiDataId") > F.col("highest")
+    ).otherwise(F.col("TaxiDataId") == F.col("old_id"))
+    return joined.select(
+        *source.columns, F.col("old_id").isNull().alias("is_new"), F.coalesce(right, F.lit(False)).alias("number_ok")
+    )
+
+
 def upsert_report(spark: SparkSession, tables: str) -> DataFrame:
     """What the first upsert counts."""
     source, table = _upsert_sides(spark, tables)
     report: UpsertReport = upsert(source, table, MERGE_KEYS)
-    counts = {name: value for name, value in asdict(report).items() if name != "rewritten_partitions"}
-    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+    names = ("source_rows", "matched", "updated", "inserted")
+    counts = [tuple(asdict(report)[name] for name in names)]
+    return spark.createDataFrame(counts, ", ".join(f"{name} bigint" for name in names))
 
 
 def merged_partitions(spark: SparkSession, tables: str) -> DataFrame:
-    """The partitions a batch touches."""
-    source = _trips(spark, tables).filter(F.col("TripYear") >= _SOURCE_FROM)
-    return spark.createDataFrame(touched_partitions(source, ["TripYear"]), "TripYear int")
+    """The partitions that all trips touch."""
+    return touched_partitions(_trips(spark, tables), ["TripYear"])
 
 
 # ---- plans
@@ -342,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         union_by_position,
         clean_trips,
         clean_trips_both_locations,
+        dirty_feeds,
         distinct_rows,
         calendar_parts,
         calendar_parts_dirty_text,
@@ -350,11 +430,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         trip_type,
         trips_by_key,
         trips_by_key_asc,
+        trips_by_key_per_feed,
         busiest_key,
         upsert_trips,
         upsert_trips_rerun,
         upsert_null_safe,
         upsert_null_safe_rerun,
+        upsert_mapped,
+        upsert_numbered,
         upsert_report,
         merged_partitions,
         conformed_trips,

@@ -2,35 +2,32 @@
 
 A staged table is read back by later jobs, maybe after the executor that wrote it is gone, so it belongs in
 the folder all executors share. The cluster names that folder in ``spark.checkpoint.dir``.
+
+Everything here goes through settings, readers, writers and SQL, so it also runs in sessions that have no access
+to the driver's JVM.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``.
-
-    Only a local-mode session may leave it unset; it then gets a temporary folder of its own, for tests.
-    """
+    """The folder named in ``spark.checkpoint.dir``, else one below the warehouse, which is shared as well."""
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get(_WAREHOUSE, None)
+    if not warehouse:
         raise ValueError(f"{SETTING} must name a folder shared by all executors")
-    return _test_folder()
-
-
-@cache
-def _test_folder() -> str:
-    return tempfile.mkdtemp(prefix="tripmill-")
+    return f"{warehouse.rstrip('/')}/_staging"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -49,6 +46,21 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder made by :func:`new_folder`, on whatever file system it lives."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    """Remove a folder made by :func:`new_folder`, on whatever file system it lives.
+
+    A schema is laid over the folder and dropped, which deletes the folder: SQL has no plain delete for files.
+    """
+    name = f"tripmill_drop_{uuid.uuid4().hex}"
+    literal = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE SCHEMA {name} LOCATION '{literal}'")
+    spark.sql(f"DROP SCHEMA {name} CASCADE")
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new folder that is gone afterwards, also after an error."""
+    path = new_folder(spark, label)
+    try:
+        yield path
+    finally:
+        drop_folder(spark, path)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmill.functions import readable
+
 
 def read_delimited(
     spark: SparkSession,
@@ -22,8 +25,9 @@ def read_delimited(
     file cannot be split, so it is read by one task: deliver many files rather than a large one.
 
     Without ``types`` Spark infers them, which reads all the data one extra time. With ``types`` only the
-    header line is read up front: named columns get their type, other columns are text, and a value that
-    does not parse becomes NULL. Each file's header must then name the same columns in the same order;
+    header line is read up front: named columns get their type, other columns are text. A whole number written
+    as ``1.0`` is read as one, and only a value that cannot be read as its type becomes NULL; to count those, read
+    the columns as text and use :func:`~tripmill.functions.unreadable`. Each file's header must then name the same columns in the same order;
     another order raises instead of filling the wrong columns.
 
     Columns are found without regard to case and come out in the spelling asked for.
@@ -34,9 +38,14 @@ def read_delimited(
 
     wanted = {name.lower(): data_type for name, data_type in types.items()}
     names = spark.read.csv(path, header=header, sep=separator).columns
-    schema = T.StructType([T.StructField(name, wanted.get(name.lower(), T.StringType())) for name in names])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     raw = spark.read.csv(path, schema=schema, header=header, sep=separator, enforceSchema=not header)
-    return raw.select(*columns)
+    typed = {
+        name: readable(F.col(f"`{name}`"), wanted[name.lower()])
+        for name in names
+        if not isinstance(wanted.get(name.lower(), T.StringType()), T.StringType)
+    }
+    return raw.withColumns(typed).select(*columns) if typed else raw.select(*columns)
 
 
 def read_feeds(

@@ -1,4 +1,8 @@
-"""Parquet tables at a path, with or without a catalog entry."""
+"""Tables at a path, with or without a catalog entry.
+
+Everything goes through readers, writers, SQL and the catalog, so it also runs in sessions that have no access to
+the driver's JVM.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +10,25 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.errors import PartitionColumnError
 
 
+# Partitions made known to the catalog by one statement.
+_SPECS = 500
+
+
 @dataclass(frozen=True)
 class Table:
-    """A parquet table: its folder, and optionally its catalog name, partition and surrogate key columns.
+    """A table: its folder, and optionally its catalog name, partition, surrogate key and cluster columns.
+
+    Each write is sorted by the cluster columns within its partitions, so that a file, and a row group in it,
+    holds a narrow range of them. ``format`` is ``parquet``, or a catalog format with a MERGE of its own, which
+    an upsert then uses; such a table needs a name, and its own way of creation.
 
     ``schema`` is for tables without a name whose partition values look like another type than they are:
     by default Spark reads the types of partition columns off the folder names.
@@ -25,6 +39,8 @@ class Table:
     identity: str | None = None
     name: str | None = None
     schema: T.StructType | None = None
+    cluster_by: tuple[str, ...] = ()
+    format: str = "parquet"
 
 
 def quoted(name: str) -> str:
@@ -56,12 +72,10 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     if unknown:
         raise PartitionColumnError(f"not columns of the table: {unknown}")
 
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.path)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if spark.catalog.tableExists(table.name):
         details = spark.sql(f"DESCRIBE FORMATTED {table.name}")
         location = details.filter("col_name = 'Location'").first()["data_type"]
-        if location.rstrip("/") != files.makeQualified(path).toString().rstrip("/"):
+        if not _same_place(location, table.path):
             raise ValueError(f"table {table.name} lies at {location}, not at {table.path}")
         return table
 
@@ -70,13 +84,38 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
         partitioned = f"PARTITIONED BY ({', '.join(map(quoted, table.partition_by))})"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({table_ddl(schema, table.identity)}) "
-        f"USING parquet {partitioned} LOCATION {_text_literal(table.path)}"
+        f"USING {table.format} {partitioned} LOCATION {_text_literal(table.path)}"
     )
-    if table.partition_by and files.exists(path):
+    if table.partition_by and _has_files(spark, table.path):
         spark.catalog.recoverPartitions(table.name)
     return table
 
 
+def _same_place(one: str, other: str) -> bool:
+    """Whether two paths name one folder. A path without a scheme is on the file system of the other one."""
+    (scheme, path), (other_scheme, other_path) = (_split_path(text) for text in (one, other))
+    return path == other_path and (scheme == other_scheme or "" in (scheme, other_scheme))
+
+
+def _split_path(text: str) -> tuple[str, str]:
+    """The file system (``file:`` without a host, ``hdfs://host``) and the path on it."""
+    scheme, colon, rest = text.partition(":")
+    if not colon or "/" in scheme:
+        scheme, rest = "", text
+    host = ""
+    if rest.startswith("//"):
+        host, _, rest = rest[2:].partition("/")
+    path = "/" + rest.strip("/")
+    return (f"{scheme}://{host}" if host else scheme), path
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False
+
+
 def read_table(spark: SparkSession, table: Table) -> DataFrame:
     """The table, through the catalog if it has a name there, else by path."""
     if table.name:
@@ -103,12 +142,19 @@ def write_table(
     given, it looks through the table's folder.
 
     Rows are brought together by partition before the write, or every task would open a file in every
-    partition. ``rebalance`` does it by size: small partitions share a task and a large one is split over
-    many, so a partition with a third of all rows does not become one file written by one task.
+    partition. With cluster columns they are dealt by ranges of (partition, cluster columns) and sorted, so a
+    large partition is many narrow ranges. Without, ``rebalance`` does it by size: small partitions share a task
+    and a large one is split over many. That splitting is adaptive execution's; with it off, a partition is
+    written by one task.
     """
     if mode not in ("overwrite", "append", "partitions"):
         raise ValueError(f"unknown mode {mode!r}")
-    writer = (df.hint("rebalance", *table.partition_by) if table.partition_by else df).write
+    if table.cluster_by:
+        order = [F.col(f"`{name}`") for name in (*table.partition_by, *table.cluster_by)]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    elif table.partition_by:
+        df = df.hint("rebalance", *table.partition_by)
+    writer = df.write
     if mode == "partitions":
         if not table.partition_by:
             raise PartitionColumnError("the table has no partitions to replace")
@@ -123,9 +169,10 @@ def write_table(
         return
     if table.partition_by and touched is None:
         spark.catalog.recoverPartitions(table.name)
-    elif table.partition_by and touched:
-        specs = " ".join(_partition_spec(table.partition_by, values) for values in touched)
-        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {specs}")
+    elif table.partition_by:
+        for first in range(0, len(touched), _SPECS):
+            specs = " ".join(_partition_spec(table.partition_by, v) for v in touched[first : first + _SPECS])
+            spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {specs}")
     spark.catalog.refreshTable(table.name)
 
 
@@ -133,7 +180,8 @@ def write_table(
 def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
     """Spark's default for timestamps in parquet, INT96, has no minimum and maximum to skip row groups by.
 
-    The format is a session setting and no option of a single write, so it is put back afterwards.
+    The format is a session setting and no option of a single write, so it is put back afterwards. Another
+    thread that writes in the same session meanwhile writes this format too.
     """
     setting = "spark.sql.parquet.outputTimestampType"
     before = spark.conf.get(setting)
