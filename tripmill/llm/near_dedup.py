@@ -9,7 +9,7 @@ weighted Jaccard similarity. Bands of registers give candidates, and candidates
 
 Equal texts are one node. A bucket of a band links its nodes to one of them, a different one in each band, so a
 bucket of any size gives one candidate a node. Nodes of a bucket that the verified links leave in different
-components are then compared with each other, so that no link between components is lost.
+components are then compared with each other, block by block, so that no link between components is lost.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,9 @@ BANDS = 24
 ROWS = 4
 # Pairs of texts verified at once by a task.
 _PAIRS = 64
+# Nodes of a block, where blocks of a bucket are compared, and columns of the matrix that does it.
+_BLOCK = 256
+_COLUMNS = 4096
 
 _U = np.uint64
 _STEPS = tuple(_U(x) for x in (0xD1B54A32D192ED03, 0xABC98388FB8FAC03, 0x8CB92BA72F3D8DD7, 0xF1357AEA2E62A9C5))
@@ -169,14 +173,20 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- verification
 
 
-def _bag_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key of row and shingle, row, multiplicity), sorted by key."""
+def _bag_keys_of_rows(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle, row, multiplicity)."""
     found = [(np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for words in textscan.scan(texts):
         owner, made, weight = bags(words)
-        row = owner + words.first
-        found.append((textscan.mix(made + textscan.mix(row.astype(_U))), row, weight))
-    key, row, weight = (np.concatenate(x) for x in zip(*found))
+        found.append((made, owner + words.first, weight))
+    shingle, row, weight = (np.concatenate(x) for x in zip(*found))
+    return shingle, row, weight
+
+
+def _bag_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key of row and shingle, row, multiplicity), sorted by key."""
+    shingle, row, weight = _bag_keys_of_rows(texts)
+    key = textscan.mix(shingle + textscan.mix(row.astype(_U)))
     order = np.argsort(key)
     return key[order], row[order], weight[order]
 
@@ -210,6 +220,66 @@ def _links(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return joined.mapInArrow(_verified(similarity), "a binary, b binary")
 
 
+# ---- the rest of a bucket
+
+
+def _block_pairs(members: DataFrame) -> DataFrame:
+    """The members of a bucket in blocks, each block with itself and every other: (left, right) is one comparison.
+
+    A comparison holds two blocks at most, whatever the bucket's size.
+    """
+    blocks = F.ceil(F.col("n") / _BLOCK).cast("int")
+    own = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = own.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return other.select(
+        "band", "node", "root", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
+    )
+
+
+def _compare_blocks(similarity: float):
+    """Links between nodes of different components, one for each two components.
+
+    Bags are rows of a matrix with a column for each shingle's first, second, ... occurrence, so that the product
+    of two rows is the overlap of their bags.
+    """
+
+    def run(task: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []})
+        roots, codes = np.unique(task["root"].to_numpy(dtype=object), return_inverse=True)
+        if len(roots) == 1:
+            return none
+        shingle, row, weight = _bag_keys_of_rows(pa.array(task["row_text"], pa.string()))
+        total = np.bincount(row, weight, minlength=len(task))
+        repeated = np.repeat(np.arange(len(row)), weight)
+        nth = np.arange(len(repeated)) - np.repeat(np.cumsum(weight) - weight, weight)
+        key = textscan.mix(shingle[repeated] + nth.astype(_U) * _STEPS[1])
+        row = row[repeated]
+        _, column, count = np.unique(key, return_inverse=True, return_counts=True)
+        # A shingle of one text only overlaps nothing.
+        shared = count[column] > 1
+        row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+        block, left = task["block"].to_numpy(), int(task["left"].iloc[0])
+        ups, downs = np.flatnonzero(block == left), np.flatnonzero(block == int(task["right"].iloc[0]))
+        overlap = np.zeros((len(ups), len(downs)), np.float32)
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            part = slice(np.searchsorted(column, first), np.searchsorted(column, first + _COLUMNS))
+            matrix = np.zeros((len(task), _COLUMNS), np.float32)
+            matrix[row[part], column[part] - first] = 1
+            overlap += matrix[ups] @ matrix[downs].T
+        union = total[ups][:, None] + total[downs][None, :] - overlap
+        near = (overlap >= (similarity - 1e-12) * union) & (overlap > 0) & (codes[ups][:, None] != codes[downs][None, :])
+        a, b = np.nonzero(near)
+        a, b = ups[a], downs[b]
+        pair = np.minimum(codes[a], codes[b]) * len(roots) + np.maximum(codes[a], codes[b])
+        _, one = np.unique(pair, return_index=True)
+        node = task["node"].to_numpy(dtype=object)
+        return pd.DataFrame({"a": node[a[one]], "b": node[b[one]]}) if len(one) else none
+
+    return run
+
+
 # ---- components
 
 
@@ -311,29 +381,23 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float) ->
     texts = rows.join(involved, of_node, "left_semi").select("node", "row_text").dropDuplicates(["node"])
     texts = stage(texts, new_folder(spark, "texts"))
 
-    def ordered(left: str, right: str) -> list[Column]:
-        return [F.least(left, right).alias("b"), F.greatest(left, right).alias("a")]
-
     # The leader of each bucket with each of its other nodes.
     stars = shared.filter(F.col("node") != F.col("leader"))
-    tried = stars.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-    tried = tried.groupBy(*ordered("a", "b")).agg(F.count("*").alias("n"))
-    tried = stage(tried.select("a", "b"), new_folder(spark, "stars"))
-    links = stage(_links(tried, texts, similarity), new_folder(spark, "links"))
+    stars = stars.groupBy(F.least("leader", "node").alias("b"), F.greatest("leader", "node").alias("a"))
+    stars = stage(stars.agg(F.count("*").alias("n")).select("a", "b"), new_folder(spark, "stars"))
+    links = stage(_links(stars, texts, similarity), new_folder(spark, "links"))
     found = stage(components(links), new_folder(spark, "components"))
 
     # Nodes of one bucket that are not connected yet, compared with each other.
     placed = shared.filter("n > 2").join(found, "node", "left")
-    placed = placed.select("band", "node", F.coalesce("root", "node").alias("root"))
+    placed = placed.select("band", "n", "node", F.coalesce("root", "node").alias("root"))
     placed = stage(placed, new_folder(spark, "placed"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("first"), F.max("root").alias("last"))
     mixed = mixed.filter(F.col("first") != F.col("last")).select("band")
-    apart = placed.join(mixed, "band", "left_semi")
-    other = apart.select("band", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    rest = apart.join(other, "band").filter((F.col("root") != F.col("other_root")) & (F.col("node") < F.col("other")))
-    rest = rest.groupBy(*ordered("node", "other")).agg(F.count("*").alias("n")).select("a", "b")
-    rest = stage(rest.join(tried, ["a", "b"], "left_anti"), new_folder(spark, "rest"))
-    more = stage(_links(rest, texts, similarity), new_folder(spark, "links"))
+    tasks = _block_pairs(placed.join(mixed, "band", "left_semi"))
+    tasks = tasks.join(texts, "node").select("band", "left", "right", "block", "node", "root", "row_text")
+    more = tasks.groupBy("band", "left", "right").applyInPandas(_compare_blocks(similarity), "a binary, b binary")
+    more = stage(more, new_folder(spark, "links"))
     if not more.isEmpty():
         found = stage(components(links.unionByName(more)), new_folder(spark, "components"))
 
