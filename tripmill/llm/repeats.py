@@ -208,8 +208,9 @@ def _finished(depth: int, with_kept: bool, schema: pa.Schema):
 def _cut(depth: int, size: int):
     """From runs with the blocks that go on to the digits of those blocks' parts of ``size`` windows.
 
-    Parts are counted from the anchor, so that equal windows are in equal parts; ``group`` is the anchor's digit
-    and the part's number, and ``key`` its bytes.
+    Parts are counted from the anchor, so that equal windows are in equal parts. ``group`` is the anchor's digit,
+    the part's number, and the bytes that all its windows share: a window can only be equal to one of its group.
+    ``key`` is the bytes of the whole part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +229,11 @@ def _cut(depth: int, size: int):
                     parts_near = np.maximum(tops, near)
                     starts = reach[row] - parts_far
                     lengths = parts_far - parts_near + 1
-                    group = textscan.mix((tops // size).astype(_U) + digits[row])
+                    # All windows of a whole part have these bytes in common.
+                    inner = reach[row] - tops
+                    inner_ends = np.maximum(inner - size + 1 + depth, inner)
+                    shared = hashes.second(inner, inner_ends)
+                    group = textscan.mix(textscan.mix((tops // size).astype(_U) + digits[row]) + shared)
                     shape = (parts_far << _LOW | lengths).astype(_U)
                     key = textscan.mix(hashes.first(starts, starts + lengths - 1 + depth) + shape)
                     found.append((np.full(len(starts), row), group, key, starts, lengths))
