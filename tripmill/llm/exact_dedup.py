@@ -1,14 +1,14 @@
 """Exact deduplication by a content sort.
 
-Rows are range-partitioned by (normalised text, id) with splitters that Spark samples, sorted on each partition
-(the sort spills), and neighbours are compared in full. The id is part of the sort key, so copies of one text
-that hold a third of all rows are spread over many partitions; the runs that touch a partition's edge are then
-stitched together by comparing the edge texts, of which there are two a partition at most.
+Rows are range-partitioned by (beginning of the normalised text, its digest, id) with splitters that Spark samples,
+sorted on each partition (the sort spills), and neighbours are compared in full. Splitters are sampled from keys of
+bounded size, so long texts do not go through the driver. The id is part of the sort key, so copies of one text that
+hold a third of all rows are spread over many partitions; the runs that touch a partition's edge are then stitched
+together by comparing the edge texts, of which there are two a partition at most.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,13 +17,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tripmill.llm.common import whole_text
 from tripmill.scratch import new_folder, stage
 
 # A run's number is its partition times this plus its place there.
 _RUNS_PER_PARTITION = 1 << 40
+# Characters of a text that go into the keys the splitters are sampled from.
+_HEAD = 32
 
 
 def _starts(values: pa.Array, before: pa.Scalar | None) -> pa.Array:
@@ -37,54 +38,52 @@ def _starts(values: pa.Array, before: pa.Scalar | None) -> pa.Array:
     return pa.concat_arrays([pa.array([first]), pc.and_not(differ, both_null)])
 
 
-def _runs(payload: list[str], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _runs(payload: list[str], names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """From sorted rows to (id, digest, run, repeat, edge text, payload of the first row of each run)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() * _RUNS_PER_PARTITION
-        number, digest, text_before, id_before, last = -1, b"", None, None, None
-        first_texts: str | None = None
+        number, text_before, id_before, last = -1, None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             texts, ids = batch.column("sort_text"), batch.column("sort_id")
             new_run = _starts(texts, text_before)
             new_row = pc.or_(new_run, _starts(ids, id_before)).to_pylist()
-            numbers, digests, repeats, edges = [], [], [], []
+            numbers, repeats, edges = [], [], []
             for i, starts in enumerate(new_run.to_pylist()):
                 edge = None
                 if starts:
                     number += 1
-                    text = texts[i].as_py()
-                    digest = hashlib.sha256(text.encode()).digest()
                     if number == 0:
-                        edge = first_texts = text
+                        edge = texts[i].as_py()
                 numbers.append(base + number)
-                digests.append(digest)
                 repeats.append(not new_row[i])
                 edges.append(edge)
             text_before, id_before = texts[-1], ids[-1]
             columns = [
                 ids,
-                pa.array(digests, pa.binary()),
+                batch.column("digest"),
                 pa.array(numbers, pa.int64()),
                 pa.array(repeats, pa.bool_()),
                 pa.array(edges, pa.string()),
                 new_run,
             ]
-            columns += [pc.if_else(new_run, batch.column(f"p_{name}"), pa.scalar(None, batch.schema.field(f"p_{name}").type)) for name in payload]
+            # Only the first row of a run may stay, so only its payload goes on.
+            first = pc.if_else(new_run, pa.array(range(batch.num_rows)), None)
+            columns += [batch.column(f"p_{name}").take(first) for name in payload]
             if last is not None:
                 yield last
-            last = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+            last = pa.RecordBatch.from_arrays(columns, names=names)
         if last is None:
             return
         if number > 0:
             # The last row carries the text of the last run. It is no first run, so its cell is free.
             edges = last.column("edge_text").to_pylist()
             edges[-1] = text_before.as_py()
-            at = schema.get_field_index("edge_text")
+            at = names.index("edge_text")
             last = pa.RecordBatch.from_arrays(
-                [*last.columns[:at], pa.array(edges, pa.string()), *last.columns[at + 1 :]], schema=schema
+                [*last.columns[:at], pa.array(edges, pa.string()), *last.columns[at + 1 :]], names=names
             )
         yield last
 
@@ -95,12 +94,15 @@ def _sorted_runs(
     docs: DataFrame, id_col: str, text_col: str, largest: bool, normalise: Callable[[Column], Column] | None, payload: list[str]
 ) -> DataFrame:
     text = whole_text(text_col)
+    text = normalise(text) if normalise else text
     rows = docs.select(
         F.col(id_col).alias("sort_id"),
-        (normalise(text) if normalise else text).alias("sort_text"),
+        text.alias("sort_text"),
+        F.substring(text, 1, _HEAD).alias("sort_head"),
+        F.unhex(F.sha2(text, 256)).alias("digest"),
         *(F.col(name).alias(f"p_{name}") for name in payload),
     )
-    order = ["sort_text", F.desc_nulls_last("sort_id") if largest else F.asc_nulls_last("sort_id")]
+    by_id = F.desc_nulls_last("sort_id") if largest else F.asc_nulls_last("sort_id")
     fields = [
         T.StructField("sort_id", rows.schema["sort_id"].dataType),
         T.StructField("digest", T.BinaryType()),
@@ -111,8 +113,8 @@ def _sorted_runs(
         *(T.StructField(f"p_{name}", rows.schema[f"p_{name}"].dataType) for name in payload),
     ]
     schema = T.StructType(fields)
-    arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in fields])
-    runs = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_runs(payload, arrow), schema)
+    ranged = rows.repartitionByRange("sort_head", "digest", by_id)
+    runs = ranged.sortWithinPartitions("sort_head", "digest", "sort_text", by_id).mapInArrow(_runs(payload, schema.names), schema)
     # Splitters are sampled anew each time the plan runs, so later steps read one written result.
     return stage(runs, new_folder(docs.sparkSession, "content-sort"))
 
