@@ -22,17 +22,22 @@ from functools import lru_cache
 SPACE = "▁"
 # A unit is a run of spaces and what follows up to the next space: no token goes on after its text into a space.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
+# Marks a unit that begins with a line feed. No text has this character.
+LINE = "\ud800\n"
 # Bounds of what one Python worker keeps.
-MAX_STATES = 60_000
-MAX_TRANSITIONS = 150_000
+MAX_STATES = 150_000
+MAX_TRANSITIONS = 400_000
 MAX_PAIRS = 400_000
-MAX_UNITS = 250_000
+MAX_UNITS = 400_000
 # Longer units are not kept.
 LONG_UNIT = 48
 
 START = 0
 
 
+Move = tuple[int, tuple[tuple[int, int], ...], tuple[int, ...]]
+
+
 class MergeAutomaton:
     """The automaton of a sentencepiece model of type BPE without normalisation rules."""
 
@@ -55,11 +60,14 @@ class MergeAutomaton:
             raise ValueError("the model needs byte fallback")
         if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
             raise ValueError("the model has tokens that go over a word's end")
+        if any("\n" in piece for piece in self.ids):
+            raise ValueError("the model has tokens with a line feed")
         names = {piece[:k] for piece in self.ids for k in range(len(piece) + 1)}
         self._names = sorted(names)
         self._nodes = {name: node for node, name in enumerate(self._names)}
+        self._goes_on = {name[:-1] for name in names if name}
         self._pairs: dict[int, bool] = {}
-        self._moves: dict[tuple[int, str], tuple[int, tuple[tuple[int, int], ...]] | None] = {}
+        self._moves: dict[tuple[int, str], Move | None] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -99,18 +107,24 @@ class MergeAutomaton:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return len(parts) == (2 if before else 1)
 
-    def _move(self, node: int, char: str) -> tuple[int, tuple[tuple[int, int], ...]] | None:
-        """The next node; for each of its suffixes its place among the node's before (-1: it begins with
-        ``char``) and the token it is (-1: none). None if no token has the character."""
+    def _move(self, node: int, char: str) -> Move | None:
+        """The next node; the places (among the node's suffixes; -1: ``char`` itself) at which tokens may end now,
+        with the token, longest first; and the places of the next node's suffixes. None if no token has the
+        character. Suffixes that no longer token goes on from are dropped."""
         if char not in self._nodes:
             return None
         name = self._names[node]
-        before = {len(name) - k: -1 for k in range(len(name)) if name[k:] in self._nodes}
-        before = {length: place for place, length in enumerate(before)}
+        before = {length: place for place, length in enumerate(self._open_lengths(name))}
         text = name + char
-        opened = [len(text) - k for k in range(len(text)) if text[k:] in self._nodes]
-        places = tuple((before.get(length - 1, -1), self.ids.get(text[-length:], -1)) for length in opened)
-        return self._nodes[text[-opened[0] :]], places
+        # Every place that begins a token now is open before, or is the character's own.
+        lengths = [*(length + 1 for length in before), 1]
+        ends = tuple((before.get(length - 1, -1), self.ids[text[-length:]]) for length in lengths if text[-length:] in self.ids)
+        opened = [length for length in lengths if text[-length:] in self._goes_on]
+        following = text[-opened[0] :] if opened else ""
+        return self._nodes[following], ends, tuple(before.get(length - 1, -1) for length in opened)
+
+    def _open_lengths(self, name: str) -> list[int]:
+        return [len(name) - k for k in range(len(name)) if name[k:] in self._goes_on]
 
     # ---- states
 
@@ -126,24 +140,24 @@ class MergeAutomaton:
             step = (START, len(char.encode()))
         else:
             pairs, ends, grows = self._pairs, -1, 0
-            opened = []
-            for place, token in move[1]:
-                before, count = (here[1], 0) if place < 0 else (here[2 + 2 * place], here[3 + 2 * place])
-                opened.append((before, count))
-                if token >= 0 and ends < 0:
-                    key = (before + 1) << 24 | token
-                    fits = pairs.get(key)
-                    if fits is None:
-                        fits = self._meets("" if before < 0 else self.piece[before], self.piece[token])
-                        pairs[key] = fits
-                    if fits:
-                        ends, grows = token, count + 1
+            following, tokens, opened = move
+            for place, token in tokens:
+                before = here[1] if place < 0 else here[2 + 2 * place]
+                key = (before + 1) << 24 | token
+                fits = pairs.get(key)
+                if fits is None:
+                    fits = pairs[key] = self._meets("" if before < 0 else self.piece[before], self.piece[token])
+                if fits:
+                    ends, grows = token, 1 if place < 0 else here[3 + 2 * place] + 1
+                    break
             if ends < 0:
                 raise ValueError(f"no token ends after {self._names[here[0]] + char!r}")
-            flat = [move[0], ends]
-            for before, count in opened:
-                flat.append(before)
-                flat.append(count - grows)
+            flat = [following, ends]
+            for place in opened:
+                if place < 0:
+                    flat += (here[1], -grows)
+                else:
+                    flat += (here[2 + 2 * place], here[3 + 2 * place] - grows)
             after = tuple(flat)
             number = self._numbers.get(after)
             if number is None:
@@ -166,13 +180,27 @@ class MergeAutomaton:
 def units(text: str) -> list[str]:
     """The units of a text, each without its first space, which stands for the text's or word's start.
 
-    Joined by spaces they are the text again, if no unit starts with a space.
+    A line feed is no part of a token, so one that follows text begins a unit of its own kind; it is marked.
     """
-    escaped = text.replace(" ", SPACE)
-    parts = escaped.split(SPACE)
-    if "" in parts:
-        return [unit[1:] for unit in _UNIT.findall(SPACE + escaped)]
-    return parts
+    found: list[str] = []
+    first, *lines = text.replace(" ", SPACE).split("\n")
+    _spaced(first, found)
+    for line in lines:
+        head, space, rest = line.partition(SPACE)
+        found.append(LINE + head)
+        if space:
+            _spaced(rest, found)
+    return found
+
+
+def _spaced(line: str, found: list[str]) -> None:
+    parts = line.split(SPACE)
+    found += [unit[1:] for unit in _UNIT.findall(SPACE + line)] if "" in parts else parts
+
+
+def spelled(unit: str) -> str:
+    """The characters of a unit as they are read."""
+    return unit[1:] if unit.startswith(LINE) else SPACE + unit
 
 
 @lru_cache(maxsize=4)

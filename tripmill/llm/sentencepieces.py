@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripmill.llm.bpe import LONG_UNIT, MAX_UNITS, SPACE, START, MergeAutomaton, automaton, no_cycle_search, units
+from tripmill.llm.bpe import LONG_UNIT, MAX_UNITS, SPACE, START, MergeAutomaton, automaton, no_cycle_search, spelled, units
 from tripmill.llm.common import whole_text
 
 # Rows sent back at once.
@@ -69,7 +69,7 @@ class Units(dict):
         self._machine = machine
 
     def __missing__(self, unit: str) -> tuple[bytes, str]:
-        ids = encode_unit(self._machine, SPACE + unit)
+        ids = encode_unit(self._machine, spelled(unit))
         value = (np.array(ids, dtype=np.int32).tobytes(), decode(self._machine, ids))
         if len(unit) <= LONG_UNIT:
             if len(self) >= MAX_UNITS:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripmill.llm.bpe import LONG_UNIT, MAX_UNITS, SPACE, START, MergeAutomaton, automaton, no_cycle_search, units
+from tripmill.llm.bpe import LONG_UNIT, MAX_UNITS, START, MergeAutomaton, automaton, no_cycle_search, spelled, units
 from tripmill.llm.common import whole_text
 
 # Characters of a chunk of a long word.
@@ -62,13 +62,16 @@ class UnitCounts(dict):
         self._machine = machine
 
     def __missing__(self, unit: str) -> int:
-        text = SPACE + unit
+        text = spelled(unit)
         # One chunk of text has one map, however often it comes again in a unit.
-        chunks = [text[at : at + CHUNK] for at in range(0, len(text), CHUNK)]
-        maps = {chunk: ChunkMap(self._machine, chunk) for chunk in set(chunks)}
-        *_, (_, count) = scan([maps[chunk] for chunk in chunks])
+        if len(text) <= CHUNK:
+            _, count = ChunkMap(self._machine, text)[START]
+        else:
+            chunks = [text[at : at + CHUNK] for at in range(0, len(text), CHUNK)]
+            maps = {chunk: ChunkMap(self._machine, chunk) for chunk in set(chunks)}
+            *_, (_, count) = scan([maps[chunk] for chunk in chunks])
         if len(unit) <= LONG_UNIT:
-            if len(self) >= MAX_UNITS:
+            if len(self) >= 2 * MAX_UNITS:
                 self.clear()
             self[unit] = count
         self._machine.make_room()
