@@ -33,7 +33,7 @@ from tripmill.scratch import new_folder, stage
 DEPTH = 400
 ANCHOR = 192
 # Windows in a block, pass by pass.
-BLOCKS = (16, 4, 1)
+BLOCKS = (16, 1)
 
 _U = np.uint64
 _POWERS = textscan.Powers(0xA0761D6478BD642F)
