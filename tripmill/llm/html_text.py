@@ -68,13 +68,21 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？»”\"')]")
 _SMOOTHING = (1, 2, 3, 2, 1)
 
 
+# Elements deeper than this stand beside each other, as in browsers.
+_DEPTH = 256
+_UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
+
+
 class _Element:
-    __slots__ = ("aside", "parent", "path", "tag")
+    __slots__ = ("article", "aside", "depth", "parent", "path", "tag")
 
-    def __init__(self, tag: str, parent: _Element | None, aside: bool) -> None:
+    def __init__(self, tag: str, parent: _Element | None, aside: bool, paths: dict[tuple[int, str], int]) -> None:
         self.tag, self.parent = tag, parent
         self.aside = aside or (parent is not None and parent.aside)
-        self.path = f"{parent.path}/{tag}" if parent is not None else tag
+        self.article = tag in ("article", "main") or (parent is not None and parent.article)
+        self.depth = 0 if parent is None else parent.depth + 1
+        # The number of the path of tags from the root.
+        self.path = paths.setdefault((-1 if parent is None else parent.path, tag), len(paths))
 
 
 def _is_aside(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -99,8 +107,11 @@ def _is_aside(tag: str, attributes: str, inside_article: bool) -> bool:
 def blocks(page: str) -> list[tuple[_Element, str]]:
     """The text blocks of a page in page order, each with the element it stands in."""
     found: list[tuple[_Element, str]] = []
-    root = here = _Element("", None, False)
+    paths: dict[tuple[int, str], int] = {}
+    root = here = _Element("", None, False, paths)
     parts: list[str] = []
+    # Behind the last > no tag ends, and looking for one from every < would take forever.
+    end = page.rfind(">") + 1
 
     def flush() -> None:
         if parts:
@@ -109,13 +120,18 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
             if text:
                 found.append((here, text))
 
-    at = 0
-    for match in _MARKUP.finditer(page):
+    at, unclosed = 0, False
+    for match in _MARKUP.finditer(page, 0, end):
         if match.start() > at:
             parts.append(page[at : match.start()])
         at = match.end()
         tag = match[3]
         if tag is None:
+            text = match[0]
+            if text.startswith("<!--"):
+                unclosed = not text.endswith("-->")
+            elif match[1]:
+                unclosed = not re.search(rf"</{match[1]}\s*>\Z", text[-len(match[1]) - 64 :], re.IGNORECASE)
             continue
         tag, closes = tag.lower(), match[2] == "/"
         if tag in _INLINE:
@@ -141,21 +157,21 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
             here = element.parent
         if tag in _VOID:
             continue
-        inside = here
-        while inside is not root and inside.tag not in ("article", "main"):
-            inside = inside.parent
-        child = _Element(tag, here, _is_aside(tag, match[4] or "", inside is not root))
+        if here.depth >= _DEPTH:
+            here = here.parent
+        child = _Element(tag, here, _is_aside(tag, match[4] or "", here.article), paths)
         if not (match[4] or "").endswith("/"):
             here = child
-    if at < len(page):
-        parts.append(page[at:])
+    if not unclosed:
+        tail = _UNFINISHED.search(page, max(at, end))
+        parts.append(page[at : tail.start() if tail else len(page)])
     flush()
     return found
 
 
 def _ratios(found: list[tuple[_Element, str]]) -> list[float]:
     """For each block the fused ratio of its path, smoothed over its neighbours."""
-    sums: dict[str, list[float]] = {}
+    sums: dict[int, list[float]] = {}
     for element, text in found:
         path = sums.setdefault(element.path, [0.0, 0.0, 0.0])
         path[0] += len(text)
@@ -179,9 +195,9 @@ def _ratios(found: list[tuple[_Element, str]]) -> list[float]:
 
 
 def _threshold(values: list[float]) -> float:
+    """The standard deviation: some block is always above it, and if all are alike, all are."""
     mean = sum(values) / len(values)
-    spread = (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
-    return max(0.0, mean - spread)
+    return (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
 
 
 def _chain(element: _Element) -> list[_Element]:
