@@ -44,6 +44,57 @@ def test_links_beside_the_text_are_below_the_threshold():
     assert main_text(page) == f"{LONG.strip()}\n\n{LONG.strip()}"
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<h2 id="related-work">{}</h2>',
+        '<h3 id="social-impact">{}</h3>',
+        '<h2 class="related">{}</h2>',
+        '<p class="notice">{}</p>',
+        '<section id="discussion"><h2>{}</h2><p>Short.</p></section>',
+        '<div class="related"><p>{}</p></div>',
+    ],
+)
+def test_a_name_of_a_part_does_not_drop_the_articles_own_text(part):
+    page = f"<article><p>{LONG}</p>{part.format(LONG)}<p>{LONG}</p></article>"
+    assert main_text(page).count(LONG.strip()) == 3
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<div class="content no-sidebar">',
+        '<div id="wrapper" class="has-sidebar">',
+        '<div class="with-comments">',
+        '<div class="sidebar">',
+        '<div id="navigation"><div class="social">',
+    ],
+)
+def test_a_named_element_that_holds_the_page_is_kept(wrapper):
+    assert main_text(f"<body>{wrapper}<h1>T</h1><p>{LONG}</p><p>{LONG}</p>") == f"T\n\n{LONG.strip()}\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="sidebar">{}</div>',
+        '<div class="post-comments">{}</div>',
+        '<ul class="related-posts"><li>One</li><li>Two</li></ul>',
+        '<div class="box social"><div class="share">Tell</div></div>',
+        '<div class="cookie-notice">{}</div>',
+    ],
+)
+def test_named_parts_are_dropped(part):
+    text = f"<p>{LONG}</p>" * 6
+    wrapped = f'<div class="has-sidebar"><article>{text}{part.format("Some words. " * 9)}</article></div>'
+    assert main_text(wrapped) == "\n\n".join([LONG.strip()] * 6)
+
+
+def test_many_comments_do_not_make_them_the_article():
+    comments = f"<div>{LONG}</div>" * 50
+    assert main_text(f'<body><article><p>{LONG}</p></article><div id="comments">{comments}</div>') == LONG.strip()
+
+
 @pytest.mark.parametrize("part", ["<", "<!--", "<a href='", '<div class="', "<p>", "<div><b>", "</p>", "<script>", "&", "<!"])
 def test_hostile_markup_takes_linear_time(part):
     start = time.perf_counter()

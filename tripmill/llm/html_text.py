@@ -4,7 +4,8 @@ Each text block of a page has the path of block tags from the root to it. Text l
 aggregated by path and divided by the path's blocks; the ratios of the blocks, in page order, are smoothed, and
 length and punctuation are fused. Blocks whose fused ratio is above the page's threshold are content; the
 smallest element that holds the content is the article, and every block in it is returned, but for the parts
-that are no article by their tag, role or class: menus, notices, adverts, forms, comments and the like.
+that are no article by their tag, role or class: menus, notices, adverts, forms, comments and the like. A class or id
+alone does not decide: the ratio of an element that holds most of the text, or has a doubtful name, can keep it.
 """
 
 from __future__ import annotations
@@ -44,13 +45,24 @@ _ASIDE_TAGS = frozenset(
     "nav footer aside form button select option menu dialog svg canvas object audio video head fieldset datalist map".split()
 )
 _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
+# Classes and ids that name such a part. Only a whole one counts: related-work and has-sidebar name none.
 _ASIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|"
-    r"side-?bar|foot(?:er)?|site-?header|masthead|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*|widget|comments?|"
-    r"comment-?list|respond|replies|disqus|discussion|pagination|pager|skip-?link|print-?only|hidden)(?=$|[\s_-])",
+    r"(?:site-|page-|post-|entry-|article-)?(?:ads?|advert\w*|adsense|sponsor(?:s|ed)?|nav|navbar|navigation|breadcrumbs?|"
+    r"side-?bar|footer|masthead|cookies?|gdpr|comments|disqus|pagination|pager)"
+    r"(?:-(?:area|bar|banner|box|container|consent|links|list|menu|nav|notice|section|thread|unit|widget|wrapper))?"
+    r"|site-header|comment-list|skip-?link|print-?only|hidden",
     re.IGNORECASE,
 )
+# Classes that may also be given to text of the article: its ratio decides.
+_DOUBTFUL_NAME = re.compile(
+    r"(?:promo(?:s|ted|tions?)?|banner|menu|foot|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|"
+    r"signup|login|share|sharing|social|related|recommend(?:ed|ations?)?|widget|respond|replies|discussion)"
+    r"(?:-(?:area|articles|bar|box|buttons|container|content|form|icons|items|links|list|posts|section|stories|widget|wrapper))?",
+    re.IGNORECASE,
+)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# A name tells nothing on these: they hold the page, or are text themselves.
+_UNNAMED = _HEADINGS | frozenset("html body main article p pre blockquote".split())
 # A start tag ends these, if they are open inside the same parent.
 _CLOSED_BY = {
     "li": ("li",),
@@ -74,34 +86,47 @@ _UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 
 
 class _Element:
-    __slots__ = ("article", "aside", "depth", "parent", "path", "tag")
+    __slots__ = ("article", "aside", "depth", "doubtful", "named", "parent", "path", "tag")
 
-    def __init__(self, tag: str, parent: _Element | None, aside: bool, paths: dict[tuple[int, str], int]) -> None:
+    def __init__(
+        self, tag: str, parent: _Element | None, aside: bool, paths: dict[tuple[int, str], int], name: str | None = None
+    ) -> None:
         self.tag, self.parent = tag, parent
         self.aside = aside or (parent is not None and parent.aside)
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
         self.depth = 0 if parent is None else parent.depth + 1
-        # The number of the path of tags from the root.
-        self.path = paths.setdefault((-1 if parent is None else parent.path, tag), len(paths))
+        # The elements from the root to here whose name is one of a part that is no article.
+        self.named = () if parent is None else parent.named
+        self.doubtful = name == "doubtful"
+        if name:
+            self.named += (self,)
+        # The number of the path of tags from the root; a named element has a path of its own.
+        self.path = paths.setdefault((-1 if parent is None else parent.path, f"{tag} {name}" if name else tag), len(paths))
 
 
-def _is_aside(tag: str, attributes: str, inside_article: bool) -> bool:
+def _is_aside(tag: str, attributes: str, inside_article: bool) -> tuple[bool, str | None]:
+    """Whether an element is no article by its tag, role or being hidden, and what its names say."""
     if tag in _ASIDE_TAGS or (tag == "header" and not inside_article):
-        return True
+        return True, None
     if not attributes or attributes.isspace():
-        return False
+        return False, None
+    said = None
     for name, value, hidden in _ATTRIBUTE.findall(attributes):
         if hidden:
-            return True
+            return True, None
         name, value = name.lower(), value.strip("\"'")
         if name == "role" and value.lower() in _ASIDE_ROLES:
-            return True
+            return True, None
         if name == "aria-hidden" and value.lower() == "true":
-            return True
-        # A page's outer elements may carry names of parts, as in <body class="has-sidebar">.
-        if name in ("class", "id") and tag not in ("html", "body", "main", "article") and _ASIDE_NAME.search(value):
-            return True
-    return False
+            return True, None
+        if name in ("class", "id") and tag not in _UNNAMED:
+            for word in value.replace("_", "-").split():
+                if _ASIDE_NAME.fullmatch(word):
+                    said = "part"
+                # An id is often made of a heading's words.
+                elif name == "class" and said is None and _DOUBTFUL_NAME.fullmatch(word):
+                    said = "doubtful"
+    return False, said
 
 
 def blocks(page: str) -> list[tuple[_Element, str]]:
@@ -159,7 +184,8 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
             continue
         if here.depth >= _DEPTH:
             here = here.parent
-        child = _Element(tag, here, _is_aside(tag, match[4] or "", here.article), paths)
+        aside, name = _is_aside(tag, match[4] or "", here.article)
+        child = _Element(tag, here, aside, paths, name)
         if not (match[4] or "").endswith("/"):
             here = child
     if not unclosed:
@@ -169,8 +195,8 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
     return found
 
 
-def _ratios(found: list[tuple[_Element, str]]) -> list[float]:
-    """For each block the fused ratio of its path, smoothed over its neighbours."""
+def _ratios(found: list[tuple[_Element, str]]) -> tuple[list[float], list[float]]:
+    """For each block the fused ratio of its path, smoothed over its neighbours, and as it is."""
     sums: dict[int, list[float]] = {}
     for element, text in found:
         path = sums.setdefault(element.path, [0.0, 0.0, 0.0])
@@ -191,7 +217,8 @@ def _ratios(found: list[tuple[_Element, str]]) -> list[float]:
         return out
 
     # Long text with punctuation is content; either alone is a list of links or a table.
-    return [a * (1 + b) for a, b in zip(smooth(length), smooth(points))]
+    smoothed = [a * (1 + b) for a, b in zip(smooth(length), smooth(points))]
+    return smoothed, [a * (1 + b) for a, b in zip(length, points)]
 
 
 def _threshold(values: list[float]) -> float:
@@ -208,12 +235,66 @@ def _chain(element: _Element) -> list[_Element]:
     return chain[::-1]
 
 
+def _outermost_article(element: _Element) -> _Element | None:
+    holder = None
+    while element is not None and element.article:
+        if element.tag in ("article", "main"):
+            holder = element
+        element = element.parent
+    return holder
+
+
+def _without_named_parts(found: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """Without the blocks in elements named as a part that is no article, as far as the blocks bear the name out.
+
+    An element that holds most of the text, and whose blocks have a higher ratio than any text beside it, is no such
+    part, unless an article beside or around it has text of its own. Where the name is doubtful, it is also none if its
+    ratio reaches the threshold.
+    """
+    if not any(element.named for element, _ in found):
+        return found
+    smoothed, own = _ratios(found)
+    least, size = _threshold(smoothed), sum(len(text) for _, text in found)
+    kept = [not element.named for element, _ in found]
+    beside, written = 0.0, False
+
+    def stands(k: int) -> None:
+        nonlocal beside, written
+        kept[k] = True
+        if found[k][0].tag not in _HEADINGS:
+            beside = max(beside, own[k])
+            written = written or found[k][0].article
+
+    for k, (element, _) in enumerate(found):
+        if kept[k]:
+            stands(k)
+    # From the outermost named elements to the innermost.
+    level, inside = 0, [k for k in range(len(found)) if not kept[k]]
+    while inside:
+        parts: dict[int, list[int]] = {}
+        for k in inside:
+            parts.setdefault(id(found[k][0].named[level]), []).append(k)
+        inside, plain = [], []
+        for members in parts.values():
+            part = found[members[0]][0].named[level]
+            ratio = sum(own[k] for k in members) / len(members)
+            holds_most = not written and ratio > beside and 2 * sum(len(found[k][1]) for k in members) > size
+            if holds_most or (part.doubtful and ratio >= least):
+                for k in members:
+                    (inside if len(found[k][0].named) > level + 1 else plain).append(k)
+        for k in plain:
+            stands(k)
+        level += 1
+    # Names alone never leave a page without text.
+    return [block for block, keep in zip(found, kept) if keep] or found
+
+
 def main_text(page: str) -> str:
     """The main text of a page; empty if it has none."""
-    found = [(element, text) for element, text in blocks(page) if not element.aside]
+    found = _without_named_parts([(element, text) for element, text in blocks(page) if not element.aside])
     if not found:
         return ""
-    ratios = _ratios(found)
+    ratios, _ = _ratios(found)
     least = _threshold(ratios)
     content = [chain for chain, ratio in zip((_chain(e) for e, _ in found), ratios) if ratio >= least]
     marked = [[e for e in chain if e.tag in ("article", "main")] for chain in content]
