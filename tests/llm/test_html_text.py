@@ -95,6 +95,35 @@ def test_many_comments_do_not_make_them_the_article():
     assert main_text(f'<body><article><p>{LONG}</p></article><div id="comments">{comments}</div>') == LONG.strip()
 
 
+TEASERS = "<article><p>Teaser one, short.</p></article><article><p>Teaser two.</p></article>"
+
+
+@pytest.mark.parametrize("count", [1, 7, 20, 40, 200])
+@pytest.mark.parametrize("entry", ['<div class="entry">{}</div>', "{}", "<div><div>{}</div></div>"])
+def test_teasers_in_articles_do_not_displace_the_text_beside_them(count, entry):
+    page = f"<body>{entry.format(f'<p>{LONG}</p>' * count)}{TEASERS}</body>"
+    assert main_text(page).count(LONG.strip()) == count
+    if count >= 40:
+        assert "Teaser" not in main_text(page)
+
+
+def test_articles_and_heavy_text_beside_them_are_all_kept():
+    text = f"<p>{LONG}</p>"
+    page = f"<body><div>{text * 3}</div><article>{text * 5}</article><ul><li>a link</ul><article><h2>B</h2>{text}</article><div>{text * 4}</div>"
+    assert main_text(page).count(LONG.strip()) == 13
+    assert "\n\nB\n\n" in main_text(page) and "a link" not in main_text(page)
+
+
+def test_short_text_beside_an_article_is_left_out():
+    page = f"<body><div>Top line</div><article><h1>T</h1>{f'<p>{LONG}</p>' * 30}<p>End.</p></article><div>Last line</div>"
+    assert main_text(page) == "\n\n".join(["T", *[LONG.strip()] * 30, "End."])
+
+
+def test_one_long_block_beside_an_article_does_not_displace_it():
+    page = f"<body><article>{f'<p>{LONG}</p>' * 30}</article><div>{LONG * 9}</div>"
+    assert main_text(page).count(LONG.strip()) >= 30
+
+
 @pytest.mark.parametrize("part", ["<", "<!--", "<a href='", '<div class="', "<p>", "<div><b>", "</p>", "<script>", "&", "<!"])
 def test_hostile_markup_takes_linear_time(part):
     start = time.perf_counter()

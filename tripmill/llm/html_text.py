@@ -3,7 +3,8 @@
 Each text block of a page has the path of block tags from the root to it. Text length and punctuation are
 aggregated by path and divided by the path's blocks; the ratios of the blocks, in page order, are smoothed, and
 length and punctuation are fused. Blocks whose fused ratio is above the page's threshold are content; the
-smallest element that holds the content is the article, and every block in it is returned, but for the parts
+smallest element that holds the content is the article (on pages with articles, each of them and each run of blocks
+beside them that has content of weight), and every block in it is returned, but for the parts
 that are no article by their tag, role or class: menus, notices, adverts, forms, comments and the like. A class or id
 alone does not decide: the ratio of an element that holds most of the text, or has a doubtful name, can keep it.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -78,6 +79,8 @@ _CLOSED_BY = {
 _SCOPE = frozenset("ul ol dl table div article section main td th body html blockquote".split())
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？»”\"')]")
 _SMOOTHING = (1, 2, 3, 2, 1)
+# Text beside an article is kept from this part of the heaviest's weight on.
+_LEAST_WEIGHT = 0.1
 
 
 # Elements deeper than this stand beside each other, as in browsers.
@@ -289,28 +292,79 @@ def _without_named_parts(found: list[tuple[_Element, str]]) -> list[tuple[_Eleme
     return [block for block, keep in zip(found, kept) if keep] or found
 
 
+def _common(elements: list[_Element]) -> _Element:
+    """The smallest element that holds all of these."""
+    common = _chain(elements[0])
+    for element in elements[1:]:
+        chain, same = _chain(element), 0
+        while same < min(len(common), len(chain)) and common[same] is chain[same]:
+            same += 1
+        common = common[:same]
+    return common[-1]
+
+
+def _inside(found: list[tuple[_Element, str]], holder: _Element, among: Iterable[int]) -> list[int]:
+    return [k for k in among if holder in _chain(found[k][0])]
+
+
+def _beside_articles(
+    found: list[tuple[_Element, str]],
+    holders: list[_Element | None],
+    ratios: list[float],
+    own: list[float],
+    least: float,
+    content: list[int],
+) -> list[int]:
+    """The blocks of a page whose content is, at least in part, in articles.
+
+    The outermost articles, and each run of blocks between them, are weighed by the ratios of their content. Smoothing
+    lifts what stands next to long text, so a path counts only if its own ratio reaches the threshold as well. Each
+    article with such a path is kept, and each article and run with a part of the weight of the heaviest.
+    """
+    # What each block weighs to: its article, or the run it is in.
+    groups: list[tuple[str, int]] = []
+    run = 0
+    for k, holder in enumerate(holders):
+        run += k > 0 and (holder is None) != (holders[k - 1] is None)
+        groups.append(("run", run) if holder is None else ("article", id(holder)))
+    members: dict[tuple[str, int], list[int]] = {}
+    for k in content:
+        if own[k] >= least:
+            members.setdefault(groups[k], []).append(k)
+    weights = {group: sum(ratios[k] for k in inside) for group, inside in members.items()}
+    heaviest = max(weights.values(), default=0.0)
+    around = {id(e) for holder in {id(h): h for h in holders if h is not None}.values() for e in _chain(holder)}
+    blocks_of: dict[tuple[str, int], list[int]] = {}
+    for k, group in enumerate(groups):
+        blocks_of.setdefault(group, []).append(k)
+    kept: list[int] = []
+    for group in {groups[k]: None for k in content}:
+        inside = members.get(group, [])
+        if group[0] == "article":
+            # One long block elsewhere can lift the threshold above every block of an article.
+            if inside or sum(own[k] for k in blocks_of[group]) >= _LEAST_WEIGHT * heaviest:
+                kept += blocks_of[group]
+        elif inside and weights[group] >= _LEAST_WEIGHT * heaviest:
+            common = _common([found[k][0] for k in inside])
+            # An element around an article too is not the run's own.
+            kept += blocks_of[group] if id(common) in around else _inside(found, common, blocks_of[group])
+    return sorted(kept)
+
+
 def main_text(page: str) -> str:
     """The main text of a page; empty if it has none."""
     found = _without_named_parts([(element, text) for element, text in blocks(page) if not element.aside])
     if not found:
         return ""
-    ratios, _ = _ratios(found)
+    ratios, own = _ratios(found)
     least = _threshold(ratios)
-    content = [chain for chain, ratio in zip((_chain(e) for e, _ in found), ratios) if ratio >= least]
-    marked = [[e for e in chain if e.tag in ("article", "main")] for chain in content]
-    if any(marked):
-        # Content in an article beats content beside it: the outermost articles hold it all.
-        holders = {id(inner[0]) for inner in marked if inner}
-        kept = [text for element, text in found if any(id(e) in holders for e in _chain(element))]
+    content = [k for k, ratio in enumerate(ratios) if ratio >= least]
+    holders = [_outermost_article(element) for element, _ in found]
+    if any(holders[k] is not None for k in content):
+        kept = _beside_articles(found, holders, ratios, own, least, content)
     else:
-        common = content[0]
-        for chain in content[1:]:
-            same = 0
-            while same < min(len(common), len(chain)) and common[same] is chain[same]:
-                same += 1
-            common = common[:same]
-        kept = [text for element, text in found if common[-1] in _chain(element)]
-    return "\n\n".join(kept)
+        kept = _inside(found, _common([found[k][0] for k in content]), range(len(found)))
+    return "\n\n".join(found[k][1] for k in kept)
 
 
 def extract_text(
