@@ -78,6 +78,26 @@ def test_noisy_or(spark, fitted):
     assert both == pytest.approx(1 - (1 - a) * (1 - b))
 
 
+def test_clean_texts_of_any_length_stay_clean(spark, fitted):
+    """Length alone is not toxic: neither unknown sentences nor those of the clean training texts, many times over."""
+    rows, _, _, model = fitted
+    clean = " ".join(text for _, text, toxic in rows if not toxic)
+    texts = ["alpha beta gamma. ", "alpha beta gamma. " * 200_000, clean, clean * 200, clean * 200 + " You rotter vilely."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = score(docs, model).orderBy("doc_id").collect()
+    assert [row["predicted"] for row in got] == [0, 0, 0, 0, 1]
+    assert got[0]["score"] == got[1]["score"]
+
+
+def test_sentences_of_the_tables_many_times_over_stay_clean(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    model = train(docs, labels)
+    calm = score(docs, model).filter("predicted = 0")
+    long = calm.agg(F.array_join(F.collect_list("text"), "\n").alias("text")).select(F.lit(1).alias("doc_id"), F.repeat("text", 20).alias("text"))
+    assert score(long, model).first()["predicted"] == 0
+
+
 def test_odd_rows(odd, nothing, fitted):
     _, _, _, model = fitted
     rows = score(odd, model).collect()

@@ -3,7 +3,9 @@
 A text is a bag of sentences. Each sentence has a score, the logistic function of the weights of its words and of
 the words' four-byte pieces, and the text's score is the noisy-or of its sentences: one minus the product of what
 each leaves over. Only the text's label is known in training; the likelihood of the labels, derived through the
-noisy-or, decides which sentences carry it. Afterwards the sentence scores locate what is offending.
+noisy-or, decides which sentences carry it. Afterwards the sentence scores locate what is offending. A sentence
+without a feature that has a weight is left out of the noisy-or; what no sentence explains in training is a background
+that each text has once. Sentences below 0.5 never make 0.5 together, so a text's length alone does not make it toxic.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ _LEAST_RATIO = 9.0
 # Weights are whole numbers of this part, so that sums do not depend on their order.
 _UNIT = 1 << 24
 _PENALTY = 2e-5
+# Sentences below 0.5 add to a score up to just below it.
+_MOST_MILD = 0.999 * np.log(2)
 _SENTENCE_ENDS = np.isin(np.arange(256), np.frombuffer(b".!?\n", np.uint8))
 
 
@@ -48,11 +52,12 @@ def held_out(id_col: str | Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the features, in parts of ``_UNIT``, and of every sentence."""
+    """Weights of the features, in parts of ``_UNIT``, of every sentence that has some, and of every text."""
 
     features: np.ndarray
     weights: np.ndarray
     bias: float
+    background: float = -np.inf
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         whole = np.zeros(_FEATURES, np.int64)
@@ -174,37 +179,38 @@ def _screen(counts: DataFrame, ones: int, zeros: int) -> np.ndarray:
     return np.sort(np.array([row["feature"] for row in best.collect()], np.int64))
 
 
-def _fit(toxic: np.ndarray, bags: list[tuple[int, np.ndarray, np.ndarray]], features: int, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias by full gradient steps (Adam) on the likelihood of the labels, with a penalty on weights."""
-    # Sentences without a chosen feature all score the bias, so a text keeps their number.
-    owner, row, column, bare = [], [], [], np.zeros(len(bags))
+def _fit(toxic: np.ndarray, bags: list[tuple[int, np.ndarray, np.ndarray]], features: int, rounds: int = 400) -> tuple[np.ndarray, float, float]:
+    """Weights, bias and background by full gradient steps (Adam) on the likelihood of the labels, with a penalty on weights."""
+    # Sentences without a chosen feature are left out; a text that has any sentence has the background once.
+    owner, row, column, spoken = [], [], [], np.zeros(len(bags))
     count = 0
     for text, (total, sentence, feature) in enumerate(bags):
         kinds, place = np.unique(sentence, return_inverse=True)
-        bare[text] = total - len(kinds)
+        spoken[text] = total > 0
         owner.append(np.full(len(kinds), text))
         row.append(place + count)
         column.append(feature)
         count += len(kinds)
     owner, row, column = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (owner, row, column))
-    weights, bias = np.zeros(features), -4.0
-    moments = np.zeros((2, features + 1))
+    weights, bias, background = np.zeros(features), -4.0, -4.0
+    moments = np.zeros((2, features + 2))
     label = toxic.astype(bool)
     for step in range(1, rounds + 1):
         z = np.bincount(row, weights[column], minlength=count) + bias
-        left = np.bincount(owner, np.logaddexp(0, z), minlength=len(bags)) + bare * np.logaddexp(0, bias)
+        left = np.bincount(owner, np.logaddexp(0, z), minlength=len(bags)) + spoken * np.logaddexp(0, background)
         # The text's score is 1 - exp(-left).
         slope = np.where(label, -1 / np.expm1(np.maximum(left, 1e-9)), 1.0) / len(bags)
         p = 1 / (1 + np.exp(-z))
         per_sentence = slope[owner] * p
         gradient = np.bincount(column, per_sentence[row], minlength=features) + _PENALTY * weights
-        gradient = np.append(gradient, per_sentence.sum() + (slope * bare).sum() / (1 + np.exp(-bias)))
+        gradient = np.append(gradient, [per_sentence.sum(), (slope * spoken).sum() / (1 + np.exp(-background))])
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.999 * moments[1] + 0.001 * gradient**2
         move = 0.1 * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-9)
-        weights -= move[:-1]
-        bias -= move[-1]
-    return weights, float(bias)
+        weights -= move[:-2]
+        bias -= move[-2]
+        background -= move[-1]
+    return weights, float(bias), float(background)
 
 
 def train(
@@ -231,14 +237,15 @@ def train(
     bags = texts.mapInArrow(_bags(features), "toxic int, sentences long, sentence array<int>, feature array<int>").toPandas()
     bags = bags.assign(key=bags["feature"].map(tuple)).sort_values(["toxic", "sentences", "key"], ignore_index=True)
     rows = [(r.sentences, np.asarray(r.sentence, np.int64), np.asarray(r.feature, np.int64)) for r in bags.itertuples()]
-    weights, bias = _fit(bags["toxic"].to_numpy(), rows, len(features))
-    return Model(features, np.round(weights * _UNIT).astype(np.int64), bias)
+    weights, bias, background = _fit(bags["toxic"].to_numpy(), rows, len(features))
+    return Model(features, np.round(weights * _UNIT).astype(np.int64), bias, background)
 
 
 class _Scorer:
     def __init__(self, model: Model) -> None:
         self.of_word, self.of_piece = model.tables()
         self.bias = model.bias
+        self.background = np.logaddexp(0, model.background)
 
     def scans(self, texts: pa.Array) -> Iterator[tuple[textscan.Words, np.ndarray, np.ndarray]]:
         """The words, where each sentence begins among them, and the logit of each sentence."""
@@ -252,24 +259,33 @@ class _Scorer:
             np.cumsum(pieces, out=sums[1 : len(pieces) + 1])
             stop = np.maximum(words.starts, words.ends - _PIECE + 1)
             score = self.of_word[_word_features(words)] + sums[stop] - sums[words.starts]
-            yield words, begins, np.add.reduceat(score, begins) / _UNIT + self.bias
+            sums = np.add.reduceat(score, begins)
+            # Without a weight there is nothing to tell, but with labels of one class there are no weights at all.
+            silent = (sums == 0) & np.isfinite(self.bias)
+            yield words, begins, np.where(silent, -np.inf, sums / _UNIT + self.bias)
 
     def score(self, texts: pa.Array) -> np.ndarray:
-        left = np.zeros(len(texts))
-        for words, begins, z in self.scans(texts):
-            owner = words.texts[begins]
-            # Sentences are summed in the order of their text.
-            left[words.first : words.last] += np.bincount(owner, np.logaddexp(0, z), minlength=words.last - words.first)
         if self.bias == np.inf:
             return np.ones(len(texts))
-        return -np.expm1(-left)
+        # What sentences from 0.5 on leave over, and the others with the background.
+        left, mild = np.zeros(len(texts)), np.zeros(len(texts))
+        spoken = np.zeros(len(texts), bool)
+        for words, begins, z in self.scans(texts):
+            owner, count, part = words.texts[begins], words.last - words.first, np.logaddexp(0, z)
+            # Sentences are summed in the order of their text.
+            left[words.first : words.last] += np.bincount(owner, np.where(z >= 0, part, 0), minlength=count)
+            mild[words.first : words.last] += np.bincount(owner, np.where(z >= 0, 0, part), minlength=count)
+            spoken[words.first + owner] = True
+        mild = np.minimum(mild, max(0, _MOST_MILD - self.background)) + np.where(spoken, self.background, 0)
+        return -np.expm1(-left - mild)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from a score of 0.5 on), in columns of those names.
 
     Columns of ``docs`` with these names are replaced. Only the text is looked at: equal texts have equal scores.
-    NULL counts as empty. A text without words has no sentence, and so the score 0 (1 if every label was 1).
+    NULL counts as empty. A text without words has no sentence, and so the score 0 (1 if every label was 1). A text
+    reaches 0.5 only by a sentence that does so itself, unless most texts that no sentence explains were toxic.
     Repeated rows, NULL ids and an empty table need no special care.
     """
     kept = [name for name in docs.columns if name not in ("score", "predicted")]
