@@ -1,10 +1,12 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tripmill.llm import repeats
 from tripmill.llm.queries import op2_repeats
 from tripmill.llm.repeats import find_repeats
 
@@ -78,3 +80,18 @@ def test_query_on_the_smallest_tables(spark, name):
     table = spark.read.parquet(f"/root/testdata/{name}/documents.parquet").collect()
     want = brute([(row["text"] or "").encode() for row in table], 400)
     assert found(op2_repeats(spark, f"/root/testdata/{name}")) == {row["doc_id"]: w for row, w in zip(table, want)}
+
+
+@pytest.mark.parametrize("size", [400, 4095, 4096, 20_000])
+@pytest.mark.parametrize("kind", ["random", "one byte", "period"])
+def test_a_text_longer_than_a_place_has_bits_for(monkeypatch, size, kind):
+    """The same anchors as in one piece: here a place has 12 bits instead of 27."""
+    data = np.random.default_rng(size).integers(0, 256, size).astype(np.uint8)
+    data = {"random": data, "one byte": np.zeros(size, np.uint8), "period": np.resize(data[:300], size)}[kind]
+    hashes = repeats._Hashes(data)
+    whole = repeats.anchors(hashes, size, 400, 192)
+    monkeypatch.setattr(repeats, "_PLACE_BITS", 12)
+    monkeypatch.setattr(repeats, "_PLACE", np.uint64((1 << 12) - 1))
+    pieces = repeats.anchors(hashes, size, 400, 192)
+    for a, b in zip(whole, pieces):
+        assert np.array_equal(a, b)

@@ -39,7 +39,8 @@ _U = np.uint64
 _POWERS = textscan.Powers(0xA0761D6478BD642F)
 _OTHER_POWERS = textscan.Powers(0xE7037ED1A0B428DB)
 _CODES, _OTHER_CODES = np.random.default_rng(31_415_926).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
-# An anchor's place takes the low bits of the number that is compared, so that the leftmost of equals wins.
+# An anchor's place among the windows looked at together takes the low bits of the number that is compared, so that
+# the leftmost of equals wins.
 _PLACE_BITS = 27
 _PLACE = _U((1 << _PLACE_BITS) - 1)
 # A run or block is packed into one number: where its first window starts, the windows, and the anchor's place.
@@ -73,13 +74,22 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(hashes: _Hashes, size: int, depth: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a text of ``size`` bytes: the anchors, and the first and last window of each."""
-    if size >= 1 << _PLACE_BITS:
-        raise ValueError(f"a text of {size} bytes is too long")
-    places = np.arange(size - anchor + 1)
-    numbers = hashes.first(places, places + anchor) & ~_PLACE | places.astype(_U)
-    chosen = (_smallest(numbers, depth - anchor + 1) & _PLACE).astype(np.int64)
-    first = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
-    return chosen[first], first, np.append(first[1:], len(chosen)) - 1
+    windows, span = size - depth + 1, depth - anchor
+    # So many windows at a time that a place among them fits into its bits, whatever the text's length.
+    step = (1 << _PLACE_BITS) - span
+    at, first = [], []
+    for begin in range(0, windows, step):
+        places = np.arange(min(step, windows - begin) + span)
+        numbers = hashes.first(places + begin, places + begin + anchor) & ~_PLACE | places.astype(_U)
+        chosen = (_smallest(numbers, span + 1) & _PLACE).astype(np.int64)
+        new = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
+        at.append(chosen[new] + begin)
+        first.append(new + begin)
+    chosen, first = np.concatenate(at), np.concatenate(first)
+    # A run may go on from one piece to the next.
+    new = np.append(True, chosen[1:] != chosen[:-1])
+    first = first[new]
+    return chosen[new], first, np.append(first[1:], windows) - 1
 
 
 def _runs(depth: int, anchor: int):
@@ -285,8 +295,9 @@ def find_repeats(
     anywhere else, in the same text or another; the strings are those of the input, and may overlap. ``spans`` are
     the maximal removed stretches (first byte, bytes), ``kept_sha256`` is the digest of what is left, and
     ``with_kept`` adds those bytes as ``kept``. NULL text counts as empty; texts of fewer bytes than ``depth`` keep
-    all. Repeated rows repeat each other's text, so all of it goes, if it is long enough. A NULL id is an id; rows of one id
-    and different texts each have their own result. Other columns are ignored. An empty table gives an empty result.
+    all; a text of any length is taken whose row fits in memory. Repeated rows repeat each other's text, so all of it
+    goes, if it is long enough. A NULL id is an id; rows of one id and different texts each have their own result.
+    Other columns are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     anchor = min(ANCHOR, max(1, depth // 2))
