@@ -1,7 +1,7 @@
-"""Removal of long repeated strings by a depth-limited radix sort of suffixes.
+"""Removal of long repeated strings by grouping hashes of windows, in place of a radix sort of suffixes.
 
 Only the first ``depth`` bytes of a suffix count, so suffixes that stay together through all passes are exactly
-the repeated windows. A pass groups suffixes by one more digit, from the most significant on, and those alone in
+the repeated windows. Nothing is ordered, and a digit is no leading byte. A pass groups suffixes by one more digit, from the most significant on, and those alone in
 their group drop out. What a digit is makes the passes cheap:
 
 * First digit: the bytes of the window's anchor and the anchor's place in it. The anchor is the piece of
