@@ -1,10 +1,11 @@
 """Token counts by a finite-state transducer whose transitions carry the number of emitted tokens.
 
 A piece of text is a map from the state before it to the state after it and the tokens in between. Maps compose,
-and composing is associative, so a text's count is a prefix scan over the maps of its chunks. A chunk that begins
+and composing is associative, so a text's count could be a prefix scan over the maps of its chunks. A chunk that begins
 with a word's start has a map that is the same for every state before it, because no token goes over a word's
 end; such maps compose by adding counts, in any order, and each is computed once for a word. Words too long to
-keep are cut into chunks whose maps are composed state by state.
+keep are cut into chunks, and each chunk's map is evaluated from left to right for the one state that is reached: two
+maps are never composed, and there is no parallel scan.
 """
 
 from __future__ import annotations
