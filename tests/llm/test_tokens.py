@@ -98,3 +98,25 @@ def test_queries_on_the_smallest_tables(spark, small, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    ("part", "said"),
+    [
+        (b"\x12\x02\x18\x01", "type BPE"),
+        (b"\x1a\x03\x12\x01x", "rules"),
+        (b"\x1a\x02\x18\x00", "dummy prefix"),
+        (b"\x1a\x02\x20\x01", "white space"),
+    ],
+)
+def test_models_of_another_kind_are_refused(part, said):
+    from tripmill.llm.bpe import MergeAutomaton
+    from tripmill.llm.queries import PIECES, tokenizer_file
+
+    with open(tokenizer_file(PIECES), "rb") as file:
+        model = file.read()
+    # A later part is what counts, as when messages are joined; what it leaves out is put as the model has it.
+    kept = b"\x12\x02\x18\x02\x1a\x04\x18\x01\x20\x00"
+    MergeAutomaton(model + kept)
+    with pytest.raises(ValueError, match=said):
+        MergeAutomaton(model + kept + part)

@@ -38,12 +38,56 @@ START = 0
 Move = tuple[int, tuple[tuple[int, int], ...], tuple[int, ...]]
 
 
+def _fields(message: bytes) -> dict[int, int | bytes]:
+    """The last value of each field of a protocol buffer message."""
+    out: dict[int, int | bytes] = {}
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = message[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(message):
+        key = number()
+        kind = key & 7
+        if kind == 0:
+            out[key >> 3] = number()
+        else:
+            size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+            out[key >> 3] = message[at : at + size]
+            at += size
+    return out
+
+
+def _refuse_other_kinds(model: bytes) -> None:
+    """Raise unless the model is of type BPE, has no normalisation rules, a dummy prefix, and keeps white space."""
+    parts = _fields(model)
+    trainer, rules = _fields(parts.get(2, b"")), _fields(parts.get(3, b""))
+    # Fields that are left out have the library's defaults.
+    if trainer.get(3, 1) != 2:
+        raise ValueError("the model is not of type BPE")
+    if trainer.get(24, 0):
+        raise ValueError("the model has white space as a suffix")
+    if rules.get(2, b""):
+        raise ValueError("the model has normalisation rules")
+    if not rules.get(3, 1) or rules.get(4, 1) or not rules.get(5, 1):
+        raise ValueError("the model has no dummy prefix, or does not keep or escape white space")
+
+
 class MergeAutomaton:
     """The automaton of a sentencepiece model of type BPE without normalisation rules."""
 
     def __init__(self, model: bytes) -> None:
         import sentencepiece
 
+        _refuse_other_kinds(model)
         processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = processor.get_piece_size()
         plain = [
