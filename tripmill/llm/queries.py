@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.llm.centroids import cluster_vectors
 from tripmill.llm.chat import format_records, read_formatted, rows_to_records
 from tripmill.llm.common import read_table
 from tripmill.llm.decontamination import find_contamination
@@ -16,12 +17,14 @@ from tripmill.llm.near_dedup import find_near_copies
 from tripmill.llm.repeats import find_repeats
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
+from tripmill.llm.sql import clusters_sql
 from tripmill.llm.token_counts import count_tokens
 from tripmill.llm.toxicity import held_out, score, train
 
 SHARDS = 24
 PIECES = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+CLUSTERS = {"k": 8, "dims": 64, "scale": 1024, "rounds": 10, "seed": 3}
 
 
 def tokenizer_file(name: str) -> str:
@@ -92,6 +95,11 @@ def op10_sharding(spark: SparkSession, tables: str) -> DataFrame:
     return balance_by_bytes(read_table(spark, tables, "documents"), SHARDS)
 
 
+def op12_centroid_clusters(spark: SparkSession, tables: str) -> DataFrame:
+    """Every whole vector with the nearest of 8 centroids after 10 rounds, in integers."""
+    return cluster_vectors(read_table(spark, tables, "embeddings"), **CLUSTERS)
+
+
 _OP1_SQL = r"""
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -173,6 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_html_text,
         op10_sharding,
+        op12_centroid_clusters,
     )
 }
 
@@ -180,4 +189,5 @@ ORACLES: dict[str, str] = {
     "op1_chat_format": _OP1_SQL,
     "op3_decontamination": _OP3_SQL,
     "op4_exact_dedup": _OP4_SQL,
+    "op12_centroid_clusters": clusters_sql(**CLUSTERS),
 }
