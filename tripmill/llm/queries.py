@@ -17,9 +17,10 @@ from tripmill.llm.near_dedup import find_near_copies
 from tripmill.llm.repeats import find_repeats
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
-from tripmill.llm.sql import clusters_sql
+from tripmill.llm.sql import WARC_SQL, clusters_sql
 from tripmill.llm.token_counts import count_tokens
 from tripmill.llm.toxicity import held_out, score, train
+from tripmill.llm.warc import archive_pages
 
 SHARDS = 24
 PIECES = "piece_bpe_32k.model"
@@ -100,6 +101,11 @@ def op12_centroid_clusters(spark: SparkSession, tables: str) -> DataFrame:
     return cluster_vectors(read_table(spark, tables, "embeddings"), **CLUSTERS)
 
 
+def op13_warc_index(spark: SparkSession, tables: str) -> DataFrame:
+    """Every page written to a WARC archive and read back by its URL through the capture index."""
+    return archive_pages(spark, read_table(spark, tables, "pages")).drop("url", "payload")
+
+
 _OP1_SQL = r"""
 WITH said AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -182,6 +188,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_text,
         op10_sharding,
         op12_centroid_clusters,
+        op13_warc_index,
     )
 }
 
@@ -190,4 +197,5 @@ ORACLES: dict[str, str] = {
     "op3_decontamination": _OP3_SQL,
     "op4_exact_dedup": _OP4_SQL,
     "op12_centroid_clusters": clusters_sql(**CLUSTERS),
+    "op13_warc_index": WARC_SQL,
 }

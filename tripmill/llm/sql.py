@@ -46,3 +46,22 @@ SELECT vec_id, CAST(best.j AS INTEGER) AS cluster, best.d AS distance,
     CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
 FROM near{rounds} JOIN kept USING (r) JOIN c{rounds} ON c{rounds}.j = best.j
 """
+
+
+# Base32 of SHA-1: five bytes, ten hexadecimal digits, give eight digits of five bits.
+WARC_SQL = """
+WITH payload AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h
+    FROM pages
+), named AS (
+    SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST((CAST('0x' || substr(h, 1 + 10 * (i // 8), 10) AS BIGINT) >> (5 * (7 - i % 8))) & 31 AS INTEGER),
+        1)), '') AS payload_digest
+    FROM payload
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+FROM named WINDOW same AS (PARTITION BY payload_digest)
+"""
