@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.llm.audit import damaged, repair
 from tripmill.llm.centroids import cluster_vectors
 from tripmill.llm.chat import format_records, read_formatted, rows_to_records
 from tripmill.llm.common import read_table
@@ -17,7 +18,7 @@ from tripmill.llm.near_dedup import find_near_copies
 from tripmill.llm.repeats import find_repeats
 from tripmill.llm.sentencepieces import digests, encode_and_decode
 from tripmill.llm.sharding import balance_by_bytes
-from tripmill.llm.sql import WARC_SQL, clusters_sql
+from tripmill.llm.sql import AUDIT_SQL, WARC_SQL, clusters_sql
 from tripmill.llm.token_counts import count_tokens
 from tripmill.llm.toxicity import held_out, score, train
 from tripmill.llm.warc import archive_pages
@@ -96,6 +97,11 @@ def op10_sharding(spark: SparkSession, tables: str) -> DataFrame:
     return balance_by_bytes(read_table(spark, tables, "documents"), SHARDS)
 
 
+def op11_conversation_repair(spark: SparkSession, tables: str) -> DataFrame:
+    """Every conversation, damaged, with the cheapest edits that repair its roles."""
+    return repair(damaged(read_table(spark, tables, "conversations")))
+
+
 def op12_centroid_clusters(spark: SparkSession, tables: str) -> DataFrame:
     """Every whole vector with the nearest of 8 centroids after 10 rounds, in integers."""
     return cluster_vectors(read_table(spark, tables, "embeddings"), **CLUSTERS)
@@ -187,6 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_dedup,
         op9_html_text,
         op10_sharding,
+        op11_conversation_repair,
         op12_centroid_clusters,
         op13_warc_index,
     )
@@ -196,6 +203,7 @@ ORACLES: dict[str, str] = {
     "op1_chat_format": _OP1_SQL,
     "op3_decontamination": _OP3_SQL,
     "op4_exact_dedup": _OP4_SQL,
+    "op11_conversation_repair": AUDIT_SQL,
     "op12_centroid_clusters": clusters_sql(**CLUSTERS),
     "op13_warc_index": WARC_SQL,
 }
