@@ -110,9 +110,10 @@ WITH RECURSIVE crc_step AS (
         {'c': 5, 'a': 'I', 't': 'user:' || chr(10)} AS u, {'c': 10, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:' || chr(10)} AS a
     FROM counted
     UNION ALL
-    SELECT conv_id, i, n, s, list_min([u, {'c': a.c + 5, 'a': a.a || 'I', 't': a.t || 'user:' || chr(10)},
-            {'c': s.c + 5, 'a': s.a || 'I', 't': s.t || 'user:' || chr(10)}, {'c': n.c + 5, 'a': n.a || 'I', 't': n.t || 'user:' || chr(10)}]) AS u2,
-        list_min([a, {'c': u2.c + 5, 'a': u2.a || 'I', 't': u2.t || 'assistant:' || chr(10)}])
+    SELECT conv_id, i, n, s, u, list_min([a, {'c': u.c + 5, 'a': u.a || 'I', 't': u.t || 'assistant:' || chr(10)}])
+    FROM (SELECT conv_id, i, n, s, a, list_min([u, {'c': a.c + 5, 'a': a.a || 'I', 't': a.t || 'user:' || chr(10)},
+            {'c': s.c + 5, 'a': s.a || 'I', 't': s.t || 'user:' || chr(10)},
+            {'c': n.c + 5, 'a': n.a || 'I', 't': n.t || 'user:' || chr(10)}]) AS u
     FROM (
         SELECT p.conv_id, f.i,
             {'c': n.c + 2, 'a': n.a || 'D', 't': n.t} AS n,
@@ -130,7 +131,7 @@ WITH RECURSIVE crc_step AS (
             FROM (SELECT *, role || ':' || text || chr(10) AS own,
                 CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS keep FROM faulty)
         ) f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1
-    )
+    ))
 ), ended AS (
     SELECT conv_id, list_min([n, a]) AS best FROM (
         SELECT conv_id, n, a, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS last FROM path
