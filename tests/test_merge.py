@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 import shutil
 from contextlib import contextmanager
 from pathlib import Path
@@ -370,32 +371,76 @@ def test_target_scan_is_pruned(spark, folder):
     plan = merge._resolve(batch, table, ["k", "y", "t"], None, None, False, False)
     touched = stage(merge._touched(plan, batch), new_folder(spark, "touched"))
     assert [row["y"] for row in touched.collect()] == [2002]
-    text = formatted_plan(merge._nearby(plan, touched))
+    text = formatted_plan(merge._nearby(plan, touched, merge._ranges(plan, touched)[1]))
     assert "dynamicpruning" in text
     assert "PushedFilters: [IsNotNull(k), IsNotNull(t), GreaterThanOrEqual(k,7), LessThanOrEqual(k,7)" in text
     assert "GreaterThanOrEqual(t,2002-01-08T00:00)" in text
 
 
-@pytest.mark.parametrize("partitions", [32, 33, 500])
-def test_ranges_are_pushed_for_any_number_of_partitions(spark, folder, partitions):
+def nearby_of(spark, table, batch, keys, **options):
+    plan = merge._resolve(batch, table, keys, None, None, options.get("null_safe", False), False)
+    touched = stage(merge._touched(plan, batch), new_folder(spark, "touched"))
+    count, ranges = merge._ranges(plan, touched)
+    return merge._nearby(plan, touched, ranges), count
+
+
+def pushed_ranges(df, name):
+    """The ranges of a column that the scan of the target is given."""
+    text = next(line for line in formatted_plan(df).splitlines() if "PushedFilters" in line and f"IsNotNull({name})" in line)
+    pattern = rf"GreaterThanOrEqual\({name},(-?\d+)\),LessThanOrEqual\({name},(-?\d+)\)"
+    return [(int(low), int(high)) for low, high in re.findall(pattern, text.replace(" ", ""))]
+
+
+@pytest.mark.parametrize("partitions", [1, 32, 64])
+def test_ranges_of_few_partitions_are_pushed_as_they_are(spark, folder, partitions):
     table = Table(folder, ("y",))
     schema = "k int, y int, v int"
     data = [(1000 * n + i, n, 0) for n in range(partitions) for i in range(2)]
     write_table(spark.createDataFrame(data[:2], schema), table)
-    batch = spark.createDataFrame(data, schema)
-    plan = merge._resolve(batch, table, ["k", "y"], None, None, False, False)
-    touched = stage(merge._touched(plan, batch), new_folder(spark, "touched"))
-    found = merge._intervals(touched, "_min_0", "_max_0", plan.types["k"])
-    assert found == [(str(1000 * n), str(1000 * n + 1)) for n in range(partitions)]
-    text = formatted_plan(merge._nearby(plan, touched))
-    last = 1000 * (partitions - 1)
-    assert f"GreaterThanOrEqual(k,{last}),LessThanOrEqual(k,{last + 1})" in text
+    nearby, count = nearby_of(spark, table, spark.createDataFrame(data, schema), ["k", "y"])
+    assert count == 2 * partitions
+    assert pushed_ranges(nearby, "k") == [(1000 * n, 1000 * n + 1) for n in range(partitions)]
 
 
-def test_overlapping_ranges_are_one(spark):
-    rows = [(1, 5), (3, 9), (20, 30), (25, 26), (None, None)]
-    ranges = spark.createDataFrame(rows, "low int, high int").withColumnsRenamed({"low": "a", "high": "b"})
-    assert merge._intervals(ranges, "a", "b", ranges.schema["a"].dataType) == [("1", "9"), ("20", "30")]
+def test_a_hundred_thousand_partitions_make_no_larger_plan(spark, folder):
+    table = Table(folder, ("y",))
+    some = spark.range(10).select(F.col("id").cast("int").alias("k"), F.col("id").cast("int").alias("y"), F.lit(0).alias("v"))
+    write_table(some, table)
+
+    def plan(partitions):
+        batch = spark.range(partitions).select((F.col("id") * 10).cast("int").alias("k"), F.col("id").cast("int").alias("y"), F.lit(0).alias("v"))
+        nearby, count = nearby_of(spark, table, batch, ["k", "y"])
+        assert count == partitions and [row["k"] for row in nearby.collect()] == [0]
+        ranges = pushed_ranges(nearby, "k")
+        assert ranges[0][0] == 0 and ranges[-1][1] == 10 * (partitions - 1) and 2 <= len(ranges) <= 64
+        return len(formatted_plan(nearby))
+
+    assert plan(100_000) < 1.2 * plan(1_000)
+
+
+ordered_types = st.sampled_from(["int", "bigint", "decimal(20,3)", "date", "timestamp", "timestamp_ntz"])
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    data_type=ordered_types,
+    target_rows=st.lists(st.tuples(st.integers(-300, 300), st.integers(0, 90)), max_size=40),
+    source_rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-300, 300)), st.integers(0, 90)), min_size=1, max_size=200),
+    null_safe=st.booleans(),
+)
+def test_ranges_lose_no_match(spark, data_type, target_rows, source_rows, null_safe):
+    def typed(rows):
+        df = spark.createDataFrame(rows, "n int, y int")
+        moment = F.timestamp_micros(F.col("n").cast("bigint") * 86_400_000_000)
+        key = moment.cast(data_type) if data_type.startswith(("date", "time")) else F.col("n").cast(data_type)
+        return df.select(key.alias("k"), "y", "n")
+
+    table = Table(new_folder(spark, "ranges"), ("y",), schema=typed([]).schema)
+    write_table(typed(target_rows), table)
+    nearby, _ = nearby_of(spark, table, typed(source_rows), ["k", "y"], null_safe=null_safe)
+    got = {(row["n"], row["y"]) for row in nearby.collect()}
+    assert {row for row in target_rows if row in source_rows} <= got
+    assert all(any(y == s[1] for s in source_rows) for _, y in got)
 
 
 def staging_folders(spark):
@@ -447,8 +492,7 @@ def test_an_update_keeps_months_apart(spark, folder):
     k, y, m, t, _ = data[5]
     batch = spark.createDataFrame([(k, y, m, t, -1)], schema)
     assert upsert(batch, table, ["k", "y", "m", "t"]).rewritten_partitions == (("2001", str(m)),)
-    plan = merge._resolve(batch, table, ["k", "y", "m", "t"], None, None, False, False)
-    nearby = merge._nearby(plan, stage(merge._touched(plan, batch), new_folder(spark, "touched")))
+    nearby, _ = nearby_of(spark, table, batch, ["k", "y", "m", "t"])
     assert "dynamicpruningexpression(m" in formatted_plan(nearby)
     assert {(row["y"], row["m"]) for row in nearby.collect()} == {(2001, m)}
     for folder_of_month in Path(folder).glob("y=2001/m=*"):

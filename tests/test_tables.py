@@ -68,10 +68,9 @@ def test_table_arguments(spark, trips, folder):
         write_table(trips, Table(folder), mode="partitions")
 
 
-@pytest.mark.parametrize("told", [False, True])
-def test_catalog_sees_partitions_written_by_path(spark, trips, folder, schema_name, told):
+def test_catalog_sees_partitions_that_were_written(spark, trips, folder, schema_name):
     table = ensure_table(spark, trips.schema, Table(folder, ("pu", "pay"), name=f"{schema_name}.trips"))
-    write_table(trips, table, touched=[("7", "2"), ("8", "2"), ("7", None)] if told else None)
+    write_table(trips, table)
     assert spark.table(table.name).count() == 3
     assert scan_where(spark, table.name, "pu = 7 and pay is null").first()["id"] == 3
 

@@ -2,25 +2,40 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property, reduce
 from operator import and_, or_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.errors import DuplicateSourceKeyError, MergeError, MergeKeysError, PartitionColumnError
+from tripmill.operators.key_filter import KeyFilter
 from tripmill.operators.merge_terms import Pairs, assignments, key_pairs, of, row_changes, rows_match
 from tripmill.operators.partitions import touched_partitions
 from tripmill.scratch import drop_folder, scratch_folder, stage
-from tripmill.sources.tables import Table, read_table, write_table
+from tripmill.sources.tables import (
+    Table,
+    dealt_by_partition,
+    point_partitions,
+    stored_rows,
+    timestamps_with_statistics,
+    write_table,
+)
 
 # Key types whose smallest and largest source value narrow the scan of the target.
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+# Ranges that are pushed to the scan for a key, whatever the number of touched partitions.
+_MAX_RANGES = 64
+# From so many source rows on, the target's rows are tested against a filter of the source's keys before the join.
+_FILTER_FROM_ROWS = 100_000
 # monotonically_increasing_id() counts the rows of a partition in its low 33 bits.
 _ROW_BITS = 33
 
@@ -50,6 +65,7 @@ class _Merge:
     null_safe_keys: bool
     # Keys whose range in the source narrows the scan.
     ranged: list[str]
+    source_types: dict[str, T.DataType]
 
     @property
     def match(self) -> Column:
@@ -67,9 +83,16 @@ class _Merge:
     def partition_values(self) -> list[Column]:
         """The target's partition values of a source row."""
         source_of = dict(self.pairs)
-        return [
-            F.col(f"`{source_of[name]}`").cast(self.types[name]).alias(name) for name in self.table.partition_by
-        ]
+        values = [F.col(f"`{source_of[name]}`").cast(self.types[name]).alias(name) for name in self.table.partition_by]
+        slices = self.table.slices
+        if slices:
+            values.append(slices.value(lambda name: F.col(f"`{source_of[name]}`"), self.types))
+        return values
+
+    @property
+    def alike(self) -> list[tuple[str, str]]:
+        """Keys of one type on both sides, whose values therefore have one hash."""
+        return [(t, s) for t, s in self.pairs if self.types[t] == self.source_types[s]]
 
 
 def upsert(
@@ -97,10 +120,13 @@ def upsert(
     How it scales:
 
     * Only partitions the source has values for are read, by a semi join that prunes them, and in them only
-      the key ranges the source covers, as disjoint intervals, however many there are. So a month of data is
-      compared with that month of the table. Partition columns must be keys.
+      the key ranges the source covers. The scan gets at most ``_MAX_RANGES`` ranges a key, the join tests those of each
+      partition; so the plan does not grow with the number of partitions. Partition columns must be keys.
+    * A large source is looked up behind a filter of its keys (see :class:`~tripmill.operators.key_filter.KeyFilter`):
+      target rows that no source row can match are dropped by the scan's task and never shuffled.
     * One join looks up matches and keeps nothing but row numbers, keys and changed rows. New rows are appended.
-      Only partitions that hold a *changed* row are rewritten, so a batch of new rows rewrites nothing.
+      Only partitions that hold a *changed* row are rewritten, so a batch of new rows rewrites nothing. With
+      ``Table.slices`` a partition is many slices, and only slices with a changed row are rewritten.
     * No join here is a full outer join: for inner, left and anti joins adaptive execution can split a
       key with very many rows, for full outer joins it cannot. Source rows with a NULL key, which may be
       very many, are never compared.
@@ -111,9 +137,11 @@ def upsert(
       no partition is scanned for it. Numbers of source rows that were not inserted are skipped.
 
     Plain parquet has no transactions, so a table must have one writer at a time. What replaces changed
-    partitions is written in full to a folder beside the table first, and then noted as complete; only then are
-    partitions overwritten from it. If the job dies in between, the next upsert starts by doing that overwrite
-    again, so no row is lost. New rows are appended last; run the batch again if they are not there.
+    partitions is written in full beside the table first, and then noted as complete. A partitioned table with a name
+    is then switched: the catalog points each changed partition to its new folder, so rows are written once, and the
+    old folder is deleted at the end. A table without a name, or without partitions, is overwritten from what was
+    written beside it. If the job dies in between, the next upsert starts by finishing what was noted, so no row is
+    lost. New rows are appended last; run the batch again if they are not there.
 
     A table whose ``format`` is not parquet is merged by its own MERGE, and nothing else is tried.
     """
@@ -131,14 +159,18 @@ def _upsert(merge: _Merge, source: DataFrame, folder: str) -> UpsertReport:
     numbered = _without_void(source).withColumn("_sid", F.monotonically_increasing_id())
     staged = stage(numbered, f"{folder}/source")
     touched = stage(_touched(merge, staged), f"{folder}/touched")
-    source_rows = touched.agg(F.sum("_rows")).first()[0] or 0
+    source_rows, ranges = _ranges(merge, touched)
     if source_rows == 0:
         return UpsertReport()
 
     matchable = staged
     if not merge.null_safe_keys:
         matchable = staged.filter(reduce(and_, [F.col(f"`{key}`").isNotNull() for key in merge.source_keys]))
-    hits = stage(_look_up(merge, _nearby(merge, touched), matchable), f"{folder}/hits")
+    nearby = _nearby(merge, touched, ranges)
+    if source_rows >= _FILTER_FROM_ROWS and merge.alike:
+        ours, theirs = zip(*merge.alike)
+        nearby = nearby.filter(KeyFilter.of(matchable, theirs, source_rows).may_hold(ours))
+    hits = stage(_look_up(merge, nearby, matchable), f"{folder}/hits")
     per_key = hits.groupBy(*merge.source_keys).agg(
         F.count("*").alias("matched"),
         F.count_if("_changed").alias("updated"),
@@ -158,68 +190,122 @@ def _upsert(merge: _Merge, source: DataFrame, folder: str) -> UpsertReport:
     inserted = source_rows - found
     if inserted:
         new = staged.join(hits.select("_sid"), "_sid", "left_anti") if found else staged
-        values = [tuple(row) for row in touched.select(*_as_names(merge)).collect()] if table.partition_by else None
-        write_table(_as_target(merge, new, staged, source_rows), table, "append", values)
+        write_table(_as_target(merge, new, staged, source_rows), table, "append")
     return UpsertReport(source_rows, matched or 0, updated or 0, inserted, rewritten)
 
 
-def _as_names(merge: _Merge) -> list[Column]:
-    """Partition values as text like in the folder names."""
-    return [F.col(f"`{name}`").cast("string").alias(name) for name in merge.table.partition_by]
-
-
 # ---- replacing partitions
 
+# What is noted as complete beside the table: one row for each partition, or one for a table overwritten as a whole.
+# ``folder`` holds the new rows, ``replaced`` are folders of the old ones, to be deleted in the end.
+_NOTE = "partition array<string>, folder string, replaced array<string>"
+# The folder of a file. File paths are given with what is special in them as percent codes.
+_FOLDER_OF_FILE = "regexp_replace(_metadata.file_path, '/[^/]*$', '')"
+
 
 def _pending(table: Table) -> str:
-    """The folder beside the table that holds what is about to replace some of its rows."""
+    """The folder beside the table that tells what is about to replace some of its rows."""
     return f"{table.path.rstrip('/')}_pending"
 
 
+def _as_names(table: Table) -> list[Column]:
+    """Partition values as text like in the folder names."""
+    return [F.col(f"`{name}`").cast("string").alias(name) for name in table.stored_by]
+
+
+def _by_folder(rows: DataFrame, table: Table) -> dict[tuple, list[str]]:
+    """The folders of partitions, by their values as text."""
+    folders = {}
+    for *values, folder in rows.select(*_as_names(table), "_folder").distinct().collect():
+        folders.setdefault(tuple(values), []).append(unquote(folder))
+    return folders
+
+
 def _switch(merge: _Merge, changed: DataFrame) -> tuple[tuple[str | None, ...], ...]:
-    """Write the changed partitions, or the table if it has none, in full beside the table, then overwrite."""
+    """Write the changed partitions, or the table if it has none, in full beside the table, and change over."""
     spark, table = changed.sparkSession, merge.table
-    target = merge.target
-    if table.partition_by:
-        parts = touched_partitions(changed.select(*merge.partition_values), table.partition_by)
-        target = _in_partitions(merge, parts.withColumn("_rows", F.lit(1)), merge.target)
-    rows = f"{_pending(table)}/rows-{uuid.uuid4().hex}"
+    target, old = merge.target, {}
+    if table.stored_by:
+        parts = touched_partitions(changed.select(*merge.partition_values), table.stored_by).withColumn("_rows", F.lit(1))
+        target = _in_partitions(merge, parts, merge.target)
+        if table.switchable:
+            files = merge.target.withColumn("_folder", F.expr(_FOLDER_OF_FILE)).select(*table.stored_by, "_folder")
+            old = _by_folder(_in_partitions(merge, parts, files), table)
+    new = f"{table.path.rstrip('/')}_versions/{uuid.uuid4().hex}" if table.switchable else f"{_pending(table)}/rows"
     try:
-        _replace(merge, target, changed).write.parquet(rows)
-        spark.createDataFrame([(rows,)], "rows string").write.parquet(f"{_pending(table)}/complete")
+        replaced = _replace(merge, target, changed)
+        if table.switchable:
+            with timestamps_with_statistics(spark):
+                dealt_by_partition(replaced, table).write.partitionBy(*table.stored_by).parquet(new)
+            written = spark.read.schema(merge.target.schema).parquet(new)
+            places = _by_folder(written.withColumn("_folder", F.expr(_FOLDER_OF_FILE)), table)
+            note = [(list(values), folder, old.get(values, [])) for values, (folder,) in places.items()]
+        else:
+            replaced.write.parquet(new)
+            note = [(None, new, [])]
+        spark.createDataFrame(note, _NOTE).coalesce(1).write.parquet(f"{_pending(table)}/complete")
     except Exception:
         drop_folder(spark, _pending(table))
+        if table.switchable:
+            drop_folder(spark, new)
         raise
-    return _overwrite(spark, table, rows, merge.target.schema)
+    return _change_over(spark, table, note, merge.target.schema)
 
 
-def _overwrite(spark: SparkSession, table: Table, rows: str, schema: T.StructType) -> tuple[tuple[str | None, ...], ...]:
-    """Overwrite the table's rows from what lies beside it, and forget that once the counts agree."""
-    written = spark.read.schema(schema).parquet(rows)
-    values = ()
-    if table.partition_by:
-        parts = written.select(*(F.col(f"`{name}`").cast("string").alias(name) for name in table.partition_by))
-        values = tuple(sorted((tuple(row) for row in parts.distinct().collect()), key=lambda v: [(x is None, x or "") for x in v]))
+def _change_over(
+    spark: SparkSession, table: Table, note: Sequence[tuple], schema: T.StructType
+) -> tuple[tuple[str | None, ...], ...]:
+    """Let the table have the rows that the note tells of, and forget the note."""
+    (partition, folder, _) = note[0]
     try:
-        write_table(written, table, "partitions" if table.partition_by else "overwrite", values)
+        if partition is not None:
+            values = [tuple(row[0]) for row in note]
+            point_partitions(spark, table, [(tuple(row[0]), row[1]) for row in note])
+        else:
+            written = spark.read.schema(schema).parquet(folder)
+            values = [()]
+            if table.stored_by:
+                values = [tuple(row) for row in written.select(*_as_names(table)).distinct().collect()]
+            write_table(written, table, "partitions" if table.stored_by else "overwrite")
     except Exception as error:
-        raise MergeError(f"the table was not written in full; its rows are in {rows}, the next upsert goes on") from error
+        raise MergeError(f"the table was not changed over in full; {_pending(table)} tells how, the next upsert goes on") from error
     drop_folder(spark, _pending(table))
-    return values
+    for _, folder, replaced in note:
+        for old in replaced:
+            # A change-over that is done again finds the new folder in place of the old one.
+            if old != unquote(folder):
+                drop_folder(spark, old)
+    if not table.stored_by:
+        return ()
+    return tuple(sorted(values, key=lambda v: [(x is None, x or "") for x in v]))
 
 
 def recover(spark: SparkSession, table: Table) -> bool:
-    """Finish a replacement that was complete beside the table when its job died; tell whether there was one."""
-    try:
-        rows = spark.read.schema("rows string").parquet(f"{_pending(table)}/complete").first()
-    except AnalysisException:
+    """Finish a replacement that was complete beside the table when its job died; tell whether there was one.
+
+    A note that was not written in full is cleared: nothing was changed over by then.
+    """
+    note = _if_there(spark.read.schema(_NOTE), f"{_pending(table)}/complete")
+    if note is None:
         return False
-    if rows is None:
+    rows = [tuple(row) for row in note.collect()]
+    if not rows:
+        drop_folder(spark, _pending(table))
         return False
-    _overwrite(spark, table, rows["rows"], read_table(spark, table).schema)
+    _change_over(spark, table, rows, stored_rows(spark, table).schema)
     return True
 
 
+def _if_there(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """The parquet files at ``path``, or None if there is no such path. Any other error is one."""
+    try:
+        return reader.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def _resolve(
     source: DataFrame,
     table: Table,
@@ -233,7 +319,7 @@ def _resolve(
     pairs = key_pairs(keys)
     set_columns = assignments(source.columns if columns is None else columns, table.identity)
     try:
-        target = read_table(source.sparkSession, table)
+        target = stored_rows(source.sparkSession, table)
     except AnalysisException as error:
         raise MergeError(f"no readable target: {error}") from error
 
@@ -246,9 +332,11 @@ def _resolve(
         set_columns = {spelled[0][t.lower()]: spelled[1][s.lower()] for t, s in set_columns.items()}
     except KeyError as error:
         raise MergeError(f"no column {error} to set") from error
-    for name in table.partition_by:
+    for name in (*table.partition_by, *(table.slices.by if table.slices else ())):
         if name not in dict(pairs) or set_columns.get(name) != dict(pairs)[name]:
             raise PartitionColumnError(f"partition column {name} must be a key and be set from that key")
+    if table.slices and table.slices.column in set_columns:
+        raise PartitionColumnError(f"{table.slices.column} follows from other columns and is not set")
 
     if update_when is None:
         # Equal by the match, so a key cannot be what changed.
@@ -260,10 +348,17 @@ def _resolve(
     ranged = [
         t
         for t, s in pairs
-        if t not in table.partition_by and isinstance(types[0][t], _RANGED) and types[0][t] == types[1][s]
+        if t not in table.partition_by and _has_ranges(types[0][t]) and types[0][t] == types[1][s]
     ]
     changes = F.coalesce(changes, F.lit(False))
-    return _Merge(target, table, pairs, set_columns, changes, null_safe_keys, ranged)
+    return _Merge(target, table, pairs, set_columns, changes, null_safe_keys, ranged, types[1])
+
+
+def _has_ranges(data_type: T.DataType) -> bool:
+    """Whether values are ordered like numbers of 28 digits before and 10 after the point."""
+    if isinstance(data_type, T.DecimalType):
+        return data_type.scale <= 10 and data_type.precision - data_type.scale <= 28
+    return isinstance(data_type, _RANGED)
 
 
 def _merge_natively(
@@ -321,59 +416,100 @@ def _touched(merge: _Merge, staged: DataFrame) -> DataFrame:
     return staged.groupBy(*merge.partition_values).agg(F.count("*").alias("_rows"), *ends)
 
 
-def _nearby(merge: _Merge, touched: DataFrame) -> DataFrame:
-    """The target rows that the source can match at all."""
-    nearby = merge.target
-    for i, name in enumerate(merge.ranged):
-        data_type, column = merge.types[name], F.col(f"`{name}`")
-        inside = [
-            column.between(_from_text(low, data_type), _from_text(high, data_type))
-            for low, high in _intervals(touched, f"_min_{i}", f"_max_{i}", data_type)
-        ]
-        nearby = nearby.filter(_any([*inside, column.isNull()] if merge.null_safe_keys else inside))
-    return _in_partitions(merge, touched, nearby) if merge.table.partition_by else nearby
+def _ranges(merge: _Merge, touched: DataFrame) -> tuple[int, dict[str, list[tuple[Column, Column]]]]:
+    """The number of source rows, and for each ranged key a few ranges that cover those of all touched partitions.
+
+    Up to ``_MAX_RANGES`` partitions keep their ranges. Those of more are brought together by the bucket, of as many
+    equal spans, that they start in. Ranges that overlap become one. What gets here is one small row a key and bucket.
+    """
+    keys = [(i, name, merge.types[name]) for i, name in enumerate(merge.ranged)]
+    ends = [F.struct(F.min(_ordinal(f"_min_{i}", kind)), F.max(_ordinal(f"_max_{i}", kind))) for i, _, kind in keys]
+    source_rows, partitions, *spans = touched.agg(F.sum("_rows"), F.count("*"), *ends).first()
+    if not source_rows or not keys:
+        return source_rows or 0, {}
+    rows = []
+    for (i, _, kind), (low, high) in zip(keys, spans):
+        start = _ordinal(f"_min_{i}", kind)
+        if partitions <= _MAX_RANGES or low is None or low == high:
+            bucket = F.monotonically_increasing_id() if partitions <= _MAX_RANGES else F.lit(0).cast("long")
+        else:
+            width = float(high - low) / _MAX_RANGES
+            bucket = F.least(F.floor((start - F.lit(low)).cast("double") / width), F.lit(_MAX_RANGES - 1))
+        rows.append(F.struct(F.lit(i).alias("key"), bucket.alias("bucket"), start.alias("low"), _ordinal(f"_max_{i}", kind).alias("high")))
+    found = touched.select(F.inline(F.array(*rows))).filter("low IS NOT NULL")
+    found = found.groupBy("key", "bucket").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    ranges = {name: [] for _, name, _ in keys}
+    for i, low, high in sorted(tuple(row) for row in found.select("key", "low", "high").collect()):
+        covered = ranges[merge.ranged[i]]
+        if covered and low <= covered[-1][1]:
+            covered[-1] = (covered[-1][0], max(high, covered[-1][1]))
+        else:
+            covered.append((low, high))
+    return source_rows, {
+        name: [(_from_ordinal(low, kind), _from_ordinal(high, kind)) for low, high in ranges[name]] for _, name, kind in keys
+    }
 
 
-def _intervals(touched: DataFrame, low: str, high: str, data_type: T.DataType) -> list[tuple[str, str]]:
-    """The ranges of all touched partitions as disjoint intervals, which are at most as many."""
-    ranges = touched.select(F.col(low).alias("low"), F.col(high).alias("high")).filter("low IS NOT NULL")
-    by_low = Window.orderBy("low", "high")
-    before = F.max("high").over(by_low.rowsBetween(Window.unboundedPreceding, -1))
-    opened = ranges.select("low", "high", F.coalesce(F.col("low") > before, F.lit(True)).cast("int").alias("opens"))
-    islands = opened.select("low", "high", F.sum("opens").over(by_low).alias("island"))
-    merged = islands.groupBy("island").agg(F.min("low").alias("low"), F.max("high").alias("high")).orderBy("low")
-    return [tuple(row) for row in merged.select(_as_text("low", data_type), _as_text("high", data_type)).collect()]
+_EPOCH = dt.datetime(1970, 1, 1)
 
 
-def _as_text(name: str, data_type: T.DataType) -> Column:
-    """An exact text form of a value. A zoned timestamp becomes its microseconds: local time is ambiguous."""
-    zoned = isinstance(data_type, T.TimestampType)
-    return (F.unix_micros(name) if zoned else F.col(name)).cast("string").alias(name)
+def _ordinal(name: str, data_type: T.DataType) -> Column:
+    """A value as an exact number in the same order: days of a date, microseconds of a time."""
+    column = F.col(name)
+    if isinstance(data_type, T.DateType):
+        column = F.unix_date(column)
+    elif isinstance(data_type, T.TimestampType):
+        column = F.unix_micros(column)
+    elif isinstance(data_type, T.TimestampNTZType):
+        column = F.timestamp_diff("MICROSECOND", F.lit(str(_EPOCH)).cast("timestamp_ntz"), column)
+    return column.cast("decimal(38,10)")
 
 
-def _from_text(text: str, data_type: T.DataType) -> Column:
+def _from_ordinal(number: Decimal, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.DateType):
+        return F.date_from_unix_date(F.lit(int(number)))
     if isinstance(data_type, T.TimestampType):
-        return F.timestamp_micros(F.lit(int(text)))
-    return F.lit(text).cast(data_type)
+        return F.timestamp_micros(F.lit(int(number)))
+    if isinstance(data_type, T.TimestampNTZType):
+        return F.lit(str(_EPOCH + dt.timedelta(microseconds=int(number)))).cast("timestamp_ntz")
+    return F.lit(str(number) if isinstance(data_type, T.DecimalType) else str(int(number))).cast(data_type)
+
+
+def _nearby(merge: _Merge, touched: DataFrame, ranges: Mapping[str, Sequence[tuple[Column, Column]]]) -> DataFrame:
+    """The target rows that the source can match at all."""
+    nearby = merge.target
+    for name, covered in ranges.items():
+        column = F.col(f"`{name}`")
+        inside = [column.between(low, high) for low, high in covered]
+        nearby = nearby.filter(_any([*inside, column.isNull()] if merge.null_safe_keys else inside))
+    return _in_partitions(merge, touched, nearby, within=True) if merge.table.stored_by else nearby
 
 
-def _in_partitions(merge: _Merge, touched: DataFrame, rows: DataFrame) -> DataFrame:
-    """The target's ``rows`` in the ``touched`` partitions.
+def _in_partitions(merge: _Merge, touched: DataFrame, rows: DataFrame, within: bool = False) -> DataFrame:
+    """The target's ``rows`` in the ``touched`` partitions; ``within`` the key ranges noted for each of them, too.
 
     The semi join prunes partitions by itself, because its other side is filtered. NULL is no value to prune by:
     rows with a NULL partition value are taken in a branch of their own, if NULL keys can match.
     """
-    columns = list(merge.table.partition_by)
-    values = touched.filter("_rows > 0").select(*columns)
-    inside = rows.join(values, columns, "left_semi").select(*rows.columns)
+    columns = list(merge.table.stored_by)
+    values = touched.filter("_rows > 0")
+    ranges = [F.lit(True)]
+    for i, name in enumerate(merge.ranged if within else []):
+        inside = of("trg", name).between(F.col(f"prt._min_{i}"), F.col(f"prt._max_{i}"))
+        ranges.append(inside | of("trg", name).isNull() if merge.null_safe_keys else inside)
+
+    def semi(rows: DataFrame, values: DataFrame, same: list[Column]) -> DataFrame:
+        joined = rows.alias("trg").join(values.alias("prt"), reduce(and_, [*same, *ranges]), "left_semi")
+        return joined.select(*[of("trg", name).alias(name) for name in rows.columns])
+
+    inside = semi(rows, values, [of("trg", name) == of("prt", name) for name in columns])
     if not merge.null_safe_keys:
         return inside
     missing = reduce(or_, [F.col(f"`{name}`").isNull() for name in columns])
     if values.filter(missing).isEmpty():
         return inside
-    same = reduce(and_, [F.col(f"trg.`{name}`").eqNullSafe(F.col(f"prt.`{name}`")) for name in columns])
-    without = rows.filter(missing).alias("trg").join(values.filter(missing).alias("prt"), same, "left_semi")
-    return inside.unionAll(without.select(*rows.columns))
+    same = [of("trg", name).eqNullSafe(of("prt", name)) for name in columns]
+    return inside.unionAll(semi(rows.filter(missing), values.filter(missing), same))
 
 
 def _any(conditions: Sequence[Column]) -> Column:
@@ -429,6 +565,8 @@ def _as_target(merge: _Merge, new: DataFrame, staged: DataFrame, source_rows: in
         else F.lit(None).cast(field.dataType)
         for field in merge.target.schema
     }
+    if merge.table.slices:
+        shaped[merge.table.slices.column] = merge.partition_values[-1]
     if identity is not None:
         first = _reserve(merge, source_rows)
         # A row's place among all source rows: its task's rows are counted, one number for each task.
@@ -449,10 +587,8 @@ def _reserve(merge: _Merge, count: int) -> int:
     """
     spark = merge.target.sparkSession
     taken = f"{merge.table.path.rstrip('/')}_numbers"
-    try:
-        last = spark.read.schema("last long").parquet(taken).agg(F.max("last")).first()[0]
-    except AnalysisException:
-        last = None
+    given = _if_there(spark.read.schema("last long"), taken)
+    last = given.agg(F.max("last")).first()[0] if given is not None else None
     if last is None:
         last = merge.target.agg(F.max(f"`{merge.table.identity}`")).first()[0] or 0
     spark.createDataFrame([(last + count,)], "last long").coalesce(1).write.mode("append").parquet(taken)

@@ -289,7 +289,13 @@ _TARGET_UNTIL = _SOURCE_FROM = 1999
 def _upsert_sides(spark: SparkSession, tables: str) -> tuple[DataFrame, Table]:
     """Trips from 1999 on as source, some at another price; a table with the trips until 1999."""
     trips = stage(_trips(spark, tables), new_folder(spark, "trips"))
-    table = Table(new_folder(spark, "trip-table"), ("TripYear", "TripMonth"), cluster_by=("PickupTime",))
+    table = Table(
+        new_folder(spark, "trip-table"),
+        ("TripYear", "TripMonth"),
+        name=f"tripmill_trips_{uuid.uuid4().hex}",
+        cluster_by=("PickupTime",),
+    )
+    ensure_table(spark, trips.schema, table)
     write_table(trips.filter(F.col("TripYear") <= _TARGET_UNTIL), table)
     dearer = F.col("TotalAmount") + F.when(F.col("VendorID") == 1, 1.0).otherwise(0.0)
     return trips.filter(F.col("TripYear") >= _SOURCE_FROM).withColumn("TotalAmount", dearer), table
@@ -342,10 +348,9 @@ def upsert_numbered(spark: SparkSession, tables: str) -> DataFrame:
     Numbers must be unique; a row that was there keeps its number, and a new one has a higher one than all old.
     """
     source, plain = _upsert_sides(spark, tables)
-    table = replace(plain, path=new_folder(spark, "numbered-trips"), identity="TaxiDataId")
-    start = source.limit(0).withColumn("TaxiDataId", F.lit(None).cast("bigint"))
-    write_table(start, table)
-    table = replace(table, schema=start.schema)
+    name = f"tripmill_numbered_{uuid.uuid4().hex}"
+    table = replace(plain, path=new_folder(spark, "numbered-trips"), name=name, identity="TaxiDataId")
+    ensure_table(spark, source.schema, table)
     upsert(read_table(spark, plain), table, MERGE_KEYS, null_safe_keys=True)
     before = stage(read_table(spark, table), new_folder(spark, "before"))
     upsert(source, table, MERGE_KEYS, null_safe_keys=True)
@@ -400,8 +405,7 @@ def monthly_run(spark: SparkSession, tables: str) -> DataFrame:
         _write_delimited(sample_feed(spark, tables, service), path, ",")
     table = trip_table(f"tripmill_trips_{uuid.uuid4().hex}", new_folder(spark, "trips"))
     run_month(spark, landing, "*", table, RAW_TYPES)
-    spark.sql(f"DROP TABLE {table.name}")
-    trips = read_table(spark, replace(table, name=None))
+    trips = read_table(spark, table)
     wall_clock = {name: F.col(name).cast("timestamp_ntz") for name in ("PickupTime", "DropTime")}
     return trips.withColumns(wall_clock).select(*TRIP_SCHEMA.names)
 

@@ -6,20 +6,54 @@ the driver's JVM.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.errors import PartitionColumnError
 
 
-# Partitions made known to the catalog by one statement.
-_SPECS = 500
+@dataclass(frozen=True)
+class Slices:
+    """Parts of a partition: what an update rewrites where a row changes.
+
+    A slice follows from the columns ``by``: from their hash, if ``count`` is given, or from the span of ``seconds``
+    that one time column falls in. Spans suit batches of neighbouring times, hashes spread any batch evenly. The number
+    is stored as one more partition column, ``column``, which readers of the table do not see.
+    """
+
+    by: tuple[str, ...]
+    count: int | None = None
+    seconds: int | None = None
+    column: str = "row_slice"
+
+    def __post_init__(self) -> None:
+        if not self.by or (self.count is None) == (self.seconds is None) or (self.count or self.seconds) < 1:
+            raise ValueError("slices need columns, and a count of hashes or a span in seconds")
+        if self.seconds is not None and len(self.by) != 1:
+            raise ValueError("spans are of one time column")
+
+    def value(self, column_of: Callable[[str], Column], types: dict[str, T.DataType]) -> Column:
+        """The slice of a row whose columns ``column_of`` gives by name, as values of ``types``."""
+        columns = [column_of(name).cast(types[name]) for name in self.by]
+        if self.count is not None:
+            return F.pmod(F.xxhash64(*columns), F.lit(self.count)).cast("int").alias(self.column)
+        moment, data_type = columns[0], types[self.by[0]]
+        if isinstance(data_type, T.DateType):
+            seconds = F.unix_date(moment).cast("long") * 86_400
+        elif isinstance(data_type, T.TimestampNTZType):
+            # A cast to a zoned time would make the slice depend on the session's zone.
+            seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
+        elif isinstance(data_type, T.TimestampType):
+            seconds = F.unix_seconds(moment)
+        else:
+            raise PartitionColumnError(f"{self.by[0]} is no time column")
+        return F.floor(seconds / self.seconds).cast("int").alias(self.column)
 
 
 @dataclass(frozen=True)
@@ -32,6 +66,8 @@ class Table:
 
     ``schema`` is for tables without a name whose partition values look like another type than they are:
     by default Spark reads the types of partition columns off the folder names.
+
+    ``slices`` divide partitions further, so that an update of few rows does not rewrite whole partitions.
     """
 
     path: str
@@ -41,6 +77,17 @@ class Table:
     schema: T.StructType | None = None
     cluster_by: tuple[str, ...] = ()
     format: str = "parquet"
+    slices: Slices | None = None
+
+    @property
+    def stored_by(self) -> tuple[str, ...]:
+        """The partition columns as they are stored: with the slice, if there are slices."""
+        return (*self.partition_by, self.slices.column) if self.slices else self.partition_by
+
+    @property
+    def switchable(self) -> bool:
+        """Whether a catalog holds the place of each partition, so that a partition can be pointed to a new folder."""
+        return self.name is not None and bool(self.stored_by) and self.format == "parquet"
 
 
 def quoted(name: str) -> str:
@@ -68,9 +115,12 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     if table.name is None:
         raise ValueError("a catalog table needs a name")
     known = {name.lower() for name in schema.names}
-    unknown = [name for name in table.partition_by if name.lower() not in known]
+    needed = (*table.partition_by, *(table.slices.by if table.slices else ()))
+    unknown = [name for name in needed if name.lower() not in known]
     if unknown:
         raise PartitionColumnError(f"not columns of the table: {unknown}")
+    if table.slices:
+        schema = T.StructType([*schema.fields, T.StructField(table.slices.column, T.IntegerType())])
 
     if spark.catalog.tableExists(table.name):
         details = spark.sql(f"DESCRIBE FORMATTED {table.name}")
@@ -80,13 +130,13 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
         return table
 
     partitioned = ""
-    if table.partition_by:
-        partitioned = f"PARTITIONED BY ({', '.join(map(quoted, table.partition_by))})"
+    if table.stored_by:
+        partitioned = f"PARTITIONED BY ({', '.join(map(quoted, table.stored_by))})"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({table_ddl(schema, table.identity)}) "
         f"USING {table.format} {partitioned} LOCATION {_text_literal(table.path)}"
     )
-    if table.partition_by and _has_files(spark, table.path):
+    if table.stored_by and _has_files(spark, table.path):
         spark.catalog.recoverPartitions(table.name)
     return table
 
@@ -118,9 +168,18 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, table: Table) -> DataFrame:
     """The table, through the catalog if it has a name there, else by path."""
+    rows = stored_rows(spark, table)
+    return rows.drop(table.slices.column) if table.slices else rows
+
+
+def stored_rows(spark: SparkSession, table: Table) -> DataFrame:
+    """The table with all columns it is stored by."""
     if table.name:
         return spark.table(table.name)
-    reader = spark.read.schema(table.schema) if table.schema else spark.read
+    schema = table.schema
+    if schema and table.slices and table.slices.column not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField(table.slices.column, T.IntegerType())])
+    reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(table.path)
 
 
@@ -130,16 +189,14 @@ def scan_where(spark: SparkSession, source: str, where: str | None = None) -> Da
     return rows.where(where) if where else rows
 
 
-def write_table(
-    df: DataFrame, table: Table, mode: str = "overwrite", touched: Sequence[tuple] | None = None
-) -> None:
+def write_table(df: DataFrame, table: Table, mode: str = "overwrite") -> None:
     """Write ``df`` to the table's folder.
 
     ``mode`` is ``overwrite`` (the whole table), ``append``, or ``partitions``: replace those partitions
     that ``df`` has rows for and leave the others alone. ``df`` must not read from the table itself.
 
-    A catalog learns of new partitions from ``touched``, the partition values in ``df``; if that is not
-    given, it looks through the table's folder.
+    A partitioned table with a name is written through the catalog, which knows where each partition lies and
+    learns of new ones.
 
     Rows are brought together by partition before the write, or every task would open a file in every
     partition. With cluster columns they are dealt by ranges of (partition, cluster columns) and sorted, so a
@@ -149,47 +206,66 @@ def write_table(
     """
     if mode not in ("overwrite", "append", "partitions"):
         raise ValueError(f"unknown mode {mode!r}")
-    if table.cluster_by:
-        order = [F.col(f"`{name}`") for name in (*table.partition_by, *table.cluster_by)]
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    elif table.partition_by:
-        df = df.hint("rebalance", *table.partition_by)
-    writer = df.write
-    if mode == "partitions":
-        if not table.partition_by:
-            raise PartitionColumnError("the table has no partitions to replace")
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
+    if mode == "partitions" and not table.stored_by:
+        raise PartitionColumnError("the table has no partitions to replace")
     spark = df.sparkSession
-    with _timestamps_with_statistics(spark):
-        writer.partitionBy(*table.partition_by).parquet(table.path)
+    df = dealt_by_partition(df, table)
+    dynamic = "dynamic" if mode == "partitions" else "static"
+    with timestamps_with_statistics(spark):
+        if table.switchable:
+            with _setting(spark, "spark.sql.sources.partitionOverwriteMode", dynamic):
+                ordered = df.select(*(quoted(name) for name in spark.table(table.name).columns))
+                ordered.write.insertInto(table.name, overwrite=mode != "append")
+        else:
+            writer = df.write.mode("append" if mode == "append" else "overwrite")
+            writer.option("partitionOverwriteMode", dynamic).partitionBy(*table.stored_by).parquet(table.path)
     if table.name is None:
         spark.catalog.refreshByPath(table.path)
-        return
-    if table.partition_by and touched is None:
-        spark.catalog.recoverPartitions(table.name)
-    elif table.partition_by:
-        for first in range(0, len(touched), _SPECS):
-            specs = " ".join(_partition_spec(table.partition_by, v) for v in touched[first : first + _SPECS])
-            spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {specs}")
+    else:
+        spark.catalog.refreshTable(table.name)
+
+
+def dealt_by_partition(df: DataFrame, table: Table) -> DataFrame:
+    """``df`` with its slice, brought together by partition and, with cluster columns, sorted by them."""
+    if table.slices and table.slices.column not in df.columns:
+        types = {field.name: field.dataType for field in df.schema}
+        df = df.withColumn(table.slices.column, table.slices.value(lambda name: F.col(f"`{name}`"), types))
+    if table.cluster_by:
+        order = [F.col(f"`{name}`") for name in (*table.stored_by, *table.cluster_by)]
+        return df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return df.hint("rebalance", *table.stored_by) if table.stored_by else df
+
+
+def point_partitions(spark: SparkSession, table: Table, places: Sequence[tuple[tuple, str]]) -> None:
+    """Point partitions, given by their values as text, to the folders that hold their rows from now on.
+
+    One catalog call for each, so each partition changes at once and as a whole.
+    """
+    for values, folder in places:
+        spec = _partition_spec(table.stored_by, values)
+        spark.sql(f"ALTER TABLE {table.name} {spec} SET LOCATION {_text_literal(folder)}")
     spark.catalog.refreshTable(table.name)
 
 
 @contextmanager
-def _timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+@contextmanager
+def timestamps_with_statistics(spark: SparkSession) -> Iterator[None]:
     """Spark's default for timestamps in parquet, INT96, has no minimum and maximum to skip row groups by.
 
     The format is a session setting and no option of a single write, so it is put back afterwards. Another
     thread that writes in the same session meanwhile writes this format too.
     """
-    setting = "spark.sql.parquet.outputTimestampType"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "TIMESTAMP_MICROS")
-    try:
+    with _setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS"):
         yield
-    finally:
-        spark.conf.set(setting, before)
 
 
 def _partition_spec(columns: Sequence[str], values: tuple) -> str:
