@@ -62,6 +62,13 @@ def test_columns_of_any_type_are_kept(spark):
     assert drop_copies(df.unionAll(df)).collect() == df.collect()
 
 
+def test_the_text_goes_along_once_and_null_stays_null(spark):
+    df = spark.createDataFrame([(2, None), (1, None), (3, "x"), (4, "x")], "doc_id long, text string")
+    assert sorted(tuple(row) for row in drop_copies(df).collect()) == [(1, None), (3, "x")]
+    mixed = spark.createDataFrame([(2, None), (1, "")], "doc_id long, text string")
+    assert [tuple(row) for row in drop_copies(mixed, keep="largest").collect()] == [(2, None)]
+
+
 def test_wrong_keep(odd):
     with pytest.raises(ValueError):
         find_copies(odd, keep="first")

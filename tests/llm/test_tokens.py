@@ -1,6 +1,6 @@
 import hashlib
 
-import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -28,9 +28,8 @@ def machine(model):
 
 
 def encoded(machine, text):
-    known = sentencepieces.Units(machine)
-    ids, _, decoded = sentencepieces._encode_batch(known, [text])
-    return np.frombuffer(ids[0], np.int32).tolist(), decoded[0]
+    ids, decoded = sentencepieces.encode_texts(machine, pa.array([text], pa.string()))
+    return ids[0].as_py(), decoded[0].as_py()
 
 
 pieces = st.sampled_from(
@@ -47,6 +46,22 @@ def test_same_as_the_library(machine, library, text):
     assert count(text, UnitCounts(machine)) == len(want)
 
 
+@settings(max_examples=100, deadline=None)
+@given(several=st.lists(texts, max_size=12))
+def test_texts_of_a_slice_are_encoded_together(machine, library, several):
+    ids, decoded = sentencepieces.encode_texts(machine, pa.array(several, pa.string()))
+    assert ids.to_pylist() == [library.encode(text) for text in several]
+    assert decoded.to_pylist() == [library.decode(library.encode(text)) for text in several]
+
+
+def test_slices_of_bytes():
+    texts = ["x" * n for n in (0, 3, 50, 1, 1, 1, 9, 10, 11, 0, 0)]
+    batch = pa.RecordBatch.from_pydict({"t": texts})
+    slices = [s.column("t").to_pylist() for s in sentencepieces.slices_of_bytes(batch, "t", 10)]
+    assert [text for s in slices for text in s] == texts
+    assert all(sum(map(len, s)) <= 10 or len(s) == 1 or sum(map(len, s[:-1])) <= 10 for s in slices) and len(slices) > 4
+
+
 @pytest.mark.parametrize("text", ["a" * 20_000, "ab" * 9_000, " " * 500 + "x", "日本" * 4_000, "\n" * 3_000, "=" * 7_777, "12" * 5_000])
 def test_long_words(machine, library, text):
     assert count(text, UnitCounts(machine)) == len(library.encode(text))
@@ -67,7 +82,7 @@ def test_a_small_bound_changes_no_result(model, library, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_TRANSITIONS", 30)
     monkeypatch.setattr(bpe, "MAX_PAIRS", 10)
     monkeypatch.setattr(token_counts, "MAX_UNITS", 2)
-    monkeypatch.setattr(sentencepieces, "MAX_UNITS", 2)
+    monkeypatch.setattr(sentencepieces, "_BLOCK", 3)
     machine = bpe.MergeAutomaton(model)
     text = "Several words, which do not fit; several words in a row\nand some more of them. " * 3
     assert count(text, UnitCounts(machine)) == len(library.encode(text))

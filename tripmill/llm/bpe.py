@@ -19,15 +19,17 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
+import pyarrow as pa
+
 SPACE = "▁"
 # A unit is a run of spaces and what follows up to the next space: no token goes on after its text into a space.
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 # Marks a unit that begins with a line feed. No text has this character.
 LINE = "\ud800\n"
 # Bounds of what one Python worker keeps.
-MAX_STATES = 150_000
-MAX_TRANSITIONS = 400_000
-MAX_PAIRS = 400_000
+MAX_STATES = 120_000
+MAX_TRANSITIONS = 300_000
+MAX_PAIRS = 250_000
 MAX_UNITS = 400_000
 # Longer units are not kept.
 LONG_UNIT = 48
@@ -96,6 +98,8 @@ class MergeAutomaton:
             if not (processor.is_unknown(i) or processor.is_control(i) or processor.is_byte(i) or processor.is_unused(i))
         ]
         self.piece = {i: processor.id_to_piece(i) for i in range(size)}
+        self.pieces = pa.array([self.piece[i] for i in range(size)], pa.string())
+        self.lengths = [len(self.piece[i]) for i in range(size)]
         self.ids = {self.piece[i]: i for i in plain}
         self.score = {self.piece[i]: processor.get_score(i) for i in plain}
         self.byte_ids = {int(self.piece[i][1:-1], 16): i for i in range(size) if processor.is_byte(i)}
@@ -119,15 +123,13 @@ class MergeAutomaton:
         # suffix of that kind, from the longest, the token before it and the tokens up to there, relative to now.
         begin = (self._nodes[""], -1)
         self._states = [begin]
+        # The last token of what was read, -1 if it ends in bytes.
+        self.lasts = [-1]
         self._numbers = {begin: START}
         self.steps: list[dict[str, tuple[int, int]]] = [{}]
         self._moves.clear()
         self._transitions = 0
 
-    def last(self, state: int) -> int:
-        """The last token of what was read, -1 if it ends in bytes."""
-        return self._states[state][1]
-
     # ---- the vocabulary
 
     def _meets(self, before: str, text: str) -> bool:
@@ -207,6 +209,7 @@ class MergeAutomaton:
             if number is None:
                 number = self._numbers[after] = len(self._states)
                 self._states.append(after)
+                self.lasts.append(ends)
                 self.steps.append({})
             step = (number, grows)
         self.steps[state][char] = step

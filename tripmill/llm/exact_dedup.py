@@ -38,8 +38,17 @@ def _starts(values: pa.Array, before: pa.Scalar | None) -> pa.Array:
     return pa.concat_arrays([pa.array([first]), pc.and_not(differ, both_null)])
 
 
-def _runs(payload: list[str], names: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """From sorted rows to (id, digest, run, repeat, edge text, payload of the first row of each run)."""
+def _runs(payload: list[str], names: list[str], text_col: str | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """From sorted rows to (id, digest, run, repeat, edge text, payload of the first row of each run).
+
+    ``text_col`` is the payload column that is the sorted text itself, NULL where ``no_text`` says so; None if none is.
+    """
+
+    def cells(batch: pa.RecordBatch, name: str) -> pa.Array:
+        if name != text_col:
+            return batch.column(f"p_{name}")
+        texts = batch.column("sort_text")
+        return pc.if_else(batch.column("no_text"), pa.scalar(None, texts.type), texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() * _RUNS_PER_PARTITION
@@ -71,7 +80,7 @@ def _runs(payload: list[str], names: list[str]) -> Callable[[Iterator[pa.RecordB
             ]
             # Only the first row of a run may stay, so only its payload goes on.
             first = pc.if_else(new_run, pa.array(range(batch.num_rows)), None)
-            columns += [batch.column(f"p_{name}").take(first) for name in payload]
+            columns += [cells(batch, name).take(first) for name in payload]
             if last is not None:
                 yield last
             last = pa.RecordBatch.from_arrays(columns, names=names)
@@ -95,12 +104,17 @@ def _sorted_runs(
 ) -> DataFrame:
     text = whole_text(text_col)
     text = normalise(text) if normalise else text
+    # A text that is sorted as it is goes along once.
+    given = next((name for name in payload if name == text_col), None) if normalise is None else None
+    if given is not None and not isinstance(docs.schema[given].dataType, T.StringType):
+        given = None
     rows = docs.select(
         F.col(id_col).alias("sort_id"),
         text.alias("sort_text"),
         F.substring(text, 1, _HEAD).alias("sort_head"),
         F.unhex(F.sha2(text, 256)).alias("digest"),
-        *(F.col(name).alias(f"p_{name}") for name in payload),
+        *(F.col(name).alias(f"p_{name}") for name in payload if name != given),
+        *([F.col(given).isNull().alias("no_text")] if given is not None else []),
     )
     by_id = F.desc_nulls_last("sort_id") if largest else F.asc_nulls_last("sort_id")
     fields = [
@@ -110,11 +124,11 @@ def _sorted_runs(
         T.StructField("repeat", T.BooleanType()),
         T.StructField("edge_text", T.StringType()),
         T.StructField("first", T.BooleanType()),
-        *(T.StructField(f"p_{name}", rows.schema[f"p_{name}"].dataType) for name in payload),
+        *(T.StructField(f"p_{name}", docs.schema[name].dataType) for name in payload),
     ]
     schema = T.StructType(fields)
     ranged = rows.repartitionByRange("sort_head", "digest", by_id)
-    runs = ranged.sortWithinPartitions("sort_head", "digest", "sort_text", by_id).mapInArrow(_runs(payload, schema.names), schema)
+    runs = ranged.sortWithinPartitions("sort_head", "digest", "sort_text", by_id).mapInArrow(_runs(payload, schema.names, given), schema)
     # Splitters are sampled anew each time the plan runs, so later steps read one written result.
     return stage(runs, new_folder(docs.sparkSession, "content-sort"))
 

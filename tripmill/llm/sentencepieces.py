@@ -2,7 +2,9 @@
 
 For each prefix of a word the table holds its unique last token, found by automaton matches and tests of
 compatible pairs (see :mod:`tripmill.llm.bpe`). The ids are recovered backwards: the last token of the whole
-word, then the last token of what is before it, and so on. Words are encoded once and kept, up to a bound.
+word, then the last token of what is before it, and so on. Texts are taken in slices of bounded size; the distinct
+words of a slice are sorted, so a word goes on with the table of the prefix it shares with the one before, and ids and
+decoded words are put together by Arrow. Nothing of a slice is kept.
 """
 
 from __future__ import annotations
@@ -12,42 +14,25 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripmill.llm.bpe import LONG_UNIT, MAX_UNITS, SPACE, START, MergeAutomaton, automaton, no_cycle_search, spelled, units
+from tripmill.llm.bpe import LINE, SPACE, START, MergeAutomaton, automaton, no_cycle_search, spelled, units
 from tripmill.llm.common import whole_text
 
-# Rows sent back at once.
-_SLICE = 1000
-
-
-def encode_unit(machine: MergeAutomaton, text: str) -> list[int]:
-    """The ids of a text that starts with the space of a word's start and has no other word's start in it."""
-    # The prefix table: the last token of each prefix; -1 where it ends in a character spelled in bytes.
-    table: list[int] = []
-    state, steps, last = START, machine.steps, machine.last
-    for char in text:
-        state, _ = steps[state].get(char) or machine.compile_step(state, char)
-        table.append(last(state))
-    backwards: list[int] = []
-    at = len(text)
-    while at:
-        token = table[at - 1]
-        if token < 0:
-            backwards += [machine.byte_ids[byte] for byte in reversed(text[at - 1].encode())]
-            at -= 1
-        else:
-            backwards.append(token)
-            at -= len(machine.piece[token])
-    backwards.reverse()
-    return backwards
+# Bytes of text that are encoded at once.
+_SLICE_BYTES = 4 << 20
+# Words between two looks at what the automaton keeps.
+_BLOCK = 20_000
+# Characters up to which a shared prefix is looked for.
+_SHARED = 32
 
 
 def decode(machine: MergeAutomaton, ids: Iterable[int]) -> str:
-    """The text of ids, with the space of the text's start. Bytes that are no UTF-8 become U+FFFD."""
+    """The text of ids, spaces as the model writes them. Bytes that are no UTF-8 become U+FFFD."""
     out, spelled = [], bytearray()
     for token in ids:
         byte = machine.bytes_of.get(token)
@@ -59,40 +44,135 @@ def decode(machine: MergeAutomaton, ids: Iterable[int]) -> str:
             spelled.clear()
         out.append(machine.piece[token])
     out.append(spelled.decode(errors="replace"))
-    return "".join(out).replace(SPACE, " ")
-
-
-class Units(dict):
-    """The ids (as bytes of int32) and the decoded text of a unit, by the unit without its first space."""
-
-    def __init__(self, machine: MergeAutomaton) -> None:
-        self._machine = machine
-
-    def __missing__(self, unit: str) -> tuple[bytes, str]:
-        ids = encode_unit(self._machine, spelled(unit))
-        value = (np.array(ids, dtype=np.int32).tobytes(), decode(self._machine, ids))
-        if len(unit) <= LONG_UNIT:
-            if len(self) >= MAX_UNITS:
-                self.clear()
-            self[unit] = value
-        self._machine.make_room()
-        return value
-
-
-_UNITS: dict[bytes, Units] = {}
-
-
-def _encode_batch(known: Units, texts: list[str]) -> tuple[list[bytes], list[int], list[str]]:
-    """The ids of each text as bytes, where they end in their row, and the decoded texts."""
-    ids, ends, decoded = [], [0], []
-    for text in texts:
-        parts = [known[unit] for unit in units(text)] if text else []
-        joined = b"".join([part[0] for part in parts])
-        ids.append(joined)
-        ends.append(ends[-1] + len(joined) // 4)
-        # The space of the text's start is not part of the text.
-        decoded.append("".join([part[1] for part in parts])[1:])
-    return ids, ends, decoded
+    return "".join(out)
+
+
+def encode_units(machine: MergeAutomaton, words: list[str]) -> tuple[np.ndarray, np.ndarray, dict[int, str]]:
+    """The ids of sorted words as they are read, one after another; where each word's ids begin and the last one's end;
+    and, by their place, what the words decode to that are spelled in bytes."""
+    ids: list[int] = []
+    ends, in_bytes = [0], {}
+    lengths, compile_step = machine.lengths, machine.compile_step
+    for first in range(0, len(words), _BLOCK):
+        # A state number is good until room is made.
+        machine.make_room()
+        steps, last_of = machine.steps, machine.lasts
+        block = words[first : first + _BLOCK]
+        # The prefix table and the states of the word before, as far as it is shared.
+        states, table = [START], []
+        for word, shared in zip(block, _shared_prefixes(block)):
+            del states[shared + 1 :], table[shared:]
+            state = states[shared]
+            for char in word[shared:]:
+                state, _ = steps[state].get(char) or compile_step(state, char)
+                states.append(state)
+                table.append(last_of[state])
+            backwards, at = [], len(word)
+            while at:
+                token = table[at - 1]
+                if token < 0:
+                    backwards += [machine.byte_ids[byte] for byte in reversed(word[at - 1].encode())]
+                    at -= 1
+                    in_bytes[len(ends) - 1] = ""
+                else:
+                    backwards.append(token)
+                    at -= lengths[token]
+            ids += backwards[::-1]
+            ends.append(len(ids))
+            if in_bytes and len(ends) - 2 in in_bytes:
+                in_bytes[len(ends) - 2] = decode(machine, backwards[::-1])
+    return np.array(ids, dtype=np.int32), np.array(ends, dtype=np.int64), in_bytes
+
+
+def _shared_prefixes(words: list[str]) -> list[int]:
+    """Characters that each word shares with the one before; long words are compared as far as they may share."""
+    if not words:
+        return []
+    grid = np.array([word[:_SHARED] for word in words], dtype=f"U{_SHARED}").view(np.uint32).reshape(len(words), _SHARED)
+    # Words that are cut, or end in a zero character, look longer or shorter to numpy, but not where they are alike.
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    alike = np.logical_and.accumulate(grid[1:] == grid[:-1], axis=1).sum(axis=1)
+    return [0, *np.minimum(alike, np.minimum(sizes[1:], sizes[:-1])).tolist()]
+
+
+def _parts(texts: pa.StringArray) -> pa.ListArray:
+    """Texts cut at spaces. The units of a text are those of its parts, one after another; an empty text has none."""
+    odd = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE))
+    odd = pc.or_(odd, pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+    odd = pc.or_(odd, pc.equal(pc.binary_length(texts), 0))
+    if not pc.any(odd).as_py():
+        return pc.split_pattern(texts, " ")
+    plain = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
+    others = []
+    for text in texts.filter(odd).to_pylist():
+        parts: list[str] = []
+        for unit in units(text) if text else []:
+            if unit.startswith(LINE):
+                # What begins with a line feed goes with the part before, from which it is cut again.
+                parts[-1] += unit[1:]
+            else:
+                parts.append(unit)
+        others.append(parts)
+    where = odd.to_numpy(zero_copy_only=False)
+    place = np.where(where, len(plain) + np.cumsum(where) - 1, np.cumsum(~where) - 1)
+    return pa.concat_arrays([plain, pa.array(others, plain.type)]).take(pa.array(place))
+
+
+def _distinct_units(parts: pa.StringArray) -> tuple[list[str], pa.ListArray]:
+    """The distinct units of distinct parts as they are read, sorted, and the places of each part's units in them."""
+    several = pc.or_(pc.match_substring(parts, "\n"), pc.match_substring(parts, SPACE))
+    several = pc.or_(several, pc.equal(pc.binary_length(parts), 0)).to_numpy(zero_copy_only=False)
+    counts = np.ones(len(parts), dtype=np.int64)
+    cut = [[spelled(unit) for unit in units(part)] for part in parts.filter(pa.array(several)).to_pylist()]
+    counts[several] = [len(group) for group in cut]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    read = pc.binary_join_element_wise(SPACE, parts.filter(pa.array(~several)), "")
+    every = pa.concat_arrays([read, pa.array([word for group in cut for word in group], pa.string())]).dictionary_encode()
+    order = pc.sort_indices(every.dictionary).to_numpy()
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    ranks = rank[every.indices.to_numpy()]
+    places = np.empty(ends[-1], dtype=np.int32)
+    of_several = np.repeat(several, counts)
+    places[~of_several], places[of_several] = ranks[: len(read)], ranks[len(read) :]
+    return every.dictionary.take(pa.array(order)).to_pylist(), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(places))
+
+
+def encode_texts(machine: MergeAutomaton, texts: pa.StringArray) -> tuple[pa.ListArray, pa.StringArray]:
+    """The ids of each text, and the decoded texts."""
+    parts = _parts(texts)
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]).astype(np.int64)
+    coded = parts.flatten().dictionary_encode()
+    words, units_of = _distinct_units(coded.dictionary)
+    ids, ends, in_bytes = encode_units(machine, words)
+    del words
+    ids_of = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+    text_of = pc.binary_join(pa.ListArray.from_arrays(ids_of.offsets, machine.pieces.take(pa.array(ids))), "")
+    if in_bytes:
+        mask = np.zeros(len(text_of), dtype=bool)
+        mask[list(in_bytes)] = True
+        text_of = pc.replace_with_mask(text_of, pa.array(mask), pa.array([in_bytes[i] for i in sorted(in_bytes)], pa.string()))
+    text_of = pc.replace_substring(text_of, SPACE, " ")
+    # Where each text's units, and its ids, end.
+    unit_counts = pc.list_value_length(units_of).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
+    sequence = units_of.take(coded.indices).flatten()
+    unit_ends = np.concatenate([[0], np.cumsum(unit_counts)])[offsets]
+    id_ends = np.concatenate([[0], np.cumsum(np.diff(ends)[sequence.to_numpy()])])[unit_ends]
+    lists = pa.ListArray.from_arrays(pa.array(id_ends, pa.int32()), ids_of.take(sequence).flatten())
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(unit_ends, pa.int32()), text_of.take(sequence)), "")
+    # The space of the text's start is not part of the text.
+    return lists, pc.utf8_slice_codeunits(joined, 1)
+
+
+def slices_of_bytes(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices whose texts have about ``most`` bytes; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        after = max(int(np.searchsorted(ends, before + most, side="right")), first + 1)
+        yield batch.slice(first, after - first)
+        first = after
 
 
 def encode_and_decode(
@@ -120,19 +200,14 @@ def encode_and_decode(
     arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _UNITS.get(model)
-        if known is None:
-            known = _UNITS[model] = Units(automaton(model))
+        machine = automaton(model)
         for whole in batches:
-            # The ids take more room than the text, so a batch goes on in slices.
-            for at in range(0, whole.num_rows, _SLICE):
-                batch = whole.slice(at, _SLICE)
+            for batch in slices_of_bytes(whole, "row_text", _SLICE_BYTES):
                 with no_cycle_search():
-                    ids, ends, decoded = _encode_batch(known, batch.column("row_text").to_pylist())
-                values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                columns = [batch.column("row_id"), lists, pa.array(decoded, pa.string())]
+                    lists, decoded = encode_texts(machine, batch.column("row_text"))
+                columns = [batch.column("row_id"), lists, decoded]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(run, schema)
 
