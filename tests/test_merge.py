@@ -1,6 +1,7 @@
 import datetime as dt
 import re
 import shutil
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -531,6 +532,44 @@ def test_numbers_are_not_looked_for_in_the_table(spark, folder):
     assert got[1] == 7 and {got[3], got[4]} == {9, 10}
 
 
+def numbered(spark, folder):
+    table = Table(folder, identity="sk", schema=spark.createDataFrame([], "sk long, k int").schema)
+    write_table(spark.createDataFrame([(7, 1)], table.schema), table)
+    batch = spark.createDataFrame([(2,)], "k int")
+    return merge._resolve(batch, table, ["k"], None, None, False, False)
+
+
+def test_numbers_of_interleaved_writers_never_overlap(spark, folder, monkeypatch):
+    """A second writer takes its numbers between the first one's look and its claim."""
+    plan, claim, got = numbered(spark, folder), merge._claim, []
+
+    def late(*arguments):
+        if not got:
+            got.append("started")
+            got.append(("second", merge._reserve(plan, 5)))
+        return claim(*arguments)
+
+    monkeypatch.setattr(merge, "_claim", late)
+    first = merge._reserve(plan, 3)
+    assert got[1] == ("second", 8) and first == 13
+    assert merge._reserve(plan, 1) == 16
+
+
+def test_an_overlapping_claim_is_given_up(spark, folder):
+    taken = f"{folder}_numbers"
+    assert merge._claim(spark, taken, 8, 10)
+    assert not merge._claim(spark, taken, 10, 12)
+    assert merge._claim(spark, taken, 13, 14)
+    assert not merge._claim(spark, taken, 1, 100)
+
+
+def test_many_writers_at_once(spark, folder):
+    plan = numbered(spark, folder)
+    with ThreadPoolExecutor(6) as pool:
+        firsts = sorted(pool.map(lambda _: merge._reserve(plan, 10), range(6)))
+    assert firsts[0] >= 8 and all(b - a >= 10 for a, b in zip(firsts, firsts[1:]))
+
+
 def test_a_hot_target_key_is_split(spark, folder):
     """One key with nearly all target rows: both joins against the target are split by adaptive execution."""
     table = Table(folder)

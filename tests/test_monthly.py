@@ -1,4 +1,6 @@
 import gzip
+import os
+from pathlib import Path
 
 import pytest
 from plans import hash_exchanges, operators
@@ -99,6 +101,45 @@ def test_all_months_by_glob(spark, landing, folder, schema_name):
     assert read_table(spark, table).count() == 3
 
 
+def test_a_landed_month_is_not_read_from_gzip_again(spark, landing, folder, tmp_path, schema_name):
+    root, landed = landing("2019-12", GREEN, YELLOW), str(tmp_path / "landed")
+    reports = []
+    for i in range(3):
+        if i == 1:
+            # Broken in place, with size and time kept: whoever opened the file would notice.
+            for file in Path(root).rglob("*.gz"):
+                stat = file.stat()
+                file.write_bytes(b"x" * stat.st_size)
+                os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+        if i == 2:
+            landing("2019-12", GREEN + ["1,2019-12-03 10:00:00,2019-12-03 10:01:29,2,0.4,6,7,,,5.0"], YELLOW)
+        table = trip_table(f"{schema_name}.trips_{i}", f"{folder}_{i}")
+        reports.append(run_month(spark, root, "2019-12", table, landed=landed))
+    assert reports[0] == reports[1] and reports[0].inserted == 4
+    assert reports[2].inserted == 5
+
+
+def test_a_landing_that_died_is_done_again(spark, landing, folder, tmp_path, schema_name):
+    root, landed = landing("2019-12", GREEN, YELLOW), str(tmp_path / "landed")
+    (tmp_path / "landed" / "green" / "2019-12" / "rows").mkdir(parents=True)
+    table = trip_table(f"{schema_name}.trips", folder)
+    assert run_month(spark, root, "2019-12", table, landed=landed).inserted == 4
+
+
+def test_bad_lines_are_set_aside_and_counted(spark, landing, folder, tmp_path, schema_name):
+    bad = ["2,2019-12-01 00:07:00,2019-12-01 00:15:00,x,1.5,1,7,8,2,9.75", "2,2019-12-01"]
+    root, aside = landing("2019-12", GREEN + bad, YELLOW), str(tmp_path / "aside")
+    table = trip_table(f"{schema_name}.trips", folder)
+    for _ in range(2):
+        report = run_month(spark, root, "2019-12", table, null_safe_keys=True, quarantine=aside)
+        assert (report.source_rows, report.unreadable, report.quarantined) == (4, 0, 2)
+    lines = spark.read.parquet(f"{aside}/green/2019-12")
+    assert {(row["line"], row["reason"]) for row in lines.collect()} == {(bad[0], "value of passenger_count"), (bad[1], "fields")}
+    for wrong in ({"landed": "x", "quarantine": "y"}, {"quarantine": "y", "types": None}):
+        with pytest.raises(ValueError):
+            run_month(spark, root, "2019-12", table, **wrong)
+
+
 def test_rows_left_after_the_known_steps(spark, tables):
     """Counts known for the smallest tables, with and without the rule on the drop location."""
     conformed = _conformed(spark, tables)

@@ -1,10 +1,13 @@
 import gzip
 
 import pytest
+from plans import formatted_plan, plan_of
+from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
 from tripmill.plans.trips import RAW_COLUMNS
-from tripmill.sources import read_delimited, read_feeds
+from tripmill.sources import read_delimited, read_feeds, read_or_quarantine
+from tripmill.sources.delimited import QUARANTINE
 
 HEADER = (
     "VendorID;passenger_count;trip_distance;lpep_pickup_datetime;lpep_dropoff_datetime;PULocationID;DOLocationID;"
@@ -48,12 +51,53 @@ def test_given_types_read_only_asked_columns(spark, csv):
     assert "ReadSchema: struct<b:string>" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_files_of_another_column_order_are_refused(spark, csv, tmp_path):
-    csv("t_1.csv", "a,b", "1,x")
-    csv("t_2.csv", "b,a", "x,1")
-    df = read_delimited(spark, f"{tmp_path}/t_*.csv", ["a"], {"a": T.IntegerType()})
+def test_files_of_other_column_orders(spark, csv, tmp_path):
+    csv("t_1.csv", "a,b", "1,x", "2,y")
+    csv("t_2.csv", "B,extra,A", "z,0,3", "w,0,bad")
+    csv("t_3.csv.gz", "a,b", "4,v")
+    csv("t_4.csv", "a,b")
+    types = {"a": T.IntegerType()}
+    df = read_delimited(spark, f"{tmp_path}/t_*.csv*", ["b", "a"], types)
+    assert sorted(map(tuple, df.collect()), key=str) == sorted([("x", 1), ("y", 2), ("z", 3), ("w", None), ("v", 4)], key=str)
+    assert plan_of(df).count("Scan csv") == plan_of(df).count("Scan csv [a") + plan_of(df).count("Scan csv [B") == 2
+    with pytest.raises(AnalysisException):
+        read_delimited(spark, f"{tmp_path}/t_*.csv*", ["extra"], types)
     with pytest.raises(Exception, match="header does not conform"):
-        df.collect()
+        read_delimited(spark, f"{tmp_path}/t_[12].csv", ["a"]).collect()
+
+
+def test_one_header_is_one_scan(spark, csv, tmp_path):
+    for n in range(5):
+        csv(f"t_{n}.csv", "a,b", f"{n},x")
+    df = read_delimited(spark, f"{tmp_path}/t_*.csv", ["a"], {"a": T.IntegerType()})
+    assert sorted(row["a"] for row in df.collect()) == [0, 1, 2, 3, 4]
+    assert plan_of(df).count("Scan csv") == 1 and "ReadSchema: struct<a:string>" in formatted_plan(df)
+
+
+def test_every_line_is_loaded_or_set_aside(spark, csv, tmp_path):
+    lines = ["1,x,2020-01-01", "2,y", "3,z,2020-01-01,9", "bad,w,2020-01-01", "5,,", ",q,nonsense", '6,"a,b",2020-01-02', "1.0,o,2020-01-01"]
+    csv("d_1.csv", "a,b,day", *lines)
+    csv("d_2.csv.gz", "day,a,b", "2020-05-05,7,s", "2020-05-05,8")
+    types = {"a": T.IntegerType(), "day": T.DateType()}
+    good, bad = read_or_quarantine(spark, f"{tmp_path}/d_*", ["a", "b"], types)
+    assert good.dtypes == [("a", "int"), ("b", "string")]
+    got = [(1, "x"), (1, "o"), (5, None), (6, "a,b"), (7, "s")]
+    assert sorted(map(tuple, good.collect()), key=str) == sorted(got, key=str)
+    aside = {(row["file"].rsplit("/", 1)[1], row["line"], row["reason"]) for row in bad.collect()}
+    assert aside == {
+        ("d_1.csv", "2,y", "fields"),
+        ("d_1.csv", "3,z,2020-01-01,9", "fields"),
+        ("d_1.csv", "bad,w,2020-01-01", "value of a"),
+        ("d_1.csv", ",q,nonsense", "value of day"),
+        ("d_2.csv.gz", "2020-05-05,8", "fields"),
+    }
+    assert good.count() + bad.count() == len(lines) + 2
+
+
+def test_nothing_to_set_aside(spark, csv):
+    path = csv("n.csv", "a,b")
+    good, bad = read_or_quarantine(spark, path, ["a"], {"a": T.IntegerType()})
+    assert good.count() == bad.count() == 0 and bad.columns == list(QUARANTINE)
 
 
 def test_gzip_and_glob(spark, csv, tmp_path):

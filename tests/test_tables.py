@@ -3,7 +3,7 @@ import pytest
 from plans import formatted_plan
 from pyspark.sql import functions as F
 
-from tripmill.errors import PartitionColumnError
+from tripmill.errors import PartitionColumnError, TableMismatchError
 from tripmill.operators import touched_partitions
 from tripmill.sources import Table, ensure_table, read_table, scan_where, write_table
 from tripmill.sources.tables import _same_place, table_ddl
@@ -45,6 +45,37 @@ def test_a_table_at_another_path_is_refused(spark, trips, folder, schema_name):
         ensure_table(spark, trips.schema, Table(folder + "-2", name=f"{schema_name}.trips"))
 
 
+def test_a_table_that_is_there_is_made_to_fit(spark, trips, folder, schema_name):
+    table = Table(folder, ("pu",), name=f"{schema_name}.trips")
+    ensure_table(spark, trips.select("id", "pu").schema, table)
+    write_table(trips.select("id", "pu"), table)
+    wider = Table(folder, ("PU",), identity="sk", name=table.name)
+    ensure_table(spark, trips.withColumnRenamed("id", "ID").schema, wider)
+    assert dict(spark.table(table.name).dtypes) == {"id": "int", "sk": "bigint", "pay": "int", "v": "string", "pu": "int"}
+    assert {tuple(row) for row in spark.table(table.name).select("id", "pay", "v").collect()} == {(i, None, None) for i in (1, 2, 3)}
+    write_table(trips.withColumn("sk", F.lit(5)), table, "append")
+    assert spark.table(table.name).filter("v IS NOT NULL").count() == 3
+    # Columns that only the table has stay.
+    ensure_table(spark, trips.select("id", "pu").schema, table)
+    assert "v" in spark.table(table.name).columns
+
+
+@pytest.mark.parametrize("other", [(), ("pay",), ("pu", "pay"), ("pay", "pu")])
+def test_a_table_of_other_partitions_is_refused(spark, trips, folder, schema_name, other):
+    ensure_table(spark, trips.schema, Table(folder, ("pu",), name=f"{schema_name}.trips"))
+    with pytest.raises(TableMismatchError, match="partitioned by"):
+        ensure_table(spark, trips.schema, Table(folder, other, name=f"{schema_name}.trips"))
+    assert spark.table(f"{schema_name}.trips").columns == ["id", "pay", "v", "pu"]
+
+
+@pytest.mark.parametrize("kind", ["id bigint", "v int", "pu bigint", "id string"])
+def test_a_table_of_other_types_is_refused(spark, trips, folder, schema_name, kind):
+    name, data_type = kind.split()
+    table = ensure_table(spark, trips.schema, Table(folder, ("pu",), name=f"{schema_name}.trips"))
+    with pytest.raises(TableMismatchError, match=f"column {name}"):
+        ensure_table(spark, trips.withColumn(name, F.lit(None).cast(data_type)).schema, table)
+
+
 def test_column_list(spark):
     schema = spark.createDataFrame([], "col1 int, col2 string, col3 date").schema
     assert table_ddl(schema) == "`col1` int, `col2` string, `col3` date"

@@ -29,3 +29,7 @@ class MergeError(TripmillError):
 
 class DuplicateSourceKeyError(MergeError):
     """Several source rows would change the same target row."""
+
+
+class TableMismatchError(TripmillError, ValueError):
+    """A table that exists has other types or partition columns than the one asked for."""

@@ -32,11 +32,15 @@ def readable(column: Column, data_type: T.DataType) -> Column:
     A whole number may be written as a decimal one (``1.0``); a number with a fraction is no whole number.
     """
     text = F.trim(column)
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        # A failed cast costs an exception, so text that is no number for sure is not tried.
+        return F.when(text.rlike("[0-9]|(?i)nan|(?i)inf"), text.try_cast(data_type))
     if not isinstance(data_type, T.IntegralType):
         return text.try_cast(data_type)
     number = text.try_cast("double")
     whole = F.when(number == F.floor(number), number.try_cast(data_type))
-    return F.coalesce(text.try_cast(data_type), whole)
+    plain = F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast(data_type))
+    return F.coalesce(plain, F.when(text.rlike("[0-9]"), whole))
 
 
 def unreadable(column: Column, data_type: T.DataType) -> Column:

@@ -51,6 +51,8 @@ class UpsertReport:
     rewritten_partitions: tuple[tuple[str | None, ...], ...] = ()
     # Values of the raw feeds that could not be read as their type; set by the monthly run.
     unreadable: int = 0
+    # Lines of the raw feeds that were set aside; set by the monthly run.
+    quarantined: int = 0
 
 
 @dataclass(frozen=True)
@@ -583,13 +585,29 @@ def _reserve(merge: _Merge, count: int) -> int:
     """The first of ``count`` numbers that no row of the table has. They are taken before any row is written.
 
     The highest number taken lies in a folder beside the table, one small row for each upsert. Only a table
-    that was filled in another way is scanned for it, once.
+    that was filled in another way is scanned for it, once. Two writers can't take the same numbers: see :func:`_claim`.
     """
     spark = merge.target.sparkSession
     taken = f"{merge.table.path.rstrip('/')}_numbers"
-    given = _if_there(spark.read.schema("last long"), taken)
-    last = given.agg(F.max("last")).first()[0] if given is not None else None
-    if last is None:
-        last = merge.target.agg(F.max(f"`{merge.table.identity}`")).first()[0] or 0
-    spark.createDataFrame([(last + count,)], "last long").coalesce(1).write.mode("append").parquet(taken)
-    return last + 1
+    while True:
+        given = _if_there(spark.read.schema("last long").option("recursiveFileLookup", True), taken)
+        last = given.agg(F.max("last")).first()[0] if given is not None else None
+        if last is None:
+            last = merge.target.agg(F.max(f"`{merge.table.identity}`")).first()[0] or 0
+        if _claim(spark, taken, last + 1, last + count):
+            return last + 1
+
+
+def _claim(spark: SparkSession, taken: str, first: int, last: int) -> bool:
+    """Take the numbers from ``first`` to ``last``; tell whether nobody else took one of them.
+
+    A claim is a folder that nobody else writes. After it is there, all claims are read: of two writers that claim the
+    same numbers at least the later one sees the other, and a writer that sees another one gives its numbers up. They
+    stay taken, so nobody may get them then.
+    """
+    claimant = uuid.uuid4().hex
+    row = spark.createDataFrame([(first, last, claimant)], "first long, last long, claimant string")
+    row.coalesce(1).write.parquet(f"{taken}/claim-{claimant}")
+    claims = spark.read.schema(row.schema).option("recursiveFileLookup", True).parquet(taken)
+    others = claims.filter((F.col("first") <= last) & (F.col("last") >= first) & (F.col("claimant") != claimant))
+    return others.isEmpty()

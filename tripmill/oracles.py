@@ -169,6 +169,26 @@ _ORACLES = {
     "table_scan_filter": "SELECT * FROM region WHERE r_regionkey = 0",
     "csv_roundtrip": 'SELECT o_orderdate, o_orderkey, o_orderpriority, o_totalprice AS "O_TotalPrice" FROM orders',
     "csv_inferred_types": "SELECT c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "feeds_by_header": "SELECT c_name, c_custkey, c_acctbal FROM customer",
+    "dirty_lines": """
+        WITH lines AS (
+            SELECT *, (l_orderkey + l_linenumber) % 10 AS kind, CAST(trunc(l_quantity) AS INTEGER) AS quantity,
+                   CAST(l_shipdate AS DATE) AS day
+            FROM lineitem
+        ), texts AS (
+            SELECT *, l_orderkey || ',' || l_linenumber || ',' || CASE WHEN kind = 1 THEN 'many' ELSE CAST(quantity AS VARCHAR) END
+                   || CASE kind WHEN 2 THEN '' WHEN 4 THEN ',2025-13-45' ELSE ',' || CAST(day AS VARCHAR) END
+                   || CASE WHEN kind = 3 THEN ',x' ELSE '' END AS line
+            FROM lines
+        )
+        SELECT CASE WHEN kind NOT BETWEEN 1 AND 4 THEN l_orderkey END AS l_orderkey,
+               CASE WHEN kind NOT BETWEEN 1 AND 4 THEN CAST(l_linenumber AS INTEGER) END AS l_linenumber,
+               CASE WHEN kind NOT BETWEEN 1 AND 4 THEN quantity END AS l_quantity,
+               CASE WHEN kind NOT BETWEEN 1 AND 4 THEN day END AS l_shipdate,
+               CASE WHEN kind BETWEEN 1 AND 4 THEN line END AS line,
+               CASE kind WHEN 1 THEN 'value of l_quantity' WHEN 2 THEN 'fields' WHEN 3 THEN 'fields'
+                         WHEN 4 THEN 'value of l_shipdate' END AS reason
+        FROM texts""",
     "table_overwrite": "SELECT * FROM customer",
     "partitioned_table_read": f"""
         WITH years AS (SELECT *, {_parts("o_orderdate", "Order")} FROM orders)
@@ -204,7 +224,13 @@ _ORACLES = {
           AND PUlocationID IS NOT NULL AND DOlocationID IS NOT NULL""",
     "dirty_feeds": f"""
         WITH {_CONFORMED}, texts AS (
-            SELECT lpep_pickup_datetime, RatecodeID, {", ".join(_dirty_number(c) for c in _DIRTY_NUMBERS)} FROM green
+            SELECT lpep_pickup_datetime, RatecodeID, {", ".join(_dirty_number(c) for c in _DIRTY_NUMBERS)} FROM (
+                SELECT * FROM green
+                UNION ALL
+                SELECT * RENAME (
+                    tpep_pickup_datetime AS lpep_pickup_datetime, tpep_dropoff_datetime AS lpep_dropoff_datetime
+                ) FROM yellow
+            )
         )
         SELECT lpep_pickup_datetime, RatecodeID,
                {", ".join(_read_number(c, whole) for c, whole in _DIRTY_NUMBERS.items())},
@@ -241,6 +267,7 @@ _ORACLES = {
     "upsert_trips_rerun": _upserted("=", runs=2),
     "upsert_null_safe": _upserted("IS NOT DISTINCT FROM", runs=1),
     "upsert_null_safe_rerun": _upserted("IS NOT DISTINCT FROM", runs=2),
+    "upsert_sliced": _upserted("=", runs=1),
     "upsert_mapped": f"WITH {_SIDES}" + _merge("trg", "=", "t.TotalAmount < s.TotalAmount AND s.PaymentType <> 1"),
     "upsert_numbered": f"WITH {_SIDES}"
     + _merge("trg", "IS NOT DISTINCT FROM", more=", t.here IS NULL AS is_new, true AS number_ok"),

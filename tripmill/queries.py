@@ -39,7 +39,16 @@ from tripmill.plans.trips import (
     typed_feed,
 )
 from tripmill.scratch import new_folder, stage
-from tripmill.sources import Table, ensure_table, read_delimited, read_table, scan_where, write_table
+from tripmill.sources import (
+    Slices,
+    Table,
+    ensure_table,
+    read_delimited,
+    read_or_quarantine,
+    read_table,
+    scan_where,
+    write_table,
+)
 from tripmill.sources.sample_feeds import sample_feed
 
 
@@ -91,6 +100,38 @@ def csv_inferred_types(spark: SparkSession, tables: str) -> DataFrame:
     return read_delimited(spark, f"{folder}/customer_*.csv.gz", columns)
 
 
+def feeds_by_header(spark: SparkSession, tables: str) -> DataFrame:
+    """Customers delivered in two files that name their columns in another order, read as one table."""
+    folder = new_folder(spark, "customers-by-header")
+    customers = _read(spark, tables, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    odd = F.col("c_custkey") % 2 == 1
+    _write_delimited(customers.filter(odd), f"{folder}/customer_odd.csv.gz", ",")
+    _write_delimited(customers.filter(~odd).select(*reversed(customers.columns)), f"{folder}/customer_even.csv.gz", ",")
+    types = {"c_custkey": T.LongType(), "c_acctbal": T.DoubleType()}
+    return read_delimited(spark, f"{folder}/customer_*.csv.gz", ["c_name", "c_custkey", "c_acctbal"], types)
+
+
+def dirty_lines(spark: SparkSession, tables: str) -> DataFrame:
+    """All order lines delivered as text, some with a field too few or too many, or a value that is none.
+
+    Every line is either loaded, or set aside with the reason.
+    """
+    path = new_folder(spark, "dirty-lines") + ".csv.gz"
+    kind = (F.col("l_orderkey") + F.col("l_linenumber")) % 10
+    names = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    quantity = F.when(kind == 1, F.lit("many")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    day = F.when(kind == 4, F.lit("2025-13-45")).otherwise(F.col("l_shipdate").cast("date").cast("string"))
+    line = F.concat_ws(
+        ",", "l_orderkey", "l_linenumber", quantity, F.when(kind != 2, day), F.when(kind == 3, F.lit("x"))
+    )
+    # One column without quotes, whose name is the header, gives each file its header and the lines as they are.
+    text = _read(spark, tables, "lineitem").select(line.alias(",".join(names)))
+    text.write.csv(path, header=True, sep="\u0001", quote="", compression="gzip")
+    types = dict(zip(names, (T.LongType(), T.IntegerType(), T.IntegerType(), T.DateType())))
+    loaded, aside = read_or_quarantine(spark, path, names, types)
+    return loaded.unionByName(aside.drop("file"), allowMissingColumns=True)
+
+
 def table_overwrite(spark: SparkSession, tables: str) -> DataFrame:
     """A table written twice to the same folder; the second content replaces the first."""
     table = Table(new_folder(spark, "overwrite"))
@@ -173,8 +214,12 @@ def clean_trips_both_locations(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def dirty_feeds(spark: SparkSession, tables: str) -> DataFrame:
-    """The green feed with codes and counts as text, some of it ``1.0``, ``x`` or empty, read as their types."""
-    feed = sample_feed(spark, tables, "green")
+    """Both feeds with codes and counts as text, some of it ``1.0``, ``x`` or empty, read as their types."""
+    times = ["pickup_datetime", "dropoff_datetime"]
+    yellow = rename_columns(
+        sample_feed(spark, tables, "yellow"), [f"tpep_{name}" for name in times], [f"lpep_{name}" for name in times]
+    )
+    feed = union_feeds(sample_feed(spark, tables, "green"), yellow)
     kind = F.coalesce("RatecodeID", F.lit(0)) % 5
     made = {}
     for name in ("passenger_count", "payment_type", "trip_distance"):
@@ -328,6 +373,22 @@ def upsert_null_safe_rerun(spark: SparkSession, tables: str) -> DataFrame:
     return _upserted(spark, tables, runs=2, null_safe=True)
 
 
+def upsert_sliced(spark: SparkSession, tables: str) -> DataFrame:
+    """The table after two upserts, in slices of hashes below its years; only slices with a changed row are rewritten."""
+    source, months = _upsert_sides(spark, tables)
+    table = Table(
+        new_folder(spark, "sliced-trips"),
+        ("TripYear",),
+        name=f"tripmill_sliced_{uuid.uuid4().hex}",
+        slices=Slices(("PickupTime",), count=4),
+    )
+    ensure_table(spark, source.schema, table)
+    keys = [name for name in MERGE_KEYS if name != "TripMonth"]
+    upsert(read_table(spark, months), table, keys)
+    upsert(source, table, keys)
+    return read_table(spark, table)
+
+
 def upsert_mapped(spark: SparkSession, tables: str) -> DataFrame:
     """The table after an upsert from a source with other names, by a condition as text."""
     source, table = _upsert_sides(spark, tables)
@@ -416,6 +477,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table_scan_filter,
         csv_roundtrip,
         csv_inferred_types,
+        feeds_by_header,
+        dirty_lines,
         table_overwrite,
         partitioned_table_read,
         surrogate_key,
@@ -440,6 +503,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         upsert_trips_rerun,
         upsert_null_safe,
         upsert_null_safe_rerun,
+        upsert_sliced,
         upsert_mapped,
         upsert_numbered,
         upsert_report,

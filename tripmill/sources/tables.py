@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.errors import PartitionColumnError
+from tripmill.errors import PartitionColumnError, TableMismatchError
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class Slices:
     column: str = "row_slice"
 
     def __post_init__(self) -> None:
-        if not self.by or (self.count is None) == (self.seconds is None) or (self.count or self.seconds) < 1:
+        if not self.by or (self.count is None) == (self.seconds is None) or (self.count if self.seconds is None else self.seconds) < 1:
             raise ValueError("slices need columns, and a count of hashes or a span in seconds")
         if self.seconds is not None and len(self.by) != 1:
             raise ValueError("spans are of one time column")
@@ -107,7 +107,10 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     """Create the catalog table ``table.name`` at ``table.path`` unless it exists.
 
     Files that lie at the path already become rows of the new table. A table of this name at another path is
-    refused, because rows would be written to one place and read from the other.
+    refused, because rows would be written to one place and read from the other. A table that is there is made to
+    fit: columns it lacks are added, and its old rows have NULL there. What can't be made to fit raises
+    :class:`~tripmill.errors.TableMismatchError`: a column of another type, other partition columns. Columns that only
+    the table has stay. Names are compared without regard to case.
 
     Parquet tables cannot number rows by themselves, so the surrogate key is a plain bigint that
     :func:`~tripmill.operators.upsert` fills. Spark lists partition columns last.
@@ -127,6 +130,7 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
         location = details.filter("col_name = 'Location'").first()["data_type"]
         if not _same_place(location, table.path):
             raise ValueError(f"table {table.name} lies at {location}, not at {table.path}")
+        _reconcile(spark, schema, table)
         return table
 
     partitioned = ""
@@ -141,6 +145,26 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     return table
 
 
+def _reconcile(spark: SparkSession, schema: T.StructType, table: Table) -> None:
+    """Add the columns that the catalog table lacks; raise where types or partitioning differ."""
+    partitioned = [column.name.lower() for column in spark.catalog.listColumns(table.name) if column.isPartition]
+    if partitioned != [name.lower() for name in table.stored_by]:
+        raise TableMismatchError(f"table {table.name} is partitioned by {partitioned}, not by {list(table.stored_by)}")
+    there = {field.name.lower(): field.dataType for field in spark.table(table.name).schema}
+    wanted = [T.StructField(table.identity, T.LongType())] if table.identity else []
+    missing = []
+    for field in [*wanted, *schema.fields]:
+        data_type = there.get(field.name.lower())
+        if data_type is None:
+            missing.append(field)
+        elif data_type.simpleString() != field.dataType.simpleString():
+            raise TableMismatchError(
+                f"column {field.name} of {table.name} is {data_type.simpleString()}, not {field.dataType.simpleString()}"
+            )
+    if missing:
+        spark.sql(f"ALTER TABLE {table.name} ADD COLUMNS ({table_ddl(T.StructType(missing))})")
+
+
 def _same_place(one: str, other: str) -> bool:
     """Whether two paths name one folder. A path without a scheme is on the file system of the other one."""
     (scheme, path), (other_scheme, other_path) = (_split_path(text) for text in (one, other))
