@@ -184,7 +184,7 @@ _ORACLES = {
         SELECT CASE WHEN kind NOT BETWEEN 1 AND 4 THEN l_orderkey END AS l_orderkey,
                CASE WHEN kind NOT BETWEEN 1 AND 4 THEN CAST(l_linenumber AS INTEGER) END AS l_linenumber,
                CASE WHEN kind NOT BETWEEN 1 AND 4 THEN quantity END AS l_quantity,
-               CASE WHEN kind NOT BETWEEN 1 AND 4 THEN day END AS l_shipdate,
+               CASE WHEN kind NOT BETWEEN 1 AND 4 THEN CAST(day AS TIMESTAMP) END AS l_shipdate,
                CASE WHEN kind BETWEEN 1 AND 4 THEN line END AS line,
                CASE kind WHEN 1 THEN 'value of l_quantity' WHEN 2 THEN 'fields' WHEN 3 THEN 'fields'
                          WHEN 4 THEN 'value of l_shipdate' END AS reason

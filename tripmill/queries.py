@@ -129,6 +129,7 @@ def dirty_lines(spark: SparkSession, tables: str) -> DataFrame:
     text.write.csv(path, header=True, sep="\u0001", quote="", compression="gzip")
     types = dict(zip(names, (T.LongType(), T.IntegerType(), T.IntegerType(), T.DateType())))
     loaded, aside = read_or_quarantine(spark, path, names, types)
+    loaded = loaded.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
     return loaded.unionByName(aside.drop("file"), allowMissingColumns=True)
 
 
