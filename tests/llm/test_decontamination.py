@@ -54,6 +54,40 @@ def test_a_set_too_large_to_broadcast_gives_the_same(spark, monkeypatch):
     assert sorted(tuple(row)[:6] for row in found.collect()) == brute(docs, items, 4)
 
 
+def test_long_texts_without_a_broadcast(spark, monkeypatch):
+    """A text of 20,000 words, hit all over, and items of several lengths: the words do not go with their windows."""
+    monkeypatch.setattr(decontamination, "MAX_BROADCAST_WINDOWS", 0)
+    long = " ".join(f"w{i % 977}" for i in range(20_000))
+    docs = [(1, long), (2, long + " and more"), (3, "w1 w2"), (4, None), (5, "x " * 20_000)]
+    items = [(1, "w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15"), (2, "w1 w2"), (3, "w970 w971 w972")]
+    items += [(4, " ".join(f"w{i}" for i in range(977)))]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = find_contamination(*frames)
+    assert sorted(tuple(row)[:6] for row in found.collect()) == brute(docs, items, 10)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(text, max_size=8), st.lists(text, max_size=5), st.integers(2, 4))
+def test_same_as_brute_force_without_a_broadcast(spark, texts, item_texts, window):
+    before = decontamination.MAX_BROADCAST_WINDOWS
+    decontamination.MAX_BROADCAST_WINDOWS = 0
+    try:
+        docs, items = list(enumerate(texts)), [(10 - i, t) for i, t in enumerate(item_texts)]
+        frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+        assert sorted(tuple(row)[:6] for row in find_contamination(*frames, window=window).collect()) == brute(docs, items, window)
+    finally:
+        decontamination.MAX_BROADCAST_WINDOWS = before
+
+
+def test_names_that_clash(spark):
+    names = "hit_id, hit_key, hit_spans, kept_text, items, at, spans, w, key, row_id, text_key, own_id"
+    docs = spark.sql(f"SELECT 1L AS doc_id, 'Keep THE bad words' AS text, {', '.join(f'7 AS {n}' for n in names.split(', '))}")
+    items = spark.createDataFrame([(1, "the bad words")], "item_id long, text string")
+    cut = decontaminate(docs, items, remove="spans")
+    assert cut.columns == docs.columns and cut.first()["text"] == "Keep " and cut.first()["hit_spans"] == 7
+    assert decontaminate(docs, items).count() == 0 and find_contamination(docs, items).first()["n_hit"] == 3
+
+
 def test_only_built_in_functions(spark, small):
     docs, items = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "benchmark"))
     plan = find_contamination(docs, items)._jdf.queryExecution().executedPlan().toString()

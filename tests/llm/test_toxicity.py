@@ -1,9 +1,12 @@
+import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tripmill.llm import toxicity
 from tripmill.llm.queries import op5_toxicity
 from tripmill.llm.toxicity import Model, held_out, offending_sentences, score, train
 
@@ -78,6 +81,52 @@ def test_noisy_or(spark, fitted):
     assert both == pytest.approx(1 - (1 - a) * (1 - b))
 
 
+def test_many_sentences_by_the_formula(fitted):
+    """Sentence by sentence: those of 0.5 or more in full, the others with the background up to just below 0.5."""
+    rows, _, _, model = fitted
+    clean = [text for _, text, toxic in rows if not toxic]
+    texts = ["", " ".join(clean[:40]), " ".join(clean) * 3, " ".join(clean) + " You rotter. Vilely you. vileness, you rotter!"]
+    texts += [text for _, text, _ in rows[:50]]
+    scorer = toxicity._Scorer(model)
+    got = scorer.score(pa.array(texts))
+    logits = [[] for _ in texts]
+    for words, begins, z in scorer.scans(pa.array(texts)):
+        for owner, value in zip(words.texts[begins], z):
+            logits[words.first + owner].append(value)
+    for one, zs in zip(got, logits):
+        strong = [math.log1p(math.exp(z)) for z in zs if z >= 0]
+        mild = [math.log1p(math.exp(z)) for z in zs if z < 0] + [math.log1p(math.exp(model.background))] * bool(zs)
+        assert one == pytest.approx(1 - math.exp(-sum(strong) - min(sum(mild), 0.999 * math.log(2))), abs=1e-9)
+
+
+def test_training_follows_the_formula_of_the_score():
+    """The slopes used in training are those of the loss of the scores, also where mild sentences are at their bound."""
+    chance = np.random.default_rng(3)
+    owner = np.sort(chance.integers(0, 30, 400))
+    owner = np.concatenate([owner, np.full(300, 29)])
+    z, label, spoken = chance.normal(-2, 2, 700), chance.random(30) < 0.4, np.ones(30, bool)
+    loss, by_sentence, by_background = toxicity._slopes(label, z, owner, spoken, -3.0)
+    left = toxicity.evidence(z, owner, spoken, -3.0)[0]
+    # The score is one minus exp(-left).
+    assert loss == pytest.approx(-np.mean(np.where(label, np.log(-np.expm1(-left)), -left)))
+    assert toxicity.evidence(z, owner, spoken, -3.0)[1][29]
+    step = 1e-6
+    for k in [0, 5, 100, 399, 400, 650, 699]:
+        moved = z.copy()
+        moved[k] += step
+        assert (toxicity._slopes(label, moved, owner, spoken, -3.0)[0] - loss) / step == pytest.approx(by_sentence[k], abs=1e-5)
+    assert (toxicity._slopes(label, z, owner, spoken, -3.0 + step)[0] - loss) / step == pytest.approx(by_background, abs=1e-5)
+
+
+def test_names_that_clash(fitted):
+    _, docs, labels, model = fitted
+    names = ["row_toxic", "row_text", "label_id", "text_id", "toxic", "k_text", "score", "predicted", "sentences"]
+    other = docs.withColumns({name: F.lit(1) for name in names})
+    assert np.array_equal(train(other, labels.withColumn("text", F.lit("x"))).weights, model.weights)
+    one, two = (sorted(row["score"] for row in score(df, model).collect()) for df in (docs, other))
+    assert one == two
+
+
 def test_clean_texts_of_any_length_stay_clean(spark, fitted):
     """Length alone is not toxic: neither unknown sentences nor those of the clean training texts, many times over."""
     rows, _, _, model = fitted

@@ -2,7 +2,8 @@
 
 Only built-in functions run. Each document word's window is hashed and looked up in the set of the items'
 windows; a hit is verified by comparing the words. The set is bounded by the benchmark, not by the documents,
-and its size is checked before it is broadcast; a larger one is joined by a shuffle instead.
+and its size is checked before it is broadcast. For a larger one only the hash of each window is shuffled, without its
+words; what is found is brought together by document and verified against its words then.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ _BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same cut in text whose letters have any case.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-# Windows that may be broadcast: about 200 bytes each.
+# Windows, and items that have them, that may be broadcast: about 200 bytes each.
 MAX_BROADCAST_WINDOWS = 500_000
 
 
@@ -50,6 +51,47 @@ def _item_windows(items: DataFrame, item_col: str, text_col: str, window: int) -
     return spans.groupBy("length", "window").agg(F.collect_set("item").alias("items"))
 
 
+def _hits(rows: DataFrame, windows: DataFrame, lengths: list[int], fits: bool) -> DataFrame:
+    """Per row with a hit: ``at``, the windows hit as (start, length), and ``items``. One scan for all lengths."""
+    # Hashes are of the length, too, so windows of different lengths do not meet.
+    key = F.when(F.lit(False), F.lit(0).cast("long"))
+    for length in lengths:
+        key = key.when(F.col("length") == length, _key(F.col("window"), F.lit(0), length))
+    known = windows.select(key.alias("key"), "length", "window", "items")
+    at = rows.select("row_id", "text_key", "w", F.posexplode("w").alias("start", "word"))
+    if fits and len(lengths) == 1:
+        length = lengths[0]
+        keyed = at.filter(F.col("start") <= F.size("w") - length)
+        keyed = keyed.select("row_id", "text_key", "start", "w", _key(F.col("w"), F.col("start"), length).alias("key"))
+        hits = keyed.join(F.broadcast(known), "key")
+        hits = hits.filter(F.slice("w", F.col("start") + 1, F.lit(length)) == F.col("window"))
+        return hits.groupBy("row_id", "text_key").agg(
+            F.array_sort(F.collect_set(F.struct("start", "length"))).alias("at"),
+            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+        )
+    # The words stay behind: a row of them for each of their windows would be quadratic in the text's length.
+    of_length = {
+        f"key_{length}": F.when(F.col("start") <= F.size("w") - length, _key(F.col("w"), F.col("start"), length))
+        for length in lengths
+    }
+    keyed = at.select("row_id", "text_key", "start", *(column.alias(name) for name, column in of_length.items()))
+    keyed = keyed.select("row_id", "text_key", "start", F.explode(F.array(*of_length)).alias("key")).filter("key IS NOT NULL")
+    hits = keyed.join(F.broadcast(known) if fits else known, "key")
+    hit = F.struct("start", "length", "window", "items")
+    by_row = hits.groupBy("row_id", "text_key").agg(F.collect_set(hit).alias("hits"))
+    own = rows.select(F.col("row_id").alias("own_id"), F.col("text_key").alias("own_key"), "w")
+    same = by_row["row_id"].eqNullSafe(own["own_id"]) & (by_row["text_key"] == own["own_key"])
+    joined = by_row.join(own.dropDuplicates(["own_id", "own_key"]), same)
+    right = F.filter("hits", lambda h: F.slice("w", h["start"] + 1, h["length"]) == h["window"])
+    verified = joined.select("row_id", "text_key", right.alias("hits")).filter(F.size("hits") > 0)
+    return verified.select(
+        "row_id",
+        "text_key",
+        F.array_sort(F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["length"].alias("length")))).alias("at"),
+        F.array_distinct(F.flatten(F.col("hits.items"))).alias("items"),
+    )
+
+
 def find_contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -73,33 +115,20 @@ def find_contamination(
     """
     spark = docs.sparkSession
     windows = stage(_item_windows(items, item_col, item_text_col, window), new_folder(spark, "windows"))
-    sizes = {row["length"]: row["n"] for row in windows.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    fits = sum(sizes.values()) <= MAX_BROADCAST_WINDOWS
+    sizes = windows.groupBy("length").agg(F.count("*").alias("n"), F.sum(F.size("items")).alias("items")).collect()
+    lengths = sorted(row["length"] for row in sizes)
+    fits = sum(row["n"] + row["items"] for row in sizes) <= MAX_BROADCAST_WINDOWS
 
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).alias("row_id"), F.xxhash64(text).alias("text_key"), words(text).alias("w"))
-    found = None
-    for length in sorted(sizes):
-        known = windows.filter(F.col("length") == length)
-        known = known.select(_key(F.col("window"), F.lit(0), length).alias("key"), "window", "items")
-        at = rows.select("row_id", "text_key", "w", F.posexplode("w").alias("start", "word"))
-        at = at.filter(F.col("start") <= F.size("w") - length)
-        at = at.select("row_id", "text_key", "start", "w", _key(F.col("w"), F.col("start"), length).alias("key"))
-        hits = at.join(F.broadcast(known) if fits else known, "key")
-        hits = hits.filter(F.slice("w", F.col("start") + 1, F.lit(length)) == F.col("window"))
-        hits = hits.select("row_id", "text_key", "start", F.lit(length).alias("length"), "items")
-        found = hits if found is None else found.unionByName(hits)
+    found = _hits(rows, windows, lengths, fits) if lengths else None
     counts = rows.select("row_id", "text_key", F.size("w").alias("n_words"))
     if found is None:
         empty = "array<struct<start:int,length:int>>"
         joined = counts.withColumns({"at": F.lit(None).cast(empty), "items": F.lit(None).cast("array<string>")})
     else:
-        by_row = found.groupBy("row_id", "text_key").agg(
-            F.array_sort(F.collect_set(F.struct("start", "length"))).alias("at"),
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-        )
-        same = counts["row_id"].eqNullSafe(by_row["row_id"]) & (counts["text_key"] == by_row["text_key"])
-        joined = counts.join(by_row, same, "left").select(counts["*"], by_row["at"], by_row["items"])
+        same = counts["row_id"].eqNullSafe(found["row_id"]) & (counts["text_key"] == found["text_key"])
+        joined = counts.join(found, same, "left").select(counts["*"], found["at"], found["items"])
     found_items = F.sort_array(F.coalesce("items", F.array().cast("array<string>")))
     result = joined.select(
         F.col("row_id").alias(id_col),
@@ -161,19 +190,21 @@ def decontaminate(
     found = found.filter("contaminated").select(
         F.col(id_col).alias("hit_id"), F.col("text_key").alias("hit_key"), F.col("spans").alias("hit_spans")
     )
-    found = found.dropDuplicates(["hit_id", "hit_key"])
-    key = F.xxhash64(whole_text(docs[text_col]))
-    same = docs[id_col].eqNullSafe(found["hit_id"]) & (key == found["hit_key"])
+    found = found.dropDuplicates(["hit_id", "hit_key"]).alias("found")
+    docs_ = docs.alias("docs")
+    given = F.col(f"docs.`{text_col}`")
+    key = F.xxhash64(whole_text(given))
+    same = F.col(f"docs.`{id_col}`").eqNullSafe(F.col("found.hit_id")) & (key == F.col("found.hit_key"))
     if remove == "documents":
-        return docs.join(found, same, "left_anti")
-    pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"({_WORD}{_BETWEEN_ANY_CASE})"), 1)
+        return docs_.join(found, same, "left_anti")
+    spans = F.col("found.hit_spans")
+    pieces = F.regexp_extract_all(given, F.lit(f"({_WORD}{_BETWEEN_ANY_CASE})"), 1)
     kept = F.filter(
         pieces,
-        lambda _, i: ~F.exists(
-            F.col("hit_spans"), lambda span: (i >= span["start"]) & (i < span["start"] + span["length"])
-        ),
+        lambda _, i: ~F.exists(spans, lambda span: (i >= span["start"]) & (i < span["start"] + span["length"])),
+    )
+    lead = F.regexp_extract(given, f"^({_BETWEEN_ANY_CASE})", 1)
+    cut = F.when(spans.isNull(), given).otherwise(F.concat(lead, F.concat_ws("", kept)))
+    return docs_.join(found, same, "left").select(
+        *(cut.alias(name) if name == text_col else F.col(f"docs.`{name}`") for name in docs.columns)
     )
-    lead = F.regexp_extract(F.col(text_col), f"^({_BETWEEN_ANY_CASE})", 1)
-    cut = F.when(F.col("hit_spans").isNull(), F.col(text_col)).otherwise(F.concat(lead, F.concat_ws("", kept)))
-    joined = docs.join(found, same, "left").withColumn("kept_text", cut)
-    return joined.select(*(F.col("kept_text").alias(c) if c == text_col else docs[c] for c in docs.columns))

@@ -5,7 +5,8 @@ the words' four-byte pieces, and the text's score is the noisy-or of its sentenc
 each leaves over. Only the text's label is known in training; the likelihood of the labels, derived through the
 noisy-or, decides which sentences carry it. Afterwards the sentence scores locate what is offending. A sentence
 without a feature that has a weight is left out of the noisy-or; what no sentence explains in training is a background
-that each text has once. Sentences below 0.5 never make 0.5 together, so a text's length alone does not make it toxic.
+that each text has once. Sentences below 0.5 never make 0.5 together, so a text's length alone does not make it toxic:
+what they add ends just below it. Training and scoring share this one formula (:func:`evidence`).
 """
 
 from __future__ import annotations
@@ -179,10 +180,41 @@ def _screen(counts: DataFrame, ones: int, zeros: int) -> np.ndarray:
     return np.sort(np.array([row["feature"] for row in best.collect()], np.int64))
 
 
+def evidence(
+    z: np.ndarray, owner: np.ndarray, spoken: np.ndarray, background: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Minus the logarithm of what is left over in each text, whose score is one minus what is left over; and whether its
+    mild sentences are at their bound.
+
+    ``z`` are the logits of sentences, ``owner`` their texts; ``spoken`` says which texts have any sentence. A sentence
+    of 0.5 or more counts in full. The others count together, with the background, up to just below 0.5.
+    """
+    part, strong = np.logaddexp(0, z), z >= 0
+    full = np.bincount(owner, np.where(strong, part, 0), minlength=len(spoken))
+    mild = np.bincount(owner, np.where(strong, 0, part), minlength=len(spoken))
+    once = np.logaddexp(0, background)
+    most = max(0, _MOST_MILD - once)
+    return full + np.minimum(mild, most) + np.where(spoken, once, 0), mild > most
+
+
+def _slopes(
+    label: np.ndarray, z: np.ndarray, owner: np.ndarray, spoken: np.ndarray, background: float
+) -> tuple[float, np.ndarray, float]:
+    """The loss (minus the mean log likelihood of the labels), and its slopes by each ``z`` and by the background."""
+    left, bound = evidence(z, owner, spoken, background)
+    left = np.maximum(left, 1e-9)
+    loss = np.where(label, -np.log(-np.expm1(-left)), left).mean()
+    slope = np.where(label, -1 / np.expm1(left), 1.0) / len(label)
+    # At the bound neither a mild sentence nor the background changes anything.
+    by_sentence = slope[owner] / (1 + np.exp(-z)) * ((z >= 0) | ~bound[owner])
+    by_background = (slope * spoken * ~bound).sum() / (1 + np.exp(-background))
+    return loss, by_sentence, by_background
+
+
 def _fit(toxic: np.ndarray, bags: list[tuple[int, np.ndarray, np.ndarray]], features: int, rounds: int = 400) -> tuple[np.ndarray, float, float]:
     """Weights, bias and background by full gradient steps (Adam) on the likelihood of the labels, with a penalty on weights."""
     # Sentences without a chosen feature are left out; a text that has any sentence has the background once.
-    owner, row, column, spoken = [], [], [], np.zeros(len(bags))
+    owner, row, column, spoken = [], [], [], np.zeros(len(bags), bool)
     count = 0
     for text, (total, sentence, feature) in enumerate(bags):
         kinds, place = np.unique(sentence, return_inverse=True)
@@ -197,13 +229,9 @@ def _fit(toxic: np.ndarray, bags: list[tuple[int, np.ndarray, np.ndarray]], feat
     label = toxic.astype(bool)
     for step in range(1, rounds + 1):
         z = np.bincount(row, weights[column], minlength=count) + bias
-        left = np.bincount(owner, np.logaddexp(0, z), minlength=len(bags)) + spoken * np.logaddexp(0, background)
-        # The text's score is 1 - exp(-left).
-        slope = np.where(label, -1 / np.expm1(np.maximum(left, 1e-9)), 1.0) / len(bags)
-        p = 1 / (1 + np.exp(-z))
-        per_sentence = slope[owner] * p
-        gradient = np.bincount(column, per_sentence[row], minlength=features) + _PENALTY * weights
-        gradient = np.append(gradient, [per_sentence.sum(), (slope * spoken).sum() / (1 + np.exp(-background))])
+        _, by_sentence, by_background = _slopes(label, z, owner, spoken, background)
+        gradient = np.bincount(column, by_sentence[row], minlength=features) + _PENALTY * weights
+        gradient = np.append(gradient, [by_sentence.sum(), by_background])
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.999 * moments[1] + 0.001 * gradient**2
         move = 0.1 * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-9)
@@ -226,8 +254,9 @@ def train(
     given = given.groupBy(F.col(id_col).alias("label_id")).agg((F.max(label_col) > 0).alias("row_toxic"))
     chosen = given.orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_TRAINING_ROWS)
     # The chosen labels are bounded, so the documents need not move.
-    texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["label_id"])
-    texts = stage(texts.select(whole_text(docs[text_col]).alias("row_text"), "row_toxic"), new_folder(spark, "training"))
+    given_texts = docs.select(F.col(id_col).alias("text_id"), whole_text(text_col).alias("row_text"))
+    texts = given_texts.join(F.broadcast(chosen), F.col("text_id") == F.col("label_id"))
+    texts = stage(texts.select("row_text", "row_toxic"), new_folder(spark, "training"))
     sizes = texts.agg(F.count_if("row_toxic").alias("ones"), F.count_if(~F.col("row_toxic")).alias("zeros")).first()
     ones, zeros = sizes["ones"], sizes["zeros"]
     if not ones or not zeros:
@@ -245,7 +274,7 @@ class _Scorer:
     def __init__(self, model: Model) -> None:
         self.of_word, self.of_piece = model.tables()
         self.bias = model.bias
-        self.background = np.logaddexp(0, model.background)
+        self.background = model.background
 
     def scans(self, texts: pa.Array) -> Iterator[tuple[textscan.Words, np.ndarray, np.ndarray]]:
         """The words, where each sentence begins among them, and the logit of each sentence."""
@@ -267,17 +296,14 @@ class _Scorer:
     def score(self, texts: pa.Array) -> np.ndarray:
         if self.bias == np.inf:
             return np.ones(len(texts))
-        # What sentences from 0.5 on leave over, and the others with the background.
-        left, mild = np.zeros(len(texts)), np.zeros(len(texts))
-        spoken = np.zeros(len(texts), bool)
+        left = np.zeros(len(texts))
         for words, begins, z in self.scans(texts):
-            owner, count, part = words.texts[begins], words.last - words.first, np.logaddexp(0, z)
             # Sentences are summed in the order of their text.
-            left[words.first : words.last] += np.bincount(owner, np.where(z >= 0, part, 0), minlength=count)
-            mild[words.first : words.last] += np.bincount(owner, np.where(z >= 0, 0, part), minlength=count)
-            spoken[words.first + owner] = True
-        mild = np.minimum(mild, max(0, _MOST_MILD - self.background)) + np.where(spoken, self.background, 0)
-        return -np.expm1(-left - mild)
+            owner = words.texts[begins]
+            spoken = np.zeros(words.last - words.first, bool)
+            spoken[owner] = True
+            left[words.first : words.last] = evidence(z, owner, spoken, self.background)[0]
+        return -np.expm1(-left)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
