@@ -53,6 +53,67 @@ def test_shards_of_documents(spark, monkeypatch, per_block):
     assert max(sums.values()) - min(sums.values()) <= 0.01 * sum(sums.values()) / 6
 
 
+def largest_differencing(sizes, shards):
+    """The method by its definition, on lists: the spread that is left."""
+    parts = [sorted([size] + [0] * (shards - 1)) for size in sizes]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: p[-1] - p[0])
+        a, b = parts.pop(), parts.pop()
+        both = sorted(x + y for x, y in zip(a, reversed(b)))
+        parts.append([x - both[0] for x in both])
+    return parts[0][-1] - parts[0][0]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 10**6), min_size=1, max_size=40, unique=True), st.integers(2, 5))
+def test_same_spread_as_the_definition(sizes, shards):
+    sums = np.bincount(difference(np.array(sizes, float), shards), sizes, minlength=shards)
+    spread, want = sums.max() - sums.min(), largest_differencing(sizes, shards)
+    # Ties between partial partitions may be taken in another order; a spread is never worse than the largest size.
+    assert spread == want or spread <= max(sizes)
+
+
+def test_a_heavy_tail_is_differenced_in_blocks(spark, monkeypatch):
+    """Large groups by the thousand: no task has more than its block, and the sums are level all the same."""
+    monkeypatch.setattr(sharding, "GROUPS_PER_BLOCK", 200)
+    rng = np.random.default_rng(8)
+    sizes = np.concatenate([rng.integers(2_000, 9_000, 1_500), rng.integers(1, 5, 1_500)])
+    seen = spark.sparkContext.accumulator(0)
+    blocks = []
+    real = sharding._difference_block
+
+    def counted(shards, start, with_block=False):
+        inner = real(shards, start, with_block)
+
+        def run(block):
+            seen.add(1)
+            assert len(block) < 4 * 200
+            return inner(block)
+
+        blocks.append(with_block)
+        return run
+
+    monkeypatch.setattr(sharding, "_difference_block", counted)
+    texts = ["y" * int(n) + str(k) for k, n in enumerate(sizes)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    sums = Counter()
+    for row in balance_by_bytes(df, 5).collect():
+        sums[row["shard"]] += row["size"]
+    assert seen.value > 10 and blocks == [True, False]
+    assert max(sums.values()) - min(sums.values()) <= 0.001 * sum(sums.values()) / 5
+
+
+def test_a_repeated_row_is_numbered_in_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "_BUCKET_ROWS", 20)
+    df = spark.createDataFrame([(7, "same text")] * 500 + [(8, "x")], "doc_id long, text string").repartition(6)
+    rows = balance_by_bytes(df, 2).collect()
+    slots = Counter((row["shard"], row["slot"]) for row in rows)
+    assert len(slots) == 501 and max(slots.values()) == 1
+    for shard in (0, 1):
+        found = sorted(row["slot"] for row in rows if row["shard"] == shard)
+        assert found == list(range(len(found)))
+
+
 def test_odd_rows(spark, odd, nothing):
     rows = balance_by_bytes(odd, 3).collect()
     assert len(rows) == odd.count()

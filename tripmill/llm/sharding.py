@@ -3,9 +3,10 @@
 A partial partition is one sum for each shard. Differencing takes the two with the largest spread, adds the
 largest sum of one to the smallest of the other and so on, and puts the result back, until one is left.
 
-To run it on many tasks, groups that are large beside a task's share are differenced first, in one task; their
-number is bounded by the number of blocks. What spread they leave is dealt to the blocks in equal shares, each
-block differences its small groups together with its share, and the sums cancel out over all blocks.
+To run it on many tasks, groups that are large beside a task's share are differenced first, in blocks as well; the
+blocks' partial partitions are then differenced with each other, which only needs their sums. What spread the large
+groups leave is dealt to the blocks of small ones in equal shares, each differences its groups together with its
+share, and the sums cancel out over all blocks.
 """
 
 from __future__ import annotations
@@ -30,26 +31,13 @@ _LARGE_PARTS = 8
 _BUCKET_ROWS = 50_000
 
 
-def difference(sizes: np.ndarray, shards: int, start: np.ndarray | None = None) -> np.ndarray:
-    """The shard of each size, by Karmarkar-Karp differencing.
-
-    ``start`` is a partial partition whose sums are tied to their shards; the result fits it. Without it the
-    shards are interchangeable. Equal sizes are told apart by their place, so the result is deterministic.
-    """
-    count = len(sizes)
-    result = np.zeros(count, dtype=np.int32)
-    if not count:
-        return result
-    # A node is a size, or two nodes and how the second's sums are dealt to the first's places.
+def _differenced(leaves: list[np.ndarray]) -> list[np.ndarray]:
+    """For each partial partition, the shard that each of its sums ended up in, by Karmarkar-Karp differencing."""
+    shards = len(leaves[0])
+    # A node is a leaf, or two nodes and how the second's sums are dealt to the first's places.
     left, right, deal = [], [], []
-    heap: list[tuple[float, int, np.ndarray]] = []
-    for i, size in enumerate(sizes):
-        sums = np.zeros(shards)
-        sums[0] = size
-        heap.append((-float(size), i, sums))
-    if start is not None:
-        heap.append((-float(start.max() - start.min()), count, start - start.min()))
-    leaves = len(heap)
+    heap = [(-float(sums.max() - sums.min()), i, sums - sums.min()) for i, sums in enumerate(leaves)]
+    count = len(heap)
     heapq.heapify(heap)
     while len(heap) > 1:
         _, a, first = heapq.heappop(heap)
@@ -59,41 +47,58 @@ def difference(sizes: np.ndarray, shards: int, start: np.ndarray | None = None)
         sums = first.copy()
         sums[places] += second
         sums -= sums.min()
-        heapq.heappush(heap, (-float(sums.max()), leaves + len(left), sums))
+        heapq.heappush(heap, (-float(sums.max()), count + len(left), sums))
         left.append(a)
         right.append(b)
         deal.append(places)
     # From the last node down: where each node's places ended up.
-    at: dict[int, np.ndarray] = {heap[0][1]: np.arange(shards, dtype=np.int32)}
-    anchor = None
-    stack = [heap[0][1]]
+    result: list[np.ndarray] = [np.zeros(0, dtype=np.int32)] * count
+    stack = [(heap[0][1], np.arange(shards, dtype=np.int32))]
     while stack:
-        node = stack.pop()
-        places = at.pop(node)
+        node, places = stack.pop()
         if node < count:
-            result[node] = places[0]
-        elif node < leaves:
-            anchor = places
+            result[node] = places
         else:
-            k = node - leaves
-            at[left[k]] = places
-            at[right[k]] = places[deal[k]]
-            stack += (left[k], right[k])
-    if anchor is not None:
-        back = np.empty(shards, dtype=np.int32)
-        back[anchor] = np.arange(shards)
-        result = back[result]
+            k = node - count
+            stack += ((left[k], places), (right[k], places[deal[k]]))
     return result
 
 
-def _difference_block(shards: int, start: list[float]):
+def difference(sizes: np.ndarray, shards: int, start: np.ndarray | None = None) -> np.ndarray:
+    """The shard of each size, by Karmarkar-Karp differencing.
+
+    ``start`` is a partial partition whose sums are tied to their shards; the result fits it. Without it the
+    shards are interchangeable. Equal sizes are told apart by their place, so the result is deterministic.
+    """
+    if not len(sizes):
+        return np.zeros(0, dtype=np.int32)
+    leaves = []
+    for size in sizes:
+        sums = np.zeros(shards)
+        sums[0] = size
+        leaves.append(sums)
+    if start is not None:
+        leaves.append(start)
+    places = _differenced(leaves)
+    result = np.array([found[0] for found in places[: len(sizes)]], dtype=np.int32)
+    if start is None:
+        return result
+    back = np.empty(shards, dtype=np.int32)
+    back[places[-1]] = np.arange(shards)
+    return back[result]
+
+
+def _difference_block(shards: int, start: list[float], with_block: bool = False):
     def run(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values(["bytes", "member"], ascending=[False, True], ignore_index=True)
         sums = np.array(start)
         # Shards with equal sums differ in order from block to block, so that small leftovers do not add up.
         order = np.random.default_rng(int(block["block"].iloc[0])).permutation(shards)
         shard = order[difference(block["bytes"].to_numpy(), shards, sums[order])]
-        return pd.DataFrame({"member": block["member"], "shard": shard.astype("int32")})
+        made = pd.DataFrame({"member": block["member"], "shard": shard.astype("int32")})
+        if with_block:
+            made.insert(0, "block", block["block"])
+        return made
 
     return run
 
@@ -106,13 +111,26 @@ def _assign_groups(groups: DataFrame, shards: int) -> DataFrame:
     large = total["bytes"] / (shards * blocks * _LARGE_PARTS)
     schema = "member binary, shard int"
     # At most shards * blocks * _LARGE_PARTS groups are larger than that.
-    big = groups.filter(F.col("bytes") > large).withColumn("block", F.lit(0))
-    big_shards = big.groupBy("block").applyInPandas(_difference_block(shards, [0.0] * shards), schema)
-    big_shards = stage(big_shards, new_folder(spark, "large-groups"))
-    filled = dict(
-        big_shards.join(big, "member").groupBy("shard").agg(F.sum("bytes").cast("double").alias("b")).collect()
-    )
-    share = [filled.get(shard, 0.0) / blocks for shard in range(shards)]
+    big = groups.filter(F.col("bytes") > large)
+    big_blocks = max(1, -(-big.count() // GROUPS_PER_BLOCK))
+    big = big.withColumn("block", F.pmod(F.xxhash64("member"), F.lit(big_blocks)).cast("int"))
+    of_block = big.groupBy("block").applyInPandas(_difference_block(shards, [0.0] * shards, True), f"block int, {schema}")
+    of_block = stage(of_block, new_folder(spark, "large-groups"))
+    # One row for each block and shard: what is differenced on the driver is the sums of blocks of many groups.
+    sums = of_block.join(big.drop("block"), "member").groupBy("block", "shard").agg(F.sum("bytes").cast("double").alias("b"))
+    leaves: dict[int, np.ndarray] = {}
+    for block, shard, size in sums.orderBy("block").collect():
+        leaves.setdefault(block, np.zeros(shards))[shard] = size
+    filled = [0.0] * shards
+    moved = []
+    for (block, own), places in zip(leaves.items(), _differenced(list(leaves.values())) if leaves else []):
+        for shard, place in enumerate(places.tolist()):
+            filled[place] += own[shard]
+            moved.append((block, shard, place))
+    moves = spark.createDataFrame(moved, "block int, shard int, place int")
+    # As many rows as shards for each block of GROUPS_PER_BLOCK large groups.
+    big_shards = of_block.join(moves, ["block", "shard"]).select("member", F.col("place").alias("shard"))
+    share = [size / blocks for size in filled]
     small = groups.filter(F.col("bytes") <= large)
     small = small.withColumn("block", F.pmod(F.xxhash64("member"), F.lit(blocks)).cast("int"))
     small_shards = small.groupBy("block").applyInPandas(_difference_block(shards, share), schema)
@@ -141,7 +159,8 @@ def balance_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_
     placed = rows.join(_assign_groups(groups, shards), "member").drop("member")
     # Slots: a shard's rows are numbered bucket by bucket, so no task numbers a whole shard.
     buckets = max(1, -(-rows.count() // (_BUCKET_ROWS * shards)))
-    bucket = F.pmod(F.xxhash64("row_id", "text_crc32"), F.lit(buckets)).cast("int")
+    # Rows that repeat go to different buckets: the table is written before anything is counted.
+    bucket = F.pmod(F.xxhash64("row_id", "text_crc32", F.monotonically_increasing_id()), F.lit(buckets)).cast("int")
     placed = stage(placed.withColumn("bucket", bucket), new_folder(spark, "placed"))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")
