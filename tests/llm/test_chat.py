@@ -72,7 +72,35 @@ def test_optional_fields(spark):
 def test_fingerprints_tell_layouts_apart():
     known = known_fingerprints(LAYOUTS)
     assert {layout.name for layout in known.values()} == {layout.name for layout in LAYOUTS}
-    assert fingerprint(field_paths({"a": [{"b": 1}, {"c": None}]})) == fingerprint({"a[].b"})
+    assert field_paths({"a": [{"b": 1}, {"c": None}, "x"], "d": {"e": []}}) == {"a[]", "a[].b", "a[].c", "a[].", "d.e[]"}
+
+
+TURNS = [("user", "q"), ("assistant", "a")]
+OTHERS = [
+    ({"messages": [{"role": "user", "content": "q", "name": "n"}, {"role": "assistant", "content": "a"}]}, TURNS),
+    ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a", "tool_calls": [{"f": {"x": 1}}]}], "model": "m", "weight": 1.5}, TURNS),
+    ({"instruction": "q", "output": "a", "history": [["x", "y"]], "context": "c"}, TURNS),
+    ({"prompt": "q", "completion": None}, [("user", "q"), ("assistant", "")]),
+    ({"prompt": None, "completion": None, "system": None}, [("user", ""), ("assistant", "")]),
+    ({"messages": [{"role": "user", "content": None}, {"role": "assistant", "content": None}]}, [("user", ""), ("assistant", "")]),
+    ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": [{"type": "text", "text": "a"}]}]}, TURNS),
+    ({"messages": [{"role": "user", "content": []}, {"role": "assistant", "content": "a"}]}, [("user", ""), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": [{"type": "image", "url": "u"}]}, {"role": "assistant", "content": ["a"]}]}, [("user", ""), ("assistant", "a")]),
+    ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant"}]}, [("user", "q"), ("assistant", "")]),
+    ({"conversations": [{"from": "human", "value": "q", "weight": 0}, {"from": "gpt", "value": "a"}], "tools": "[]"}, TURNS),
+    ({"messages": ["q", "a"]}, None),
+    ({"messages": [{"role": "user", "content": "q"}, "a"]}, None),
+    ({"messages": "q"}, None),
+    ({"prompt": "q", "completion": "a", "response": "a"}, None),
+    ({"prompt": ["q"], "completion": "a"}, None),
+    ({"prompt": "q"}, None),
+]
+
+
+def test_records_with_other_fields_nulls_and_mixed_texts(spark):
+    rows = [(i, json.dumps(record)) for i, (record, _) in enumerate(OTHERS)]
+    out = format_records(spark.createDataFrame(rows, "id long, record string"), "id").orderBy("id").collect()
+    assert [row["formatted"] and read_back(row["formatted"]) for row in out] == [turns for _, turns in OTHERS]
 
 
 def test_odd_records(spark):

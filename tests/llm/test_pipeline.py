@@ -3,6 +3,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[1]))
 
@@ -49,3 +50,26 @@ def test_stages(spark, small):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, small)
     assert sorted(row["doc_id"] for row in last.collect()) == sorted(before)
     assert sorted(row["doc_id"] for row in corpus_pipeline.run(spark, small).collect()) == sorted(before)
+
+
+ODD = [
+    (1, None, "en"), (2, "", None), (None, "one two three", "x"), (None, None, "x"), (3, "same text here", "a"),
+    (3, "same text here", "a"), (4, "same text here", "b"), (5, " \n\t !!! ", "c"), (6, "word " * 40_000, "d"),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD, []], ids=["odd", "nothing"])
+def test_stages_on_odd_rows_and_clashing_names(spark, small, rows):
+    """Nulls, empty and long texts, repeated rows, an empty table, and columns with names that stages use themselves."""
+    names = ["row_toxic", "row_text", "row_id", "text_key", "hit_id", "hit_key", "hit_spans", "node", "run", "toxic", "p_text", "no_text"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.select("*", *(F.lit(7).alias(name) for name in names))
+    left = {row["text"] or "" for row in docs.collect()}
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, small)
+        assert docs.columns == ["doc_id", "text", "lang", *names]
+        got = docs.collect()
+        # None of these texts is toxic, near another one, or in the benchmark.
+        assert {row["text"] or "" for row in got} == left and all(row["node"] == 7 for row in got)
+    assert docs.count() == len(left)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, small).count() == len(left)

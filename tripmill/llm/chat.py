@@ -1,7 +1,8 @@
 """Chat formatting by schema fingerprints.
 
-Records come as JSON in any of several layouts. A record's fingerprint is a hash of its nested field paths; it
-selects a declarative mapping from the layout to canonical turns (role, text). Turns are rendered into one string
+Records come as JSON in any of several layouts. A record's fingerprint is a hash of those of its nested field paths
+that some layout needs, whatever other fields it has; it selects a declarative mapping from the layout to canonical
+turns (role, text). Turns are rendered into one string
 by a template, in which control strings inside texts are escaped so that the turns can be read back, and the
 stretches under the loss mask (the assistant's texts) are marked.
 """
@@ -13,7 +14,7 @@ import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import product
 from typing import Any
 
 import pyarrow as pa
@@ -22,23 +23,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 
 # ---- layouts
 
 
 @dataclass(frozen=True)
 class Each:
-    """One turn for each element of a list."""
+    """One turn for each element of a list. With ``parts``, a text may also be a list of parts, whose texts are joined."""
 
     items: str
     role: str
     text: str
     parts: str | None = None
 
-    def paths(self) -> tuple[set[str], set[str]]:
-        text = f"{self.items}[].{self.text}" + (f"[].{self.parts}" if self.parts else "")
-        return {f"{self.items}[].{self.role}", text}, set()
+    def needed(self) -> list[set[str]]:
+        """The sets of paths of records that have these turns."""
+        whole, role, text = f"{self.items}[]", f"{self.items}[].{self.role}", f"{self.items}[].{self.text}"
+        if self.parts is None:
+            return [{whole}, {whole, role, text}]
+        part = f"{text}[].{self.parts}"
+        # Lists of parts only, with or without a text in one, or beside plain texts.
+        return [{whole, role, f"{text}[]", *more} for more in ((), (part,), (text,), (part, text))]
+
+    def named(self) -> set[str]:
+        # A list of texts instead of objects is another layout, so the path of such a text counts, too.
+        return set().union(*self.needed(), {f"{self.items}[]."})
 
 
 @dataclass(frozen=True)
@@ -50,8 +60,11 @@ class One:
     more: tuple[str, ...] = ()
     optional: bool = False
 
-    def paths(self) -> tuple[set[str], set[str]]:
-        return (set(), {self.field, *self.more}) if self.optional else ({self.field}, set(self.more))
+    def needed(self) -> list[set[str]]:
+        return [set() if self.optional else {self.field}]
+
+    def named(self) -> set[str]:
+        return self.needed()[0]
 
 
 @dataclass(frozen=True)
@@ -72,45 +85,36 @@ LAYOUTS = (
 )
 # Names that layouts have for the canonical roles.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
-# Fields beside the turns that do not count for the layout.
-BESIDES = frozenset({"id", "conv_id", "source", "lang", "meta", "metadata", "type"})
 
 
 def field_paths(value: Any, at: str = "") -> set[str]:
-    """The paths of a record's fields that are not null; ``[]`` stands for any element of a list."""
+    """The paths of a record's fields, null or not. A list has the path ``a[]``; its elements' fields are ``a[].b``, and
+    elements that have no fields are ``a[].``."""
     if isinstance(value, dict):
         found = set()
         for name, inner in value.items():
-            if name not in BESIDES:
-                found |= field_paths(inner, f"{at}.{name}" if at else name)
+            found |= field_paths(inner, at + name if not at or at.endswith(".") else f"{at}.{name}")
         return found
     if isinstance(value, list):
-        found = set()
-        for inner in value:
-            found |= field_paths(inner, at + "[]")
-        return found or {at + "[]"}
-    return set() if value is None else {at}
+        return set().union({at + "[]"}, *(field_paths(inner, at + "[].") for inner in value))
+    return {at}
 
 
 def fingerprint(paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
+def named_paths(layouts: tuple[Layout, ...]) -> set[str]:
+    """The paths that count: those that some layout needs."""
+    return set().union(*(turn.named() for layout in layouts for turn in layout.turns))
+
+
 def known_fingerprints(layouts: tuple[Layout, ...]) -> dict[str, Layout]:
-    """Each layout by the fingerprints it can have: with any of its optional fields, or with an empty list."""
+    """Each layout by the fingerprints it can have. Of layouts that need the same, the first is taken."""
     known: dict[str, Layout] = {}
     for layout in layouts:
-        needed, optional = set(), set()
-        for turn in layout.turns:
-            first, second = turn.paths()
-            needed |= first
-            optional |= second
-        for count in range(len(optional) + 1):
-            for chosen in combinations(sorted(optional), count):
-                known.setdefault(fingerprint(needed | set(chosen)), layout)
-        for turn in layout.turns:
-            if isinstance(turn, Each):
-                known.setdefault(fingerprint({f"{turn.items}[]"}), layout)
+        for needed in product(*(turn.needed() for turn in layout.turns)):
+            known.setdefault(fingerprint(set().union(*needed)), layout)
     return known
 
 
@@ -130,8 +134,8 @@ def to_turns(record: dict[str, Any], layout: Layout) -> list[tuple[str, str]]:
             continue
         for item in record.get(turn.items) or []:
             text = item.get(turn.text)
-            if turn.parts:
-                text = "".join(_text(part.get(turn.parts)) for part in text or [])
+            if turn.parts and isinstance(text, list):
+                text = "".join(_text(part.get(turn.parts) if isinstance(part, dict) else part) for part in text)
             role = _text(item.get(turn.role))
             turns.append((ROLES.get(role, role), _text(text)))
     return turns
@@ -205,6 +209,7 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 
 def _mapped(df: DataFrame, schema: T.StructType, convert: Callable[[dict[str, list]], dict[str, list]]) -> DataFrame:
+    importable(df.sparkSession)
     arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,11 +238,12 @@ def format_records(
     """One row per record: its id, ``layout``, ``fingerprint``, ``formatted`` and ``loss_spans`` (code points).
 
     A record is JSON text. One that is NULL, empty, no JSON object, or in no known layout is returned with NULL
-    ``layout``, ``formatted`` and ``loss_spans`` and, if it is an object, its fingerprint. Null fields count as
-    absent; a record with an empty list of turns is formatted to empty text. Repeated records and NULL ids are
-    records like any other; other columns are ignored.
+    ``layout``, ``formatted`` and ``loss_spans`` and, if it is an object, its fingerprint; so is one that has the fields
+    of two layouts. Fields that no layout needs do not matter. A field that is null is there and empty, a turn's text
+    that is missing is empty; a record with an empty list of turns is formatted to empty text. Repeated records and NULL
+    ids are records like any other; other columns are ignored.
     """
-    known = known_fingerprints(layouts)
+    known, named = known_fingerprints(layouts), named_paths(layouts)
     rows = records.select(F.col(id_col).alias("row_id"), F.col(record_col).alias("row_record"))
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("length", T.LongType())])
     schema = T.StructType(
@@ -257,7 +263,7 @@ def format_records(
             record = None
         if not isinstance(record, dict):
             return None, None, None, None
-        print_ = fingerprint(field_paths(record))
+        print_ = fingerprint(field_paths(record) & named)
         layout = known.get(print_)
         if layout is None:
             return None, print_, None, None

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 from tripmill.scratch import new_folder, stage
 
 # A run's number is its partition times this plus its place there.
@@ -102,6 +102,7 @@ def _runs(payload: list[str], names: list[str], text_col: str | None) -> Callabl
 def _sorted_runs(
     docs: DataFrame, id_col: str, text_col: str, largest: bool, normalise: Callable[[Column], Column] | None, payload: list[str]
 ) -> DataFrame:
+    importable(docs.sparkSession)
     text = whole_text(text_col)
     text = normalise(text) if normalise else text
     # A text that is sorted as it is goes along once.

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.llm import textscan
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 from tripmill.scratch import new_folder, stage
 
 SHINGLE = 5
@@ -355,6 +355,7 @@ def drop_near_copies(
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float) -> DataFrame:
     spark = docs.sparkSession
+    importable(spark)
     text = whole_text(text_col)
     rows = docs.select(F.col(id_col).alias("row_id"), text.alias("row_text"), _node(text).alias("node"))
     id_type = rows.schema["row_id"].dataType

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tripmill.llm import textscan
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 from tripmill.scratch import new_folder, stage
 
 DEPTH = 400
@@ -300,6 +300,7 @@ def find_repeats(
     Other columns are ignored. An empty table gives an empty result.
     """
     spark = docs.sparkSession
+    importable(spark)
     anchor = min(ANCHOR, max(1, depth // 2))
     if depth - anchor + 1 >= 1 << _LOW:
         anchor = depth - (1 << _LOW) + 2

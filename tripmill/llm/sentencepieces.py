@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tripmill.llm.bpe import LINE, SPACE, START, MergeAutomaton, automaton, no_cycle_search, spelled, units
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 
 # Bytes of text that are encoded at once.
 _SLICE_BYTES = 4 << 20
@@ -188,6 +188,7 @@ def encode_and_decode(
     of them. NULL text counts as empty: no ids, and empty text. A NULL id, repeated rows and other columns do not
     matter: each row is encoded by itself. An empty table gives an empty result.
     """
+    importable(docs.sparkSession)
     model = Path(model_path).read_bytes()
     rows = docs.select(F.col(id_col).alias("row_id"), whole_text(text_col).alias("row_text"))
     schema = T.StructType(

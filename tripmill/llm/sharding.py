@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 from tripmill.scratch import new_folder, stage
 
 # Every row costs this many bytes besides its text.
@@ -147,6 +147,7 @@ def balance_by_bytes(docs: DataFrame, shards: int, id_col: str = "doc_id", text_
     empty result.
     """
     spark = docs.sparkSession
+    importable(spark)
     text = whole_text(text_col)
     rows = docs.select(
         F.col(id_col).alias("row_id"),

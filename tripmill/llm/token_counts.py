@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tripmill.llm.bpe import LONG_UNIT, MAX_UNITS, START, MergeAutomaton, automaton, no_cycle_search, spelled, units
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 
 # Characters of a chunk of a long word.
 CHUNK = 4096
@@ -100,6 +100,7 @@ def count_tokens(
     text. NULL text counts as empty, which has no tokens. A NULL id, repeated rows and other columns do not
     matter: each row is counted by itself. An empty table gives an empty result.
     """
+    importable(docs.sparkSession)
     model = Path(model_path).read_bytes()
     rows = docs.select(F.col(id_col).alias("row_id"), whole_text(text_col).alias("row_text"))
     schema = T.StructType(

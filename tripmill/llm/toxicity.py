@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tripmill.llm import textscan
-from tripmill.llm.common import whole_text
+from tripmill.llm.common import importable, whole_text
 from tripmill.scratch import new_folder, stage
 
 # The model is fitted on at most so many labelled rows, those with the smallest hash of their id.
@@ -250,6 +250,7 @@ def train(
     effect. With one class only, or no label, every text has that class's score (0 if there is none).
     """
     spark = docs.sparkSession
+    importable(spark)
     given = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     given = given.groupBy(F.col(id_col).alias("label_id")).agg((F.max(label_col) > 0).alias("row_toxic"))
     chosen = given.orderBy(F.xxhash64("label_id"), "label_id").limit(MAX_TRAINING_ROWS)
@@ -314,6 +315,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     reaches 0.5 only by a sentence that does so itself, unless most texts that no sentence explains were toxic.
     Repeated rows, NULL ids and an empty table need no special care.
     """
+    importable(docs.sparkSession)
     kept = [name for name in docs.columns if name not in ("score", "predicted")]
     rows = docs.select(*(F.col(name).alias(f"k_{name}") for name in kept), whole_text(text_col).alias("row_text"))
     fields = [T.StructField(name, rows.schema[f"k_{name}"].dataType) for name in kept]
@@ -336,6 +338,7 @@ def offending_sentences(docs: DataFrame, model: Model, id_col: str = "doc_id", t
 
     A sentence goes from its first word's first character to its last word's last. Rules as in :func:`score`.
     """
+    importable(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("row_id"), whole_text(text_col).alias("row_text"))
     schema = T.StructType(
         [
