@@ -17,6 +17,7 @@ def minutes(spark, pairs, schema="PickupTime string, DropTime string"):
     return [row["TripTimeInMinutes"] for row in out.collect()]
 
 
+# The inputs and results of the tests of good and bad text below are the semantics to match.
 def test_calendar_parts_of_good_and_bad_text(spark):
     values = ["2025-04-08 13:00:02", "1234", "XQDS", "2030-01-01"]
     empty = (None, None, None)

@@ -54,7 +54,7 @@ def test_target_rows_are_dropped_before_the_shuffle(spark, folder, monkeypatch):
             nearby = merge._nearby(plan, touched, ranges)
             if kind == "filtered":
                 nearby = nearby.filter(KeyFilter.of(batch, ["k"], count).may_hold(["k"]))
-            found = merge._look_up(plan, nearby, batch.withColumn("_sid", F.monotonically_increasing_id()))
+            found = merge._look_up(plan, nearby, batch.withColumn("_sid", F.monotonically_increasing_id()), plan.changes)
             assert len(found.collect()) == 2_000
             assert "SortMergeJoin" in plan_of(found) or "ShuffledHashJoin" in plan_of(found)
             shuffled[kind] = nearby.count()

@@ -586,7 +586,7 @@ def test_a_hot_target_key_is_split(spark, folder):
         spark__sql__adaptive__coalescePartitions__enabled="false",
     ):
         plan = merge._resolve(batch, table, ["k"], None, None, False, False)
-        found = merge._look_up(plan, plan.target, batch.withColumn("_sid", F.lit(0)))
+        found = merge._look_up(plan, plan.target, batch.withColumn("_sid", F.lit(0)), plan.changes)
         assert len(found.collect()) == 201_998
         assert "skew=true" in plan_of(found)
         replaced = merge._replace(plan, plan.target, batch)

@@ -6,8 +6,8 @@ import pytest
 from tripmill import scratch
 
 
-def session(folder=None, warehouse=None):
-    given = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
+def session(folder=None, warehouse=None, master=None):
+    given = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse, "spark.master": master}
     return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: given.get(name) or default))
 
 
@@ -22,6 +22,15 @@ def test_without_one_it_lies_below_the_warehouse():
     assert scratch.shared_folder(session(warehouse="hdfs://store/warehouse")).startswith("hdfs://store/warehouse/")
 
 
+@pytest.mark.parametrize("warehouse", ["file:/home/user/spark-warehouse", "/home/user/spark-warehouse", "spark-warehouse"])
+def test_a_folder_of_the_drivers_machine_is_for_local_sessions_only(warehouse):
+    assert scratch.shared_folder(session(warehouse=warehouse, master="local[4]")).startswith(warehouse)
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", None):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.shared_folder(session(warehouse=warehouse, master=master))
+        assert scratch.shared_folder(session("/mnt/shared", warehouse, master)) == "/mnt/shared"
+
+
 def test_one_of_both_must_be_there():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.shared_folder(session())

@@ -24,9 +24,12 @@ from tripmill.scratch import drop_folder, scratch_folder, stage
 from tripmill.sources.tables import (
     Table,
     dealt_by_partition,
+    hashed_columns,
     point_partitions,
+    row_hash,
     stored_rows,
     timestamps_with_statistics,
+    with_fingerprint,
     write_table,
 )
 
@@ -68,6 +71,8 @@ class _Merge:
     # Keys whose range in the source narrows the scan.
     ranged: list[str]
     source_types: dict[str, T.DataType]
+    # Whether the source gives all that the target's fingerprints are made of.
+    by_fingerprint: bool
 
     @property
     def match(self) -> Column:
@@ -91,6 +96,13 @@ class _Merge:
             values.append(slices.value(lambda name: F.col(f"`{source_of[name]}`"), self.types))
         return values
 
+    @property
+    def may_change(self) -> Column:
+        """False only for matches whose target row has the fingerprint that the source row would give it."""
+        hashed = hashed_columns(self.table, self.target.columns)
+        given = row_hash([of("src", self.set_columns[name]).cast(self.types[name]) for name in hashed])
+        return ~of("trg", self.table.fingerprint).eqNullSafe(given)
+
     @property
     def alike(self) -> list[tuple[str, str]]:
         """Keys of one type on both sides, whose values therefore have one hash."""
@@ -129,6 +141,8 @@ def upsert(
     * One join looks up matches and keeps nothing but row numbers, keys and changed rows. New rows are appended.
       Only partitions that hold a *changed* row are rewritten, so a batch of new rows rewrites nothing. With
       ``Table.slices`` a partition is many slices, and only slices with a changed row are rewritten.
+    * With ``Table.fingerprint`` the look-up reads keys and one number of each target row; other columns are read only
+      where a row may change.
     * No join here is a full outer join: for inner, left and anti joins adaptive execution can split a
       key with very many rows, for full outer joins it cannot. Source rows with a NULL key, which may be
       very many, are never compared.
@@ -172,7 +186,11 @@ def _upsert(merge: _Merge, source: DataFrame, folder: str) -> UpsertReport:
     if source_rows >= _FILTER_FROM_ROWS and merge.alike:
         ours, theirs = zip(*merge.alike)
         nearby = nearby.filter(KeyFilter.of(matchable, theirs, source_rows).may_hold(ours))
-    hits = stage(_look_up(merge, nearby, matchable), f"{folder}/hits")
+    if merge.by_fingerprint:
+        found = stage(_look_up(merge, nearby, matchable, merge.may_change), f"{folder}/candidates")
+        hits = stage(_confirmed(merge, found), f"{folder}/hits")
+    else:
+        hits = stage(_look_up(merge, nearby, matchable, merge.changes), f"{folder}/hits")
     per_key = hits.groupBy(*merge.source_keys).agg(
         F.count("*").alias("matched"),
         F.count_if("_changed").alias("updated"),
@@ -337,8 +355,9 @@ def _resolve(
     for name in (*table.partition_by, *(table.slices.by if table.slices else ())):
         if name not in dict(pairs) or set_columns.get(name) != dict(pairs)[name]:
             raise PartitionColumnError(f"partition column {name} must be a key and be set from that key")
-    if table.slices and table.slices.column in set_columns:
-        raise PartitionColumnError(f"{table.slices.column} follows from other columns and is not set")
+    for name in table.hidden:
+        if name in set_columns:
+            raise PartitionColumnError(f"{name} follows from other columns and is not set")
 
     if update_when is None:
         # Equal by the match, so a key cannot be what changed.
@@ -353,7 +372,11 @@ def _resolve(
         if t not in table.partition_by and _has_ranges(types[0][t]) and types[0][t] == types[1][s]
     ]
     changes = F.coalesce(changes, F.lit(False))
-    return _Merge(target, table, pairs, set_columns, changes, null_safe_keys, ranged, types[1])
+    hashed = hashed_columns(table, target.columns)
+    by_fingerprint = bool(
+        update_when is None and table.fingerprint in target.columns and all(name in set_columns for name in hashed)
+    )
+    return _Merge(target, table, pairs, set_columns, changes, null_safe_keys, ranged, types[1], by_fingerprint)
 
 
 def _has_ranges(data_type: T.DataType) -> bool:
@@ -523,7 +546,23 @@ def _any(conditions: Sequence[Column]) -> Column:
     return conditions[0]
 
 
-def _look_up(merge: _Merge, nearby: DataFrame, matchable: DataFrame) -> DataFrame:
+def _confirmed(merge: _Merge, found: DataFrame) -> DataFrame:
+    """The matches of ``found``, with those that may change looked up again by the compared columns.
+
+    A fingerprint only tells what has not changed: NULL may count as no change, and rows may have no fingerprint. The
+    compared columns are read in the partitions of such rows only.
+    """
+    candidates = found.filter("_changed").drop("_changed").dropDuplicates(["_sid"])
+    target = merge.target
+    if merge.table.stored_by:
+        parts = touched_partitions(candidates.select(*merge.partition_values), merge.table.stored_by)
+        target = _in_partitions(merge, parts.withColumn("_rows", F.lit(1)), target)
+    again = _look_up(merge, target, candidates, merge.changes)
+    same = found.join(candidates.select("_sid"), "_sid", "left_anti")
+    return same.select(*again.columns).unionAll(again)
+
+
+def _look_up(merge: _Merge, nearby: DataFrame, matchable: DataFrame, changes: Column) -> DataFrame:
     """Per matched target row: the source row and its keys, whether it changes, and the other values if so."""
     keys = [*merge.source_keys, "_sid"]
     others = [name for name in matchable.columns if name not in keys]
@@ -532,17 +571,17 @@ def _look_up(merge: _Merge, nearby: DataFrame, matchable: DataFrame) -> DataFram
         .join(matchable.alias("src"), merge.match)
         .select(
             *[of("src", name) for name in keys],
-            *[F.when(merge.changes, of("src", name)).alias(name) for name in others],
-            merge.changes.alias("_changed"),
+            *[F.when(changes, of("src", name)).alias(name) for name in others],
+            changes.alias("_changed"),
         )
     )
 
 
 def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
-    """``rows`` of the target with the changes applied."""
+    """``rows`` of the target with the changes applied, and their fingerprints."""
     found = changed.withColumn("_found", F.lit(True))
     take = F.coalesce(of("src", "_found"), F.lit(False)) & merge.changes
-    return (
+    replaced = (
         rows.alias("trg")
         .join(found.alias("src"), merge.match, "left")
         .select(
@@ -556,6 +595,7 @@ def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
             ]
         )
     )
+    return with_fingerprint(replaced, merge.table)
 
 
 def _as_target(merge: _Merge, new: DataFrame, staged: DataFrame, source_rows: int) -> DataFrame:
@@ -578,7 +618,7 @@ def _as_target(merge: _Merge, new: DataFrame, staged: DataFrame, source_rows: in
         new = new.withColumn("_task", task).join(counts.select("_task", before.alias("_before")), "_task")
         row = F.col("_sid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
         shaped[identity] = F.lit(first) + F.col("_before") + row
-    return new.select(*(column.alias(name) for name, column in shaped.items()))
+    return with_fingerprint(new.select(*(column.alias(name) for name, column in shaped.items())), merge.table)
 
 
 def _reserve(merge: _Merge, count: int) -> int:

@@ -17,15 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _WAREHOUSE = "spark.sql.warehouse.dir"
+_MASTER = "spark.master"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, else one below the warehouse, which is shared as well."""
+    """The folder named in ``spark.checkpoint.dir``, else one below the warehouse, which is shared as well.
+
+    A warehouse on the driver's own disk is not shared by executors elsewhere: it serves a local session only.
+    """
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder
     warehouse = spark.conf.get(_WAREHOUSE, None)
-    if not warehouse:
+    scheme = (warehouse or "").partition(":")[0] if ":" in (warehouse or "") else "file"
+    master = spark.conf.get(_MASTER, None) or ""
+    alone = master == "local" or master.startswith("local[")
+    if not warehouse or (scheme == "file" and not alone):
         raise ValueError(f"{SETTING} must name a folder shared by all executors")
     return f"{warehouse.rstrip('/')}/_staging"
 

@@ -68,6 +68,10 @@ class Table:
     by default Spark reads the types of partition columns off the folder names.
 
     ``slices`` divide partitions further, so that an update of few rows does not rewrite whole partitions.
+
+    ``fingerprint`` names a column with a hash of each row, so that an upsert that sets all columns reads keys and one
+    number to find what has not changed. It is stored with each row and hidden from readers of the table. A row without
+    one, as of files written in another way, is compared column by column.
     """
 
     path: str
@@ -78,6 +82,12 @@ class Table:
     cluster_by: tuple[str, ...] = ()
     format: str = "parquet"
     slices: Slices | None = None
+    fingerprint: str | None = None
+
+    @property
+    def hidden(self) -> tuple[str, ...]:
+        """Stored columns that readers of the table do not see."""
+        return (*((self.slices.column,) if self.slices else ()), *((self.fingerprint,) if self.fingerprint else ()))
 
     @property
     def stored_by(self) -> tuple[str, ...]:
@@ -122,8 +132,7 @@ def ensure_table(spark: SparkSession, schema: T.StructType, table: Table) -> Tab
     unknown = [name for name in needed if name.lower() not in known]
     if unknown:
         raise PartitionColumnError(f"not columns of the table: {unknown}")
-    if table.slices:
-        schema = T.StructType([*schema.fields, T.StructField(table.slices.column, T.IntegerType())])
+    schema = _with_hidden(schema, table)
 
     if spark.catalog.tableExists(table.name):
         details = spark.sql(f"DESCRIBE FORMATTED {table.name}")
@@ -192,21 +201,50 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, table: Table) -> DataFrame:
     """The table, through the catalog if it has a name there, else by path."""
-    rows = stored_rows(spark, table)
-    return rows.drop(table.slices.column) if table.slices else rows
+    return stored_rows(spark, table).drop(*table.hidden)
 
 
 def stored_rows(spark: SparkSession, table: Table) -> DataFrame:
     """The table with all columns it is stored by."""
     if table.name:
         return spark.table(table.name)
-    schema = table.schema
-    if schema and table.slices and table.slices.column not in schema.names:
-        schema = T.StructType([*schema.fields, T.StructField(table.slices.column, T.IntegerType())])
-    reader = spark.read.schema(schema) if schema else spark.read
+    reader = spark.read.schema(_with_hidden(table.schema, table)) if table.schema else spark.read
     return reader.parquet(table.path)
 
 
+def _with_hidden(schema: T.StructType, table: Table) -> T.StructType:
+    hidden = []
+    if table.fingerprint:
+        hidden.append(T.StructField(table.fingerprint, T.LongType()))
+    if table.slices:
+        hidden.append(T.StructField(table.slices.column, T.IntegerType()))
+    return T.StructType([*schema.fields, *(field for field in hidden if field.name not in schema.names)])
+
+
+def hashed_columns(table: Table, names: Sequence[str]) -> list[str]:
+    """Of a table's columns those that its fingerprint covers, in the order they are hashed in."""
+    left_out = {name.lower() for name in (*table.partition_by, *table.hidden, table.identity or "")}
+    return sorted((name for name in names if name.lower() not in left_out), key=str.lower)
+
+
+def row_hash(columns: Sequence[Column]) -> Column:
+    """A hash of values in order. NULL leaves a hash as it is, so whether a value is there is hashed as well."""
+    return F.xxhash64(*(part for column in columns for part in (column, column.isNull())))
+
+
+def with_fingerprint(df: DataFrame, table: Table) -> DataFrame:
+    """``df`` with the fingerprint of its rows, if the table has one."""
+    if not table.fingerprint:
+        return df
+    df = df.drop(table.fingerprint)
+    hashed = hashed_columns(table, df.columns)
+    kinds = {field.name: field.dataType for field in df.schema}
+    maps = [name for name in hashed if "map<" in kinds[name].simpleString()]
+    if maps:
+        raise ValueError(f"maps have no hash, so a table with {maps} can have no fingerprint")
+    return df.withColumn(table.fingerprint, row_hash([F.col(f"`{name}`") for name in hashed]))
+
+
 def scan_where(spark: SparkSession, source: str, where: str | None = None) -> DataFrame:
     """Rows of a catalog table, or of files given as ``parquet.`path```, for which ``where`` holds."""
     rows = spark.table(source)
@@ -254,6 +292,8 @@ def dealt_by_partition(df: DataFrame, table: Table) -> DataFrame:
     if table.slices and table.slices.column not in df.columns:
         types = {field.name: field.dataType for field in df.schema}
         df = df.withColumn(table.slices.column, table.slices.value(lambda name: F.col(f"`{name}`"), types))
+    if table.fingerprint and table.fingerprint not in df.columns:
+        df = with_fingerprint(df, table)
     if table.cluster_by:
         order = [F.col(f"`{name}`") for name in (*table.stored_by, *table.cluster_by)]
         return df.repartitionByRange(*order).sortWithinPartitions(*order)
