@@ -38,7 +38,7 @@ _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.Timesta
 # Ranges that are pushed to the scan for a key, whatever the number of touched partitions.
 _MAX_RANGES = 64
 # From so many source rows on, the target's rows are tested against a filter of the source's keys before the join.
-_FILTER_FROM_ROWS = 100_000
+_FILTER_FROM_ROWS = 500_000
 # monotonically_increasing_id() counts the rows of a partition in its low 33 bits.
 _ROW_BITS = 33
 
