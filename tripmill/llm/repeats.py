@@ -1,8 +1,8 @@
 """Removal of long repeated strings by grouping hashes of windows, in place of a radix sort of suffixes.
 
 Only the first ``depth`` bytes of a suffix count, so suffixes that stay together through all passes are exactly
-the repeated windows. Nothing is ordered, and a digit is no leading byte. A pass groups suffixes by one more digit, from the most significant on, and those alone in
-their group drop out. What a digit is makes the passes cheap:
+the repeated windows. Nothing is ordered, and a digit is no leading byte. A pass groups suffixes by one more digit, from
+the most significant on, and those alone in their group drop out. What a digit is makes the passes cheap:
 
 * First digit: the bytes of the window's anchor and the anchor's place in it. The anchor is the piece of
   ``ANCHOR`` bytes with the smallest hash in the window, so it follows from the window alone, and neighbouring
@@ -276,7 +276,7 @@ def _pass(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
     settled = parts.filter("open").join(repeated, ["group", "key"]).select("run", "part")
     alone = (F.col("n") == 1) & F.col("one.open")
     groups = keys.groupBy("group").agg(F.count("*").alias("keys"), F.max(alone).alias("waits"))
-    groups = groups.filter("keys > 1 AND waits").select("group")
+    groups = stage(groups.filter("keys > 1 AND waits").select("group"), new_folder(parts.sparkSession, "waiting-groups"))
     onward = keys.join(groups, "group").select("one.run", "one.part", alone.alias("open"))
     return settled, onward
 
@@ -314,6 +314,9 @@ def find_repeats(
     runs = stage(rows.mapInArrow(_runs(depth, anchor), run_schema), new_folder(spark, "runs"))
     digits = runs.groupBy("digit").agg(F.count("*").alias("n"), F.min("body").alias("low"), F.max("body").alias("high"))
     digits = digits.filter("n > 1").select("digit", (F.col("low") == F.col("high")).alias("pure"))
+    # Written before it is joined, so that the join is split where one digit has very many runs: a join that counts
+    # one of its sides itself is not.
+    digits = stage(digits, new_folder(spark, "digits"))
     shared = stage(runs.join(digits, "digit"), new_folder(spark, "shared-runs"))
     # The second digit of the others. A run is named by where it is.
     mixed = shared.filter("NOT pure")
@@ -326,6 +329,7 @@ def find_repeats(
     settled = settled.unionByName(mixed.join(repeated, ["digit", "body"]).select("row_id", "text_key", "place"))
     # A group of several bodies goes on if one of them is alone. Each body is there once.
     waits = bodies.groupBy("digit").agg(F.min("n").alias("least")).filter("least = 1").select("digit")
+    waits = stage(waits, new_folder(spark, "waiting-digits"))
     members = bodies.join(waits, "digit").select("one.*", "digit", (F.col("n") == 1).alias("open"))
     members = members.withColumn("run", F.xxhash64("digit", "row_id", "text_key", "place"))
 
