@@ -1,8 +1,10 @@
 import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from tripmill.llm.html_text import extract_text, main_text
+from tripmill.llm.html_text import _ratios, blocks, extract_text, main_text
 
 LONG = "A sentence with some words, and more of them; it goes on. " * 4
 
@@ -95,6 +97,118 @@ def test_many_comments_do_not_make_them_the_article():
     assert main_text(f'<body><article><p>{LONG}</p></article><div id="comments">{comments}</div>') == LONG.strip()
 
 
+STORY = [
+    "The river rose again on Tuesday, and the lower town was cut off for the second time this month, officials said.",
+    "Engineers had warned that the old dam, built in 1931, would not hold; repairs were put off three times since then.",
+    "Farmers moved their herds to higher ground. Some had lost their barns in spring, and nobody wanted to wait again.",
+    "The council met in the evening. It was short, loud and without result, as several of those present told us.",
+    "For now there are sandbags, pumps and patience: the forecast promises four more days of rain.",
+]
+SAID = ["Great piece, thanks!", "I disagree with the second point.", "My uncle lives there. Sad."]
+THREADS = {
+    "paragraphs": "".join(f"<p>{said}</p>" for said in SAID),
+    "names": "<h3>3 voices</h3>" + "".join(f"<div class=c><b>{who}</b><p>{said}</p></div>" for who, said in zip(["Ann", "Bob Lee", "Çem"], SAID)),
+    "times": "".join(f"<li><cite>{who}</cite> <time>2024-03-07</time><p>{said}</p></li>" for who, said in zip(["ann77", "bob", "x"], SAID)),
+    "two": "".join(f"<section><p>{said}</p><p>ann, 2 days ago</p></section>" for said in SAID[:2]),
+}
+
+
+def places(part):
+    """The story with a part inside and beside its article, and on a page without articles."""
+    text = "".join(f"<p>{block}</p>" for block in STORY)
+    return [
+        f"<body><article>{text}{part}</article></body>",
+        f"<body><article>{text}</article>{part}</body>",
+        f"<body><div class=x>{text}</div>{part}</body>",
+        f"<body><div class=x>{text}{part}</div></body>",
+    ]
+
+
+@pytest.mark.parametrize("thread", THREADS)
+@pytest.mark.parametrize(
+    "name",
+    "comment reader-comments userComments commentlist comment-section reader-responses feedback c-thread reviews talkback comments".split(),
+)
+def test_readers_comments_are_dropped(name, thread):
+    for page in places(f'<div class="{name}">{THREADS[thread]}</div>'):
+        assert main_text(page) == "\n\n".join(STORY)
+
+
+@pytest.mark.parametrize("thread", [name for name in THREADS if name != "paragraphs"])
+@pytest.mark.parametrize("wrapper", ['<div class="zq17">{}</div>', "<div>{}</div>", '<div id="k"><div>{}</div></div>', "{}"])
+def test_readers_comments_without_a_name_are_dropped(wrapper, thread):
+    for page in places(wrapper.format(THREADS[thread])):
+        assert main_text(page) == "\n\n".join(STORY)
+
+
+@pytest.mark.parametrize(
+    "name",
+    "left-sidebar sidebar-left widget-area ad-slot adbox site-notice notice newsletter related-posts main-menu popup sponsored-content".split(),
+)
+@pytest.mark.parametrize("text", ["Our weekly letter, free.", "Sign up for our weekly letter and never miss a story, it is free."])
+def test_sidebars_adverts_and_notices_are_dropped(name, text):
+    for page in places(f'<div class="{name}"><p>{text}</p></div>'):
+        assert main_text(page) == "\n\n".join(STORY)
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        # By-lines before content, headings, long text, sentences and lists of terms make no thread.
+        "<div class=c><b>Ann</b><p>Short words.</p></div><div class=c><b>Bob</b><p>Short words.</p></div><div class=c><b>Cy</b><p>Short.</p></div>"
+        f"<p>{STORY[0]}</p>",
+        "<div><h3>Ann</h3><p>2024-01-02</p><p>Short.</p></div><div><h3>Bob</h3><p>2024-01-03</p><p>Short.</p></div>",
+        f"<div><p>Ann</p><p>{STORY[0]}</p></div><div><p>Bob</p><p>{STORY[1]}</p></div><div><p>Cy</p><p>{STORY[2]}</p></div>",
+        "<ul><li>It rains.<p>Short words.</p></li><li>It pours.<p>Short words.</p></li></ul>",
+        "<ul><li><b>Dam</b><p>A wall.</p></li><li><b>Pump</b><p>A machine.</p></li></ul>",
+        "<table><tr><td>Ann<td>2024-01-02<tr><td>Bob<td>2024-01-03</table>",
+        '<div class="no-comments"><p>Short words.</p></div>',
+    ],
+)
+def test_other_parts_of_an_article_are_kept(part):
+    plain = [text for _, text in blocks(part)]
+    assert main_text(places(part)[0]) == "\n\n".join(STORY + plain)
+
+
+def test_a_page_of_nothing_but_short_posts_is_kept():
+    page = f"<body><div>{THREADS['names']}</div></body>"
+    assert all(said in main_text(page) for said in SAID)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    parts=st.lists(
+        st.tuples(st.lists(st.sampled_from(["div", "section", "p"]), min_size=1, max_size=3), st.text("ab .,;", min_size=1, max_size=30)),
+        min_size=1,
+        max_size=12,
+    )
+)
+def test_ratios_equal_brute_force(parts):
+    """A path's ratio is the mean over all blocks of equal path; smoothing is a weighted mean of five neighbours."""
+    parts = [([t for t in path if t != "p"] + ["p"], " ".join(text.split())) for path, text in parts]
+    parts = [(path, text) for path, text in parts if text]
+    page = "".join("".join(f"<{t}>" for t in path) + text + "".join(f"</{t}>" for t in path[::-1]) for path, text in parts)
+    found = blocks(page)
+    assert [text for _, text in found] == [text for _, text in parts]
+
+    def ratio(i, measure):
+        same = [measure(text) for path, text in parts if path == parts[i][0]]
+        return sum(same) / len(same)
+
+    def smooth(i, measure):
+        near = [(j, 3 - abs(i - j)) for j in range(i - 2, i + 3) if 0 <= j < len(parts)]
+        return sum(ratio(j, measure) * w for j, w in near) / sum(w for _, w in near)
+
+    def points(text):
+        return sum(char in ".,;" for char in text)
+
+    if found:
+        smoothed, own = _ratios(found)
+        for i in range(len(parts)):
+            assert smoothed[i] == pytest.approx(smooth(i, len) * (1 + smooth(i, points)))
+            assert own[i] == pytest.approx(ratio(i, len) * (1 + ratio(i, points)))
+
+
 TEASERS = "<article><p>Teaser one, short.</p></article><article><p>Teaser two.</p></article>"
 
 

@@ -6,7 +6,9 @@ length and punctuation are fused. Blocks whose fused ratio is above the page's t
 smallest element that holds the content is the article (on pages with articles, each of them and each run of blocks
 beside them that has content of weight), and every block in it is returned, but for the parts
 that are no article by their tag, role or class: menus, notices, adverts, forms, comments and the like. A class or id
-alone does not decide: the ratio of an element that holds most of the text, or has a doubtful name, can keep it.
+alone does not decide: the ratio of an element that holds most of the text, or has a doubtful name, can keep it. Subtrees
+are weighed by their own ratios as well, whatever they are called: behind the article, siblings of one shape that each
+open or close with a by-line, and whose text is far below the ratio of the text elsewhere, are readers' comments.
 """
 
 from __future__ import annotations
@@ -48,19 +50,29 @@ _ASIDE_TAGS = frozenset(
 _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
 # Classes and ids that name such a part. Only a whole one counts: related-work and has-sidebar name none.
 _ASIDE_NAME = re.compile(
-    r"(?:site-|page-|post-|entry-|article-)?(?:ads?|advert\w*|adsense|sponsor(?:s|ed)?|nav|navbar|navigation|breadcrumbs?|"
+    r"(?:(?:site|page|post|entry|article|left|right|top|bottom)-)?(?:ads?|ad-?box|advert\w*|adsense|sponsor(?:s|ed)?|nav|navbar|navigation|breadcrumbs?|"
     r"side-?bar|footer|masthead|cookies?|gdpr|comments|disqus|pagination|pager)"
-    r"(?:-(?:area|bar|banner|box|container|consent|links|list|menu|nav|notice|section|thread|unit|widget|wrapper))?"
-    r"|site-header|comment-list|skip-?link|print-?only|hidden",
+    r"(?:-(?:area|bar|banner|box|container|consent|content|left|links|list|menu|nav|notice|right|section|slot|thread|unit|widget|wrapper))?"
+    r"|(?:site|main)-(?:header|menu|notice)|widget-?area|comment-list|skip-?link|print-?only|hidden",
     re.IGNORECASE,
 )
-# Classes that may also be given to text of the article: its ratio decides.
-_DOUBTFUL_NAME = re.compile(
-    r"(?:promo(?:s|ted|tions?)?|banner|menu|foot|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|"
-    r"signup|login|share|sharing|social|related|recommend(?:ed|ations?)?|widget|respond|replies|discussion)"
-    r"(?:-(?:area|articles|bar|box|buttons|container|content|form|icons|items|links|list|posts|section|stories|widget|wrapper))?",
+# Words of classes that may also be given to text of the article: its ratio decides.
+_DOUBTFUL_WORD = re.compile(
+    r"(?:^|-)(?:ads?|ad(?:box|slot|unit)|advert\w*|promo(?:s|ted|tions?)?|sponsor(?:s|ed)?|banner|menu|side-?bar|foot|consent|"
+    r"notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|"
+    r"recommend(?:ed|ations?)?|widgets?|comment(?:s|list|ers?|ary-list)?|respond|responses?|repl(?:y|ies)|talkbacks?|feedback|"
+    r"thread|reviews?|discussion)(?=-|$)",
     re.IGNORECASE,
 )
+# A class that begins with one of these tells of the element around, or of what is missing.
+_TELLS_OF_OTHERS = re.compile(r"(?:no|not|has|is|with|without)-|.*-(?:no|with|without)-", re.IGNORECASE)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Elements that may each hold one comment.
+_UNITS = frozenset("div li section article dd figure".split())
+# Who wrote something, and perhaps when: a few words, without the end of a sentence.
+_BYLINE = re.compile(r"(?=.{1,80}$)[^.!?;]*[^.!?;:,\s]")
+_SIGNED = re.compile(r"\d{1,4}[-/.:]\d{1,2}|\b(?:19|20)\d\d\b|\b(?:ago|said|says|wrote|writes|yesterday|reply)\b|@", re.IGNORECASE)
+_NAME = re.compile(r"(?:[^\W\d_a-z][\w'’.-]*)(?: [^\W\d_a-z][\w'’.-]*){0,3}")
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # A name tells nothing on these: they hold the page, or are text themselves.
 _UNNAMED = _HEADINGS | frozenset("html body main article p pre blockquote".split())
@@ -89,12 +101,19 @@ _UNFINISHED = re.compile(r"<[a-zA-Z/!?]")
 
 
 class _Element:
-    __slots__ = ("article", "aside", "depth", "doubtful", "named", "parent", "path", "tag")
+    __slots__ = ("article", "aside", "depth", "doubtful", "named", "parent", "path", "shape", "tag")
 
     def __init__(
-        self, tag: str, parent: _Element | None, aside: bool, paths: dict[tuple[int, str], int], name: str | None = None
+        self,
+        tag: str,
+        parent: _Element | None,
+        aside: bool,
+        paths: dict[tuple[int, str], int],
+        name: str | None = None,
+        shape: str = "",
     ) -> None:
-        self.tag, self.parent = tag, parent
+        # The shape: what siblings of one kind have in common, beside their tag.
+        self.tag, self.parent, self.shape = tag, parent, shape
         self.aside = aside or (parent is not None and parent.aside)
         self.article = tag in ("article", "main") or (parent is not None and parent.article)
         self.depth = 0 if parent is None else parent.depth + 1
@@ -127,11 +146,24 @@ def _is_aside(tag: str, attributes: str, inside_article: bool) -> tuple[bool, st
                 if _ASIDE_NAME.fullmatch(word):
                     said = "part"
                 # An id is often made of a heading's words.
-                elif name == "class" and said is None and _DOUBTFUL_NAME.fullmatch(word):
+                elif name == "class" and said is None and _is_doubtful(word):
                     said = "doubtful"
     return False, said
 
 
+def _is_doubtful(word: str) -> bool:
+    word = _CAMEL.sub("-", word)
+    return _DOUBTFUL_WORD.search(word) is not None and _TELLS_OF_OTHERS.match(word) is None
+
+
+def _shape(attributes: str) -> str:
+    """The first class of an element: that of siblings of one kind, where others may tell odd from even."""
+    for name, value, _ in _ATTRIBUTE.findall(attributes):
+        if name.lower() == "class":
+            return next(iter(value.strip("\"'").split()), "")
+    return ""
+
+
 def blocks(page: str) -> list[tuple[_Element, str]]:
     """The text blocks of a page in page order, each with the element it stands in."""
     found: list[tuple[_Element, str]] = []
@@ -188,7 +220,7 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
         if here.depth >= _DEPTH:
             here = here.parent
         aside, name = _is_aside(tag, match[4] or "", here.article)
-        child = _Element(tag, here, aside, paths, name)
+        child = _Element(tag, here, aside, paths, name, _shape(match[4] or "") if tag in _UNITS else "")
         if not (match[4] or "").endswith("/"):
             here = child
     if not unclosed:
@@ -252,7 +284,7 @@ def _without_named_parts(found: list[tuple[_Element, str]]) -> list[tuple[_Eleme
 
     An element that holds most of the text, and whose blocks have a higher ratio than any text beside it, is no such
     part, unless an article beside or around it has text of its own. Where the name is doubtful, it is also none if its
-    ratio reaches the threshold.
+    text has half of the ratio of the content elsewhere.
     """
     if not any(element.named for element, _ in found):
         return found
@@ -271,6 +303,7 @@ def _without_named_parts(found: list[tuple[_Element, str]]) -> list[tuple[_Eleme
     for k, (element, _) in enumerate(found):
         if kept[k]:
             stands(k)
+    least = max(least, _half_of_content(found, own, least, [k for k in range(len(found)) if kept[k]]))
     # From the outermost named elements to the innermost.
     level, inside = 0, [k for k in range(len(found)) if not kept[k]]
     while inside:
@@ -280,7 +313,7 @@ def _without_named_parts(found: list[tuple[_Element, str]]) -> list[tuple[_Eleme
         inside, plain = [], []
         for members in parts.values():
             part = found[members[0]][0].named[level]
-            ratio = sum(own[k] for k in members) / len(members)
+            ratio = _mean_of_text(found, own, members)
             holds_most = not written and ratio > beside and 2 * sum(len(found[k][1]) for k in members) > size
             if holds_most or (part.doubtful and ratio >= least):
                 for k in members:
@@ -292,6 +325,87 @@ def _without_named_parts(found: list[tuple[_Element, str]]) -> list[tuple[_Eleme
     return [block for block, keep in zip(found, kept) if keep] or found
 
 
+def _mean_of_text(found: list[tuple[_Element, str]], own: list[float], among: list[int]) -> float:
+    """The mean ratio of the blocks that are no headings, or of all if there are only headings."""
+    text = [own[k] for k in among if found[k][0].tag not in _HEADINGS] or [own[k] for k in among]
+    return sum(text) / len(text)
+
+
+def _half_of_content(found: list[tuple[_Element, str]], own: list[float], least: float, among: list[int]) -> float:
+    """Half of the median ratio of the content among these blocks; 0 if there is none."""
+    content = sorted(own[k] for k in among if own[k] >= least and found[k][0].tag not in _HEADINGS)
+    return content[len(content) // 2] / 2 if content else 0.0
+
+
+def _weight(text: str) -> float:
+    """The fused ratio of a block by itself."""
+    return len(text) * (1 + len(_PUNCTUATION.findall(text)))
+
+
+def _byline(text: str) -> int:
+    """2 for who wrote something with a time or the like, 1 for a bare name, 0 for other text."""
+    if not _BYLINE.fullmatch(text):
+        return 0
+    return 2 if _SIGNED.search(text) else 1 if _NAME.fullmatch(text) else 0
+
+
+def _without_threads(found: list[tuple[_Element, str]]) -> list[tuple[_Element, str]]:
+    """Without readers' comments behind the text.
+
+    A thread is a run of two or more siblings of one tag and shape that each have a by-line as first or last block, text
+    and no heading. Bare names are by-lines only in a run of three or more, because lists of terms look like a pair.
+    A thread goes if its text has less than half of the ratio of the content elsewhere, and no content follows
+    it; with it goes what else its parent has if none of that is content, and a heading right before it.
+    """
+    spans: dict[int, list] = {}
+    for k, (element, _) in enumerate(found):
+        while element is not None:
+            span = spans.get(id(element))
+            if span is None:
+                spans[id(element)] = [element, k, k]
+            else:
+                span[2] = k
+            element = element.parent
+    runs: dict[tuple[int, str, str], list[tuple[int, int]]] = {}
+    for element, first, last in spans.values():
+        if element.tag in _UNITS and element.parent is not None and last > first:
+            runs.setdefault((id(element.parent), element.tag, element.shape), []).append((first, last))
+    threads: list[tuple[int, list[tuple[int, int]]]] = []
+    for (parent, _, _), units in runs.items():
+        if len(units) < 2:
+            continue
+        # A by-line that one unit lacks makes the run a list of something else.
+        signs = [max(_byline(found[first][1]), _byline(found[last][1])) for first, last in units]
+        if min(signs) == 0 or (min(signs) == 1 and len(units) < 3):
+            continue
+        if any(found[k][0].tag in _HEADINGS for first, last in units for k in range(first, last + 1)):
+            continue
+        threads.append((parent, units))
+    if not threads:
+        return found
+    inside = {k for _, units in threads for first, last in units for k in range(first, last + 1)}
+    elsewhere = [k for k in range(len(found)) if k not in inside]
+    smoothed, own = _ratios(found)
+    half = _half_of_content(found, own, _threshold(smoothed), elsewhere)
+    content = [k for k in elsewhere if own[k] >= half and found[k][0].tag not in _HEADINGS] if half else []
+    if not content:
+        return found
+    gone: set[int] = set()
+    for parent, units in threads:
+        members = [k for first, last in units for k in range(first, last + 1)]
+        # By-lines and text may have one path, so the text is weighed by itself.
+        said = [_weight(found[k][1]) for k in members if not _byline(found[k][1])]
+        if members[0] < content[-1] or not said or sum(said) / len(said) >= half:
+            continue
+        _, first, last = spans[parent]
+        if first > content[-1]:
+            members = list(range(first, last + 1))
+        if members[0] and found[members[0] - 1][0].tag in _HEADINGS and members[0] - 1 > content[-1]:
+            members.append(members[0] - 1)
+        gone.update(members)
+    return [block for k, block in enumerate(found) if k not in gone]
+
+
 def _common(elements: list[_Element]) -> _Element:
     """The smallest element that holds all of these."""
     common = _chain(elements[0])
@@ -356,6 +470,7 @@ def main_text(page: str) -> str:
     found = _without_named_parts([(element, text) for element, text in blocks(page) if not element.aside])
     if not found:
         return ""
+    found = _without_threads(found)
     ratios, own = _ratios(found)
     least = _threshold(ratios)
     content = [k for k, ratio in enumerate(ratios) if ratio >= least]
