@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from tripmill.llm import bpe, sentencepieces, token_counts
 from tripmill.llm.queries import PIECES, op6_token_counts, op7_sentencepieces, tokenizer_file
 from tripmill.llm.sentencepieces import encode_and_decode
-from tripmill.llm.token_counts import ChunkMap, UnitCounts, count, count_tokens, scan
+from tripmill.llm.token_counts import ChunkMap, Composed, UnitCounts, chunk_maps, count, count_tokens, prefixes
 
 
 @pytest.fixture(scope="module")
@@ -68,13 +68,42 @@ def test_long_words(machine, library, text):
     assert encoded(machine, text)[0] == library.encode(text)
 
 
-def test_chunk_maps_compose(machine, library):
-    """Wherever a word is cut, the maps of its parts give the count of the whole."""
-    text = "▁internationalization" * 1 + "日本éé!!!" * 3
-    whole = ChunkMap(machine, text)[bpe.START]
-    for size in range(1, 12):
-        chunks = [text[k : k + size] for k in range(0, len(text), size)]
-        assert list(scan([ChunkMap(machine, chunk) for chunk in chunks]))[-1] == whole
+@settings(max_examples=200, deadline=None)
+@given(
+    text=st.text("aeinostr▁é日!=", min_size=1, max_size=60) | st.text(min_size=1, max_size=20),
+    size=st.integers(1, 12),
+    look_back=st.integers(0, 5),
+)
+def test_chunk_maps_compose(machine, text, size, look_back):
+    """Wherever a text is cut, and whatever states are thought likely, each prefix has the map of its whole."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_counts, "LOOK_BACK", look_back)
+        scanned = prefixes(chunk_maps(machine, text, size))
+    assert len(scanned) == -(-len(text) // size)
+    for k, prefix in enumerate(scanned):
+        assert prefix[bpe.START] == ChunkMap(machine, text[: (k + 1) * size])[bpe.START]
+
+
+def test_composing_is_associative(machine):
+    a, b, c = (ChunkMap(machine, text) for text in ("▁inter", "nation", "alize"))
+    for before in ("▁", "▁an", "▁un", "日"):
+        state = ChunkMap(machine, before)[bpe.START][0]
+        assert Composed(Composed(a, b), c)[state] == Composed(a, Composed(b, c))[state]
+
+
+def test_depth_of_the_scan(machine):
+    """A word of 4,000 chunks is no recursion of 4,000 levels, and few chunks are read for a second state."""
+    read = []
+
+    class Counted(ChunkMap):
+        def _run(self, text, state):
+            read.append(len(text))
+            return super()._run(text, state)
+
+    text = "".join(chr(97 + k * k % 26) for k in range(40_000))
+    maps = [Counted(machine, text[at : at + 10], text[max(at - 64, 0) : at]) for at in range(0, len(text), 10)]
+    assert prefixes(maps)[-1][bpe.START] == ChunkMap(machine, text)[bpe.START]
+    assert sum(size == 10 for size in read) < 1.2 * len(maps)
 
 
 def test_a_small_bound_changes_no_result(model, library, monkeypatch):

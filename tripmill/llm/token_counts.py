@@ -1,11 +1,12 @@
 """Token counts by a finite-state transducer whose transitions carry the number of emitted tokens.
 
 A piece of text is a map from the state before it to the state after it and the tokens in between. Maps compose,
-and composing is associative, so a text's count could be a prefix scan over the maps of its chunks. A chunk that begins
-with a word's start has a map that is the same for every state before it, because no token goes over a word's
-end; such maps compose by adding counts, in any order, and each is computed once for a word. Words too long to
-keep are cut into chunks, and each chunk's map is evaluated from left to right for the one state that is reached: two
-maps are never composed, and there is no parallel scan.
+and composing is associative, so a text's count is the end of a prefix scan over the maps of its chunks. A chunk that
+begins with a word's start has a map that is the same for every state before it, because no token goes over a word's
+end; such maps compose by adding counts, in any order, and each is computed once for a word. A word too long for that is
+cut into chunks. Each chunk's map is made by itself, for the state that the few characters before the chunk lead to,
+and the scan composes the maps in a tree whose depth is the logarithm of the chunks. Where another state than the
+likely one is reached, the map is made for that one too, so the likely state decides about time only.
 """
 
 from __future__ import annotations
@@ -25,35 +26,70 @@ from tripmill.llm.common import importable, whole_text
 
 # Characters of a chunk of a long word.
 CHUNK = 4096
+# Characters before a chunk that tell its likely state.
+LOOK_BACK = 64
 
 # The state after, and the tokens in between.
 Step = tuple[int, int]
 
 
 class ChunkMap:
-    """The map of a chunk, filled for the states it is asked for."""
+    """The map of a chunk: for the state that the characters before it are likely to lead to, and any it is asked for."""
 
-    def __init__(self, machine: MergeAutomaton, text: str) -> None:
+    def __init__(self, machine: MergeAutomaton, text: str, before: str = "") -> None:
         self._machine, self._text, self._known = machine, text, {}
+        self[self._run(before[-LOOK_BACK:], START)[0]]
+
+    def _run(self, text: str, state: int) -> Step:
+        machine, count = self._machine, 0
+        for char in text:
+            state, grows = machine.steps[state].get(char) or machine.compile_step(state, char)
+            count += grows
+        return state, count
 
     def __getitem__(self, state: int) -> Step:
         step = self._known.get(state)
         if step is None:
-            machine, at, count = self._machine, state, 0
-            for char in self._text:
-                at, grows = machine.steps[at].get(char) or machine.compile_step(at, char)
-                count += grows
-            step = self._known[state] = (at, count)
+            step = self._known[state] = self._run(self._text, state)
         return step
 
 
-def scan(maps: list[ChunkMap], state: int = START) -> Iterator[Step]:
-    """After each chunk: the state, and the tokens so far."""
-    count = 0
-    for chunk in maps:
-        state, more = chunk[state]
-        count += more
-        yield state, count
+class Composed:
+    """One map after another, as one map."""
+
+    def __init__(self, first: ChunkMap | Composed, second: ChunkMap | Composed) -> None:
+        self._first, self._second, self._known = first, second, {}
+
+    def __getitem__(self, state: int) -> Step:
+        step = self._known.get(state)
+        if step is None:
+            between, count = self._first[state]
+            after, more = self._second[between]
+            step = self._known[state] = (after, count + more)
+        return step
+
+
+def prefixes(maps: list[ChunkMap | Composed]) -> list[ChunkMap | Composed]:
+    """For each map, the map of all up to it: neighbours are composed, scanned, and composed with those in between."""
+    if len(maps) < 2:
+        return maps
+    pairs = prefixes([Composed(first, second) for first, second in zip(maps[::2], maps[1::2])])
+    scanned = [maps[0]]
+    for k in range(1, len(maps)):
+        scanned.append(pairs[k // 2] if k % 2 else Composed(pairs[k // 2 - 1], maps[k]))
+    return scanned
+
+
+def chunk_maps(machine: MergeAutomaton, text: str, size: int) -> list[ChunkMap]:
+    """The maps of a text's chunks. Equal chunks behind equal characters share one."""
+    made: dict[tuple[str, str], ChunkMap] = {}
+    maps = []
+    for at in range(0, len(text), size):
+        chunk = (text[at : at + size], text[max(at - LOOK_BACK, 0) : at])
+        if chunk not in made:
+            made[chunk] = ChunkMap(machine, *chunk)
+        maps.append(made[chunk])
+    return maps
 
 
 class UnitCounts(dict):
@@ -64,13 +100,8 @@ class UnitCounts(dict):
 
     def __missing__(self, unit: str) -> int:
         text = spelled(unit)
-        # One chunk of text has one map, however often it comes again in a unit.
-        if len(text) <= CHUNK:
-            _, count = ChunkMap(self._machine, text)[START]
-        else:
-            chunks = [text[at : at + CHUNK] for at in range(0, len(text), CHUNK)]
-            maps = {chunk: ChunkMap(self._machine, chunk) for chunk in set(chunks)}
-            *_, (_, count) = scan([maps[chunk] for chunk in chunks])
+        maps = chunk_maps(self._machine, text, CHUNK) if len(text) > CHUNK else [ChunkMap(self._machine, text)]
+        _, count = prefixes(maps)[-1][START]
         if len(unit) <= LONG_UNIT:
             if len(self) >= 2 * MAX_UNITS:
                 self.clear()
