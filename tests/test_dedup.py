@@ -3,7 +3,7 @@ import math
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from plans import hash_exchanges, operators
+from plans import hash_exchanges, operators, plan_of
 
 from tripmill.errors import MissingKeysError, MissingOrderError
 from tripmill.operators import dedup_by_key
@@ -79,6 +79,20 @@ def test_rows_are_combined_before_the_only_shuffle(spark):
     assert hash_exchanges(out) == 1
 
 
+def test_sorts_by_one_hash_of_several_keys_first(spark):
+    rows = [(1, "x", 1.0, 0), (1, "x", 2.0, 0), (None, "x", 1.0, 0), (None, "x", 0.0, 1), (1, None, 5.0, 0)]
+    out = dedup_by_key(spark.createDataFrame(rows, SCHEMA), ["k", "name"], ["a"])
+    sorts = [line for line in plan_of(out).splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [_groupingexpression" in line for line in sorts)
+    assert sorted((tuple(row) for row in out.collect()), key=str) == [(1, "x", 2.0, 0), (1, None, 5.0, 0), (None, "x", 1.0, 0)]
+
+
+def test_text_equal_by_its_collation_is_one_key(spark):
+    df = spark.sql("SELECT 1 AS k, 2 AS n, x COLLATE utf8_lcase AS name, a FROM VALUES ('a', 1.0D), ('A', 2.0D), ('b', 0.0D) AS t(x, a)")
+    out = dedup_by_key(df, ["k", "n", "name"], ["a"])
+    assert sorted(row["a"] for row in out.collect()) == [0.0, 2.0]
+
+
 values = st.one_of(st.none(), st.floats(-3, 3, width=16), st.just(math.nan))
 rows_of_trips = st.lists(
     st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.sampled_from("xy"), values, st.integers(0, 3)),

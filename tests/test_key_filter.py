@@ -73,3 +73,11 @@ def test_filtered_upsert_with_null_keys_and_other_types(spark, folder, monkeypat
     batch = spark.createDataFrame([(1, "a", 5, 1), (None, "a", 5, 1), (2, None, 5, 2), (3, "x", 5, 3)], "k int, s string, v int, p int")
     report = upsert(batch, table, ["k", "s", "p"], null_safe_keys=null_safe)
     assert (report.updated, report.inserted) == ((3, 1) if null_safe else (1, 3))
+
+
+def test_the_keys_of_a_row_are_hashed_for_the_word_and_once_for_all_bits(spark):
+    rows = spark.range(100).select(*(F.col("id").alias(name) for name in "abc"))
+    tested = rows.filter(KeyFilter.of(rows, ["a", "b", "c"], 100).may_hold(["a", "b", "c"]))
+    condition = next(line for line in plan_of(tested).splitlines() if "Filter" in line)
+    assert condition.count("xxhash64(") == 2
+    assert tested.count() == 100

@@ -403,6 +403,48 @@ def test_ranges_of_few_partitions_are_pushed_as_they_are(spark, folder, partitio
     assert pushed_ranges(nearby, "k") == [(1000 * n, 1000 * n + 1) for n in range(partitions)]
 
 
+def test_ranges_with_small_gaps_become_few(spark, folder):
+    """Months follow each other closely: what is read for their gaps is little, and a row is tested few times."""
+    table = Table(folder, ("y",))
+    schema = "k int, y int, v int"
+    data = [(1000 * n + i, n, 0) for n in range(40) for i in (0, 900)]
+    write_table(spark.createDataFrame([*data, (950, 0, 0), (950, 1, 0)], schema), table)
+    batch = spark.createDataFrame(data, schema)
+    nearby, _ = nearby_of(spark, table, batch, ["k", "y"])
+    ranges = pushed_ranges(nearby, "k")
+    assert len(ranges) <= 8 and ranges[0][0] == 0 and ranges[-1][1] == 39_900
+    assert sorted((row["k"], row["y"]) for row in nearby.collect()) == sorted((k, y) for k, y, _ in data)
+    assert upsert(batch, table, ["k", "y"]).matched == 80
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_joins_sort_by_one_hash_of_the_keys_first(spark, folder, null_safe):
+    table = Table(folder)
+    schema = "y int, k string, x double, v int"
+    data = [(2000, "a", 0.0, 1), (2000, None, 1.5, 1), (None, None, None, 1), (2001, "b", float("nan"), 1)]
+    write_table(spark.createDataFrame(data, schema), table)
+    batch = spark.createDataFrame([(y, k, -0.0 if x == 0 else x, 2) for y, k, x, _ in data], schema)
+    with settings_of(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        plan = merge._resolve(batch, table, ["y", "k", "x"], None, None, null_safe, False)
+        for joined in (
+            merge._look_up(plan, plan.target, batch.withColumn("_sid", F.monotonically_increasing_id()), plan.changes),
+            merge._replace(plan, plan.target, batch),
+        ):
+            joins = [line for line in plan_of(joined).splitlines() if "SortMergeJoin" in line]
+            assert joins and all("SortMergeJoin [xxhash64(" in line for line in joins)
+        report = upsert(batch, table, ["y", "k", "x"], null_safe_keys=null_safe)
+    assert (report.updated, report.inserted) == ((4, 0) if null_safe else (2, 2))
+
+
+def test_keys_of_another_collation_match_as_before(spark, folder):
+    table = Table(folder)
+    write_table(spark.sql("SELECT 1 AS y, 2 AS n, 'a' COLLATE utf8_lcase AS k, 1 AS v"), table)
+    batch = spark.sql("SELECT 1 AS y, 2 AS n, 'A' COLLATE utf8_lcase AS k, 2 AS v")
+    plan = merge._resolve(batch, table, ["y", "n", "k"], None, None, False, False)
+    found = merge._look_up(plan, plan.target, batch.withColumn("_sid", F.lit(0)), plan.changes)
+    assert found.count() == plan.target.alias("trg").join(batch.alias("src"), plan.match).count() == 1
+
+
 def test_a_hundred_thousand_partitions_make_no_larger_plan(spark, folder):
     table = Table(folder, ("y",))
     some = spark.range(10).select(F.col("id").cast("int").alias("k"), F.col("id").cast("int").alias("y"), F.lit(0).alias("v"))

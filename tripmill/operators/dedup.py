@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.errors import MissingKeysError, MissingOrderError
+from tripmill.operators.key_filter import hashes_as_equal
 
 
 def dedup_by_key(
@@ -20,7 +21,8 @@ def dedup_by_key(
 
     The first row is taken as the largest (smallest) struct of the non-key columns: an aggregate, which
     Spark combines on the map side. However many rows share a key, each map task sends on one of them, so a
-    hot key never gathers in one task. Sorting starts with the first key: name a key of many values first.
+    hot key never gathers in one task. The aggregate sorts; a hash of several keys leads its order, so that nearly
+    all comparisons are those of one number, whatever the first key is.
     """
     if not keys:
         raise MissingKeysError("name at least one key column")
@@ -39,5 +41,7 @@ def dedup_by_key(
         return df.dropDuplicates()
 
     extreme = F.min if ascending else F.max
-    first = df.groupBy(*keys).agg(extreme(F.struct(*ranked)).alias("_first"))
+    hashed = [field.name for field in df.select(*keys).schema if hashes_as_equal(field.dataType)]
+    lead = [F.xxhash64(*hashed).alias("_hash")] if len(hashed) > 1 else []
+    first = df.groupBy(*lead, *keys).agg(extreme(F.struct(*ranked)).alias("_first"))
     return first.select(*keys, "_first.*").select(*df.columns)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bits a key; each key sets up to four bits of one word.
 _BITS_PER_KEY = 16
@@ -15,6 +16,14 @@ _WORD = 64
 _MAX_WORDS = 1 << 18
 
 
+_HASHED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def hashes_as_equal(data_type: T.DataType) -> bool:
+    """Whether equal values of this type have one hash. Text of another collation than the binary one may not."""
+    return isinstance(data_type, _HASHED) or data_type == T.StringType()
+
+
 @dataclass(frozen=True)
 class KeyFilter:
     """A Bloom filter in blocks of one word, made and read by built-in functions.
@@ -33,7 +42,8 @@ class KeyFilter:
         size = 64
         while size < min(count * _BITS_PER_KEY // _WORD, _MAX_WORDS):
             size *= 2
-        word, bits = _place([F.col(f"`{key}`") for key in keys], size)
+        digest = _digest(keys)
+        word, bits = _word(digest, size), _bits(digest)
         used = rows.select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
         every = rows.sparkSession.range(size).select(F.col("id").cast("int").alias("word"))
         filled = every.join(used, "word", "left").select(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")).alias("w"))
@@ -42,15 +52,26 @@ class KeyFilter:
 
     def may_hold(self, keys: Sequence[str]) -> Column:
         """False only for rows whose ``keys`` are not among those of the filter."""
-        word, bits = _place([F.col(f"`{key}`") for key in keys], self.size)
-        return F.get(self.words.scalar(), word).bitwiseAND(bits) == bits
+        digest = _digest(keys)
+        # The hash is the argument of a function for its bits, and each part of the test is named once: a condition's
+        # parts are computed wherever they stand, and many keys hashed many times make code too long to be compiled.
+        bits = F.get(F.transform(F.array(digest), _bits), F.lit(0))
+        return F.bitwise_not(F.get(self.words.scalar(), _word(digest, self.size))).bitwiseAND(bits) == 0
+
+
+def _digest(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*(F.col(f"`{key}`") for key in keys))
+
+
+def _word(digest: Column, size: int) -> Column:
+    """The word of a key. It is taken from other bits of the hash than the key's bits in that word."""
+    return digest.bitwiseAND(F.lit(size - 1)).cast("int")
 
 
-def _place(keys: Sequence[Column], size: int) -> tuple[Column, Column]:
-    """The word of a key, and its bits in that word. The two are taken from different bits of the hash."""
-    digest = F.xxhash64(*keys)
+def _bits(digest: Column) -> Column:
+    """The bits of a key in its word."""
     bits = F.lit(0).cast("long")
     for first in (40, 46, 52, 58):
         place = F.shiftrightunsigned(digest, first).bitwiseAND(F.lit(63)).cast("int")
         bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
-    return digest.bitwiseAND(F.lit(size - 1)).cast("int"), bits
+    return bits

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.errors import DuplicateSourceKeyError, MergeError, MergeKeysError, PartitionColumnError
-from tripmill.operators.key_filter import KeyFilter
+from tripmill.operators.key_filter import KeyFilter, hashes_as_equal
 from tripmill.operators.merge_terms import Pairs, assignments, key_pairs, of, row_changes, rows_match
 from tripmill.operators.partitions import touched_partitions
 from tripmill.scratch import drop_folder, scratch_folder, stage
@@ -37,6 +37,8 @@ from tripmill.sources.tables import (
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 # Ranges that are pushed to the scan for a key, whatever the number of touched partitions.
 _MAX_RANGES = 64
+# Of more ranges than these, neighbours with a small gap between them become one.
+_FEW_RANGES = 8
 # From so many source rows on, the target's rows are tested against a filter of the source's keys before the join.
 _FILTER_FROM_ROWS = 500_000
 # monotonically_increasing_id() counts the rows of a partition in its low 33 bits.
@@ -78,6 +80,18 @@ class _Merge:
     def match(self) -> Column:
         return rows_match(self.pairs, self.null_safe_keys)
 
+    @property
+    def join_match(self) -> Column:
+        """The match, led by one hash of all keys where there are several.
+
+        A join sorts by its first key first, and a year or a month settles hardly a comparison.
+        """
+        hashed = [(t, s) for t, s in self.alike if hashes_as_equal(self.types[t])]
+        if len(hashed) < 2:
+            return self.match
+        sides = [F.xxhash64(*(of(side, pair[i]) for pair in hashed)) for i, side in enumerate(("trg", "src"))]
+        return (sides[0] == sides[1]) & self.match
+
     @property
     def source_keys(self) -> list[str]:
         return [source for _, source in self.pairs]
@@ -471,10 +485,30 @@ def _ranges(merge: _Merge, touched: DataFrame) -> tuple[int, dict[str, list[tupl
         else:
             covered.append((low, high))
     return source_rows, {
-        name: [(_from_ordinal(low, kind), _from_ordinal(high, kind)) for low, high in ranges[name]] for _, name, kind in keys
+        name: [(_from_ordinal(low, kind), _from_ordinal(high, kind)) for low, high in _fewer(ranges[name])]
+        for _, name, kind in keys
     }
 
 
+def _fewer(covered: Sequence[tuple[Decimal, Decimal]]) -> list[tuple[Decimal, Decimal]]:
+    """Ranges in order, the closest of them brought together while there are more than ``_FEW_RANGES``.
+
+    Only gaps of at most a quarter of the ranges on both sides are closed, as between months: little more is read for
+    them, and each range is a test of every row, in code that is too long to be compiled if there are very many.
+    """
+    widths = [high - low for low, high in covered]
+    small = [(covered[i + 1][0] - covered[i][1], i) for i in range(len(covered) - 1)]
+    small = sorted((gap, i) for gap, i in small if 4 * gap <= min(widths[i], widths[i + 1]))
+    closed = {i for _, i in small[: max(0, len(covered) - _FEW_RANGES)]}
+    fewer: list[tuple[Decimal, Decimal]] = []
+    for i, (low, high) in enumerate(covered):
+        if i - 1 in closed:
+            fewer[-1] = (fewer[-1][0], high)
+        else:
+            fewer.append((low, high))
+    return fewer
+
+
 _EPOCH = dt.datetime(1970, 1, 1)
 
 
@@ -568,7 +602,7 @@ def _look_up(merge: _Merge, nearby: DataFrame, matchable: DataFrame, changes: Co
     others = [name for name in matchable.columns if name not in keys]
     return (
         nearby.alias("trg")
-        .join(matchable.alias("src"), merge.match)
+        .join(matchable.alias("src"), merge.join_match)
         .select(
             *[of("src", name) for name in keys],
             *[F.when(changes, of("src", name)).alias(name) for name in others],
@@ -583,7 +617,7 @@ def _replace(merge: _Merge, rows: DataFrame, changed: DataFrame) -> DataFrame:
     take = F.coalesce(of("src", "_found"), F.lit(False)) & merge.changes
     replaced = (
         rows.alias("trg")
-        .join(found.alias("src"), merge.match, "left")
+        .join(found.alias("src"), merge.join_match, "left")
         .select(
             *[
                 F.when(take, of("src", merge.set_columns[field.name]).cast(field.dataType))

@@ -38,7 +38,7 @@ TRIP_FILTER = "PassengerCount > 0 and TripDistance > 0.0"
 TRIP_REQUIRED = ["PickupLocationId"]
 TRIP_DEFAULTS = {"PaymentType": 5, "RatecodeID": 1}
 
-# The columns of a trip's business key. Times come first: they have the most values, so they settle most comparisons.
+# The columns of a trip's business key.
 TRIP_KEYS = [
     "PickupTime", "DropTime", "PickupLocationId", "DropLocationId", "PaymentType",
     "VendorID", "PassengerCount", "TripType", "TripMode",
