@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import cached_property, reduce
+from itertools import count as count_up
 from operator import and_, or_
 from urllib.parse import unquote
 
@@ -663,13 +666,15 @@ def _reserve(merge: _Merge, count: int) -> int:
     """
     spark = merge.target.sparkSession
     taken = f"{merge.table.path.rstrip('/')}_numbers"
-    while True:
+    for attempt in count_up():
         given = _if_there(spark.read.schema("last long").option("recursiveFileLookup", True), taken)
         last = given.agg(F.max("last")).first()[0] if given is not None else None
         if last is None:
             last = merge.target.agg(F.max(f"`{merge.table.identity}`")).first()[0] or 0
         if _claim(spark, taken, last + 1, last + count):
             return last + 1
+        # Writers that go on in step would collide again and again.
+        time.sleep(random.uniform(0, 0.5 * 2 ** min(attempt, 6)))
 
 
 def _claim(spark: SparkSession, taken: str, first: int, last: int) -> bool:
