@@ -612,6 +612,21 @@ def test_many_writers_at_once(spark, folder):
     assert firsts[0] >= 8 and all(b - a >= 10 for a, b in zip(firsts, firsts[1:]))
 
 
+def test_writers_in_step_go_to_different_numbers(spark, folder, monkeypatch):
+    """The next numbers are always claimed by another one too, as by writers on a slow machine."""
+    plan, tried = numbered(spark, folder), []
+
+    def claim(_spark, _taken, first, last):
+        tried.append((first, last))
+        assert len(tried) < 30
+        return first != 8
+
+    monkeypatch.setattr(merge, "_claim", claim)
+    monkeypatch.setattr(merge.time, "sleep", lambda _: None)
+    first = merge._reserve(plan, 5)
+    assert first > 8 and tried[-1] == (first, first + 4) and tried[:2] == [(8, 12), (8, 12)]
+
+
 def test_a_hot_target_key_is_split(spark, folder):
     """One key with nearly all target rows: both joins against the target are split by adaptive execution."""
     table = Table(folder)

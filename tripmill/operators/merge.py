@@ -671,9 +671,10 @@ def _reserve(merge: _Merge, count: int) -> int:
         last = given.agg(F.max("last")).first()[0] if given is not None else None
         if last is None:
             last = merge.target.agg(F.max(f"`{merge.table.identity}`")).first()[0] or 0
-        if _claim(spark, taken, last + 1, last + count):
-            return last + 1
-        # Writers that go on in step would collide again and again.
+        # Writers that go on in step would collide again and again: from the third try on each leaves a gap of its own.
+        first = last + 1 + count * random.randrange(2 ** min(max(attempt - 1, 0), 10))
+        if _claim(spark, taken, first, first + count - 1):
+            return first
         time.sleep(random.uniform(0, 0.5 * 2 ** min(attempt, 6)))
 
 
